@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import RUN_DATE, div, lvl3, lvl5, query, quint, rnd, scale15, view
+from .oracle import RUN_DATE, WINDOW_END, div, lvl3, lvl5, query, quint, rnd, scale15, view
 
 D = "::DOUBLE"
 
@@ -96,3 +96,144 @@ SELECT user_id, user_country_id, user_country_name, user_region_name, is_user_vi
        streamer_region_name, frequency, CAST(call_total_length AS DOUBLE) AS call_total_length,
        CAST(gold_coin_amount AS DOUBLE) AS gold_coin_amount, recency_call_interval
 FROM v_call_base""")
+
+# ==========================================================================
+# Call facts
+# ==========================================================================
+GAP = 21600  # fixture match gap (FIXTURES.md)
+
+
+def secs(ts: str) -> str:
+    return f"(epoch_us({ts}) // 1000000)"
+
+
+view("v_call_rec", f"""
+SELECT user_id, matched_id, room_id, create_time, video_time, goddess_video, goddess_location,
+       is_pay, gender_condition, request_type,
+       make_timestamp(({secs('create_time')} - CAST(trunc(video_time / 1000) AS BIGINT)) * 1000000)
+         AS start_time
+FROM v_video_record""")
+
+
+def _click_branch(name: str, label: int, place: str, events: tuple[str, ...]) -> str:
+    ev = ", ".join(f"'{e}'" for e in events)
+    return f"""
+SELECT r.user_id, r.target_user_id, c.room_id, c.start_time AS create_time,
+       c.create_time AS end_time, c.video_time, '{name}' AS channel_name, CAST({label} AS BIGINT) AS label
+FROM (SELECT user_id, target_user_id, create_time FROM v_request_record
+      WHERE place_id = '{place}' AND event_id IN ({ev})) r
+JOIN (SELECT * FROM v_call_rec WHERE goddess_video = 2) c
+  ON r.user_id = c.user_id AND r.target_user_id = c.matched_id
+ AND {secs('c.start_time')} >= {secs('r.create_time')}
+ AND {secs('c.start_time')} - {secs('r.create_time')} < {GAP}"""
+
+
+view("v_req_match", "\nUNION ALL\n".join([
+    _click_branch("hotvideo", 1, "8", ("8-1-1-18",)),
+    _click_branch("livecam", 2, "1", ("1-5-15-12", "1-5-15-14", "1-5-20-1")),
+    _click_branch("quickchat", 3, "13", ("13-12-17-1",)),
+    _click_branch("wall", 4, "1", ("1-1-4-7",)),
+]))
+
+
+def _rec_branch(name: str, label: int, where: str) -> str:
+    return f"""
+SELECT user_id, CAST(matched_id AS BIGINT) AS target_user_id, room_id, start_time AS create_time,
+       create_time AS end_time, video_time, '{name}' AS channel_name, CAST({label} AS BIGINT) AS label
+FROM v_call_rec WHERE {where}"""
+
+
+view("v_channel_tag", "\nUNION ALL\n".join([
+    _rec_branch("nine_coin", 5, "is_pay = 1 AND goddess_video = 1 AND goddess_location = 2"),
+    _rec_branch("both", 6, "goddess_video = 1 AND goddess_location = 2 AND gender_condition = 0 "
+                           "AND request_type = 0"),
+    _rec_branch("friend_call_minute", 7, "goddess_video = 2 AND goddess_location IN (3,12,21,24)"),
+    _rec_branch("friend_call_times", 8, "goddess_video NOT IN (2) AND goddess_location IN (3,12,21,24)"),
+]))
+
+view("v_channel_union", """
+SELECT user_id, target_user_id, room_id, create_time, end_time, video_time, channel_name, label
+FROM v_req_match
+UNION
+SELECT user_id, target_user_id, room_id, create_time, end_time, video_time, channel_name, label
+FROM v_channel_tag""")
+
+view("v_coin_total", """
+SELECT user_id, remote_user_id, room_id, SUM(gold_num) AS gold_num
+FROM (SELECT user_id, remote_user_id, room_id, gold_num FROM v_minute_gold
+      UNION ALL
+      SELECT user_id, remote_user_id, room_id, gold_num FROM v_goddess_gold) a
+GROUP BY user_id, remote_user_id, room_id""")
+
+view("v_gift_total", """
+SELECT send_user_id AS user_id, user_id AS streamer_id, SUM(gift_gold) AS gift_gold
+FROM v_gift_detail GROUP BY send_user_id, user_id""")
+
+view("v_coin_attach", """
+SELECT a.*, COALESCE(b.gold_num, CAST(0 AS DECIMAL(12,2))) AS gold_num,
+       COALESCE(c.gift_gold, CAST(0 AS DECIMAL(12,2))) AS gift_gold
+FROM v_channel_union a
+LEFT JOIN v_coin_total b
+  ON a.user_id = b.user_id AND a.target_user_id = b.remote_user_id AND a.room_id = b.room_id
+LEFT JOIN v_gift_total c ON a.user_id = c.user_id AND a.target_user_id = c.streamer_id""")
+
+view("v_profile_snapshot", """
+SELECT DISTINCT user_id, country_id, country_name_en, vip_level FROM v_user_info WHERE user_id <> -1""")
+
+view("v_call_detail", """
+SELECT a.user_id, b.country_id AS user_country_id, b.country_name_en AS user_country_name,
+       COALESCE(b.vip_level, 'free') AS is_user_vip, a.target_user_id AS streamer_id,
+       s.country_id AS streamer_country_id, s.country_name_en AS streamer_country_name,
+       a.label AS channel_id, a.channel_name, a.create_time AS call_begin_time,
+       a.end_time AS call_end_time, a.video_time AS call_total_length,
+       CAST(a.gold_num AS DOUBLE) AS call_gold_coin_amount,
+       CAST(a.gift_gold AS DOUBLE) AS gift_gold_coin_amount
+FROM v_coin_attach a
+JOIN v_profile_snapshot b ON a.user_id = b.user_id
+JOIN v_profile_snapshot s ON a.target_user_id = s.user_id""")
+
+CALL_COLS = "day, user_id, streamer_id, room_id, CAST(channel_id AS BIGINT) AS channel_id, " \
+            "CAST(call_total_length AS DOUBLE) AS call_total_length"
+query("scan_day", f"SELECT {CALL_COLS} FROM v_calls WHERE day = DATE '{WINDOW_END}'")
+query("scan_window", f"""SELECT {CALL_COLS} FROM v_calls
+WHERE day > DATE '{WINDOW_END}' - INTERVAL 30 DAY AND day <= DATE '{WINDOW_END}'""")
+query("call_start", """SELECT user_id, CAST(matched_id AS BIGINT) AS matched_id, room_id, create_time,
+       video_time, start_time FROM v_call_rec""")
+query("channel_tag", "SELECT * FROM v_channel_tag")
+query("request_match_join", "SELECT * FROM v_req_match")
+query("channel_union", "SELECT * FROM v_channel_union")
+query("coin_total", "SELECT user_id, CAST(remote_user_id AS BIGINT) AS remote_user_id, room_id, "
+                    "CAST(gold_num AS DOUBLE) AS gold_num FROM v_coin_total")
+query("gift_total", "SELECT user_id, streamer_id, CAST(gift_gold AS DOUBLE) AS gift_gold FROM v_gift_total")
+query("coin_gift_attach", "SELECT * EXCLUDE (gold_num, gift_gold), CAST(gold_num AS DOUBLE) AS gold_num, "
+                          "CAST(gift_gold AS DOUBLE) AS gift_gold FROM v_coin_attach")
+query("snapshot_users", "SELECT user_id, CAST(country_id AS BIGINT) AS country_id, country_name_en, "
+                        "vip_level FROM v_profile_snapshot")
+query("enrich_calls", """
+SELECT a.*, CAST(b.country_id AS BIGINT) AS user_country_id, b.country_name_en AS user_country_name,
+       COALESCE(b.vip_level, 'free') AS is_user_vip, CAST(s.country_id AS BIGINT) AS streamer_country_id,
+       s.country_name_en AS streamer_country_name
+FROM v_channel_union a JOIN v_profile_snapshot b ON a.user_id = b.user_id
+JOIN v_profile_snapshot s ON a.target_user_id = s.user_id""")
+query("job_call_detail", """SELECT * EXCLUDE (user_country_id, streamer_country_id),
+  CAST(user_country_id AS BIGINT) AS user_country_id, CAST(streamer_country_id AS BIGINT) AS streamer_country_id
+FROM v_call_detail""")
+
+view("v_call_match", f"""
+SELECT c.day, c.user_id, c.user_country_id, c.user_country_name, c.vip_level AS is_user_vip,
+       c.streamer_id, cr.country_id AS streamer_country_id, s.country_name_ab AS streamer_country_name,
+       c.channel_id, c.call_begin_time, c.call_total_length, c.call_gold_coin_amount,
+       c.gift_gold_coin_amount
+FROM (SELECT * FROM v_calls WHERE day > DATE '{WINDOW_END}' - INTERVAL 30 DAY
+                             AND day <= DATE '{WINDOW_END}') c
+JOIN (SELECT DISTINCT user_id, country_name_ab FROM v_streamer_country) s ON c.streamer_id = s.user_id
+LEFT JOIN (SELECT DISTINCT country_ab, country_id FROM v_country_region) cr
+  ON s.country_name_ab = cr.country_ab""")
+query("job_call_match", """
+SELECT day, user_id, CAST(user_country_id AS BIGINT) AS user_country_id, user_country_name, is_user_vip,
+       streamer_id, CAST(streamer_country_id AS BIGINT) AS streamer_country_id, streamer_country_name,
+       CAST(channel_id AS BIGINT) AS channel_id, call_begin_time,
+       CAST(call_total_length AS DOUBLE) AS call_total_length,
+       CAST(call_gold_coin_amount AS DOUBLE) AS call_gold_coin_amount,
+       CAST(gift_gold_coin_amount AS DOUBLE) AS gift_gold_coin_amount
+FROM v_call_match""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..sources.fixtures import RUN_DATE, Tables
 from . import streamer as S
 from .registry import register
@@ -18,3 +20,94 @@ def q_call_base(t: Tables):
 def q_job_streamer_level(t: Tables):
     """Streamer RFM score and level per country (entry query)."""
     return S.streamer_level(t.calls, t.country_region, t.streamer_weight, RUN_DATE)
+
+
+# ---- call facts ---------------------------------------------------------------
+from ..sources.fixtures import FIXTURE_GAP_S, WINDOW_END  # noqa: E402
+from . import call_facts as CF  # noqa: E402
+
+
+@register("scan_day")
+def q_scan_day(t: Tables):
+    """A1: one day partition of the call facts."""
+    return t.calls.filter(F.col("day") == F.to_date(F.lit(WINDOW_END))).select(
+        "day", "user_id", "streamer_id", "room_id", "channel_id", "call_total_length")
+
+
+@register("scan_window")
+def q_scan_window(t: Tables):
+    """A2: the trailing 30 days of call facts ending on the run day."""
+    return CF.window_filter(t.calls, "day", WINDOW_END, 30).select(
+        "day", "user_id", "streamer_id", "room_id", "channel_id", "call_total_length")
+
+
+@register("call_start")
+def q_call_start(t: Tables):
+    """Call start = end - duration (ms truncated to seconds)."""
+    return CF.with_call_start(t.video_record).select(
+        "user_id", "matched_id", "room_id", "create_time", "video_time", "start_time")
+
+
+@register("channel_tag")
+def q_channel_tag(t: Tables):
+    """B1 / B2: call-record channels with name and label."""
+    return CF.channel_tag(t.video_record)
+
+
+@register("request_match_join")
+def q_request_match_join(t: Tables):
+    """Clicks of four channels matched to calls starting within the gap."""
+    return CF.request_match(t.request_record, t.video_record, FIXTURE_GAP_S)
+
+
+@register("channel_union")
+def q_channel_union(t: Tables):
+    """Distinct union of the eight channel branches."""
+    return CF.channel_union(t.request_record, t.video_record, FIXTURE_GAP_S)
+
+
+@register("coin_total")
+def q_coin_total(t: Tables):
+    """Coins per (user, remote user, room) over two coin tables."""
+    from ..operators.aggregates import coin_total
+    return coin_total(t.minute_gold, t.goddess_gold)
+
+
+@register("gift_total")
+def q_gift_total(t: Tables):
+    """Gift coins per (sender, receiver)."""
+    from ..operators.aggregates import gift_total
+    return gift_total(t.gift_detail)
+
+
+@register("coin_gift_attach")
+def q_coin_gift_attach(t: Tables):
+    """Coins and gifts attached to every channel row, default 0."""
+    ch = CF.channel_union(t.request_record, t.video_record, FIXTURE_GAP_S)
+    return CF.attach_coins(ch, t.minute_gold, t.goddess_gold, t.gift_detail)
+
+
+@register("snapshot_users")
+def q_snapshot_users(t: Tables):
+    """A3: distinct profile snapshot without the sentinel id."""
+    return CF.snapshot_profiles(t.user_info)
+
+
+@register("enrich_calls")
+def q_enrich_calls(t: Tables):
+    """Channel rows joined (inner) to both parties' profiles."""
+    ch = CF.channel_union(t.request_record, t.video_record, FIXTURE_GAP_S)
+    return CF.enrich(ch, CF.snapshot_profiles(t.user_info))
+
+
+@register("job_call_detail")
+def q_job_call_detail(t: Tables):
+    """Full call-detail build (channels, match, coins, gifts, profiles)."""
+    return CF.call_detail(t.request_record, t.video_record, t.minute_gold, t.goddess_gold,
+                          t.gift_detail, t.user_info, FIXTURE_GAP_S)
+
+
+@register("job_call_match")
+def q_job_call_match(t: Tables):
+    """30-day call facts with the streamer's country (abbreviation and id)."""
+    return CF.call_match(t.calls, t.streamer_country, t.country_region, WINDOW_END, 30)
