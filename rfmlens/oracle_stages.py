@@ -237,3 +237,204 @@ SELECT day, user_id, CAST(user_country_id AS BIGINT) AS user_country_id, user_co
        CAST(call_gold_coin_amount AS DOUBLE) AS call_gold_coin_amount,
        CAST(gift_gold_coin_amount AS DOUBLE) AS gift_gold_coin_amount
 FROM v_call_match""")
+
+# ---- streamer stage, operator keys ------------------------------------------
+S_VAL = ("streamer_id, streamer_country_id, streamer_country_name, frequency, "
+         "CAST(monetary AS DOUBLE) AS monetary, CAST(monetary1 AS DOUBLE) AS monetary1, recency")
+S_RNK = ("frequency_rnk, frequency_score, monetary_rnk, monetary_score, monetary1_rnk, "
+         "monetary1_score, recency_rnk, recency_score")
+query("rfm_values_streamer", f"SELECT {S_VAL} FROM v_s_values")
+query("global_rank_streamer", f"SELECT {S_VAL}, {S_RNK} FROM v_s_ranks")
+query("rfm_combine_streamer", f"SELECT {S_VAL}, {S_RNK}, rfm_combination_score FROM v_s_comb")
+query("minmax_global", """SELECT MAX(rfm_combination_score) AS rfm_combination_score_max,
+       MIN(rfm_combination_score) AS rfm_combination_score_min FROM v_s_comb""")
+query("rfm_score_streamer", f"""SELECT {S_VAL}, {S_RNK}, rfm_combination_score,
+       rfm_score_raw AS rfm_score FROM v_s_scaled""")
+query("weighted_score_streamer", f"SELECT {S_VAL}, {S_RNK}, rfm_combination_score, rfm_score FROM v_s_score")
+query("rank_percentage_country", """SELECT streamer_id, streamer_country_id, streamer_country_name,
+       rfm_score, rfm_rnk, rfm_rnk_percentage FROM v_streamer_level""")
+query("streamer_level", """SELECT streamer_id, streamer_country_id, streamer_country_name,
+       rfm_rnk_percentage, level FROM v_streamer_level""")
+query("serve_streamer_level", """SELECT streamer_id, streamer_country_id, streamer_country_name,
+       level, rfm_score FROM v_streamer_level""")
+
+view("v_level_distribution", f"""
+SELECT a.streamer_country_id, a.streamer_country_name, a.level, a.streamer_amount,
+       b.streamer_amount_total, {rnd(div('a.streamer_amount', 'b.streamer_amount_total'), 2)} AS percentage
+FROM (SELECT streamer_country_id, streamer_country_name, level,
+             COUNT(DISTINCT streamer_id) AS streamer_amount
+      FROM v_streamer_level GROUP BY streamer_country_id, streamer_country_name, level) a
+LEFT JOIN (SELECT streamer_country_id, streamer_country_name,
+                  COUNT(DISTINCT streamer_id) AS streamer_amount_total
+           FROM v_streamer_level GROUP BY streamer_country_id, streamer_country_name) b
+  ON a.streamer_country_id = b.streamer_country_id AND a.streamer_country_name = b.streamer_country_name""")
+query("level_distribution", "SELECT * FROM v_level_distribution")
+query("job_level_distribution", "SELECT * FROM v_level_distribution")
+
+query("active_users_vip", """
+SELECT user_country_id, user_country_name, is_user_vip, AVG(n) AS user_active_amount
+FROM (SELECT day, user_country_id, user_country_name,
+             CASE WHEN vip_level = 'free' THEN '0' ELSE '1' END AS is_user_vip,
+             COUNT(DISTINCT user_id) AS n
+      FROM v_calls GROUP BY ALL) t
+GROUP BY user_country_id, user_country_name, is_user_vip""")
+query("active_users", """
+SELECT user_country_id, user_country_name, AVG(n) AS user_active_amount
+FROM (SELECT day, user_country_id, user_country_name, COUNT(DISTINCT user_id) AS n
+      FROM v_calls GROUP BY day, user_country_id, user_country_name) t
+GROUP BY user_country_id, user_country_name""")
+view("v_active_streamers", """
+SELECT a.streamer_country_id, c.country_name_en AS streamer_country_name,
+       a.streamer_country_name_ab, c.region_name AS streamer_region_name, a.streamer_active_amount
+FROM (SELECT streamer_country_id, streamer_country_name_ab, AVG(n) AS streamer_active_amount
+      FROM (SELECT day, streamer_country_id, streamer_country_name_ab, COUNT(DISTINCT streamer_id) AS n
+            FROM v_calls GROUP BY day, streamer_country_id, streamer_country_name_ab) t
+      GROUP BY streamer_country_id, streamer_country_name_ab) a
+LEFT JOIN (SELECT DISTINCT country_ab, country_name_en, region_name FROM v_country_region) c
+  ON a.streamer_country_name_ab = c.country_ab""")
+query("active_streamers", "SELECT * FROM v_active_streamers")
+query("job_active_counts", "SELECT * FROM v_active_streamers")
+query("active_streamers_region", f"""
+SELECT streamer_region_name AS region_name, {rnd('SUM(streamer_active_amount)', 6)} AS streamer_amount
+FROM v_active_streamers GROUP BY streamer_region_name""")
+
+query("vip_recode", """
+SELECT user_id, vip_level, is_user_vip, if_vip, CASE WHEN if_vip = 'vip' THEN '1' ELSE '0' END AS flag_back
+FROM (SELECT user_id, vip_level, is_user_vip,
+             CASE WHEN is_user_vip = '1' THEN 'vip' ELSE 'free' END AS if_vip
+      FROM (SELECT user_id, vip_level, CASE WHEN vip_level = 'free' THEN '0' ELSE '1' END AS is_user_vip
+            FROM v_user_info) a) b""")
+query("dim_country_dedup", "SELECT country_name_en, region_name FROM v_country_region GROUP BY country_name_en, region_name")
+query("lookup_region", """
+SELECT s.user_id, s.country_name_ab, c.country_name_en AS country_name, c.region_name
+FROM v_streamer_country s
+LEFT JOIN (SELECT DISTINCT country_ab, country_name_en, region_name FROM v_country_region) c
+  ON s.country_name_ab = c.country_ab""")
+
+# ==========================================================================
+# User stage
+# ==========================================================================
+view("v_user_base", f"""
+SELECT user_id, user_country_id, user_country_name, is_user_vip,
+       streamer_id, streamer_country_id, streamer_country_name,
+       COUNT(*) AS frequency, SUM(call_total_length) AS call_total_length,
+       SUM(gold_coin_amount) AS gold_coin_amount, MIN(recency_call_interval) AS recency_call_interval
+FROM (SELECT user_id, user_country_id, user_country_name,
+             CASE WHEN vip_level = 'free' THEN '0' ELSE '1' END AS is_user_vip,
+             streamer_id, streamer_country_id, streamer_country_name, call_total_length,
+             CAST(0.6 AS DECIMAL(4,2)) * call_gold_coin_amount
+               + CAST(0.4 AS DECIMAL(4,2)) * gift_gold_coin_amount AS gold_coin_amount,
+             date_diff('day', CAST(call_begin_time AS DATE), DATE '{RUN_DATE}') AS recency_call_interval
+      FROM v_calls) t
+GROUP BY user_id, user_country_id, user_country_name, is_user_vip,
+         streamer_id, streamer_country_id, streamer_country_name""")
+
+view("v_uq_values", """
+SELECT user_id, user_country_id, user_country_name, is_user_vip,
+       CAST(SUM(COALESCE(frequency, 0)) AS BIGINT) AS frequency,
+       SUM(COALESCE(gold_coin_amount, 0)) AS monetary,
+       CAST(MIN(COALESCE(recency_call_interval, 999)) AS BIGINT) AS recency
+FROM v_user_base GROUP BY user_id, user_country_id, user_country_name, is_user_vip""")
+
+view("v_uq_ranks", """
+SELECT *, ROW_NUMBER() OVER (ORDER BY frequency DESC, user_id) AS frequency_rnk,
+          ROW_NUMBER() OVER (ORDER BY monetary DESC, user_id) AS monetary_rnk,
+          ROW_NUMBER() OVER (ORDER BY recency ASC, user_id) AS recency_rnk
+FROM v_uq_values""")
+
+view("v_uq_scores", f"""
+SELECT r.*, m.fmax AS frequency_rnk_max, m.mmax AS monetary_rnk_max, m.rmax AS recency_rnk_max,
+       {quint(div('r.frequency_rnk', 'm.fmax'))} AS frequency_score,
+       {quint(div('r.monetary_rnk', 'm.mmax'))} AS monetary_score,
+       {quint(div('r.recency_rnk', 'm.rmax'))} AS recency_score
+FROM v_uq_ranks r CROSS JOIN (SELECT MAX(frequency_rnk) AS fmax, MAX(monetary_rnk) AS mmax,
+                                     MAX(recency_rnk) AS rmax FROM v_uq_ranks) m""")
+
+view("v_uq_score", f"""
+SELECT *, CAST(3*frequency_score + 3*recency_score + 4*monetary_score AS DOUBLE) / 10.0{D} AS rfm_score
+FROM v_uq_scores""")
+
+view("v_uq_level", f"""
+SELECT r.*, {rnd(div('r.rfm_rnk', 'm.rfm_rnk_max'), 2)} AS rfm_rnk_percentage
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_country_id, user_country_name
+                                   ORDER BY rfm_score DESC, user_id) AS rfm_rnk FROM v_uq_score) r
+LEFT JOIN (SELECT user_country_id, user_country_name, COUNT(*) AS rfm_rnk_max
+           FROM v_uq_score GROUP BY user_country_id, user_country_name) m
+  ON r.user_country_id = m.user_country_id AND r.user_country_name = m.user_country_name""")
+
+UQ = ("user_id, user_country_id, user_country_name, is_user_vip, frequency, "
+      "CAST(monetary AS DOUBLE) AS monetary, recency, frequency_rnk, monetary_rnk, recency_rnk, "
+      "frequency_score, monetary_score, recency_score, rfm_score")
+query("quintile_score_user", f"""SELECT {UQ}, frequency_rnk_max, monetary_rnk_max, recency_rnk_max
+FROM v_uq_score""")
+query("job_user_quintile_level", f"""SELECT {UQ}, rfm_rnk, rfm_rnk_percentage,
+       {lvl3('rfm_rnk_percentage')} AS level FROM v_uq_level""")
+
+view("v_ut_values", """
+SELECT user_id, user_country_id, user_country_name, is_user_vip,
+       CAST(SUM(COALESCE(frequency, 0)) AS BIGINT) AS frequency,
+       SUM(COALESCE(gold_coin_amount, 0)) AS monetary1,
+       SUM(COALESCE(call_total_length, 0)) AS monetary2,
+       CAST(MIN(COALESCE(recency_call_interval, 999)) AS BIGINT) AS recency
+FROM v_user_base GROUP BY user_id, user_country_id, user_country_name, is_user_vip""")
+
+view("v_ut_ranks", """
+SELECT *, ROW_NUMBER() OVER (ORDER BY frequency DESC, user_id) AS frequency_rnk,
+          ROW_NUMBER() OVER (ORDER BY monetary1 DESC, user_id) AS monetary1_rnk,
+          ROW_NUMBER() OVER (ORDER BY monetary2 DESC, user_id) AS monetary2_rnk,
+          ROW_NUMBER() OVER (ORDER BY recency ASC, user_id) AS recency_rnk
+FROM v_ut_values""")
+
+view("v_ut_comb", f"""
+SELECT *, CAST(3*frequency_rnk + 2*monetary1_rnk + 2*monetary2_rnk + 3*recency_rnk AS DOUBLE)
+          / 10.0{D} AS rfm_combination_score
+FROM v_ut_ranks""")
+
+view("v_ut_score", f"""
+SELECT c.user_id, c.user_country_id, c.user_country_name, g.region_name AS user_region_name,
+       c.is_user_vip, c.frequency, c.monetary1, c.monetary2, c.recency, c.frequency_rnk,
+       c.monetary1_rnk, c.monetary2_rnk, c.recency_rnk, c.rfm_combination_score,
+       {scale15('c.rfm_combination_score', 'm.mn', 'm.mx', 2000000)} AS rfm_score
+FROM v_ut_comb c
+CROSS JOIN (SELECT MIN(rfm_combination_score) AS mn, MAX(rfm_combination_score) AS mx FROM v_ut_comb) m
+LEFT JOIN (SELECT DISTINCT country_name_en, region_name FROM v_country_region) g
+  ON c.user_country_name = g.country_name_en""")
+
+UT = ("user_id, user_country_id, user_country_name, is_user_vip, frequency, "
+      "CAST(monetary1 AS DOUBLE) AS monetary1, CAST(monetary2 AS DOUBLE) AS monetary2, recency")
+UT_R = "frequency_rnk, monetary1_rnk, monetary2_rnk, recency_rnk"
+query("rfm_values_user", f"SELECT {UT} FROM v_ut_values")
+query("global_rank_user", f"SELECT {UT}, {UT_R} FROM v_ut_ranks")
+query("rfm_combine_user", f"SELECT {UT}, {UT_R}, rfm_combination_score FROM v_ut_comb")
+query("rfm_score_user", f"SELECT {UT}, user_region_name, {UT_R}, rfm_combination_score, rfm_score FROM v_ut_score")
+
+view("v_ul_country", f"""
+SELECT r.*, {rnd(div('r.rfm_rnk', 'm.rfm_rnk_max'), 6)} AS rfm_rnk_percentage
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_region_name, user_country_id, user_country_name
+                                   ORDER BY rfm_score DESC, user_id) AS rfm_rnk FROM v_ut_score) r
+LEFT JOIN (SELECT user_region_name, user_country_id, user_country_name, COUNT(*) AS rfm_rnk_max
+           FROM v_ut_score GROUP BY user_region_name, user_country_id, user_country_name) m
+  ON r.user_region_name = m.user_region_name AND r.user_country_id = m.user_country_id
+ AND r.user_country_name = m.user_country_name""")
+
+view("v_ul_region", f"""
+SELECT r.*, {rnd(div('r.region_rfm_rnk', 'm.mx'), 6)} AS region_rfm_rnk_percentage
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_region_name ORDER BY rfm_score DESC, user_id)
+                AS region_rfm_rnk FROM v_ut_score) r
+LEFT JOIN (SELECT user_region_name, COUNT(*) AS mx FROM v_ut_score GROUP BY user_region_name) m
+  ON r.user_region_name = m.user_region_name""")
+
+query("user_level_country", f"""
+SELECT user_id, user_country_id, user_country_name, user_region_name, is_user_vip, rfm_score,
+       rfm_rnk, rfm_rnk_percentage, {lvl3('rfm_rnk_percentage')} AS level FROM v_ul_country""")
+query("user_level_region", f"""
+SELECT user_id, user_region_name, is_user_vip, rfm_score, region_rfm_rnk, region_rfm_rnk_percentage,
+       {lvl5('region_rfm_rnk_percentage')} AS region_level FROM v_ul_region""")
+query("rank_percentage_region", """
+SELECT user_id, user_region_name, is_user_vip, region_rfm_rnk, region_rfm_rnk_percentage FROM v_ul_region""")
+query("job_user_level", f"""
+SELECT c.user_id, c.user_country_id, c.user_country_name, c.user_region_name, c.is_user_vip, c.rfm_score,
+       c.rfm_rnk, c.rfm_rnk_percentage, {lvl3('c.rfm_rnk_percentage')} AS level,
+       r.region_rfm_rnk, r.region_rfm_rnk_percentage, {lvl5('r.region_rfm_rnk_percentage')} AS region_level
+FROM v_ul_country c JOIN v_ul_region r
+  ON c.user_id = r.user_id AND c.user_country_id = r.user_country_id AND c.is_user_vip = r.is_user_vip""")

@@ -111,3 +111,211 @@ def q_job_call_detail(t: Tables):
 def q_job_call_match(t: Tables):
     """30-day call facts with the streamer's country (abbreviation and id)."""
     return CF.call_match(t.calls, t.streamer_country, t.country_region, WINDOW_END, 30)
+
+
+# ---- streamer stage, operator by operator -----------------------------------
+def _s_base(t: Tables):
+    return S.streamer_call_base(t.calls, t.country_region, RUN_DATE)
+
+
+@register("rfm_values_streamer")
+def q_rfm_values_streamer(t: Tables):
+    """Streamer RFM values with NULL defaults."""
+    return S.streamer_values(_s_base(t))
+
+
+@register("global_rank_streamer")
+def q_global_rank_streamer(t: Tables):
+    """Global ranks and reverse scores of the four streamer terms."""
+    return S.rfm_ranks(S.streamer_values(_s_base(t)), "streamer_id")
+
+
+@register("rfm_combine_streamer")
+def q_rfm_combine_streamer(t: Tables):
+    """RFM blend over the inverse ranks."""
+    return S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)), "streamer_id"))
+
+
+@register("minmax_global")
+def q_minmax_global(t: Tables):
+    """Global max and min of the blended score (one row)."""
+    c = S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)), "streamer_id"))
+    return c.agg(F.max("rfm_combination_score").alias("rfm_combination_score_max"),
+                 F.min("rfm_combination_score").alias("rfm_combination_score_min"))
+
+
+@register("rfm_score_streamer")
+def q_rfm_score_streamer(t: Tables):
+    """guarded global min-max scale to 1..5."""
+    return S.scale_global(S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)),
+                                                       "streamer_id")))
+
+
+@register("weighted_score_streamer")
+def q_weighted_score_streamer(t: Tables):
+    """the scaled score times the streamer weight (default 1)."""
+    return S.streamer_scores(_s_base(t), t.streamer_weight)
+
+
+@register("rank_percentage_country")
+def q_rank_percentage_country(t: Tables):
+    """Rank inside the streamer country and rank / max rank."""
+    d = S.country_level(S.streamer_scores(_s_base(t), t.streamer_weight))
+    return d.select("streamer_id", *S.STREAMER_COUNTRY, "rfm_score", "rfm_rnk",
+                    "rfm_rnk_percentage")
+
+
+@register("streamer_level")
+def q_streamer_level(t: Tables):
+    """level 1-3 from the rank percentage."""
+    d = S.country_level(S.streamer_scores(_s_base(t), t.streamer_weight))
+    return d.select("streamer_id", *S.STREAMER_COUNTRY, "rfm_rnk_percentage", "level")
+
+
+@register("serve_streamer_level")
+def q_serve_streamer_level(t: Tables):
+    """The narrow serving table of the same day's levels."""
+    return S.serve_level(S.streamer_level(t.calls, t.country_region, t.streamer_weight, RUN_DATE))
+
+
+def _level_distribution(t: Tables):
+    return S.level_distribution(
+        S.streamer_level(t.calls, t.country_region, t.streamer_weight, RUN_DATE))
+
+
+@register("level_distribution")
+def q_level_distribution(t: Tables):
+    """Distinct streamers per level over the country total."""
+    return _level_distribution(t)
+
+
+@register("job_level_distribution")
+def q_job_level_distribution(t: Tables):
+    """Level mix job (same output as the operator key)."""
+    return _level_distribution(t)
+
+
+@register("active_users_vip")
+def q_active_users_vip(t: Tables):
+    """Average daily distinct users per country and vip flag."""
+    return S.active_users(t.calls, True)
+
+
+@register("active_users")
+def q_active_users(t: Tables):
+    """Average daily distinct users per country."""
+    return S.active_users(t.calls, False)
+
+
+@register("active_streamers")
+def q_active_streamers(t: Tables):
+    """G6 + J3: average daily distinct streamers per country, with region."""
+    return S.active_streamers(t.calls, t.country_region)
+
+
+@register("active_streamers_region")
+def q_active_streamers_region(t: Tables):
+    """Sum of country averages per region."""
+    return S.active_streamers_region(S.active_streamers(t.calls, t.country_region))
+
+
+@register("job_active_counts")
+def q_job_active_counts(t: Tables):
+    """Active counts job: streamer country table (region table is its roll-up)."""
+    return S.active_streamers(t.calls, t.country_region)
+
+
+@register("vip_recode")
+def q_vip_recode(t: Tables):
+    """Vip level -> flag -> vip class -> flag."""
+    from ..functions.columns import flag_from_if_vip, if_vip_from_flag, vip_flag
+    u = t.user_info.select("user_id", "vip_level")
+    u = u.withColumn("is_user_vip", vip_flag("vip_level"))
+    u = u.withColumn("if_vip", if_vip_from_flag("is_user_vip"))
+    return u.withColumn("flag_back", flag_from_if_vip("if_vip"))
+
+
+@register("dim_country_dedup")
+def q_dim_country_dedup(t: Tables):
+    """A4: country dimension de-duplicated on (name, region)."""
+    from ..operators.joins import dedup
+    return dedup(t.country_region, ["country_name_en", "region_name"])
+
+
+@register("lookup_region")
+def q_lookup_region(t: Tables):
+    """Left lookup of the region (and name) by country abbreviation."""
+    from ..operators.joins import lookup
+    d = t.streamer_country
+    return lookup(d, t.country_region, "country_name_ab", "country_ab",
+                  {"country_name_en": "country_name", "region_name": "region_name"})
+
+
+# ---- user stage ----------------------------------------------------------------
+from . import user as U  # noqa: E402
+
+
+@register("rfm_values_user")
+def q_rfm_values_user(t: Tables):
+    """Four RFM terms per user (total-score job)."""
+    return U.total_values(U.user_call_base(t.calls, RUN_DATE))
+
+
+@register("global_rank_user")
+def q_global_rank_user(t: Tables):
+    """Global ranks of the four user terms."""
+    return U.total_ranks(U.total_values(U.user_call_base(t.calls, RUN_DATE)))
+
+
+@register("rfm_combine_user")
+def q_rfm_combine_user(t: Tables):
+    """blend over ranks (Q2)."""
+    return U.combine_ranks(U.total_ranks(U.total_values(U.user_call_base(t.calls, RUN_DATE))))
+
+
+@register("rfm_score_user")
+def q_rfm_score_user(t: Tables):
+    """F3 + J3: user total score on 1..5 with region."""
+    return U.total_score(t.calls, t.country_region, RUN_DATE)
+
+
+@register("quintile_score_user")
+def q_quintile_score_user(t: Tables):
+    """Quintile scores per term and their blend."""
+    return U.quintile_scores(U.user_call_base(t.calls, RUN_DATE))
+
+
+@register("job_user_quintile_level")
+def q_job_user_quintile_level(t: Tables):
+    """Quintile score -> level per country."""
+    return U.quintile_level(t.calls, RUN_DATE)
+
+
+@register("user_level_country")
+def q_user_level_country(t: Tables):
+    """Level 1-3 inside region-country."""
+    d = U.region_levels(U.total_score(t.calls, t.country_region, RUN_DATE))
+    return d.select("user_id", *U.USER_COUNTRY, "user_region_name", "is_user_vip",
+                    "rfm_score", "rfm_rnk", "rfm_rnk_percentage", "level")
+
+
+@register("user_level_region")
+def q_user_level_region(t: Tables):
+    """level 1-5 inside region."""
+    d = U.region_levels(U.total_score(t.calls, t.country_region, RUN_DATE))
+    return d.select("user_id", "user_region_name", "is_user_vip", "rfm_score",
+                    "region_rfm_rnk", "region_rfm_rnk_percentage", "region_level")
+
+
+@register("rank_percentage_region")
+def q_rank_percentage_region(t: Tables):
+    """Rank inside the region over the region's max rank (6 digits)."""
+    d = U.region_levels(U.total_score(t.calls, t.country_region, RUN_DATE))
+    return d.select("user_id", "user_region_name", "is_user_vip", "region_rfm_rnk",
+                    "region_rfm_rnk_percentage")
+
+
+@register("job_user_level")
+def q_job_user_level(t: Tables):
+    """Total score -> levels per region-country and per region."""
+    return U.user_level(t.calls, t.country_region, RUN_DATE)

@@ -51,22 +51,37 @@ def rfm_ranks(values: DataFrame, tie: str | list[str], partition_by=(),
     return d.drop("__n")
 
 
+def streamer_values(base: DataFrame) -> DataFrame:
+    """RFM values per streamer (coins, call length), NULL defaults."""
+    return rfm_values(base, STREAMER_KEYS, {"monetary": "gold_coin_amount",
+                                            "monetary1": "call_total_length"})
+
+
+def combine_scores(ranked: DataFrame) -> DataFrame:
+    """F1: 0.3 F + 0.2 M + 0.2 L + 0.3 R over the inverse ranks (scores)."""
+    return ranked.withColumn("rfm_combination_score", tenths_blend(
+        {f"{m}_score": w for m, w in RFM_WEIGHTS.items()}))
+
+
+def scale_global(combined: DataFrame, flat_divisor: int = STREAMER_FLAT_DIVISOR) -> DataFrame:
+    """global min-max to 1..5, guarded when max = min."""
+    return minmax_scale(combined, "rfm_combination_score", "rfm_score", 1, 5,
+                        flat_divisor=flat_divisor)
+
+
+def apply_weight(scored: DataFrame, weights: DataFrame) -> DataFrame:
+    """round(score * weight, 2); streamers without a weight keep 1.0."""
+    w = weights.select("streamer_id", F.col("weight").cast("double").alias("weight"))
+    d = left_fill(scored, w, ["streamer_id"], {"weight": 1.0})
+    return (d.withColumn("rfm_score", round_half_up(F.col("rfm_score") * F.col("weight"), 2))
+            .drop("weight"))
+
+
 def streamer_scores(base: DataFrame, weights: DataFrame | None) -> DataFrame:
     """Streamer RFM values, global ranks, blend, 1-5 scale, weight."""
-    values = rfm_values(base, STREAMER_KEYS, {"monetary": "gold_coin_amount",
-                                              "monetary1": "call_total_length"})
-    values = values.persist(StorageLevel.MEMORY_AND_DISK)
-    d = rfm_ranks(values, "streamer_id")
-    d = d.withColumn("rfm_combination_score", tenths_blend(
-        {f"{m}_score": w for m, w in RFM_WEIGHTS.items()}))
-    d = minmax_scale(d, "rfm_combination_score", "rfm_score", 1, 5,
-                     flat_divisor=STREAMER_FLAT_DIVISOR)
-    if weights is not None:
-        w = weights.select("streamer_id", F.col("weight").cast("double").alias("weight"))
-        d = left_fill(d, w, ["streamer_id"], {"weight": 1.0})
-        d = d.withColumn("rfm_score", round_half_up(F.col("rfm_score") * F.col("weight"), 2))
-        d = d.drop("weight")
-    return d
+    values = streamer_values(base).persist(StorageLevel.MEMORY_AND_DISK)
+    d = scale_global(combine_scores(rfm_ranks(values, "streamer_id")))
+    return apply_weight(d, weights) if weights is not None else d
 
 
 def country_level(scores: DataFrame, partition_by=STREAMER_COUNTRY, tie="streamer_id",
@@ -132,4 +147,4 @@ def active_streamers(calls: DataFrame, country_region: DataFrame) -> DataFrame:
 def active_streamers_region(per_country: DataFrame) -> DataFrame:
     """Sum of the country averages per streamer region."""
     return (per_country.groupBy(F.col("streamer_region_name").alias("region_name"))
-            .agg(F.sum("streamer_active_amount").alias("streamer_amount")))
+            .agg(round_half_up(F.sum("streamer_active_amount"), 6).alias("streamer_amount")))
