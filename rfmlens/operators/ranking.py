@@ -64,19 +64,33 @@ def _order(metric: str, tie: Sequence[str], descending: bool) -> list[Column]:
 
 def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] | str,
                  partition_by: Sequence[str] = (), count_col: str | None = None,
-                 bucket_rows: int | None = None) -> DataFrame:
+                 bucket_rows: int | None = None, bounded: bool = False) -> DataFrame:
     """Add one exact row-number column per spec (see module doc).
 
     ``count_col`` also attaches the group size (= the largest rank); as in
     the reference's join back on the group keys, it is NULL when a group key
     is NULL.  Metrics and the tie columns must be non-NULL.
+
+    ``bounded=True`` declares that the input is bounded by dimension sizes
+    (e.g. country pairs: at most |countries|^2 x 2 rows): plain windows, no
+    statistics job.  Otherwise the caller should pass a persisted frame, as
+    it is read several times.
     """
     tie = [tie] if isinstance(tie, str) else list(tie)
     parts = list(partition_by)
+    if bounded:
+        out = df
+        if count_col is not None:
+            out = out.withColumn(count_col, _guarded(
+                parts, F.count(F.lit(1)).over(Window.partitionBy(*parts))))
+        for s in specs:
+            w = Window.partitionBy(*parts).orderBy(*_order(s.metric, tie, s.descending))
+            out = out.withColumn(s.out, F.row_number().over(w))
+        return out
     spark = df.sparkSession
     target = bucket_rows or conf_int(spark, RANK_BUCKET_ROWS_KEY, DEFAULT_BUCKET_ROWS)
 
-    stats = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
+    stats = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n")).persist()
     large = (stats.filter(F.col("__n") > target)
              .limit(MAX_LARGE_GROUPS).collect())
 
@@ -100,6 +114,13 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] |
     return out
 
 
+def _guarded(parts: list[str], c: Column) -> Column:
+    cond = None
+    for k in parts:
+        cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
+    return c if cond is None else F.when(cond, c)
+
+
 def _attach_count(df: DataFrame, stats: DataFrame, parts: list[str], count_col: str,
                   small: bool) -> DataFrame:
     st = stats.select(*[F.col(k).alias("__s_" + k) for k in parts],

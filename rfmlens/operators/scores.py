@@ -66,7 +66,8 @@ def share(df: DataFrame, group_by: Sequence[str], num: str, out: str, digits: in
           den: str | None = None) -> DataFrame:
     """Num / sum(den) over the group, rounded; NULL key -> NULL share."""
     den = den or num
-    d = attach_group(df, group_by, {"__tot": F.sum(den)})
+    # Exact (order independent) total: the terms are rounded scores.
+    d = attach_group(df, group_by, {"__tot": F.sum(F.col(den).cast("decimal(28,10)"))})
     return d.withColumn(out, round_half_up(safe_div(num, "__tot"), digits)).drop("__tot")
 
 

@@ -438,3 +438,115 @@ SELECT c.user_id, c.user_country_id, c.user_country_name, c.user_region_name, c.
        r.region_rfm_rnk, r.region_rfm_rnk_percentage, {lvl5('r.region_rfm_rnk_percentage')} AS region_level
 FROM v_ul_country c JOIN v_ul_region r
   ON c.user_id = r.user_id AND c.user_country_id = r.user_country_id AND c.is_user_vip = r.is_user_vip""")
+
+# ==========================================================================
+# Preference stage (country and region grains)
+# ==========================================================================
+BAND = "BETWEEN 0.1::DOUBLE AND 0.6::DOUBLE"
+BASE_COLS = ("b.user_id, b.user_country_id, b.user_country_name, {region} AS user_region_name, "
+             "b.is_user_vip, b.streamer_id, b.streamer_country_id, b.streamer_country_name, "
+             "b.frequency, b.call_total_length, b.gold_coin_amount, b.recency_call_interval")
+
+view("v_cp_band", f"""
+SELECT {BASE_COLS.format(region='b.user_region_name')}
+FROM v_call_base b
+JOIN (SELECT user_id, user_country_id, user_country_name, is_user_vip FROM v_uq_level
+      WHERE rfm_rnk_percentage {BAND}) u
+  ON b.user_id = u.user_id AND b.user_country_id = u.user_country_id
+ AND b.user_country_name = u.user_country_name AND b.is_user_vip = u.is_user_vip
+JOIN (SELECT streamer_id, streamer_country_id, streamer_country_name FROM v_streamer_level
+      WHERE rfm_rnk_percentage {BAND}) s
+  ON b.streamer_id = s.streamer_id AND b.streamer_country_id = s.streamer_country_id
+ AND b.streamer_country_name = s.streamer_country_name""")
+
+view("v_rp_band", f"""
+SELECT {BASE_COLS.format(region='u.user_region_name')}
+FROM v_call_base b
+LEFT JOIN (SELECT user_id, user_region_name, is_user_vip FROM v_ul_region
+           WHERE region_rfm_rnk_percentage {BAND}
+           GROUP BY user_id, user_region_name, is_user_vip) u
+  ON b.user_id = u.user_id AND b.user_region_name = u.user_region_name AND b.is_user_vip = u.is_user_vip""")
+
+BASE_OUT = ("user_id, user_country_id, user_country_name, user_region_name, is_user_vip, streamer_id, "
+            "streamer_country_id, streamer_country_name, frequency, "
+            "CAST(call_total_length AS DOUBLE) AS call_total_length, "
+            "CAST(gold_coin_amount AS DOUBLE) AS gold_coin_amount, recency_call_interval")
+query("mid_band_pairs_country", f"SELECT {BASE_OUT} FROM v_cp_band")
+query("mid_band_pairs_region", f"SELECT {BASE_OUT} FROM v_rp_band")
+
+
+def _pref_views(p: str, band: str, group: list[str], minmax_by: list[str]) -> None:
+    pair = group + ["streamer_country_id", "streamer_country_name"]
+    keys = ", ".join(pair)
+    tie_cols = [c for c in pair if c != "is_user_vip"]
+    tie_asc = ", ".join(f"{c} ASC NULLS FIRST" for c in tie_cols)
+    tie_desc = ", ".join(f"{c} DESC NULLS LAST" for c in tie_cols)
+    view(f"v_{p}_values", f"""
+SELECT {keys}, CAST(SUM(COALESCE(frequency, 0)) AS BIGINT) AS frequency,
+       SUM(COALESCE(gold_coin_amount, 0)) AS monetary, SUM(COALESCE(call_total_length, 0)) AS monetary1,
+       CAST(MIN(COALESCE(recency_call_interval, 999)) AS BIGINT) AS recency
+FROM {band} GROUP BY {keys}""")
+    rk = []
+    for m in ("frequency", "monetary", "monetary1"):
+        rk.append(f"ROW_NUMBER() OVER (PARTITION BY is_user_vip ORDER BY {m} DESC, {tie_asc}) AS {m}_rnk")
+        rk.append(f"ROW_NUMBER() OVER (PARTITION BY is_user_vip ORDER BY {m} ASC, {tie_desc}) AS {m}_score")
+    rk.append(f"ROW_NUMBER() OVER (PARTITION BY is_user_vip ORDER BY recency ASC, {tie_asc}) AS recency_rnk")
+    rk.append(f"ROW_NUMBER() OVER (PARTITION BY is_user_vip ORDER BY recency DESC, {tie_desc}) AS recency_score")
+    view(f"v_{p}_ranks", f"SELECT *, {', '.join(rk)} FROM v_{p}_values")
+    view(f"v_{p}_comb", f"""
+SELECT *, CAST(3*frequency_score + 2*monetary_score + 2*monetary1_score + 3*recency_score AS DOUBLE)
+          / 10.0::DOUBLE AS rfm_combination_score FROM v_{p}_ranks""")
+    mk = ", ".join(minmax_by)
+    on = " AND ".join(f"c.{k} = m.{k}" for k in minmax_by)
+    view(f"v_{p}_scaled", f"""
+SELECT c.*, {scale15('c.rfm_combination_score', 'm.mn', 'm.mx', None)} AS rfm_score
+FROM v_{p}_comb c LEFT JOIN (SELECT {mk}, MIN(rfm_combination_score) AS mn,
+                                    MAX(rfm_combination_score) AS mx FROM v_{p}_comb GROUP BY {mk}) m
+  ON {on}""")
+    view(f"v_{p}_rank", f"""
+SELECT *, ROW_NUMBER() OVER (ORDER BY rfm_combination_score DESC, is_user_vip ASC, {tie_asc}) AS rfm_rnk
+FROM v_{p}_scaled""")
+    view(f"v_{p}_pref", f"""
+SELECT r.*, {rnd(div('r.rfm_rnk', 'm.mx'), 5)} AS rfm_rnk_percentage, r.rfm_score AS preference
+FROM v_{p}_rank r
+LEFT JOIN (SELECT is_user_vip, MAX(rfm_rnk) AS mx FROM v_{p}_rank GROUP BY is_user_vip) m
+  ON r.is_user_vip = m.is_user_vip""")
+    gk = ", ".join(group)
+    view(f"v_{p}_grid", f"""
+SELECT u.*, s.* FROM (SELECT DISTINCT {gk} FROM v_call_base) u
+CROSS JOIN (SELECT DISTINCT streamer_country_id, streamer_country_name FROM v_call_base) s""")
+    jon = " AND ".join(f"g.{k} = p.{k}" for k in pair)
+    view(f"v_{p}_filled", f"""
+SELECT g.*, COALESCE(p.preference, 0.5::DOUBLE) AS preference
+FROM v_{p}_grid g LEFT JOIN v_{p}_pref p ON {jon}""")
+    gon = " AND ".join(f"f.{k} = t.{k}" for k in group)
+    view(f"v_{p}_dist", f"""
+SELECT f.*, {rnd(div('f.preference', 't.tot'), 5)} AS percentage
+FROM v_{p}_filled f LEFT JOIN (SELECT {gk}, SUM(CAST(preference AS DECIMAL(28,10))) AS tot
+                               FROM v_{p}_filled GROUP BY {gk}) t ON {gon}""")
+    vals = (f"{keys}, frequency, CAST(monetary AS DOUBLE) AS monetary, "
+            f"CAST(monetary1 AS DOUBLE) AS monetary1, recency")
+    query(f"rfm_values_{'country' if p == 'cp' else 'region'}", f"SELECT {vals} FROM v_{p}_values")
+    sfx = "country" if p == "cp" else "region"
+    query(f"group_rank_{sfx}", f"""SELECT {keys}, frequency_rnk, frequency_score, monetary_rnk,
+       monetary_score, monetary1_rnk, monetary1_score, recency_rnk, recency_score FROM v_{p}_ranks""")
+    query(f"preference_{sfx}", f"SELECT {keys}, rfm_combination_score, rfm_score FROM v_{p}_scaled")
+    query(f"pair_rank_{sfx}", f"""SELECT {keys}, rfm_combination_score, rfm_rnk, rfm_rnk_percentage,
+       preference FROM v_{p}_pref""")
+    query(f"pair_grid_{sfx}", f"SELECT * FROM v_{p}_grid")
+    query(f"grid_fill_{sfx}", f"SELECT * FROM v_{p}_filled")
+    query(f"share_{sfx}", f"SELECT * FROM v_{p}_dist")
+    query(f"job_{sfx}_preference", f"SELECT * FROM v_{p}_dist")
+
+
+_pref_views("cp", "v_cp_band", ["user_country_id", "user_country_name", "is_user_vip"],
+            ["user_country_name"])
+_pref_views("rp", "v_rp_band", ["user_region_name", "is_user_vip"], ["is_user_vip"])
+
+query("minmax_group", """SELECT user_country_name, MAX(rfm_combination_score) AS rfm_combination_score_max,
+       MIN(rfm_combination_score) AS rfm_combination_score_min FROM v_cp_comb GROUP BY user_country_name""")
+query("recall_by_level", f"""
+SELECT d.user_country_id, d.user_country_name, d.is_user_vip, d.streamer_country_id, d.streamer_country_name,
+       l.level, {rnd('d.percentage * l.percentage', 2)} AS percentage
+FROM v_cp_dist d LEFT JOIN v_level_distribution l
+  ON d.streamer_country_id = l.streamer_country_id AND d.streamer_country_name = l.streamer_country_name""")

@@ -319,3 +319,172 @@ def q_rank_percentage_region(t: Tables):
 def q_job_user_level(t: Tables):
     """Total score -> levels per region-country and per region."""
     return U.user_level(t.calls, t.country_region, RUN_DATE)
+
+
+# ---- preference stage (country and region grains) ------------------------------
+from . import preference as P  # noqa: E402
+
+
+def _pref_inputs(t: Tables):
+    base = S.streamer_call_base(t.calls, t.country_region, RUN_DATE)
+    return base.persist()
+
+
+def _country_selected(t: Tables, base):
+    users = U.quintile_level(t.calls, RUN_DATE)
+    streamers = S.country_level(S.streamer_scores(base, t.streamer_weight))
+    return P.select_band(base, users, streamers)
+
+
+def _region_selected(t: Tables, base):
+    lv = U.region_levels(U.total_score(t.calls, t.country_region, RUN_DATE)).select(
+        "user_id", "user_region_name", "is_user_vip",
+        F.col("region_rfm_rnk_percentage").alias("rfm_rnk_percentage"))
+    return P.label_band(base, lv)
+
+
+def _chain(t: Tables, grain: str):
+    base = _pref_inputs(t)
+    if grain == "country":
+        return P.preference_chain(base, _country_selected(t, base), P.COUNTRY)
+    return P.preference_chain(base, _region_selected(t, base), P.REGION)
+
+
+@register("mid_band_pairs_country")
+def q_mid_band_pairs_country(t: Tables):
+    """Call-base rows whose user and streamer are in the 0.1-0.6 band."""
+    base = _pref_inputs(t)
+    return _country_selected(t, base)
+
+
+@register("mid_band_pairs_region")
+def q_mid_band_pairs_region(t: Tables):
+    """Call-base rows labelled with the band region (NULL outside)."""
+    base = _pref_inputs(t)
+    return _region_selected(t, base)
+
+
+@register("rfm_values_country")
+def q_rfm_values_country(t: Tables):
+    """RFM values per (user country, vip, streamer country)."""
+    return _chain(t, "country")["values"]
+
+
+@register("rfm_values_region")
+def q_rfm_values_region(t: Tables):
+    """RFM values per (user region, vip, streamer country)."""
+    return _chain(t, "region")["values"]
+
+
+_PAIR_RANK_COLS = ["frequency_rnk", "frequency_score", "monetary_rnk", "monetary_score",
+                   "monetary1_rnk", "monetary1_score", "recency_rnk", "recency_score"]
+
+
+@register("group_rank_country")
+def q_group_rank_country(t: Tables):
+    """RFM ranks and scores inside the vip class (country pairs)."""
+    s = _chain(t, "country")["scores"]
+    return s.select(*P.COUNTRY.pair, *_PAIR_RANK_COLS)
+
+
+@register("group_rank_region")
+def q_group_rank_region(t: Tables):
+    """RFM ranks and scores inside the vip class (region pairs)."""
+    s = _chain(t, "region")["scores"]
+    return s.select(*P.REGION.pair, *_PAIR_RANK_COLS)
+
+
+@register("minmax_group")
+def q_minmax_group(t: Tables):
+    """Min / max of the pair blend per user country."""
+    s = _chain(t, "country")["scores"]
+    return s.groupBy("user_country_name").agg(
+        F.max("rfm_combination_score").alias("rfm_combination_score_max"),
+        F.min("rfm_combination_score").alias("rfm_combination_score_min"))
+
+
+@register("preference_country")
+def q_preference_country(t: Tables):
+    """unguarded 1-5 scale per user country (NULL when max = min)."""
+    s = _chain(t, "country")["scores"]
+    return s.select(*P.COUNTRY.pair, "rfm_combination_score", "rfm_score")
+
+
+@register("preference_region")
+def q_preference_region(t: Tables):
+    """unguarded 1-5 scale per vip class (region pairs)."""
+    s = _chain(t, "region")["scores"]
+    return s.select(*P.REGION.pair, "rfm_combination_score", "rfm_score")
+
+
+@register("pair_rank_country")
+def q_pair_rank_country(t: Tables):
+    """Global pair rank, percentage of the vip class's max rank."""
+    p = _chain(t, "country")["preference"]
+    return p.select(*P.COUNTRY.pair, "rfm_combination_score", "rfm_rnk", "rfm_rnk_percentage",
+                    "preference")
+
+
+@register("pair_rank_region")
+def q_pair_rank_region(t: Tables):
+    """Global pair rank (region pairs)."""
+    p = _chain(t, "region")["preference"]
+    return p.select(*P.REGION.pair, "rfm_combination_score", "rfm_rnk", "rfm_rnk_percentage",
+                    "preference")
+
+
+@register("pair_grid_country")
+def q_pair_grid_country(t: Tables):
+    """(user country, vip) x streamer country."""
+    return _chain(t, "country")["grid"]
+
+
+@register("pair_grid_region")
+def q_pair_grid_region(t: Tables):
+    """(user region, vip) x streamer country."""
+    return _chain(t, "region")["grid"]
+
+
+@register("grid_fill_country")
+def q_grid_fill_country(t: Tables):
+    """Grid with preference, default 0.5."""
+    return _chain(t, "country")["filled"]
+
+
+@register("grid_fill_region")
+def q_grid_fill_region(t: Tables):
+    """Grid with preference, default 0.5 (region)."""
+    return _chain(t, "region")["filled"]
+
+
+@register("share_country")
+def q_share_country(t: Tables):
+    """preference share per (user country, vip)."""
+    return _chain(t, "country")["distribution"]
+
+
+@register("share_region")
+def q_share_region(t: Tables):
+    """preference share per (user region, vip)."""
+    return _chain(t, "region")["distribution"]
+
+
+@register("job_country_preference")
+def q_job_country_preference(t: Tables):
+    """Band -> pair RFM -> preference -> grid -> shares (country)."""
+    return _chain(t, "country")["distribution"]
+
+
+@register("job_region_preference")
+def q_job_region_preference(t: Tables):
+    """Band label -> pair RFM -> preference -> grid -> shares (region)."""
+    return _chain(t, "region")["distribution"]
+
+
+@register("recall_by_level")
+def q_recall_by_level(t: Tables):
+    """Pair share x streamer level share, one row per level."""
+    dist = _chain(t, "country")["distribution"]
+    mix = S.level_distribution(S.streamer_level(t.calls, t.country_region, t.streamer_weight,
+                                                RUN_DATE))
+    return P.recall_by_level(dist, mix)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import level3, round_half_up
 from ..operators.aggregates import avg_daily_active, call_base, count_distinct_by, rfm_values
-from ..operators.joins import broadcast_if_small, left_fill, lookup
+from ..operators.joins import left_fill, lookup
 from ..operators.ranking import RankSpec, rank_columns, score_from_rank
 from ..operators.scores import (RFM_WEIGHTS, STREAMER_FLAT_DIVISOR, minmax_scale, rank_pct,
                                 tenths_blend)
@@ -35,7 +35,7 @@ def streamer_call_base(calls: DataFrame, country_region: DataFrame, run_date: st
 
 
 def rfm_ranks(values: DataFrame, tie: str | list[str], partition_by=(),
-              metrics=("frequency", "monetary", "monetary1")) -> DataFrame:
+              metrics=("frequency", "monetary", "monetary1"), bounded: bool = False) -> DataFrame:
     """Rank (1 = best) and score (N = best) for each RFM term.
 
     Frequency and monetary terms rank descending, recency ascending; the
@@ -43,7 +43,7 @@ def rfm_ranks(values: DataFrame, tie: str | list[str], partition_by=(),
     """
     specs = [RankSpec(m, f"{m}_rnk", True) for m in metrics]
     specs.append(RankSpec("recency", "recency_rnk", False))
-    d = rank_columns(values, specs, tie, partition_by, count_col="__n")
+    d = rank_columns(values, specs, tie, partition_by, count_col="__n", bounded=bounded)
     for s in specs:
         base = s.out[:-4]
         d = (d.withColumn(s.out, F.col(s.out).cast("bigint"))
@@ -80,8 +80,10 @@ def apply_weight(scored: DataFrame, weights: DataFrame) -> DataFrame:
 def streamer_scores(base: DataFrame, weights: DataFrame | None) -> DataFrame:
     """Streamer RFM values, global ranks, blend, 1-5 scale, weight."""
     values = streamer_values(base).persist(StorageLevel.MEMORY_AND_DISK)
-    d = scale_global(combine_scores(rfm_ranks(values, "streamer_id")))
-    return apply_weight(d, weights) if weights is not None else d
+    d = combine_scores(rfm_ranks(values, "streamer_id")).persist(StorageLevel.MEMORY_AND_DISK)
+    d = scale_global(d)
+    d = apply_weight(d, weights) if weights is not None else d
+    return d.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def country_level(scores: DataFrame, partition_by=STREAMER_COUNTRY, tie="streamer_id",
@@ -120,7 +122,7 @@ def level_distribution(detail: DataFrame) -> DataFrame:
     per_level = count_distinct_by(detail, STREAMER_COUNTRY + ["level"], "streamer_id",
                                   "streamer_amount")
     total = count_distinct_by(detail, STREAMER_COUNTRY, "streamer_id", "streamer_amount_total")
-    d = per_level.join(broadcast_if_small(total), STREAMER_COUNTRY, "left")
+    d = per_level.join(total, STREAMER_COUNTRY, "left")
     return d.select(*STREAMER_COUNTRY, "level", "streamer_amount", "streamer_amount_total",
                     rank_pct("streamer_amount", "streamer_amount_total", 2).alias("percentage"))
 

@@ -39,7 +39,7 @@ def quintile_scores(base: DataFrame) -> DataFrame:
              .withColumn(f"{m}_score", quintile(safe_div(f"{m}_rnk", "__n"))))
     d = d.withColumn("rfm_score", tenths_blend(
         {f"{m}_score": w for m, w in QUINTILE_WEIGHTS.items()}))
-    return d.drop("__n")
+    return d.drop("__n").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def quintile_level(calls: DataFrame, run_date: str) -> DataFrame:
@@ -84,7 +84,7 @@ TOTAL_COLS = [*USER_KEYS[:3], "user_region_name", "is_user_vip", "frequency", "m
 def total_score(calls: DataFrame, country_region: DataFrame, run_date: str) -> DataFrame:
     """User total RFM score on 1-5 with the user's region."""
     v = total_values(user_call_base(calls, run_date)).persist(StorageLevel.MEMORY_AND_DISK)
-    d = combine_ranks(total_ranks(v))
+    d = combine_ranks(total_ranks(v)).persist(StorageLevel.MEMORY_AND_DISK)
     d = minmax_scale(d, "rfm_combination_score", "rfm_score", 1, 5,
                      flat_divisor=USER_FLAT_DIVISOR)
     d = lookup(d, country_region, "user_country_name", "country_name_en",
@@ -100,6 +100,7 @@ def region_levels(score: DataFrame) -> DataFrame:
     d = d.withColumn("rfm_rnk", F.col("rfm_rnk").cast("bigint"))
     d = d.withColumn("rfm_rnk_percentage", rank_pct("rfm_rnk", "rfm_rnk_max", 6))
     d = d.withColumn("level", level3("rfm_rnk_percentage")).drop("rfm_rnk_max")
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
     r = rank_columns(d, [RankSpec("rfm_score", "region_rfm_rnk", True)], "user_id",
                      ["user_region_name"], count_col="__rmax")
     r = r.withColumn("region_rfm_rnk", F.col("region_rfm_rnk").cast("bigint"))
