@@ -550,3 +550,227 @@ SELECT d.user_country_id, d.user_country_name, d.is_user_vip, d.streamer_country
        l.level, {rnd('d.percentage * l.percentage', 2)} AS percentage
 FROM v_cp_dist d LEFT JOIN v_level_distribution l
   ON d.streamer_country_id = l.streamer_country_id AND d.streamer_country_name = l.streamer_country_name""")
+
+# ==========================================================================
+# Recall stage (country and region grains)
+# ==========================================================================
+ROW_GOLD, REGION_GOLD = 2000000, 25000000
+COUNTERS = ["user_cnt", "both_play_times", "both_call_times", "both_request_times",
+            "both_success_times", "hotvideo_play_times", "hotvideo_call_times",
+            "hotvideo_request_times", "hotvideo_success_times", "friend_call_users",
+            "friend_call_times", "friend_video_users", "friend_video_times", "total_video_duration"]
+CNT = ", ".join(COUNTERS)
+CNT_OUT = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == "total_video_duration" else c
+                    for c in COUNTERS)
+RATES = f"""{rnd(div('both_success_times', 'both_play_times'), 3)} AS success_rate_both,
+       {rnd(div('hotvideo_success_times', 'hotvideo_play_times'), 3)} AS success_rate_hotvideo,
+       COALESCE({rnd(div('both_success_times * total_video_duration',
+                         'both_play_times * friend_video_times'), 3)}, 0.0::DOUBLE) AS raw_score"""
+AB_NAME = "(SELECT DISTINCT country_ab, country_name_en FROM v_country_region)"
+
+view("v_ca_act", f"""
+SELECT a.user_country_name, a.user_region_name, a.if_vip, c.country_name_en AS streamer_country_name,
+       a.streamer_country_name_ab, a.streamer_region_name, {', '.join('a.' + c for c in COUNTERS)},
+       a.avg_video_duration, a.success_rate_both, a.success_rate_hotvideo, a.raw_score
+FROM (SELECT country_name_en AS user_country_name, region_name AS user_region_name, if_vip,
+             streamer_country AS streamer_country_name_ab, streamer_region AS streamer_region_name,
+             {CNT}, avg_video_duration, {RATES}
+      FROM v_country_preference_pre) a
+LEFT JOIN {AB_NAME} c ON a.streamer_country_name_ab = c.country_ab""")
+
+view("v_ra_roll", f"""
+SELECT region_name AS user_region_name, if_vip, streamer_country AS streamer_country_name_ab,
+       streamer_region AS streamer_region_name,
+       {', '.join(f'CAST(SUM({c}) AS BIGINT) AS {c}' if c != 'total_video_duration'
+                  else f'SUM({c}) AS {c}' for c in COUNTERS)},
+       {rnd('AVG(avg_video_duration)', 6)} AS avg_video_duration
+FROM v_country_preference_pre GROUP BY region_name, if_vip, streamer_country, streamer_region""")
+
+view("v_ra_act", f"""
+SELECT a.user_region_name, a.if_vip, c.country_name_en AS streamer_country_name,
+       a.streamer_country_name_ab, a.streamer_region_name, {', '.join('a.' + c for c in COUNTERS)},
+       a.avg_video_duration, a.success_rate_both, a.success_rate_hotvideo, a.raw_score
+FROM (SELECT *, {RATES} FROM v_ra_roll) a
+LEFT JOIN {AB_NAME} c ON a.streamer_country_name_ab = c.country_ab""")
+
+ACT_OUT = (f"if_vip, streamer_country_name, streamer_country_name_ab, streamer_region_name, {CNT_OUT}, "
+           "avg_video_duration, success_rate_both, success_rate_hotvideo, raw_score")
+query("activity_score_country", f"SELECT user_country_name, user_region_name, {ACT_OUT} FROM v_ca_act")
+query("activity_score_region", f"SELECT user_region_name, {ACT_OUT} FROM v_ra_act")
+query("activity_region", f"""SELECT user_region_name, if_vip, streamer_country_name_ab, streamer_region_name,
+       {CNT_OUT}, avg_video_duration FROM v_ra_roll""")
+
+
+def _behaviour_views(p: str, act: str, user: str) -> None:
+    view(f"v_{p}_brank", f"""
+SELECT *, ROW_NUMBER() OVER (PARTITION BY {user}, if_vip ORDER BY raw_score DESC,
+                             streamer_country_name_ab ASC) AS hotvideo_rnk,
+          ROW_NUMBER() OVER (PARTITION BY {user}, if_vip ORDER BY raw_score ASC,
+                             streamer_country_name_ab DESC) AS hotvideo_combination_score
+FROM {act}""")
+    view(f"v_{p}_behav", f"""
+SELECT r.*, {scale15('r.hotvideo_combination_score', 'm.cmn', 'm.cmx', None)} AS hotvideo_rank_score_norm,
+       {scale15('r.raw_score', 'm.rmn', 'm.rmx', None)} AS hotvideo_raw_score_norm
+FROM v_{p}_brank r
+LEFT JOIN (SELECT {user}, MIN(hotvideo_combination_score) AS cmn, MAX(hotvideo_combination_score) AS cmx,
+                  MIN(raw_score) AS rmn, MAX(raw_score) AS rmx FROM v_{p}_brank GROUP BY {user}) m
+  ON r.{user} = m.{user}""")
+
+
+_behaviour_views("cb", "v_ca_act", "user_country_name")
+_behaviour_views("rb", "v_ra_act", "user_region_name")
+BEH = ("if_vip, streamer_country_name, streamer_country_name_ab, raw_score, hotvideo_rnk, "
+       "hotvideo_combination_score, hotvideo_rank_score_norm")
+query("behaviour_score_country", f"""SELECT user_country_name, {BEH}, hotvideo_raw_score_norm,
+       hotvideo_raw_score_norm AS hotvideo_score FROM v_cb_behav""")
+query("behaviour_score_region", f"""SELECT user_region_name, {BEH},
+       hotvideo_rank_score_norm AS hotvideo_score FROM v_rb_behav""")
+
+
+def blends(rfm: str, beh: str) -> str:
+    return ", ".join(f"{rnd(f'({w} * {rfm} + {10 - w} * {beh}) / 10.0::DOUBLE', 2)} AS final_score{i}"
+                     for i, w in enumerate((3, 2, 1), start=1))
+
+
+view("v_ci", f"""
+SELECT p.user_country_id, p.user_country_name, b.user_region_name, p.if_vip, p.streamer_country_id,
+       p.streamer_country_name, b.streamer_country_name_ab, b.streamer_region_name,
+       {blends('p.preference', 'b.hotvideo_raw_score_norm')},
+       p.preference AS rfm_score, b.hotvideo_raw_score_norm AS hotvideo_score,
+       b.raw_score AS raw_hotvideo_score, b.success_rate_hotvideo, b.success_rate_both,
+       {', '.join('b.' + c for c in COUNTERS)}, b.avg_video_duration
+FROM (SELECT DISTINCT user_country_id, user_country_name, streamer_country_id, streamer_country_name,
+             CASE WHEN is_user_vip = '1' THEN 'vip' ELSE 'free' END AS if_vip, preference
+      FROM v_cp_pref) p
+LEFT JOIN v_cb_behav b ON p.user_country_name = b.user_country_name AND p.if_vip = b.if_vip
+ AND p.streamer_country_name = b.streamer_country_name""")
+
+view("v_ri", f"""
+SELECT p.user_region_name, p.if_vip, p.streamer_country_id, p.streamer_country_name,
+       b.streamer_country_name_ab, b.streamer_region_name,
+       {blends('p.preference', 'b.hotvideo_rank_score_norm')},
+       p.preference AS rfm_score, b.hotvideo_rank_score_norm AS hotvideo_score,
+       b.raw_score AS raw_hotvideo_score, b.success_rate_hotvideo
+FROM (SELECT DISTINCT user_region_name, streamer_country_id, streamer_country_name,
+             CASE WHEN is_user_vip = '1' THEN 'vip' ELSE 'free' END AS if_vip, preference
+      FROM v_rp_pref) p
+LEFT JOIN v_rb_behav b ON p.user_region_name = b.user_region_name AND p.if_vip = b.if_vip
+ AND p.streamer_country_name = b.streamer_country_name""")
+
+INTEG_TAIL = ("if_vip, streamer_country_id, streamer_country_name, streamer_country_name_ab, "
+              "streamer_region_name, final_score1, final_score2, final_score3, rfm_score, hotvideo_score, "
+              "raw_hotvideo_score")
+query("blend_country", f"""SELECT user_country_id, user_country_name, user_region_name, {INTEG_TAIL},
+       success_rate_hotvideo FROM v_ci""")
+query("blend_region", f"SELECT user_region_name, {INTEG_TAIL}, success_rate_hotvideo FROM v_ri")
+
+view("v_c_allow", f"""
+SELECT DISTINCT a.user_country_name, c.country_name_en AS streamer_country_name
+FROM (SELECT DISTINCT country_name_en AS user_country_name, streamer_country FROM v_country_preference_pre
+      WHERE friend_total_gold >= {ROW_GOLD}) a
+LEFT JOIN {AB_NAME} c ON a.streamer_country = c.country_ab""")
+view("v_r_allow_row", f"""
+SELECT DISTINCT a.user_region_name, c.country_name_en AS streamer_country_name
+FROM (SELECT DISTINCT region_name AS user_region_name, streamer_country FROM v_country_preference_pre
+      WHERE friend_total_gold >= {ROW_GOLD}) a
+LEFT JOIN {AB_NAME} c ON a.streamer_country = c.country_ab""")
+view("v_r_allow_sum", f"""
+SELECT DISTINCT a.user_region_name, c.country_name_en AS streamer_country_name
+FROM (SELECT region_name AS user_region_name, streamer_country FROM v_country_preference_pre
+      GROUP BY region_name, streamer_country HAVING SUM(friend_total_gold) >= {REGION_GOLD}) a
+LEFT JOIN {AB_NAME} c ON a.streamer_country = c.country_ab""")
+query("allow_pairs_country", "SELECT * FROM v_c_allow")
+query("allow_pairs_region", "SELECT * FROM v_r_allow_sum")
+
+FILL = ", ".join(
+    f"COALESCE({c}, 0) AS {c}" if c != "total_video_duration"
+    else f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in COUNTERS)
+query("allow_filter_country", f"""
+SELECT user_country_id, user_country_name, user_region_name, {INTEG_TAIL}, {FILL},
+       COALESCE(avg_video_duration, 0.0::DOUBLE) AS avg_video_duration,
+       COALESCE(success_rate_both, 0.0::DOUBLE) AS success_rate_both,
+       COALESCE(success_rate_hotvideo, 0.0::DOUBLE) AS success_rate_hotvideo
+FROM v_ci i WHERE EXISTS (SELECT 1 FROM v_c_allow a WHERE a.user_country_name = i.user_country_name
+                                                      AND a.streamer_country_name = i.streamer_country_name)""")
+query("allow_filter_region", f"""
+SELECT user_region_name, {INTEG_TAIL}, success_rate_hotvideo
+FROM v_ri i WHERE EXISTS (SELECT 1 FROM v_r_allow_row a WHERE a.user_region_name = i.user_region_name
+                                                          AND a.streamer_country_name = i.streamer_country_name)""")
+
+STREAMERS = "(SELECT DISTINCT streamer_country_id, streamer_country_name FROM v_call_base)"
+NAME_ID = "(SELECT DISTINCT country_id, country_name_en FROM v_country_region)"
+view("v_cg", f"""
+SELECT g.user_country_id, g.user_country_name, g.is_user_vip, g.streamer_country_name,
+       COALESCE(i.final_score1, 0.5::DOUBLE) AS preference,
+       COALESCE(i.raw_hotvideo_score, 0.1::DOUBLE) AS preference_rule
+FROM (SELECT u.*, s.* FROM (SELECT DISTINCT user_country_id, user_country_name, is_user_vip FROM v_call_base) u
+      CROSS JOIN {STREAMERS} s) g
+LEFT JOIN v_ci i ON g.user_country_name = i.user_country_name
+ AND g.is_user_vip = CASE WHEN i.if_vip = 'vip' THEN '1' ELSE '0' END
+ AND g.streamer_country_name = i.streamer_country_name""")
+view("v_cd", f"""
+SELECT g.user_country_id, g.user_country_name, g.is_user_vip, c.country_id AS streamer_country_id,
+       g.streamer_country_name, g.preference, {rnd(div('g.preference', 't.tot'), 5)} AS percentage,
+       g.preference_rule, {rnd(div('g.preference_rule', 't.tot'), 5)} AS percentage_rule
+FROM v_cg g
+LEFT JOIN (SELECT user_country_id, user_country_name, is_user_vip,
+                  SUM(CAST(preference AS DECIMAL(28,10))) AS tot
+           FROM v_cg GROUP BY user_country_id, user_country_name, is_user_vip) t
+  ON g.user_country_id = t.user_country_id AND g.user_country_name = t.user_country_name
+ AND g.is_user_vip = t.is_user_vip
+LEFT JOIN {NAME_ID} c ON g.streamer_country_name = c.country_name_en""")
+query("share_country_rule", "SELECT * FROM v_cd")
+
+view("v_rg", f"""
+SELECT g.user_region_id, g.user_region_name, g.is_user_vip, g.streamer_country_name,
+       COALESCE(i.final_score1, 0.5::DOUBLE) AS preference
+FROM (SELECT u.*, s.* FROM (SELECT x.user_region_name, x.is_user_vip, r.region_id AS user_region_id
+                            FROM (SELECT DISTINCT user_region_name, is_user_vip FROM v_call_base) x
+                            LEFT JOIN (SELECT DISTINCT region_name, region_id FROM v_country_region) r
+                              ON x.user_region_name = r.region_name) u
+      CROSS JOIN {STREAMERS} s) g
+LEFT JOIN v_ri i ON g.user_region_name = i.user_region_name
+ AND g.is_user_vip = CASE WHEN i.if_vip = 'vip' THEN '1' ELSE '0' END
+ AND g.streamer_country_name = i.streamer_country_name""")
+view("v_rd", f"""
+SELECT g.user_region_id, g.user_region_name, g.is_user_vip, c.country_id AS streamer_country_id,
+       g.streamer_country_name, g.preference, {rnd(div('g.preference', 't.tot'), 5)} AS percentage
+FROM v_rg g
+LEFT JOIN (SELECT user_region_id, user_region_name, is_user_vip, SUM(CAST(preference AS DECIMAL(28,10))) AS tot
+           FROM v_rg GROUP BY user_region_id, user_region_name, is_user_vip) t
+  ON g.user_region_id = t.user_region_id AND g.user_region_name = t.user_region_name
+ AND g.is_user_vip = t.is_user_vip
+LEFT JOIN {NAME_ID} c ON g.streamer_country_name = c.country_name_en""")
+query("share_region_blend", "SELECT * FROM v_rd")
+
+
+def _top_views(p: str, dist: str, allow: str, keys: list[str], user: str, by: str) -> None:
+    ks = ", ".join(keys)
+    view(f"v_{p}_top", f"""
+SELECT {ks}, streamer_country_id, streamer_country_name, preference FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY {user}, is_user_vip ORDER BY preference DESC,
+            streamer_country_name ASC NULLS FIRST, streamer_country_id ASC NULLS FIRST) AS rnk
+  FROM (SELECT DISTINCT {ks}, streamer_country_id, streamer_country_name, {by} AS preference
+        FROM {dist} d WHERE EXISTS (SELECT 1 FROM {allow} a WHERE a.{user} = d.{user}
+                                     AND a.streamer_country_name = d.streamer_country_name)) f) r
+WHERE rnk <= 3""")
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    view(f"v_{p}_share", f"""
+SELECT t.*, {rnd(div('t.preference', 's.tot'), 3)} AS percentage
+FROM v_{p}_top t LEFT JOIN (SELECT {ks}, SUM(CAST(preference AS DECIMAL(28,10))) AS tot
+                            FROM v_{p}_top GROUP BY {ks}) s ON {on}""")
+
+
+CK = ["user_country_id", "user_country_name", "is_user_vip"]
+RK = ["user_region_id", "user_region_name", "is_user_vip"]
+_top_views("ct", "v_cd", "v_c_allow", CK, "user_country_name", "preference")
+_top_views("ctr", "v_cd", "v_c_allow", CK, "user_country_name", "preference_rule")
+_top_views("rt", "v_rd", "v_r_allow_sum", RK, "user_region_name", "preference")
+query("top3_country", "SELECT * FROM v_ct_top")
+query("top3_country_rule", "SELECT * FROM v_ctr_top")
+query("top3_region", "SELECT * FROM v_rt_top")
+query("recall_share_country", "SELECT * FROM v_ct_share")
+query("recall_share_country_rule", "SELECT * FROM v_ctr_share")
+query("recall_share_region", "SELECT * FROM v_rt_share")
+query("job_country_recall", "SELECT * FROM v_ct_share")
+query("job_region_recall", "SELECT * FROM v_rt_share")

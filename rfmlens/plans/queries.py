@@ -488,3 +488,176 @@ def q_recall_by_level(t: Tables):
     mix = S.level_distribution(S.streamer_level(t.calls, t.country_region, t.streamer_weight,
                                                 RUN_DATE))
     return P.recall_by_level(dist, mix)
+
+
+# ---- recall stage (country and region grains) -------------------------------------
+from ..sources.fixtures import REGION_GOLD_THRESHOLD, ROW_GOLD_THRESHOLD  # noqa: E402
+from . import recall as R  # noqa: E402
+
+
+def _grain(name: str):
+    return R.COUNTRY if name == "country" else R.REGION
+
+
+def _activity(t: Tables, grain: str):
+    return R.activity(t.country_preference_pre, t.country_region, _grain(grain))
+
+
+def _behaviour(t: Tables, grain: str):
+    return R.behaviour(_activity(t, grain), _grain(grain))
+
+
+def _integration(t: Tables, grain: str):
+    pref = _chain(t, grain)["preference"]
+    return R.integrate(pref, _behaviour(t, grain), _grain(grain))
+
+
+def _allow(t: Tables, grain: str, summed: bool = False):
+    g = _grain(grain)
+    if summed:
+        return R.allow_pairs_sum(t.country_preference_pre, t.country_region, g,
+                                 REGION_GOLD_THRESHOLD)
+    return R.allow_pairs_row(t.country_preference_pre, t.country_region, g, ROW_GOLD_THRESHOLD)
+
+
+def _dist(t: Tables, grain: str):
+    g = _grain(grain)
+    base = _pref_inputs(t)
+    grid = R.blended_grid(base, _integration(t, grain), t.country_region, g)
+    return R.grid_shares(grid, t.country_region, g)
+
+
+@register("activity_score_country")
+def q_activity_score_country(t: Tables):
+    """Success rates and raw activity score per country pair."""
+    return _activity(t, "country")
+
+
+@register("activity_region")
+def q_activity_region(t: Tables):
+    """Activity counters rolled up to the user's region."""
+    return R.activity_region_rollup(t.country_preference_pre)
+
+
+@register("activity_score_region")
+def q_activity_score_region(t: Tables):
+    """F16 / F17 on the region roll-up."""
+    return _activity(t, "region")
+
+
+_BEHAV_COLS = ["if_vip", "streamer_country_name", "streamer_country_name_ab", "raw_score",
+               "hotvideo_rnk", "hotvideo_combination_score", "hotvideo_rank_score_norm",
+               "hotvideo_score"]
+
+
+@register("behaviour_score_country")
+def q_behaviour_score_country(t: Tables):
+    """Behaviour rank and raw-score based 1-5 score (country)."""
+    return _behaviour(t, "country").select("user_country_name", *_BEHAV_COLS,
+                                           "hotvideo_raw_score_norm")
+
+
+@register("behaviour_score_region")
+def q_behaviour_score_region(t: Tables):
+    """Behaviour rank and rank based 1-5 score (region)."""
+    return _behaviour(t, "region").select("user_region_name", *_BEHAV_COLS)
+
+
+@register("blend_country")
+def q_blend_country(t: Tables):
+    """RFM preference blended with the behaviour score (country)."""
+    return _integration(t, "country").select(*R.integration_cols(R.COUNTRY))
+
+
+@register("blend_region")
+def q_blend_region(t: Tables):
+    """RFM preference blended with the behaviour score (region)."""
+    return _integration(t, "region").select(*R.integration_cols(R.REGION))
+
+
+@register("allow_pairs_country")
+def q_allow_pairs_country(t: Tables):
+    """Pairs with a source row of enough coins (country)."""
+    return _allow(t, "country")
+
+
+@register("allow_pairs_region")
+def q_allow_pairs_region(t: Tables):
+    """Pairs whose region coin sum reaches the threshold."""
+    return _allow(t, "region", summed=True)
+
+
+@register("allow_filter_country")
+def q_allow_filter_country(t: Tables):
+    """Allow-listed integrated pairs, counters zero-filled."""
+    return R.allow_filter(_integration(t, "country"), _allow(t, "country"), R.COUNTRY)
+
+
+@register("allow_filter_region")
+def q_allow_filter_region(t: Tables):
+    """Allow-listed integrated region pairs (row threshold)."""
+    return R.allow_filter(_integration(t, "region"), _allow(t, "region"), R.REGION)
+
+
+@register("share_country_rule")
+def q_share_country_rule(t: Tables):
+    """Blended and rule preference shares on the full grid."""
+    return _dist(t, "country")
+
+
+@register("share_region_blend")
+def q_share_region_blend(t: Tables):
+    """blended preference shares on the full region grid."""
+    return _dist(t, "region")
+
+
+def _top(t: Tables, grain: str, by: str = "preference", summed: bool = False):
+    return R.recall_top(_dist(t, grain), _allow(t, grain, summed), _grain(grain), by)
+
+
+@register("top3_country")
+def q_top3_country(t: Tables):
+    """Three best allow-listed streamer countries per (country, vip)."""
+    return _top(t, "country").drop("percentage")
+
+
+@register("top3_country_rule")
+def q_top3_country_rule(t: Tables):
+    """Three best by the rule preference."""
+    return _top(t, "country", "preference_rule").drop("percentage")
+
+
+@register("top3_region")
+def q_top3_region(t: Tables):
+    """Three best allow-listed streamer countries per (region, vip)."""
+    return _top(t, "region", summed=True).drop("percentage")
+
+
+@register("recall_share_country")
+def q_recall_share_country(t: Tables):
+    """shares renormalised inside the top 3 (country)."""
+    return _top(t, "country")
+
+
+@register("recall_share_country_rule")
+def q_recall_share_country_rule(t: Tables):
+    """rule-preference shares inside the rule top 3."""
+    return _top(t, "country", "preference_rule")
+
+
+@register("recall_share_region")
+def q_recall_share_region(t: Tables):
+    """shares renormalised inside the top 3 (region)."""
+    return _top(t, "region", summed=True)
+
+
+@register("job_country_recall")
+def q_job_country_recall(t: Tables):
+    """Activity -> behaviour -> blend -> grid -> allow-list -> top 3 shares (country)."""
+    return _top(t, "country")
+
+
+@register("job_region_recall")
+def q_job_region_recall(t: Tables):
+    """Activity -> behaviour -> blend -> grid -> allow-list -> top 3 shares (region)."""
+    return _top(t, "region", summed=True)
