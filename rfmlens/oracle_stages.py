@@ -774,3 +774,28 @@ query("recall_share_country_rule", "SELECT * FROM v_ctr_share")
 query("recall_share_region", "SELECT * FROM v_rt_share")
 query("job_country_recall", "SELECT * FROM v_ct_share")
 query("job_region_recall", "SELECT * FROM v_rt_share")
+
+# ==========================================================================
+# Sinks
+# ==========================================================================
+query("write_then_read_day", f"""
+SELECT CAST(streamer_id AS VARCHAR) AS streamer_id, CAST(streamer_country_id AS VARCHAR) AS streamer_country_id,
+       streamer_country_name, level, rfm_score, '{RUN_DATE}' AS dt FROM v_streamer_level""")
+query("conform_schema", """
+SELECT CAST(streamer_id AS VARCHAR) AS streamer_id, CAST(streamer_country_id AS VARCHAR) AS streamer_country_id,
+       streamer_country_name, frequency, CAST(trunc(monetary) AS BIGINT) AS monetary,
+       CAST(trunc(monetary1) AS BIGINT) AS monetary1, recency, frequency_rnk, monetary_rnk, monetary1_rnk,
+       recency_rnk, frequency_score, monetary_score, monetary1_score, recency_score,
+       rfm_combination_score, rfm_score FROM v_s_score""")
+query("backfill_match", f"""
+SELECT CAST(c.user_id AS VARCHAR) AS user_id, CAST(c.user_country_id AS VARCHAR) AS user_country_id,
+       c.user_country_name, c.vip_level AS is_user_vip, CAST(c.streamer_id AS VARCHAR) AS streamer_id,
+       '' AS streamer_country_id, s.country_name_ab AS streamer_country_name,
+       CAST(c.channel_id AS BIGINT) AS channel_id, c.call_begin_time,
+       CAST(c.call_total_length AS DOUBLE) AS call_total_length,
+       CAST(c.call_gold_coin_amount AS DOUBLE) AS call_gold_coin_amount,
+       CAST(c.gift_gold_coin_amount AS DOUBLE) AS gift_gold_coin_amount,
+       CAST(c.day AS VARCHAR) AS day
+FROM v_calls c JOIN (SELECT DISTINCT user_id, country_name_ab FROM v_streamer_country) s
+  ON c.streamer_id = s.user_id
+WHERE c.day BETWEEN DATE '{WINDOW_END}' - INTERVAL 26 DAY AND DATE '{WINDOW_END}' - INTERVAL 1 DAY""")

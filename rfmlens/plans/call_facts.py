@@ -182,3 +182,29 @@ def call_match(calls: DataFrame, streamer_country: DataFrame, country_region: Da
 
 
 __all__ = ["broadcast_if_small"]
+
+
+def day_list(end: str, first_back: int, last_back: int) -> list[str]:
+    """Days end-first_back .. end-last_back as ISO strings (driver-side,
+    a handful of dates: the backfill range)."""
+    import datetime as dt
+    e = dt.date.fromisoformat(end)
+    return [(e - dt.timedelta(days=k)).isoformat() for k in range(first_back, last_back - 1, -1)]
+
+
+def backfill_rows(calls: DataFrame, streamer_country: DataFrame, end: str,
+                  first_back: int, last_back: int) -> DataFrame:
+    """Match rows for a range of days in one job (the reference loops
+    over 26 days with one INSERT each).  Streamer country by abbreviation
+    (inner), the id column left empty as in the backfill job."""
+    e = F.to_date(F.lit(end))
+    d = calls.filter(F.col("day").between(F.date_sub(e, first_back), F.date_sub(e, last_back)))
+    sc = dedup(streamer_country, ["user_id", "country_name_ab"])
+    d = d.join(sc.select(F.col("user_id").alias("__sid"), "country_name_ab"),
+               F.col("streamer_id") == F.col("__sid"))
+    return d.select("day", "user_id", "user_country_id", "user_country_name",
+                    F.col("vip_level").alias("is_user_vip"), "streamer_id",
+                    F.lit("").alias("streamer_country_id"),
+                    F.col("country_name_ab").alias("streamer_country_name"), "channel_id",
+                    "call_begin_time", "call_total_length", "call_gold_coin_amount",
+                    "gift_gold_coin_amount")

@@ -661,3 +661,45 @@ def q_job_country_recall(t: Tables):
 def q_job_region_recall(t: Tables):
     """Activity -> behaviour -> blend -> grid -> allow-list -> top 3 shares (region)."""
     return _top(t, "region", summed=True)
+
+
+# ---- sinks -------------------------------------------------------------------------
+from ..sources import sinks as K  # noqa: E402
+
+
+@register("write_then_read_day")
+def q_write_then_read_day(t: Tables):
+    """Write the serving table as day RUN_DATE (twice: idempotent),
+    read the day back."""
+    spark = t.spark
+    path = K.table_path(spark, "streamer_level_" + _tag(t))
+    serve = S.serve_level(S.streamer_level(t.calls, t.country_region, t.streamer_weight, RUN_DATE))
+    schema = K.table_schema("streamer_level")
+    K.write_day(serve, path, RUN_DATE, "dt", schema)
+    K.write_day(serve, path, RUN_DATE, "dt", schema)
+    return K.read_days(spark, path, [RUN_DATE], "dt", schema)
+
+
+@register("conform_schema")
+def q_conform_schema(t: Tables):
+    """The weighted streamer score cast to its declared schema
+    (string ids, coin and length sums truncated to BIGINT)."""
+    d = S.streamer_scores(_s_base(t), t.streamer_weight)
+    return K.conform(d, K.table_schema("streamer_rfm_score"))
+
+
+@register("backfill_match")
+def q_backfill_match(t: Tables):
+    """The match table for days end-26 .. end-1 written by ONE job with
+    dynamic partition overwrite (no driver loop), then read back."""
+    spark = t.spark
+    path = K.table_path(spark, "call_match_backfill_" + _tag(t))
+    d = CF.backfill_rows(t.calls, t.streamer_country, WINDOW_END, 26, 1)
+    K.write_days(d, path, "day", K.table_schema("call_match"))
+    days = [r for r in CF.day_list(WINDOW_END, 26, 1)]
+    return K.read_days(spark, path, days, "day", K.table_schema("call_match"))
+
+
+def _tag(t: Tables) -> str:
+    import hashlib
+    return hashlib.md5(t.sf_dir.encode()).hexdigest()[:10]
