@@ -13,18 +13,37 @@ from ..session import BROADCAST_ROWS_KEY, conf_int
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
-    it stays cheap even when the side turns out to be large; a large side is
-    returned as is and Spark plans a shuffle join (AQE may still convert it at
-    run time from real shuffle sizes).
+    Reads at most ``max_rows + 1`` rows (``limit`` stops early).  The answer
+    is kept by plan (semantic hash), so a dimension used by several
+    operators of a run is counted once.
     """
     if max_rows is None:
         max_rows = conf_int(df.sparkSession, BROADCAST_ROWS_KEY, DEFAULT_BROADCAST_ROWS)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    small = _CHECKED.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = small
+    return small
+
+
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
+                       bound_by: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only after checking its size.
+
+    ``bound_by`` names a frame whose row count bounds ``df``'s (``df`` is a
+    projection / distinct / filter of it); the check then runs on that
+    source, once.  A large side is returned as is: Spark plans a shuffle
+    join, and AQE may still convert it at run time from real sizes.
+    """
+    return F.broadcast(df) if is_small(bound_by if bound_by is not None else df,
+                                       max_rows) else df
 
 
 def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -44,7 +63,7 @@ def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
     d = dedup(dim, cols)
     d = d.select(F.col(right_on).alias("__lk"),
                  *[F.col(src).alias(dst) for src, dst in take.items()])
-    d = broadcast_if_small(d, max_rows)
+    d = broadcast_if_small(d, max_rows, bound_by=dim)
     out = df.join(d, df[left_on] == d["__lk"], "left").drop("__lk")
     return out
 

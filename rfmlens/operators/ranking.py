@@ -37,6 +37,7 @@ from ..session import RANK_BUCKET_ROWS_KEY, conf_int
 DEFAULT_BUCKET_ROWS = 4_000_000
 MAX_BUCKETS = 2048          # cut points per large group
 MAX_LARGE_GROUPS = 4096     # groups beyond this keep the plain window
+MAX_SMALL_GROUPS = 10_000   # group sizes collected in one go up to this many groups
 QUANTILE_ACCURACY = 100_000
 
 
@@ -90,13 +91,21 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] |
     spark = df.sparkSession
     target = bucket_rows or conf_int(spark, RANK_BUCKET_ROWS_KEY, DEFAULT_BUCKET_ROWS)
 
-    stats = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n")).persist()
-    large = (stats.filter(F.col("__n") > target)
-             .limit(MAX_LARGE_GROUPS).collect())
+    stats = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
+    # One job: all group sizes when there are few groups (the usual case:
+    # countries, regions, or the single global group), else the large ones.
+    few = stats.limit(MAX_SMALL_GROUPS + 1).collect()
+    if len(few) <= MAX_SMALL_GROUPS:
+        large = [r for r in few if r["__n"] > target]
+        st_rows = few
+    else:
+        stats = stats.persist()
+        large = stats.filter(F.col("__n") > target).limit(MAX_LARGE_GROUPS).collect()
+        st_rows = None
 
     out = df
     if count_col is not None:
-        out = _attach_count(out, stats, parts, count_col, len(large) == 0)
+        out = _attach_count(out, stats, parts, count_col, st_rows)
     if not large or len(tie) != 1:
         # Small groups only (or a composite tie key): plain partitioned window.
         for s in specs:
@@ -122,13 +131,21 @@ def _guarded(parts: list[str], c: Column) -> Column:
 
 
 def _attach_count(df: DataFrame, stats: DataFrame, parts: list[str], count_col: str,
-                  small: bool) -> DataFrame:
-    st = stats.select(*[F.col(k).alias("__s_" + k) for k in parts],
-                      F.col("__n").cast("bigint").alias(count_col))
+                  st_rows: list | None) -> DataFrame:
+    """Join the group sizes back.  With the sizes already on the driver (few
+    groups) the table is rebuilt from them and broadcast; otherwise it is
+    joined by key (AQE decides the strategy from its real size)."""
+    spark = df.sparkSession
+    if st_rows is not None:
+        schema = T.StructType([T.StructField("__s_" + k, df.schema[k].dataType) for k in parts]
+                              + [T.StructField(count_col, T.LongType())])
+        st = F.broadcast(spark.createDataFrame(
+            [tuple(r[k] for k in parts) + (int(r["__n"]),) for r in st_rows], schema))
+    else:
+        st = stats.select(*[F.col(k).alias("__s_" + k) for k in parts],
+                          F.col("__n").cast("bigint").alias(count_col))
     if not parts:
-        return df.crossJoin(F.broadcast(st))
-    from .joins import broadcast_if_small
-    st = broadcast_if_small(st)
+        return df.crossJoin(st)
     cond = None
     for k in parts:  # plain equality: a NULL key gets a NULL count (reference join)
         c = df[k] == st["__s_" + k]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -75,7 +76,8 @@ class Tables:
     @cached_property
     def user_info(self) -> DataFrame:
         c = self.raw("customer")
-        n = broadcast_if_small(self.raw("nation").select("n_nationkey", "n_name"))
+        n = broadcast_if_small(self.raw("nation").select("n_nationkey", "n_name"),
+                               bound_by=self.raw("nation"))
         seg = F.col("c_mktsegment")
         vip = (F.when(seg.isin(*FREE_SEGMENTS), F.lit("free"))
                .when(seg == NULL_SEGMENT, F.lit(None).cast("string"))
@@ -110,13 +112,14 @@ class Tables:
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         cr = self.country_region
         ur = broadcast_if_small(cr.select(F.col("country_id").alias("ur_country_id"),
-                                          F.col("region_name").alias("user_region_name")))
+                                          F.col("region_name").alias("user_region_name")),
+                                bound_by=cr)
         sr = broadcast_if_small(cr.select(
             F.col("country_ab").alias("sr_country_ab"),
             F.col("country_id").alias("streamer_country_id"),
             F.col("country_name_en").alias("streamer_country_name"),
             F.col("country_ab").alias("streamer_country_name_ab"),
-            F.col("region_name").alias("streamer_region_name")))
+            F.col("region_name").alias("streamer_region_name")), bound_by=cr)
         u = self.user_info
         s = self.streamer_country.select(F.col("user_id").alias("s_user_id"),
                                          F.col("country_name_ab").alias("s_ab"))
@@ -126,6 +129,8 @@ class Tables:
              .join(ur, F.col("country_id") == F.col("ur_country_id"))
              .join(s, F.col("l_suppkey") == F.col("s_user_id"))
              .join(sr, F.col("s_ab") == F.col("sr_country_ab")))
+        # Not persisted: day-window filters of the jobs push down into the
+        # orders scan, and each job keeps only the columns it reads.
         return j.select(
             "user_id",
             F.col("country_id").alias("user_country_id"),
@@ -174,7 +179,8 @@ class Tables:
                      n_if(rf == "R").alias("friend_video_times"),
                      F.sum("call_total_length").alias("total_video_duration"),
                      (F.sum("call_total_length").cast("double") / F.count(F.lit(1))).alias("avg_video_duration"),
-                     F.sum("call_gold_coin_amount").alias("friend_total_gold")))
+                     F.sum("call_gold_coin_amount").alias("friend_total_gold"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
 
     # ---- click / call-record / coin / gift sources ------------------------
     @cached_property
