@@ -100,6 +100,10 @@ def read_days(spark: SparkSession, path: str, days: Sequence[str] | None = None,
     if schema is not None:
         r = r.schema(T.StructType(schema.fields + [T.StructField(day_col, S, True)]))
     df = r.parquet(path)
+    # Without a schema Spark infers the partition type (a date); keep the
+    # declared string.  The filter references only the partition column, so
+    # it still prunes directories.
+    df = df.withColumn(day_col, F.col(day_col).cast("string"))
     if days is not None:
         df = df.filter(F.col(day_col).isin(list(days)))
     return df
