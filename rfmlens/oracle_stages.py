@@ -201,6 +201,7 @@ query("call_start", """SELECT user_id, CAST(matched_id AS BIGINT) AS matched_id,
        video_time, start_time FROM v_call_rec""")
 query("channel_tag", "SELECT * FROM v_channel_tag")
 query("request_match_join", "SELECT * FROM v_req_match")
+query("request_match_stream", "SELECT * FROM v_req_match")
 query("channel_union", "SELECT * FROM v_channel_union")
 query("coin_total", "SELECT user_id, CAST(remote_user_id AS BIGINT) AS remote_user_id, room_id, "
                     "CAST(gold_num AS DOUBLE) AS gold_num FROM v_coin_total")

@@ -703,3 +703,19 @@ def q_backfill_match(t: Tables):
 def _tag(t: Tables) -> str:
     import hashlib
     return hashlib.md5(t.sf_dir.encode()).hexdigest()[:10]
+
+
+# ---- streaming -------------------------------------------------------------------
+@register("request_match_stream")
+def q_request_match_stream(t: Tables):
+    """J1 as a watermarked stream-stream join over the events as they arrive
+    (file stream source, availableNow trigger); same rows as the batch join."""
+    from ..sources.fixtures import request_record_from, video_record_from
+    from ..streaming.request_match import match_stream, run_available
+    spark = t.spark
+    import uuid
+    run = K.table_path(spark, f"request_match_stream_{_tag(t)}_{uuid.uuid4().hex[:8]}")
+    schema = t.raw("events").schema
+    ev = spark.readStream.schema(schema).parquet(f"{t.sf_dir}/events*.parquet")
+    s = match_stream(request_record_from(ev), video_record_from(ev), FIXTURE_GAP_S)
+    return run_available(spark, s, run + "/out", run + "/checkpoint")

@@ -185,28 +185,11 @@ class Tables:
     # ---- click / call-record / coin / gift sources ------------------------
     @cached_property
     def request_record(self) -> DataFrame:
-        e = self.raw("events").filter(F.col("event_type").isin("view", "signup"))
-        eid = F.col("event_id")
-        return e.select("user_id", (eid % 2 + 1).alias("target_user_id"),
-                        F.col("ts").alias("create_time"),
-                        _case_mod(eid, 4, PLACE_BY_MOD4).alias("place_id"),
-                        _case_mod(eid, 4, EVENT_BY_MOD4).alias("event_id"))
+        return request_record_from(self.raw("events"))
 
     @cached_property
     def video_record(self) -> DataFrame:
-        e = self.raw("events").filter(F.col("event_type").isin("click", "purchase"))
-        eid = F.col("event_id")
-        return e.select(
-            "user_id",
-            F.when(eid % 3 == 0, 1).otherwise(2).cast("bigint").alias("matched_id"),
-            eid.alias("room_id"),
-            F.col("ts").alias("create_time"),
-            (F.round(F.abs(F.col("value")) * 100).cast("bigint") * 10).alias("video_time"),
-            (1 + eid % 2).alias("goddess_video"),
-            _case_mod(eid, 5, LOCATION_BY_MOD5).alias("goddess_location"),
-            F.when(eid % 7 < 4, 1).otherwise(0).alias("is_pay"),
-            (eid % 3).alias("gender_condition"),
-            F.when(eid % 11 < 8, 0).otherwise(1).alias("request_type"))
+        return video_record_from(self.raw("events"))
 
     def _gold(self) -> DataFrame:
         v = self.video_record
@@ -230,5 +213,33 @@ class Tables:
                         F.col("value").cast(DecimalType(12, 2)).alias("gift_gold"))
 
 
+def request_record_from(events: DataFrame) -> DataFrame:
+    """Click requests from an events frame (batch or streaming)."""
+    e = events.filter(F.col("event_type").isin("view", "signup"))
+    eid = F.col("event_id")
+    return e.select("user_id", (eid % 2 + 1).alias("target_user_id"),
+                    F.col("ts").alias("create_time"),
+                    _case_mod(eid, 4, PLACE_BY_MOD4).alias("place_id"),
+                    _case_mod(eid, 4, EVENT_BY_MOD4).alias("event_id"))
+
+
+def video_record_from(events: DataFrame) -> DataFrame:
+    """Call records (end time, duration in ms, channel attributes) from an
+    events frame (batch or streaming)."""
+    e = events.filter(F.col("event_type").isin("click", "purchase"))
+    eid = F.col("event_id")
+    return e.select(
+        "user_id",
+        F.when(eid % 3 == 0, 1).otherwise(2).cast("bigint").alias("matched_id"),
+        eid.alias("room_id"),
+        F.col("ts").alias("create_time"),
+        (F.round(F.abs(F.col("value")) * 100).cast("bigint") * 10).alias("video_time"),
+        (1 + eid % 2).alias("goddess_video"),
+        _case_mod(eid, 5, LOCATION_BY_MOD5).alias("goddess_location"),
+        F.when(eid % 7 < 4, 1).otherwise(0).alias("is_pay"),
+        (eid % 3).alias("gender_condition"),
+        F.when(eid % 11 < 8, 0).otherwise(1).alias("request_type"))
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
