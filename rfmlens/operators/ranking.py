@@ -28,6 +28,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +91,10 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] |
         return out
     spark = df.sparkSession
     target = bucket_rows or conf_int(spark, RANK_BUCKET_ROWS_KEY, DEFAULT_BUCKET_ROWS)
+    # Read several times below (sizes, cut points, bucket counts, ranks):
+    # keep it (no-op when the caller already persisted the same plan).
+    if not df.storageLevel.useMemory and not df.storageLevel.useDisk:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
 
     stats = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
     # One job: all group sizes when there are few groups (the usual case:
