@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import RANK_BUCKET_ROWS_KEY, conf_int
+from ..session import RANK_BUCKET_ROWS_KEY, conf_int, cut_lineage
 
 DEFAULT_BUCKET_ROWS = 4_000_000
 MAX_BUCKETS = 2048          # cut points per large group
@@ -92,9 +92,9 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] |
     spark = df.sparkSession
     target = bucket_rows or conf_int(spark, RANK_BUCKET_ROWS_KEY, DEFAULT_BUCKET_ROWS)
     # Read several times below (sizes, cut points, bucket counts, ranks):
-    # keep it (no-op when the caller already persisted the same plan).
-    if not df.storageLevel.useMemory and not df.storageLevel.useDisk:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # materialize once and start the rank plans from the written copy.
+    if not _is_checkpointed(df):
+        df = cut_lineage(df)
 
     stats = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
     # One job: all group sizes when there are few groups (the usual case:
@@ -128,6 +128,11 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] |
     return out
 
 
+def _is_checkpointed(df: DataFrame) -> bool:
+    """True when the plan is a bare scan of checkpointed rows."""
+    return df._jdf.queryExecution().logical().getClass().getSimpleName() == "LogicalRDD"
+
+
 def _guarded(parts: list[str], c: Column) -> Column:
     cond = None
     for k in parts:

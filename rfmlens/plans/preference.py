@@ -18,6 +18,7 @@ from ..functions.columns import round_half_up
 from ..operators.joins import left_fill, pair_grid, semi_filter
 from ..operators.ranking import RankSpec, rank_columns
 from ..operators.scores import minmax_scale, rank_pct, share
+from ..session import cut_lineage
 from .streamer import combine_scores, rfm_ranks
 
 STREAMER_COUNTRY = ["streamer_country_id", "streamer_country_name"]
@@ -129,8 +130,8 @@ def distribution(filled: DataFrame, g: Grain) -> DataFrame:
 
 def preference_chain(call_base: DataFrame, selected: DataFrame, g: Grain) -> dict[str, DataFrame]:
     """All intermediate tables of one grain, keyed by step name."""
-    values = pair_values(selected, g).persist(StorageLevel.MEMORY_AND_DISK)
-    scores = pair_scores(values, g)
+    values = cut_lineage(pair_values(selected, g))
+    scores = cut_lineage(pair_scores(values, g))
     pref = preference(scores)
     gr = grid(call_base, g)
     filled = grid_fill(gr, pref, g)

@@ -326,8 +326,8 @@ from . import preference as P  # noqa: E402
 
 
 def _pref_inputs(t: Tables):
-    base = S.streamer_call_base(t.calls, t.country_region, RUN_DATE)
-    return base.persist()
+    from ..session import cut_lineage
+    return cut_lineage(S.streamer_call_base(t.calls, t.country_region, RUN_DATE))
 
 
 def _country_selected(t: Tables, base):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import level3, round_half_up
+from ..session import cut_lineage
 from ..operators.aggregates import avg_daily_active, call_base, count_distinct_by, rfm_values
 from ..operators.joins import left_fill, lookup
 from ..operators.ranking import RankSpec, rank_columns, score_from_rank
@@ -79,11 +80,10 @@ def apply_weight(scored: DataFrame, weights: DataFrame) -> DataFrame:
 
 def streamer_scores(base: DataFrame, weights: DataFrame | None) -> DataFrame:
     """Streamer RFM values, global ranks, blend, 1-5 scale, weight."""
-    values = streamer_values(base).persist(StorageLevel.MEMORY_AND_DISK)
-    d = combine_scores(rfm_ranks(values, "streamer_id")).persist(StorageLevel.MEMORY_AND_DISK)
+    d = cut_lineage(combine_scores(rfm_ranks(streamer_values(base), "streamer_id")))
     d = scale_global(d)
     d = apply_weight(d, weights) if weights is not None else d
-    return d.persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(d)
 
 
 def country_level(scores: DataFrame, partition_by=STREAMER_COUNTRY, tie="streamer_id",

@@ -12,6 +12,7 @@ from ..functions.columns import level3, level5, quintile, safe_div
 from ..operators.aggregates import USER_KEYS, call_base, rfm_values
 from ..operators.joins import lookup
 from ..operators.ranking import RankSpec, rank_columns
+from ..session import cut_lineage
 from ..operators.scores import (QUINTILE_WEIGHTS, RFM_WEIGHTS, USER_FLAT_DIVISOR, minmax_scale,
                                 rank_pct, tenths_blend)
 from .streamer import country_level
@@ -28,7 +29,6 @@ def user_call_base(calls: DataFrame, run_date: str) -> DataFrame:
 def quintile_scores(base: DataFrame) -> DataFrame:
     """Global ranks -> square-law quintile per term -> 0.3F+0.3R+0.4M."""
     v = rfm_values(base, USER_KEYS, {"monetary": "gold_coin_amount"})
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
     d = rank_columns(v, [RankSpec("frequency", "frequency_rnk", True),
                          RankSpec("monetary", "monetary_rnk", True),
                          RankSpec("recency", "recency_rnk", False)],
@@ -39,7 +39,7 @@ def quintile_scores(base: DataFrame) -> DataFrame:
              .withColumn(f"{m}_score", quintile(safe_div(f"{m}_rnk", "__n"))))
     d = d.withColumn("rfm_score", tenths_blend(
         {f"{m}_score": w for m, w in QUINTILE_WEIGHTS.items()}))
-    return d.drop("__n").persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(d.drop("__n"))
 
 
 def quintile_level(calls: DataFrame, run_date: str) -> DataFrame:
@@ -83,8 +83,8 @@ TOTAL_COLS = [*USER_KEYS[:3], "user_region_name", "is_user_vip", "frequency", "m
 
 def total_score(calls: DataFrame, country_region: DataFrame, run_date: str) -> DataFrame:
     """User total RFM score on 1-5 with the user's region."""
-    v = total_values(user_call_base(calls, run_date)).persist(StorageLevel.MEMORY_AND_DISK)
-    d = combine_ranks(total_ranks(v)).persist(StorageLevel.MEMORY_AND_DISK)
+    v = total_values(user_call_base(calls, run_date))
+    d = cut_lineage(combine_ranks(total_ranks(v)))
     d = minmax_scale(d, "rfm_combination_score", "rfm_score", 1, 5,
                      flat_divisor=USER_FLAT_DIVISOR)
     d = lookup(d, country_region, "user_country_name", "country_name_en",
@@ -100,7 +100,7 @@ def region_levels(score: DataFrame) -> DataFrame:
     d = d.withColumn("rfm_rnk", F.col("rfm_rnk").cast("bigint"))
     d = d.withColumn("rfm_rnk_percentage", rank_pct("rfm_rnk", "rfm_rnk_max", 6))
     d = d.withColumn("level", level3("rfm_rnk_percentage")).drop("rfm_rnk_max")
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    d = cut_lineage(d)
     r = rank_columns(d, [RankSpec("rfm_score", "region_rfm_rnk", True)], "user_id",
                      ["user_region_name"], count_col="__rmax")
     r = r.withColumn("region_rfm_rnk", F.col("region_rfm_rnk").cast("bigint"))
@@ -110,7 +110,7 @@ def region_levels(score: DataFrame) -> DataFrame:
 
 def user_level(calls: DataFrame, country_region: DataFrame, run_date: str) -> DataFrame:
     """job_user_level."""
-    s = total_score(calls, country_region, run_date).persist(StorageLevel.MEMORY_AND_DISK)
+    s = cut_lineage(total_score(calls, country_region, run_date))
     return region_levels(s).select(
         "user_id", *USER_COUNTRY, "user_region_name", "is_user_vip", "rfm_score",
         "rfm_rnk", "rfm_rnk_percentage", "level",

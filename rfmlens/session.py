@@ -22,6 +22,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Local runs only: remove checkpoint files once their frames are unreachable.
+LOCAL_ONLY_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 # Conf key (ours) for the number of rows one rank bucket may hold before a
 # group is split into range buckets; see operators/ranking.py.
 RANK_BUCKET_ROWS_KEY = "rfmlens.rank.bucketRows"
@@ -37,7 +40,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("RFMLENS_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in {**BASE_CONF, **(extra or {})}.items():
+    for k, v in {**BASE_CONF, **LOCAL_ONLY_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -71,6 +74,19 @@ def shared_dir(spark: SparkSession) -> str:
     return str(d).rstrip("/")
 
 
+def cut_lineage(df):
+    """Materialize ``df`` in the shared checkpoint folder and return a frame
+    that reads it back (reliable ``checkpoint``, never ``localCheckpoint``).
+
+    Used at stage boundaries: downstream plans then start from a file scan,
+    so every re-optimization (AQE re-plans after each stage) works on a small
+    plan, and a lost executor costs a re-read instead of a recomputation of
+    the whole chain.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     v = spark.conf.get(key, None)
     return int(v) if v not in (None, "") else default

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..operators.joins import broadcast_if_small
+from ..session import cut_lineage
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -151,7 +152,12 @@ class Tables:
 
     @cached_property
     def country_preference_pre(self) -> DataFrame:
-        """Activity counters per (user country, region, vip class, streamer country)."""
+        """Activity counters per (user country, region, vip class, streamer country).
+
+        Read by two branches (activity scores, allow-lists): checkpointed."""
+        return cut_lineage(self._country_preference_pre())
+
+    def _country_preference_pre(self) -> DataFrame:
         c = self.calls
         rf, ls, ch = F.col("l_returnflag"), F.col("l_linestatus"), F.col("channel_id")
 
@@ -179,8 +185,7 @@ class Tables:
                      n_if(rf == "R").alias("friend_video_times"),
                      F.sum("call_total_length").alias("total_video_duration"),
                      (F.sum("call_total_length").cast("double") / F.count(F.lit(1))).alias("avg_video_duration"),
-                     F.sum("call_gold_coin_amount").alias("friend_total_gold"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
+                     F.sum("call_gold_coin_amount").alias("friend_total_gold")))
 
     # ---- click / call-record / coin / gift sources ------------------------
     @cached_property
