@@ -9,6 +9,15 @@ from . import streamer as S
 from .registry import register
 
 
+def _memo(t: Tables, key: str, build):
+    """Intermediates shared by the helpers below are built once per run
+    (they are checkpointed eagerly, so rebuilding would recompute them)."""
+    memo = t.__dict__.setdefault("_memo", {})
+    if key not in memo:
+        memo[key] = build()
+    return memo[key]
+
+
 # ---- streamer stage --------------------------------------------------------
 @register("call_base")
 def q_call_base(t: Tables):
@@ -327,27 +336,42 @@ from . import preference as P  # noqa: E402
 
 def _pref_inputs(t: Tables):
     from ..session import cut_lineage
-    return cut_lineage(S.streamer_call_base(t.calls, t.country_region, RUN_DATE))
+    return _memo(t, "base", lambda: cut_lineage(
+        S.streamer_call_base(t.calls, t.country_region, RUN_DATE)))
+
+
+def _streamer_levels(t: Tables):
+    return _memo(t, "streamer_levels", lambda: S.country_level(
+        S.streamer_scores(_pref_inputs(t), t.streamer_weight)))
+
+
+def _user_quintile_levels(t: Tables):
+    return _memo(t, "quintile_levels", lambda: U.quintile_level(t.calls, RUN_DATE))
+
+
+def _user_region_levels(t: Tables):
+    return _memo(t, "region_levels", lambda: U.region_levels(
+        U.total_score(t.calls, t.country_region, RUN_DATE)))
 
 
 def _country_selected(t: Tables, base):
-    users = U.quintile_level(t.calls, RUN_DATE)
-    streamers = S.country_level(S.streamer_scores(base, t.streamer_weight))
-    return P.select_band(base, users, streamers)
+    return P.select_band(base, _user_quintile_levels(t), _streamer_levels(t))
 
 
 def _region_selected(t: Tables, base):
-    lv = U.region_levels(U.total_score(t.calls, t.country_region, RUN_DATE)).select(
+    lv = _user_region_levels(t).select(
         "user_id", "user_region_name", "is_user_vip",
         F.col("region_rfm_rnk_percentage").alias("rfm_rnk_percentage"))
     return P.label_band(base, lv)
 
 
 def _chain(t: Tables, grain: str):
-    base = _pref_inputs(t)
-    if grain == "country":
-        return P.preference_chain(base, _country_selected(t, base), P.COUNTRY)
-    return P.preference_chain(base, _region_selected(t, base), P.REGION)
+    def build():
+        base = _pref_inputs(t)
+        if grain == "country":
+            return P.preference_chain(base, _country_selected(t, base), P.COUNTRY)
+        return P.preference_chain(base, _region_selected(t, base), P.REGION)
+    return _memo(t, "chain_" + grain, build)
 
 
 @register("mid_band_pairs_country")
@@ -485,8 +509,7 @@ def q_job_region_preference(t: Tables):
 def q_recall_by_level(t: Tables):
     """Pair share x streamer level share, one row per level."""
     dist = _chain(t, "country")["distribution"]
-    mix = S.level_distribution(S.streamer_level(t.calls, t.country_region, t.streamer_weight,
-                                                RUN_DATE))
+    mix = S.level_distribution(_streamer_levels(t))
     return P.recall_by_level(dist, mix)
 
 
@@ -504,12 +527,14 @@ def _activity(t: Tables, grain: str):
 
 
 def _behaviour(t: Tables, grain: str):
-    return R.behaviour(_activity(t, grain), _grain(grain))
+    return _memo(t, "behaviour_" + grain,
+                 lambda: R.behaviour(_activity(t, grain), _grain(grain)))
 
 
 def _integration(t: Tables, grain: str):
-    pref = _chain(t, grain)["preference"]
-    return R.integrate(pref, _behaviour(t, grain), _grain(grain))
+    from ..session import cut_lineage
+    return _memo(t, "integration_" + grain, lambda: cut_lineage(R.integrate(
+        _chain(t, grain)["preference"], _behaviour(t, grain), _grain(grain))))
 
 
 def _allow(t: Tables, grain: str, summed: bool = False):
@@ -522,9 +547,11 @@ def _allow(t: Tables, grain: str, summed: bool = False):
 
 def _dist(t: Tables, grain: str):
     g = _grain(grain)
-    base = _pref_inputs(t)
-    grid = R.blended_grid(base, _integration(t, grain), t.country_region, g)
-    return R.grid_shares(grid, t.country_region, g)
+
+    def build():
+        grid = R.blended_grid(_pref_inputs(t), _integration(t, grain), t.country_region, g)
+        return R.grid_shares(grid, t.country_region, g)
+    return _memo(t, "dist_" + grain, build)
 
 
 @register("activity_score_country")
