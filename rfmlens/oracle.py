@@ -7,7 +7,8 @@ The SQL is written from the reference's semantics, not from the Spark
 code: global ranks are plain ``ROW_NUMBER() OVER (ORDER BY ...)``, reverse
 scores are separate ascending row numbers, group totals are GROUP BY +
 JOIN.  Numeric rules shared with the Spark side: DECIMAL sums, DOUBLE
-division with NULL on zero, half-up rounding through DECIMAL(28,10).
+division with NULL on zero, half-up rounding through DECIMAL(28,10);
+integer keys are BIGINT at the output (dimension ids widened once here).
 """
 
 from __future__ import annotations
@@ -75,13 +76,13 @@ def scale15(x: str, mn: str, mx: str, flat: int | None) -> str:
 # Fixture views (FIXTURES.md part 2)
 # --------------------------------------------------------------------------
 view("v_country_region", """
-SELECT n.n_nationkey AS country_id, n.n_name AS country_name_en,
+SELECT CAST(n.n_nationkey AS BIGINT) AS country_id, n.n_name AS country_name_en,
        CONCAT('N', CAST(n.n_nationkey AS VARCHAR)) AS country_ab,
-       r.r_regionkey AS region_id, r.r_name AS region_name
+       CAST(r.r_regionkey AS BIGINT) AS region_id, r.r_name AS region_name
 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 view("v_user_info", """
-SELECT c.c_custkey AS user_id, c.c_nationkey AS country_id, n.n_name AS country_name_en,
+SELECT c.c_custkey AS user_id, CAST(c.c_nationkey AS BIGINT) AS country_id, n.n_name AS country_name_en,
        CASE WHEN c.c_mktsegment IN ('AUTOMOBILE','BUILDING') THEN 'free'
             WHEN c.c_mktsegment = 'FURNITURE' THEN NULL ELSE lower(c.c_mktsegment) END AS vip_level
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")

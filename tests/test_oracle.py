@@ -19,6 +19,10 @@ ALL = sorted(E.queries())
 KEYS = ALL if os.environ.get("RFMLENS_FULL_ORACLE") else [k for k in ALL if k.startswith("job_")]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     return "NULL" if v is None else (repr(v) if isinstance(v, float) else str(v))
 
@@ -50,6 +54,9 @@ def test_query_matches_sql(spark, duck, key):
     assert sorted(ocols) == cols
     idx = [ocols.index(c) for c in cols]
     orows = [tuple(r[i] for i in idx) for r in rel.fetchall()]
+    otypes = dict(zip(ocols, [str(t) for t in duck.sql(E.oracle_sql()[key]).types]))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK[f.dataType.simpleString()] == otypes[f.name], f.name
     assert len(srows) == len(orows)
     assert _digest(srows) == _digest(orows)
 
