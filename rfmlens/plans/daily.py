@@ -17,6 +17,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import decimals_to_double
 from ..session import cut_lineage
 from ..sources import sinks as K
 from ..sources.fixtures import (FIXTURE_GAP_S, REGION_GOLD_THRESHOLD, ROW_GOLD_THRESHOLD,
@@ -114,6 +115,6 @@ def run_day(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE,
         if tables and name not in tables:
             continue
         t0 = time.perf_counter()
-        K.write_day(df, f"{root}/{name}", run_date)
+        K.write_day(decimals_to_double(df), f"{root}/{name}", run_date)
         times[name] = round(time.perf_counter() - t0, 3)
     return times
