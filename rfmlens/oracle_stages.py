@@ -566,7 +566,8 @@ CNT_OUT = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == "total_video_duration"
 RATES = f"""{rnd(div('both_success_times', 'both_play_times'), 3)} AS success_rate_both,
        {rnd(div('hotvideo_success_times', 'hotvideo_play_times'), 3)} AS success_rate_hotvideo,
        COALESCE({rnd(div('both_success_times * total_video_duration',
-                         'both_play_times * friend_video_times'), 3)}, 0.0::DOUBLE) AS raw_score"""
+                         'CAST(both_play_times AS DOUBLE) * CAST(friend_video_times AS DOUBLE)'), 3)},
+                0.0::DOUBLE) AS raw_score"""
 AB_NAME = "(SELECT DISTINCT country_ab, country_name_en FROM v_country_region)"
 
 view("v_ca_act", f"""

@@ -71,7 +71,9 @@ def activity(pre: DataFrame, country_region: DataFrame, g: RecallGrain) -> DataF
          .withColumn("success_rate_hotvideo", rate("hotvideo_success_times", "hotvideo_play_times"))
          .withColumn("raw_score", F.coalesce(round_half_up(safe_div(
              F.col("both_success_times") * F.col("total_video_duration"),
-             F.col("both_play_times") * F.col("friend_video_times")), 3), F.lit(0.0))))
+             # as DOUBLE: same value as the exact product, no BIGINT overflow
+             F.col("both_play_times").cast("double") * F.col("friend_video_times").cast("double")),
+             3), F.lit(0.0))))
     d = lookup(d, country_region, "streamer_country_name_ab", "country_ab",
                {"country_name_en": "streamer_country_name"})
     head = ["user_country_name", "user_region_name"] if g is COUNTRY else ["user_region_name"]
