@@ -141,3 +141,19 @@ def test_day_rewrite_is_idempotent(spark):
     per = {r["dt"]: r["n"] for r in got.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert per == {"2024-01-01": 2, "2024-01-02": 2}
     assert got.filter("dt = '2024-01-02'").orderBy("k").collect()[0]["k"] == 2
+
+
+def test_interval_match_across_bucket_edges(spark):
+    """Matches straddling a time-bucket edge (bucket width = gap) are kept,
+    and the result equals a brute-force pairwise check."""
+    from rfmlens.operators.joins import interval_match
+    base = dt.datetime(2024, 1, 1, 0, 0, 0)          # epoch seconds divisible by 60
+    clicks = [(1, 2, base + dt.timedelta(seconds=s)) for s in (0, 58, 59, 60, 119, 179)]
+    calls = [(1, 2, base + dt.timedelta(seconds=s)) for s in (1, 59, 60, 61, 118, 120, 178, 240)]
+    r = spark.createDataFrame(clicks, "u long, t long, ts timestamp_ntz")
+    c = spark.createDataFrame(calls, "cu long, ct long, cts timestamp_ntz")
+    got = sorted((x["ts"], x["cts"]) for x in
+                 interval_match(r, c, [("u", "cu"), ("t", "ct")], "ts", "cts", 60).collect())
+    exp = sorted((a[2], b[2]) for a in clicks for b in calls
+                 if 0 <= (b[2] - a[2]).total_seconds() < 60)
+    assert got == exp and len(exp) > 0
