@@ -64,3 +64,15 @@ def test_top_k_at_most_k(t001):
     top = top_k(c, ["user_country_name"], [F.col("count").desc(), F.col("streamer_country_name")], 3)
     per = top.groupBy("user_country_name").count().collect()
     assert all(r["count"] <= 3 for r in per)
+
+
+def test_bucketed_rank_with_null_group(spark):
+    # a large NULL group and a large named group, both split into buckets
+    rows = [(None if i % 2 else "A", i, i % 7) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, id long, m long")
+    got = rank_columns(df, [RankSpec("m", "r", True)], "id", ["g"], count_col="n", bucket_rows=50)
+    exp = {r["id"]: r["e"] for r in df.withColumn("e", _plain(df, "m", "id", ["g"], True)).collect()}
+    out = got.collect()
+    assert all(r["r"] == exp[r["id"]] for r in out)
+    assert all((r["n"] is None) == (r["g"] is None) for r in out)
+    assert {r["n"] for r in out if r["g"] == "A"} == {300}
