@@ -14,6 +14,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.detect(docs, pii.fit(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 

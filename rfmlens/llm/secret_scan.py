@@ -206,7 +206,7 @@ def spans_of(text: str, rule: Rule, compiled: re.Pattern) -> list[tuple[int, int
 def _scan_regex(rule: Rule) -> re.Pattern:
     # a rule that is one repeated class: its matches are maximal runs
     if m := re.fullmatch(r"(\[[^\]\\]+\])\+", rule.pattern):
-        return re.compile(f"(?<!{m[1]}){m[1]}{{{rule.least},}}")
+        return re.compile(f"{m[1]}{{{rule.least},}}")
     return re.compile(rule.pattern)
 
 
