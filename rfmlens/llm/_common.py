@@ -31,3 +31,20 @@ def fold(doc_id: str | Column, k: int) -> Column:
     """crc32(doc_id as text) mod k."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(c.cast("string").cast("binary")) % F.lit(k)
+
+
+def hash_sample(df: DataFrame, key: str, strata: str, rows: int) -> DataFrame:
+    """About ``rows`` rows of each stratum (all, if it has fewer), by key hash.
+
+    One count per stratum gives its share; rows whose key hash falls under
+    that share are taken, so the sample spreads over the whole table, is the
+    same in every run and needs no sort.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(strata).count().collect()}
+    h = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
+    share = F.lit(0)
+    for value, n in sorted(counts.items(), key=lambda x: str(x[0])):
+        if value is not None:
+            share = F.when(F.col(strata) == F.lit(value),
+                           F.lit(min(1 << 40, (rows << 40) // n))).otherwise(share)
+    return df.where(h < share)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import fold, table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(docs, pii.fit(docs))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import language
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.fit(docs, train=fold("doc_id", 3) != 1)
+    return (language.identify(docs, model)
+            .select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score",
+                    F.size("spans").alias("n_spans")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
