@@ -33,6 +33,13 @@ def fold(doc_id: str | Column, k: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % F.lit(k)
 
 
+def hash_share(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows of the whole table (all, if it has fewer), by key hash."""
+    n = df.count()
+    h = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
+    return df if n <= rows else df.where(h < F.lit((rows << 40) // n))
+
+
 def hash_sample(df: DataFrame, key: str, strata: str, rows: int) -> DataFrame:
     """About ``rows`` rows of each stratum (all, if it has fewer), by key hash.
 
