@@ -15,6 +15,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(fold("doc_id", 5) != 0)
+    return (quality(docs, labels)
+            .select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
