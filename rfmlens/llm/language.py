@@ -6,7 +6,7 @@
 2. *Per-word scores* are sums of log probabilities of hashed byte 4-grams
    (with word borders), learned for each language.
 3. *Viterbi* over the words with a switching penalty labels spans of the
-   text.  All documents of an Arrow batch advance together, word by word, so
+   text.  The documents of a few chunks of text advance together, word by word, so
    the loop is over positions, not documents.
 
 A document's language is the one whose spans hold the most letters (ties: the
@@ -40,6 +40,7 @@ SWITCH = 10.0
 BUCKETS = 1 << 16
 SMOOTH = 0.05
 NEVER = -1e6
+TOGETHER = 3               # chunks of text that advance together
 
 #: First code points of script ranges and their scripts
 #: (0: not a letter).
@@ -219,12 +220,20 @@ def identify_rows(batch: pa.RecordBatch, text: str, model: Model
         n = batch.num_rows
         return ["und"] * n, [0.0] * n, [[] for _ in range(n)]
     parts, base = [], 0
+    todo = batch.num_rows
     for rows, buf, offs in chunks(batch, text):
         s, e, doc, letters, score = word_scores(buf, offs, model)
         parts.append((s - offs[doc], e - offs[doc], doc + base, letters, score))
         base += rows.num_rows
-    if not parts:
-        return langs, scores, spans
+        todo -= rows.num_rows
+        if len(parts) == TOGETHER or not todo:
+            for out, x in zip((langs, scores, spans), _label(parts, base, model)):
+                out += x
+            parts, base = [], 0
+    return langs, scores, spans
+
+
+def _label(parts: list, base: int, model: Model) -> tuple[list[str], list[float], list]:
     s, e, doc, letters, score = (np.concatenate(x) for x in zip(*parts))
     pred, conf, label = _decide(base, doc, letters, score, model)
     spans = [[] for _ in range(base)]

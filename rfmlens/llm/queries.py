@@ -23,6 +23,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(fold("doc_id", 4) != 2)
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted",
+                        F.get("evidence", F.lit(0))["doc_id"].alias("nearest"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
