@@ -47,6 +47,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("spans").alias("n_spans")))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import join
+    return join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
