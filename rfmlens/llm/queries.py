@@ -52,9 +52,16 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    return contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                         table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import decontaminate
+    return {"op7_decontaminate": decontaminate.ORACLE_SQL}
