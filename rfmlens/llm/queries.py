@@ -32,6 +32,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get("evidence", F.lit(0))["doc_id"].alias("nearest"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return mixing.mix(docs, mixing.TARGET, mixing.domain_of("source")).drop("text")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -63,5 +69,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate
-    return {"op7_decontaminate": decontaminate.ORACLE_SQL}
+    from . import decontaminate, mixing
+    return {"op4_mixing": mixing.oracle_sql(), "op7_decontaminate": decontaminate.ORACLE_SQL}
