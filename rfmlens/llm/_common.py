@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,11 +21,17 @@ def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs a re-read.  The folder lies
-    below the one named by ``spark.checkpoint.dir``.
+    below the one named by ``spark.checkpoint.dir``.  The shuffle files of the
+    write go when it has ended: nothing reads them after that.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,7 +14,7 @@ Exact handling of the two usual weak spots:
   to ``H + 1 + z``; a document whose empty segments weigh at most ``z`` need
   not index them, because any link it has also matches a non-empty segment.
 * *Groups of similar but unlinked texts* share many keys.  Each key row
-  carries a sketch: one byte for each of the four sub-segments of the 32
+  carries a sketch: one byte for each of the four sub-segments of the 16
   segments around the key.  By the same counting some block with a shared key
   differs in fewer elements than its weight, and so in fewer sub-segments:
   all other pairs are dismissed inside the task, without being emitted.
@@ -51,7 +51,7 @@ from ._components import components
 from ._text import NOT_SPACE, U, chunks, counts_by, mix, span_hashes, word_spans
 
 FINE = 4                   # sub-segments of a segment
-BLOCK = 32                 # segments of a sketch
+BLOCK = 16                 # segments of a sketch
 GROUP = 512                # rows of a group's chunk
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
 COMMON = 1e-3              # share of shingles that unrelated documents have in common
@@ -221,9 +221,9 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
         yield doc[slot], key, own, gone, weight[slot] - 1, sketch
 
 
-def _bitmap(found: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS bits of the keys, built by the executors."""
-    bit = F.pmod(F.col("key"), F.lit(FILTER_BITS))
+def _bitmap(found: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of FILTER_BITS bits of a column of hashes, built by the executors."""
+    bit = F.pmod(F.col(key), F.lit(FILTER_BITS))
     rows = (found.select(bit.alias("bit"))
             .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
@@ -279,9 +279,9 @@ DOC, ROW, SET = 0, 1, 2
 
 
 def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFrame:
-    """Of every document a DOC row (meta 1: the first of its class in its chunk);
-    of those first ones that share a key, their ROW rows (meta: own, deleted,
-    quota; data: sketch) and a SET row."""
+    """Of every document a DOC row; of the first document of a class in a chunk,
+    if it shares a key, the ROW rows (meta: own, deleted, quota; data: sketch)
+    and a SET row.  A class may so have the same rows from several chunks."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFra
                 sets, size = shingle_sets(buf, offs, k)
                 cls = classes(sets, size).view(np.int64)
                 first = _firsts(cls)
-                yield out(DOC, ids, cls, size, np.zeros(len(size), np.int64), first,
+                yield out(DOC, ids, cls, size, np.zeros(len(size), np.int64), np.zeros(len(size)),
                           pa.nulls(len(size), pa.binary()))
                 ids = ids[first]
                 sets, size, cls = _only(first, sets, size, cls)
@@ -390,8 +390,15 @@ def compared(rows: DataFrame, p: Plan, star: bool) -> DataFrame:
             .mapInArrow(run, "a long, b long").distinct())
 
 
-def verified(pairs: DataFrame, sets: DataFrame, p: Plan) -> DataFrame:
-    """The pairs whose whole sets reach the threshold."""
+def verified(pairs: DataFrame, rows: DataFrame, p: Plan) -> DataFrame:
+    """The pairs (a written table) whose whole sets reach the threshold, written."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = pairs.sparkSession.sparkContext.broadcast(_bitmap(nodes, "node"))
+
+    def only_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_has(wanted.value, b.column(0).to_numpy())))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -401,10 +408,12 @@ def verified(pairs: DataFrame, sets: DataFrame, p: Plan) -> DataFrame:
                 keep.append(both * p.den >= (len(u) + len(v) - both) * p.num)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    sets = (rows.where(F.col("kind") == SET).select("node", "data")
+            .mapInArrow(only_wanted, "node long, data binary").dropDuplicates(["node"]))
     one = sets.select(F.col("node").alias("a"), F.col("data").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("data").alias("y"))
-    return (pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-            .mapInArrow(run, "a long, b long"))
+    return written(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+                   .mapInArrow(run, "a long, b long"))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3,
@@ -418,27 +427,26 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     p = make_plan(num, den, docs.count())
     shared = written(index_rows(docs, words, p).groupBy("key")
                      .agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x != y").select("key"))
-    rows = written(member_rows(docs, words, p, _bitmap(shared)))
+    rows = written(member_rows(docs, words, p, _bitmap(shared, "key")))
     is_doc, is_row = F.col("kind") == DOC, F.col("kind") == ROW
-    cls = written(rows.where(is_doc).groupBy("node", "n").agg(
-        F.min("doc_id").alias("least"), F.min(F.when(F.col("meta") == 1, F.col("doc_id"))).alias("doc_id")))
-    rep = cls.where("n > 0").select("node", "doc_id")
-    sets = written(rows.where(F.col("kind") == SET).join(rep, ["node", "doc_id"], "left_semi")
-                   .select("node", "data").dropDuplicates(["node"]))
-    members = (rows.where(is_row).join(rep, ["node", "doc_id"], "left_semi")
-               .join(shared, "key", "left_semi"))
-    size = members.groupBy("key").count().where("count > 1").select(
-        "key", F.ceil(F.col("count") / GROUP).cast("int").alias("of"))
-    members = written(
-        members.join(size, "key")
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
-        .select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
-                "chunk", "node", "n", "meta", "data"))
-    star = written(verified(compared(members.withColumn("comp", F.col("node")), p, True), sets, p))
+    cls = written(rows.where(is_doc).groupBy("node", "n").agg(F.min("doc_id").alias("least")))
+    slim = rows.where(is_row).select("key", "node")
+    hot = written(slim.groupBy("key").count().where(F.col("count") > GROUP).select(
+        "key", F.ceil(F.col("count") / GROUP).cast("int").alias("of")))
+    members = (rows.where(is_row).join(hot, "key", "left").withColumn("of", F.coalesce("of", F.lit(1)))
+               .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+               .select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                       "chunk", "node", "n", "meta", "data"))
+    star = written(compared(members.withColumn("comp", F.col("node")), p, True))
+    star = verified(star, rows, p)
     first = components(star)
-    known = members.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    cross = written(verified(compared(known, p, False), sets, p))
+    mixed = written(slim.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+                    .groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+                    .where("x != y").select("key"))
+    known = (members.join(mixed, "key", "left_semi").join(first, "node", "left")
+             .withColumn("comp", F.coalesce("comp", "node")))
+    cross = verified(written(compared(known, p, False)), rows, p)
     comp = first if cross.isEmpty() else components(star.union(cross))
     named = cls.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
