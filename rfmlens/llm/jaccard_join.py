@@ -14,10 +14,11 @@ Exact handling of the two usual weak spots:
   to ``H + 1 + z``; a document whose empty segments weigh at most ``z`` need
   not index them, because any link it has also matches a non-empty segment.
 * *Groups of similar but unlinked texts* share many keys.  Each key row
-  carries a sketch: one byte for each of the four sub-segments of the 16
-  segments around the key.  By the same counting some block with a shared key
-  differs in fewer elements than its weight, and so in fewer sub-segments:
-  all other pairs are dismissed inside the task, without being emitted.
+  carries a sketch: one byte for each of the four sub-segments of the block of
+  segments around the key.  The differences allowed to a pair of these sizes
+  are shared out among the blocks by weight (rounded up); some block with a
+  shared key keeps its share, and so differs in no more sub-segments.  All
+  other pairs are dismissed inside the task, without being emitted.
 
 Steps: (1) keys with more than one distinct set (map-side combined, so copies
 and hot keys collapse); (2) key rows, sketches and sets of their documents
@@ -51,7 +52,9 @@ from ._components import components
 from ._text import NOT_SPACE, U, chunks, counts_by, mix, span_hashes, word_spans
 
 FINE = 4                   # sub-segments of a segment
-BLOCK = 16                 # segments of a sketch
+BLOCK = 16                 # segments of a sketch of a large set
+SINGLE = 32                # up to so many segments, one sketch holds them all
+CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
 COMMON = 1e-3              # share of shingles that unrelated documents have in common
@@ -164,12 +167,13 @@ def classes(sets: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None = None) -> Iterator[tuple]:
-    """Index rows by family: (document, key, own, deleted, quota, sketch).
-
-    With a bitmap, only the rows whose key it holds, and with sketches.
+    """Index rows by family: (document, key, own, deleted, weights, sketch).
 
     A document indexes the family of its own band, and that of the band below
-    if sets of that band are large enough to link with it.
+    if sets of that band are large enough to link with it.  With a bitmap only
+    the rows whose key it holds, and with them the weights of block and family
+    and the spare weight (packed), and a function from a slice of the rows to
+    their sketches.
     """
     band = np.searchsorted(p.low, np.maximum(1, size), side="right") - 1
     d_all = np.repeat(np.arange(len(size)), size)
@@ -210,15 +214,29 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
         if not keep.any():
             continue
         slot, key, gone = slot[keep], key[keep], gone[keep]
-        block = seg // BLOCK
-        in_block = np.minimum(BLOCK, m[doc] - block * BLOCK)
-        weight = in_block + np.clip(p.loose[b[doc]] - block * BLOCK, 0, in_block)
+        of, at = doc[slot], seg[slot]
+        first, after = _block(at, m[of])
+        loose = p.loose[b[of]]
+        weight = after - first + np.clip(loose - first, 0, after - first)
+        weights = weight | (m[of] + loose) << 8 | p.spare[b[of]] << 36
         byte = (mix(part) & U(255)).astype(np.uint8)
-        start = (base[doc] + block * BLOCK) * FINE
-        cells = start[slot][:, None] + np.arange(BLOCK * FINE)
-        inside = np.arange(BLOCK * FINE) < (in_block[slot] * FINE)[:, None]
-        sketch = np.where(inside, byte[np.minimum(cells, len(byte) - 1)], np.uint8(0))
-        yield doc[slot], key, own, gone, weight[slot] - 1, sketch
+        lo, width = (base[of] + first) * FINE, (after - first) * FINE
+
+        def sketches(rows: slice) -> pa.Array:
+            n = width[rows]
+            start = np.r_[0, np.cumsum(n)]
+            take = np.arange(start[-1]) + np.repeat(lo[rows] - start[:-1], n)
+            return _binary(start, byte[take])
+
+        yield of, key, own, gone, weights, sketches
+
+
+def _block(seg: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First segment and end of the block of a segment: blocks of about equal size."""
+    blocks = np.where(m <= SINGLE, 1, -(-m // BLOCK))
+    at = (seg * blocks + blocks - 1) // m              # floor(i * m / blocks) <= seg
+    at = np.where(at * m // blocks > seg, at - 1, at)
+    return at * m // blocks, (at + 1) * m // blocks
 
 
 def _bitmap(found: DataFrame, key: str) -> np.ndarray:
@@ -264,7 +282,7 @@ def index_rows(docs: DataFrame, k: int, p: Plan) -> DataFrame:
     """(key, cls): every index row of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, buf, offs in chunks(b, "text"):
+            for _, buf, offs in chunks(b, "text", CHUNK):
                 sets, size = shingle_sets(buf, offs, k)
                 cls = classes(sets, size).view(np.int64)
                 sets, size, cls = _only(_firsts(cls), sets, size, cls)
@@ -280,7 +298,7 @@ DOC, ROW, SET = 0, 1, 2
 
 def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFrame:
     """Of every document a DOC row; of the first document of a class in a chunk,
-    if it shares a key, the ROW rows (meta: own, deleted, quota; data: sketch)
+    if it shares a key, the ROW rows (meta: own, deleted, weights; data: sketch)
     and a SET row.  A class may so have the same rows from several chunks."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -289,11 +307,11 @@ def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFra
             m = len(n)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(m, kind, np.int32)), pa.array(ids), pa.array(cls), pa.array(n.astype(np.int32)),
-                 pa.array(key), pa.array(meta.astype(np.int32)), data],
+                 pa.array(key), pa.array(meta.astype(np.int64)), data],
                 names=["kind", "doc_id", "node", "n", "key", "meta", "data"])
 
         for b in batches:
-            for r, buf, offs in chunks(b, "text"):
+            for r, buf, offs in chunks(b, "text", CHUNK):
                 ids = r.column(0).to_numpy(zero_copy_only=False)
                 sets, size = shingle_sets(buf, offs, k)
                 cls = classes(sets, size).view(np.int64)
@@ -303,20 +321,20 @@ def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFra
                 ids = ids[first]
                 sets, size, cls = _only(first, sets, size, cls)
                 hit = np.zeros(len(size), bool)
-                for doc, key, own, gone, quota, sketch in keys(sets, size, p, shared.value):
+                for doc, key, own, gone, weights, sketches in keys(sets, size, p, shared.value):
                     hit[doc] = True
                     for lo in range(0, len(doc), 16_384):
-                        d, part = doc[lo:lo + 16_384], slice(lo, lo + 16_384)
+                        part = slice(lo, lo + 16_384)
+                        d = doc[part]
                         yield out(ROW, ids[d], cls[d], size[d], key[part].view(np.int64),
-                                  int(own) + 2 * gone[part] + 4 * quota[part],
-                                  _binary(np.arange(len(d) + 1) * BLOCK * FINE, sketch[part]))
+                                  int(own) | gone[part] << 1 | weights[part] << 2, sketches(part))
                 if hit.any():
                     data, n, c = _only(hit, sets, size, cls)
                     yield out(SET, ids[hit], c, n, np.zeros(len(n), np.int64), np.zeros(len(n)),
                               _binary(np.r_[0, np.cumsum(n)] * 8, data))
 
     return (docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(
-        run, "kind int, doc_id long, node long, n int, key long, meta int, data binary"))
+        run, "kind int, doc_id long, node long, n int, key long, meta long, data binary"))
 
 
 def compared(rows: DataFrame, p: Plan, star: bool) -> DataFrame:
@@ -335,8 +353,12 @@ def compared(rows: DataFrame, p: Plan, star: bool) -> DataFrame:
               & (small * p.den >= big * p.num)
               & ((c["lo"][j] == c["hi"][j]) | (c["chunk"][j] != c["chunk"][i])))
         at = np.flatnonzero(ok)
-        other = c["data"][i[at]] if isinstance(i, np.ndarray) else c["data"][i]
-        ok[at] = (c["data"][j[at]] != other).sum(1) <= c["meta"][j[at]] >> 2
+        if not len(at):
+            return ok
+        j, i = j[at], i[at] if isinstance(i, np.ndarray) else i
+        block, whole, spare = c["meta"][j] >> 2 & 255, c["meta"][j] >> 10 & (1 << 28) - 1, c["meta"][j] >> 38
+        share = -(-block * (p.differ(c["n"][j].astype(np.int64), c["n"][i]) + 1 + spare) // whole) - 1
+        ok[at] = (c["data"][j] != c["data"][i]).sum(1) <= share
         return ok
 
     def stars(c: dict[str, np.ndarray], cut: np.ndarray) -> list:
@@ -373,7 +395,9 @@ def compared(rows: DataFrame, p: Plan, star: bool) -> DataFrame:
             c = {x: b.column(x).to_numpy() for x in names}
             data = b.column("data").cast(pa.large_binary())
             o = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
-            c["data"] = np.frombuffer(data.buffers()[2], np.uint8)[o[0]:o[-1]].reshape(b.num_rows, -1)
+            c["data"] = np.zeros((b.num_rows, SINGLE * FINE), np.uint8)
+            inside = np.arange(SINGLE * FINE) < np.diff(o)[:, None]
+            c["data"][inside] = np.frombuffer(data.buffers()[2], np.uint8)[o[0]:o[-1]]
             if rest is not None:
                 c = {x: np.concatenate([rest[x], v]) for x, v in c.items()}
             new = np.logical_or.reduce([c[x][1:] != c[x][:-1] for x in ("key", "lo", "hi")])
@@ -461,7 +485,7 @@ def _null_ids(docs: DataFrame, k: int) -> DataFrame:
     """Rows without an id: their set sizes, no component."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r, buf, offs in chunks(b, "text"):
+            for r, buf, offs in chunks(b, "text", CHUNK):
                 size = shingle_sets(buf, offs, k)[1].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [r.column(0), pa.array(size), pa.nulls(len(size), pa.int64())],

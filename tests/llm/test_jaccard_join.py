@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -130,9 +132,11 @@ def test_linked_sets_always_share_a_key_whose_sketch_passes(loose):
         if both * 100 < 80 * (len(a) + len(b) - both):
             continue
         rows = [{}, {}]
-        for d, key, own, gone, quota, sketch in jj.keys(np.r_[a, b], np.array([len(a), len(b)]), p, every):
-            for i, x, g, q, s in zip(d, key, gone, quota, sketch):
-                rows[i].setdefault(x, []).append((own, g, q, s))
+        for d, key, own, gone, weights, sketches in jj.keys(np.r_[a, b], np.array([len(a), len(b)]), p, every):
+            for i, x, g, w, s in zip(d, key, gone, weights.tolist(), sketches(slice(0, len(d))).to_pylist()):
+                share = math.ceil((w & 255) * (int(p.differ(len(a), len(b))) + 1 + (w >> 36))
+                                  / (w >> 8 & (1 << 28) - 1)) - 1
+                rows[i].setdefault(x, []).append((own, g, share, np.frombuffer(s, np.uint8)))
         assert np.array_equal(a, b) or any(
             (x[0] or y[0]) and not (x[1] and y[1]) and (x[3] != y[3]).sum() <= x[2]
             for k in rows[0].keys() & rows[1].keys() for x in rows[0][k] for y in rows[1][k])
@@ -155,3 +159,10 @@ def test_components(spark):
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in list(up)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_blocks_cover_all_segments():
+    for m in (1, 5, 32, 33, 48, 100, 1755):
+        first, after = jj._block(np.arange(m), np.full(m, m))
+        assert first[0] == 0 and after[-1] == m and ((first <= np.arange(m)) & (np.arange(m) < after)).all()
+        assert (after - first).max() <= jj.SINGLE and ((first[1:] == first[:-1]) | (first[1:] == after[:-1])).all()
