@@ -58,6 +58,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
     return contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -69,5 +74,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate, mixing
-    return {"op4_mixing": mixing.oracle_sql(), "op7_decontaminate": decontaminate.ORACLE_SQL}
+    from . import decontaminate, mixing, neighbours
+    return {"op4_mixing": mixing.oracle_sql(), "op6_neighbours": neighbours.ORACLE_SQL, "op7_decontaminate": decontaminate.ORACLE_SQL}
