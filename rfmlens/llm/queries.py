@@ -15,6 +15,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import license_scan
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return license_scan.scan(docs.select("doc_id", license_scan.document_path().alias("path"), "text"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -74,5 +80,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate, mixing, neighbours
-    return {"op4_mixing": mixing.oracle_sql(), "op6_neighbours": neighbours.ORACLE_SQL, "op7_decontaminate": decontaminate.ORACLE_SQL}
+    from . import decontaminate, license_scan, mixing, neighbours
+    return {"op2_license_scan": license_scan.oracle_sql(), "op4_mixing": mixing.oracle_sql(), "op6_neighbours": neighbours.ORACLE_SQL, "op7_decontaminate": decontaminate.ORACLE_SQL}
