@@ -1,15 +1,72 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: documents to a mixed, redacted, clean training corpus.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and reread as the next stage's ``docs``; all but the last return
+the columns of ``documents``.  Every stage works on all its predecessor kept.
+
+1. ``language``: rows without an identified, dominant language go.
+2. ``near_duplicates``: five-word shingles, Jaccard similarity 0.8 or more; of
+   each group of linked documents the one with the smallest id stays (rows
+   without an id, and texts without a word, link with nothing and stay).
+3. ``decontaminate``: documents that hold a window of ten consecutive words of
+   a benchmark item go.
+4. ``pii``: selected spans of personal data are replaced by their kind;
+   ``n_chars`` follows the text.
+5. ``mix``: documents repeated and cut to the target weights of the
+   domain-language-source tree, one row for each epoch.
+
+Empty tables pass through all stages as empty tables.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rfmlens.llm import decontaminate as _decontaminate
+from rfmlens.llm import jaccard_join, language, mixing, pii
+from rfmlens.llm._common import table, written
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_identified(docs, language.fit(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = jaccard_join.join(docs, words=5, num=80, den=100)
+    gone = groups.where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = pii.redact(docs, pii.fit(docs))
+    kind = docs.schema["n_chars"].dataType
+    return out.withColumn("n_chars", F.coalesce(F.length("text"), "n_chars").cast(kind)).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, mixing.TARGET, mixing.domain_of("source"))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontaminate", decontaminate),
+    ("pii", redact_pii),
+    ("mix", mix_sources),
+]
 
-STAGES: list = []
+#: The stages learn models and link near copies; SQL does not express them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each one's rows written and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
