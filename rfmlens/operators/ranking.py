@@ -3,134 +3,145 @@
 ``row_number() OVER (PARTITION BY g ORDER BY m DESC, id)`` is planned by
 Spark as one sort per group; with no ``g`` (the reference's global RFM
 ranks) or with a hot group holding a third of all rows, one task sorts it
-all.  ``rank_columns`` gives the same numbers with a range-bucketed plan:
-
-1. count rows per group (a partial/final aggregate); groups up to
-   ``bucket_rows`` rows keep the plain partitioned window;
-2. for the few large groups, approximate quantiles of the metric give cut
-   points (a bounded array per large group, collected once so that the
-   bucket of a row is a pure function of its values and re-evaluation after
-   an executor loss lands rows in the same buckets);
-3. each row gets a segment: an open interval between two cuts, or a cut
-   value itself.  A cut value that covers several quantiles (a heavy tie,
-   e.g. a frequency of 1 held by most entities) is split again by ranges of
-   the tie-break id, which is the order inside the tie;
-4. per-bucket row counts (a tiny table) turn into offsets by a running sum;
-   the final rank is the row number inside the bucket plus the offset.
-
-Ties are broken by the id column ascending, so ranks are reproducible and
-the reverse score equals ``N + 1 - rank``.
+all.  ``rank_columns`` computes the same numbers, for every input size and
+for all terms of a frame at once:
+
+1. the frame is written once with a row id; from that base every row gives
+   one narrow row per term: group, term, sort value, tie columns;
+2. these rows are range-partitioned by (group, term, value, ties) - ranges
+   need an order only, so ids may be of any type and ties of any length -
+   and written with the number of their range;
+3. a range's count in each (group, term) gives the offsets of the later
+   ranges (a running sum over a table of ranges, not rows);
+4. the rank is the row number inside the range plus the offset; the terms
+   of a row meet again by its row id.
+
+Writing the ranged rows before they are numbered pins the range of every
+row, so a lost executor re-reads the same ranges.
+
+Ties are broken by the tie columns ascending; pass the full key of the
+ranked entity, so that ranks are reproducible and the reverse score equals
+``N + 1 - rank``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import RANK_BUCKET_ROWS_KEY, conf_int, cut_lineage
+from ..session import write_once
 
-DEFAULT_BUCKET_ROWS = 4_000_000
-MAX_BUCKETS = 2048          # cut points per large group
-MAX_LARGE_GROUPS = 4096     # groups beyond this keep the plain window
-MAX_SMALL_GROUPS = 10_000   # group sizes collected in one go up to this many groups
-QUANTILE_ACCURACY = 100_000
+# Rows a frame declared ``bounded`` may have in one group.
+BOUNDED_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class RankSpec:
-    """One rank: ``out`` = row number by ``metric`` (desc or asc), then ``tie`` asc."""
+    """One rank: ``out`` = row number by ``metric`` (desc or asc), then ties asc."""
     metric: str
     out: str
     descending: bool = True
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                  rprefix: str) -> Column | None:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[rprefix + k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _order(metric: str, tie: Sequence[str], descending: bool) -> list[Column]:
-    m = F.col(metric).desc() if descending else F.col(metric).asc()
-    return [m] + [F.col(t).asc() for t in tie]
-
-
 def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] | str,
                  partition_by: Sequence[str] = (), count_col: str | None = None,
-                 bucket_rows: int | None = None, bounded: bool = False) -> DataFrame:
+                 bounded: bool = False) -> DataFrame:
     """Add one exact row-number column per spec (see module doc).
 
     ``count_col`` also attaches the group size (= the largest rank); as in
     the reference's join back on the group keys, it is NULL when a group key
-    is NULL.  Metrics and the tie columns must be non-NULL.
+    is NULL.  NULL metrics sort as in Spark (first ascending, last
+    descending).
 
-    ``bounded=True`` declares that the input is bounded by dimension sizes
-    (e.g. country pairs: at most |countries|^2 x 2 rows): plain windows, no
-    statistics job.  Otherwise the caller should pass a persisted frame, as
-    it is read several times.
+    ``bounded=True`` is for frames bounded by dimension sizes (country
+    pairs: at most |countries|^2 x 2 rows): plain windows, whose plan fails
+    with a message if a group has more than ``BOUNDED_ROWS`` rows.
     """
     tie = [tie] if isinstance(tie, str) else list(tie)
     parts = list(partition_by)
     if bounded:
-        out = df
-        if count_col is not None:
-            out = out.withColumn(count_col, _guarded(
-                parts, F.count(F.lit(1)).over(Window.partitionBy(*parts))))
-        for s in specs:
-            w = Window.partitionBy(*parts).orderBy(*_order(s.metric, tie, s.descending))
-            out = out.withColumn(s.out, F.row_number().over(w))
-        return out
-    spark = df.sparkSession
-    target = bucket_rows or conf_int(spark, RANK_BUCKET_ROWS_KEY, DEFAULT_BUCKET_ROWS)
-    # Read several times below (sizes, cut points, bucket counts, ranks):
-    # materialize once and start the rank plans from the written copy.
-    if not _is_checkpointed(df):
-        df = cut_lineage(df)
-
-    stats = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
-    # One job: all group sizes when there are few groups (the usual case:
-    # countries, regions, or the single global group), else the large ones.
-    few = stats.limit(MAX_SMALL_GROUPS + 1).collect()
-    if len(few) <= MAX_SMALL_GROUPS:
-        large = [r for r in few if r["__n"] > target]
-        st_rows = few
-    else:
-        stats = stats.persist()
-        large = stats.filter(F.col("__n") > target).limit(MAX_LARGE_GROUPS).collect()
-        st_rows = None
-
-    out = df
+        return _plain(df, specs, tie, parts, count_col)
+    base = write_once(df.withColumn("__id", F.monotonically_increasing_id()))
+    out = base
+    for same in _by_type(base, specs):
+        ranks = _ranged(base, same, tie, parts, count_col is not None and same[0] is specs[0])
+        out = out.join(ranks, "__id")
     if count_col is not None:
-        out = _attach_count(out, stats, parts, count_col, st_rows)
-    if not large or len(tie) != 1:
-        # Small groups only (or a composite tie key): plain partitioned window.
-        for s in specs:
-            w = Window.partitionBy(*parts).orderBy(*_order(s.metric, tie, s.descending))
-            out = out.withColumn(s.out, F.row_number().over(w))
-        return out
+        out = out.withColumn(count_col, _guarded(parts, F.col("__size")))
+    return out.select(*df.columns, *([count_col] if count_col else []), *[s.out for s in specs])
 
-    n_buckets = min(MAX_BUCKETS, max(2, math.ceil(max(r["__n"] for r in large) / target)))
-    large_keys = spark.createDataFrame(
-        [tuple(r[k] for k in parts) for r in large] if parts else [(1,)],
-        T.StructType([df.schema[k] for k in parts]) if parts
-        else T.StructType([T.StructField("__one", T.IntegerType())]))
+
+def _plain(df: DataFrame, specs: Sequence[RankSpec], tie: list[str], parts: list[str],
+           count_col: str | None) -> DataFrame:
+    n = F.count(F.lit(1)).over(Window.partitionBy(*parts))
+    too_large = F.raise_error(F.lit(f"a bounded rank met a group of more than {BOUNDED_ROWS} rows"))
+    out = df.withColumn("__n", n)
     for s in specs:
-        out = _bucketed_rank(out, s, tie[0], parts, large_keys, n_buckets)
-    return out
+        m = F.col(s.metric).desc() if s.descending else F.col(s.metric).asc()
+        w = Window.partitionBy(*parts).orderBy(m, *[F.col(t).asc() for t in tie])
+        out = out.withColumn(s.out, F.when(F.col("__n") <= BOUNDED_ROWS, F.row_number().over(w))
+                             .otherwise(too_large.cast("int")))
+    size = [] if count_col is None else [_guarded(parts, F.col("__n")).alias(count_col)]
+    return out.select(*df.columns, *size, *[s.out for s in specs])
 
 
-def _is_checkpointed(df: DataFrame) -> bool:
-    """True when the plan is a bare scan of checkpointed rows."""
-    return df._jdf.queryExecution().logical().getClass().getSimpleName() == "LogicalRDD"
+def _by_type(df: DataFrame, specs: Sequence[RankSpec]) -> list[list[RankSpec]]:
+    """Specs whose metrics share a sort type (exact numbers; each other type)."""
+    groups: dict[str, list[RankSpec]] = {}
+    for s in specs:
+        t = df.schema[s.metric].dataType
+        exact = isinstance(t, (T.IntegralType, T.DecimalType))
+        groups.setdefault("exact" if exact else t.simpleString(), []).append(s)
+    return list(groups.values())
+
+
+def _sort_value(df: DataFrame, s: RankSpec, exact: T.DataType | None) -> Column:
+    c = F.col(s.metric).cast(exact) if exact is not None else F.col(s.metric)
+    return -c if s.descending else c
+
+
+def _ranged(base: DataFrame, specs: list[RankSpec], tie: list[str], parts: list[str],
+            with_size: bool) -> DataFrame:
+    """__id, the rank columns of specs of one sort type, and __size of the group."""
+    types = [base.schema[s.metric].dataType for s in specs]
+    exact = None
+    if all(isinstance(t, T.IntegralType) for t in types):
+        exact = T.LongType()
+    elif all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        exact = T.DecimalType(38, max(t.scale for t in types if isinstance(t, T.DecimalType)))
+    # a group is one string: NULL keys stay groups of their own, and joins are plain
+    group = F.concat_ws("\u0001", F.lit(""), *[
+        F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("-")) for k in parts])
+    terms = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("term"), F.isnull(s.metric).alias("none") if s.descending
+                 else F.isnotnull(s.metric).alias("none"), _sort_value(base, s, exact).alias("value"))
+        for i, s in enumerate(specs)]))
+    ties = [F.col(t).alias(f"__t{i}") for i, t in enumerate(tie)]
+    order = ["term.none", "term.value", *[f"__t{i}" for i in range(len(tie))]]
+    rows = (base.select("__id", group.alias("__g"), *ties, terms.alias("term"))
+            .repartitionByRange("__g", "term.term", *order)
+            .select("__id", "__g", F.col("term.term").alias("__term"), F.col("term.none").alias("__none"),
+                    F.col("term.value").alias("__value"), *[f"__t{i}" for i in range(len(tie))],
+                    F.spark_partition_id().alias("__range")))
+    rows = write_once(rows)
+    whole = Window.partitionBy("__g", "__term")
+    offsets = (rows.groupBy("__range", "__g", "__term").agg(F.count(F.lit(1)).alias("__c"))
+               .withColumn("__n", F.sum("__c").over(whole))
+               .withColumn("__off", F.coalesce(F.sum("__c").over(
+                   whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    w = (Window.partitionBy("__range", "__g", "__term")
+         .orderBy("__none", "__value", *[f"__t{i}" for i in range(len(tie))]))
+    numbered = (rows.withColumn("__rn", F.row_number().over(w))
+                .join(offsets.drop("__c"), ["__range", "__g", "__term"])
+                .withColumn("__rank", (F.col("__rn") + F.col("__off")).cast("bigint")))
+    out = numbered.groupBy("__id").agg(
+        *[F.max(F.when(F.col("__term") == i, F.col("__rank"))).alias(s.out) for i, s in enumerate(specs)],
+        F.max("__n").alias("__size"))
+    return out if with_size else out.drop("__size")
 
 
 def _guarded(parts: list[str], c: Column) -> Column:
@@ -140,112 +151,6 @@ def _guarded(parts: list[str], c: Column) -> Column:
     return c if cond is None else F.when(cond, c)
 
 
-def _attach_count(df: DataFrame, stats: DataFrame, parts: list[str], count_col: str,
-                  st_rows: list | None) -> DataFrame:
-    """Join the group sizes back.  With the sizes already on the driver (few
-    groups) the table is rebuilt from them and broadcast; otherwise it is
-    joined by key (AQE decides the strategy from its real size)."""
-    spark = df.sparkSession
-    if st_rows is not None:
-        schema = T.StructType([T.StructField("__s_" + k, df.schema[k].dataType) for k in parts]
-                              + [T.StructField(count_col, T.LongType())])
-        st = F.broadcast(spark.createDataFrame(
-            [tuple(r[k] for k in parts) + (int(r["__n"]),) for r in st_rows], schema))
-    else:
-        st = stats.select(*[F.col(k).alias("__s_" + k) for k in parts],
-                          F.col("__n").cast("bigint").alias(count_col))
-    if not parts:
-        return df.crossJoin(st)
-    cond = None
-    for k in parts:  # plain equality: a NULL key gets a NULL count (reference join)
-        c = df[k] == st["__s_" + k]
-        cond = c if cond is None else cond & c
-    return df.join(st, cond, "left").drop(*["__s_" + k for k in parts])
-
-
-def _bucketed_rank(df: DataFrame, spec: RankSpec, tie: str, parts: list[str],
-                   large_keys: DataFrame, n_buckets: int) -> DataFrame:
-    spark = df.sparkSession
-    m, mtype = spec.metric, df.schema[spec.metric].dataType
-    ttype = df.schema[tie].dataType
-    fractions = [i / n_buckets for i in range(1, n_buckets)]
-
-    # -- 1. cut points of the metric per large group (bounded: groups x buckets)
-    if parts:
-        lk = F.broadcast(large_keys.select(*[F.col(k).alias("__l_" + k) for k in parts]))
-        in_large = df.join(lk, _null_safe_on(df, lk, parts, "__l_"), "left_semi")
-    else:
-        in_large = df
-    q_rows = (in_large.groupBy(*parts)
-              .agg(F.percentile_approx(m, fractions, QUANTILE_ACCURACY).alias("__q"))
-              .collect())
-    cuts_by_group, heavy = {}, []
-    max_mult = 1
-    for r in q_rows:
-        g = tuple(r[k] for k in parts)
-        q = list(r["__q"])
-        counts: dict = {}
-        for v in q:
-            counts[v] = counts.get(v, 0) + 1
-        cuts_by_group[g] = sorted(counts)
-        for v, c in counts.items():
-            if c >= 2:  # a tie wider than one bucket: split it by the id
-                heavy.append(g + (v,))
-                max_mult = max(max_mult, c)
-
-    # -- 2. id cut points inside heavy ties (bounded: heavy values x multiplicity)
-    id_cuts: dict = {}
-    if heavy:
-        hv_schema = T.StructType([df.schema[k] for k in parts] + [T.StructField("__v", mtype)])
-        hv = F.broadcast(spark.createDataFrame(heavy, hv_schema)
-                         .select(*[F.col(k).alias("__h_" + k) for k in parts], "__v"))
-        cond = _null_safe_on(df, hv, parts, "__h_")
-        cond = (df[m] == hv["__v"]) if cond is None else cond & (df[m] == hv["__v"])
-        sub_fr = [j / (max_mult + 1) for j in range(1, max_mult + 1)]
-        for r in (df.join(hv, cond, "left_semi").groupBy(*parts, m)
-                  .agg(F.percentile_approx(tie, sub_fr, QUANTILE_ACCURACY).alias("__t"))
-                  .collect()):
-            g = tuple(r[k] for k in parts)
-            id_cuts.setdefault(g, {})[r[m]] = sorted(set(r["__t"]))
-
-    # -- 3. small cut table, broadcast: one row per large group
-    cut_schema = T.StructType(
-        [T.StructField("__c_" + k, df.schema[k].dataType) for k in parts]
-        + [T.StructField("__cuts", T.ArrayType(mtype)),
-           T.StructField("__hv", T.MapType(mtype, T.ArrayType(ttype)))])
-    cut_rows = [g + (cuts_by_group[g], id_cuts.get(g, {})) for g in cuts_by_group]
-    cut_df = F.broadcast(spark.createDataFrame(cut_rows, cut_schema))
-    if parts:
-        b = df.join(cut_df, _null_safe_on(df, cut_df, parts, "__c_"), "left")
-        b = b.drop(*["__c_" + k for k in parts])
-    else:
-        b = df.crossJoin(cut_df)
-    x, t = F.col(m), F.col(tie)
-    lt = F.size(F.filter("__cuts", lambda c: c < x))
-    eq = F.array_contains("__cuts", x).cast("int")
-    seg = F.coalesce(2 * lt + eq, F.lit(0))
-    sub = F.coalesce(F.size(F.filter(F.try_element_at("__hv", x), lambda c: c < t)), F.lit(0))
-    b = b.withColumn("__seg", seg).withColumn("__sub", sub).drop("__cuts", "__hv")
-
-    # -- 4. offsets from per-bucket counts (tiny table), then rank in bucket
-    seg_order = F.col("__seg").desc() if spec.descending else F.col("__seg").asc()
-    cnt = (b.groupBy(*parts, "__seg", "__sub").agg(F.count(F.lit(1)).alias("__cnt")))
-    wo = (Window.partitionBy(*parts).orderBy(seg_order, F.col("__sub").asc())
-          .rowsBetween(Window.unboundedPreceding, -1))
-    offs = cnt.select(*[F.col(k).alias("__o_" + k) for k in parts], "__seg", "__sub",
-                      F.coalesce(F.sum("__cnt").over(wo), F.lit(0)).alias("__off"))
-    offs = F.broadcast(offs.withColumnRenamed("__seg", "__o_seg")
-                       .withColumnRenamed("__sub", "__o_sub"))
-    cond = (b["__seg"] == offs["__o_seg"]) & (b["__sub"] == offs["__o_sub"])
-    for k in parts:
-        cond = cond & b[k].eqNullSafe(offs["__o_" + k])
-    b = b.join(offs, cond, "left").drop("__o_seg", "__o_sub", *["__o_" + k for k in parts])
-    w = Window.partitionBy(*parts, "__seg", "__sub").orderBy(
-        *_order(m, [tie], spec.descending))
-    b = b.withColumn(spec.out, F.row_number().over(w) + F.coalesce(F.col("__off"), F.lit(0)))
-    return b.drop("__seg", "__sub", "__off")
-
-
 def top_k(df: DataFrame, partition_by: Sequence[str], order: Sequence[Column], k: int,
           rank_col: str = "rnk") -> DataFrame:
     """The first ``k`` rows per group (Spark plans a WindowGroupLimit)."""

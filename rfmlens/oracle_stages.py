@@ -5,6 +5,11 @@ from __future__ import annotations
 from .oracle import RUN_DATE, WINDOW_END, div, lvl3, lvl5, query, quint, rnd, scale15, view
 
 D = "::DOUBLE"
+# Ties: the full key of the ranked entity, ascending (NULLs first, as Spark sorts).
+S_ASC = "streamer_id, streamer_country_id NULLS FIRST, streamer_country_name NULLS FIRST"
+S_DESC = "streamer_id DESC, streamer_country_id DESC NULLS LAST, streamer_country_name DESC NULLS LAST"
+U_ASC = ("user_id, user_country_id NULLS FIRST, user_country_name NULLS FIRST, "
+         "is_user_vip NULLS FIRST")
 
 # ==========================================================================
 # Streamer stage
@@ -43,16 +48,16 @@ SELECT streamer_id, streamer_country_id, streamer_country_name,
        CAST(MIN(COALESCE(recency_call_interval, 999)) AS BIGINT) AS recency
 FROM v_call_base GROUP BY streamer_id, streamer_country_id, streamer_country_name""")
 
-view("v_s_ranks", """
+view("v_s_ranks", f"""
 SELECT *,
-  ROW_NUMBER() OVER (ORDER BY frequency DESC, streamer_id) AS frequency_rnk,
-  ROW_NUMBER() OVER (ORDER BY frequency ASC, streamer_id DESC) AS frequency_score,
-  ROW_NUMBER() OVER (ORDER BY monetary DESC, streamer_id) AS monetary_rnk,
-  ROW_NUMBER() OVER (ORDER BY monetary ASC, streamer_id DESC) AS monetary_score,
-  ROW_NUMBER() OVER (ORDER BY monetary1 DESC, streamer_id) AS monetary1_rnk,
-  ROW_NUMBER() OVER (ORDER BY monetary1 ASC, streamer_id DESC) AS monetary1_score,
-  ROW_NUMBER() OVER (ORDER BY recency ASC, streamer_id) AS recency_rnk,
-  ROW_NUMBER() OVER (ORDER BY recency DESC, streamer_id DESC) AS recency_score
+  ROW_NUMBER() OVER (ORDER BY frequency DESC, {S_ASC}) AS frequency_rnk,
+  ROW_NUMBER() OVER (ORDER BY frequency ASC, {S_DESC}) AS frequency_score,
+  ROW_NUMBER() OVER (ORDER BY monetary DESC, {S_ASC}) AS monetary_rnk,
+  ROW_NUMBER() OVER (ORDER BY monetary ASC, {S_DESC}) AS monetary_score,
+  ROW_NUMBER() OVER (ORDER BY monetary1 DESC, {S_ASC}) AS monetary1_rnk,
+  ROW_NUMBER() OVER (ORDER BY monetary1 ASC, {S_DESC}) AS monetary1_score,
+  ROW_NUMBER() OVER (ORDER BY recency ASC, {S_ASC}) AS recency_rnk,
+  ROW_NUMBER() OVER (ORDER BY recency DESC, {S_DESC}) AS recency_score
 FROM v_s_values""")
 
 view("v_s_comb", f"""
@@ -73,7 +78,7 @@ FROM v_s_scaled s LEFT JOIN v_streamer_weight w ON s.streamer_id = w.streamer_id
 view("v_s_level", f"""
 SELECT r.*, {rnd(div('r.rfm_rnk', 'm.rfm_rnk_max'), 2)} AS rfm_rnk_percentage
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY streamer_country_id, streamer_country_name
-                                   ORDER BY rfm_score DESC, streamer_id) AS rfm_rnk
+                                   ORDER BY rfm_score DESC, {S_ASC}) AS rfm_rnk
       FROM v_s_score) r
 LEFT JOIN (SELECT streamer_country_id, streamer_country_name, COUNT(*) AS rfm_rnk_max
            FROM v_s_score GROUP BY streamer_country_id, streamer_country_name) m
@@ -337,10 +342,10 @@ SELECT user_id, user_country_id, user_country_name, is_user_vip,
        CAST(MIN(COALESCE(recency_call_interval, 999)) AS BIGINT) AS recency
 FROM v_user_base GROUP BY user_id, user_country_id, user_country_name, is_user_vip""")
 
-view("v_uq_ranks", """
-SELECT *, ROW_NUMBER() OVER (ORDER BY frequency DESC, user_id) AS frequency_rnk,
-          ROW_NUMBER() OVER (ORDER BY monetary DESC, user_id) AS monetary_rnk,
-          ROW_NUMBER() OVER (ORDER BY recency ASC, user_id) AS recency_rnk
+view("v_uq_ranks", f"""
+SELECT *, ROW_NUMBER() OVER (ORDER BY frequency DESC, {U_ASC}) AS frequency_rnk,
+          ROW_NUMBER() OVER (ORDER BY monetary DESC, {U_ASC}) AS monetary_rnk,
+          ROW_NUMBER() OVER (ORDER BY recency ASC, {U_ASC}) AS recency_rnk
 FROM v_uq_values""")
 
 view("v_uq_scores", f"""
@@ -358,7 +363,7 @@ FROM v_uq_scores""")
 view("v_uq_level", f"""
 SELECT r.*, {rnd(div('r.rfm_rnk', 'm.rfm_rnk_max'), 2)} AS rfm_rnk_percentage
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_country_id, user_country_name
-                                   ORDER BY rfm_score DESC, user_id) AS rfm_rnk FROM v_uq_score) r
+                                   ORDER BY rfm_score DESC, {U_ASC}) AS rfm_rnk FROM v_uq_score) r
 LEFT JOIN (SELECT user_country_id, user_country_name, COUNT(*) AS rfm_rnk_max
            FROM v_uq_score GROUP BY user_country_id, user_country_name) m
   ON r.user_country_id = m.user_country_id AND r.user_country_name = m.user_country_name""")
@@ -379,11 +384,11 @@ SELECT user_id, user_country_id, user_country_name, is_user_vip,
        CAST(MIN(COALESCE(recency_call_interval, 999)) AS BIGINT) AS recency
 FROM v_user_base GROUP BY user_id, user_country_id, user_country_name, is_user_vip""")
 
-view("v_ut_ranks", """
-SELECT *, ROW_NUMBER() OVER (ORDER BY frequency DESC, user_id) AS frequency_rnk,
-          ROW_NUMBER() OVER (ORDER BY monetary1 DESC, user_id) AS monetary1_rnk,
-          ROW_NUMBER() OVER (ORDER BY monetary2 DESC, user_id) AS monetary2_rnk,
-          ROW_NUMBER() OVER (ORDER BY recency ASC, user_id) AS recency_rnk
+view("v_ut_ranks", f"""
+SELECT *, ROW_NUMBER() OVER (ORDER BY frequency DESC, {U_ASC}) AS frequency_rnk,
+          ROW_NUMBER() OVER (ORDER BY monetary1 DESC, {U_ASC}) AS monetary1_rnk,
+          ROW_NUMBER() OVER (ORDER BY monetary2 DESC, {U_ASC}) AS monetary2_rnk,
+          ROW_NUMBER() OVER (ORDER BY recency ASC, {U_ASC}) AS recency_rnk
 FROM v_ut_values""")
 
 view("v_ut_comb", f"""
@@ -412,7 +417,7 @@ query("rfm_score_user", f"SELECT {UT}, user_region_name, {UT_R}, rfm_combination
 view("v_ul_country", f"""
 SELECT r.*, {rnd(div('r.rfm_rnk', 'm.rfm_rnk_max'), 6)} AS rfm_rnk_percentage
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_region_name, user_country_id, user_country_name
-                                   ORDER BY rfm_score DESC, user_id) AS rfm_rnk FROM v_ut_score) r
+                                   ORDER BY rfm_score DESC, {U_ASC}) AS rfm_rnk FROM v_ut_score) r
 LEFT JOIN (SELECT user_region_name, user_country_id, user_country_name, COUNT(*) AS rfm_rnk_max
            FROM v_ut_score GROUP BY user_region_name, user_country_id, user_country_name) m
   ON r.user_region_name = m.user_region_name AND r.user_country_id = m.user_country_id
@@ -420,7 +425,7 @@ LEFT JOIN (SELECT user_region_name, user_country_id, user_country_name, COUNT(*)
 
 view("v_ul_region", f"""
 SELECT r.*, {rnd(div('r.region_rfm_rnk', 'm.mx'), 6)} AS region_rfm_rnk_percentage
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_region_name ORDER BY rfm_score DESC, user_id)
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_region_name ORDER BY rfm_score DESC, {U_ASC})
                 AS region_rfm_rnk FROM v_ut_score) r
 LEFT JOIN (SELECT user_region_name, COUNT(*) AS mx FROM v_ut_score GROUP BY user_region_name) m
   ON r.user_region_name = m.user_region_name""")

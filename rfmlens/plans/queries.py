@@ -136,19 +136,19 @@ def q_rfm_values_streamer(t: Tables):
 @register("global_rank_streamer")
 def q_global_rank_streamer(t: Tables):
     """Global ranks and reverse scores of the four streamer terms."""
-    return S.rfm_ranks(S.streamer_values(_s_base(t)), "streamer_id")
+    return S.rfm_ranks(S.streamer_values(_s_base(t)), S.STREAMER_KEYS)
 
 
 @register("rfm_combine_streamer")
 def q_rfm_combine_streamer(t: Tables):
     """RFM blend over the inverse ranks."""
-    return S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)), "streamer_id"))
+    return S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)), S.STREAMER_KEYS))
 
 
 @register("minmax_global")
 def q_minmax_global(t: Tables):
     """Global max and min of the blended score (one row)."""
-    c = S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)), "streamer_id"))
+    c = S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)), S.STREAMER_KEYS))
     return c.agg(F.max("rfm_combination_score").alias("rfm_combination_score_max"),
                  F.min("rfm_combination_score").alias("rfm_combination_score_min"))
 
@@ -156,8 +156,7 @@ def q_minmax_global(t: Tables):
 @register("rfm_score_streamer")
 def q_rfm_score_streamer(t: Tables):
     """guarded global min-max scale to 1..5."""
-    return S.scale_global(S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)),
-                                                       "streamer_id")))
+    return S.scale_global(S.combine_scores(S.rfm_ranks(S.streamer_values(_s_base(t)), S.STREAMER_KEYS)))
 
 
 @register("weighted_score_streamer")
@@ -735,7 +734,7 @@ def _tag(t: Tables) -> str:
 # ---- streaming -------------------------------------------------------------------
 @register("request_match_stream")
 def q_request_match_stream(t: Tables):
-    """J1 as a watermarked stream-stream join over the events as they arrive
+    """J1 as a stream-stream join over the events as they arrive
     (file stream source, availableNow trigger); same rows as the batch join."""
     from ..sources.fixtures import request_record_from, video_record_from
     from ..streaming.request_match import match_stream, run_available

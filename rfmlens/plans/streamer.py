@@ -80,13 +80,13 @@ def apply_weight(scored: DataFrame, weights: DataFrame) -> DataFrame:
 
 def streamer_scores(base: DataFrame, weights: DataFrame | None) -> DataFrame:
     """Streamer RFM values, global ranks, blend, 1-5 scale, weight."""
-    d = cut_lineage(combine_scores(rfm_ranks(streamer_values(base), "streamer_id")))
+    d = cut_lineage(combine_scores(rfm_ranks(streamer_values(base), STREAMER_KEYS)))
     d = scale_global(d)
     d = apply_weight(d, weights) if weights is not None else d
     return cut_lineage(d)
 
 
-def country_level(scores: DataFrame, partition_by=STREAMER_COUNTRY, tie="streamer_id",
+def country_level(scores: DataFrame, partition_by=STREAMER_COUNTRY, tie=tuple(STREAMER_KEYS),
                   digits: int = LEVEL_DIGITS) -> DataFrame:
     """Rank by score inside the country, rank percentage, level 1-3."""
     d = rank_columns(scores, [RankSpec("rfm_score", "rfm_rnk", True)], tie,

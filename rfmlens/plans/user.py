@@ -32,7 +32,7 @@ def quintile_scores(base: DataFrame) -> DataFrame:
     d = rank_columns(v, [RankSpec("frequency", "frequency_rnk", True),
                          RankSpec("monetary", "monetary_rnk", True),
                          RankSpec("recency", "recency_rnk", False)],
-                     "user_id", (), count_col="__n")
+                     USER_KEYS, (), count_col="__n")
     for m in ("frequency", "monetary", "recency"):
         d = (d.withColumn(f"{m}_rnk", F.col(f"{m}_rnk").cast("bigint"))
              .withColumn(f"{m}_rnk_max", F.col("__n"))
@@ -45,7 +45,7 @@ def quintile_scores(base: DataFrame) -> DataFrame:
 def quintile_level(calls: DataFrame, run_date: str) -> DataFrame:
     """job_user_quintile_level (U01-U03): level 1-3 of the quintile score per country."""
     s = quintile_scores(user_call_base(calls, run_date))
-    d = country_level(s, USER_COUNTRY, "user_id")
+    d = country_level(s, USER_COUNTRY, USER_KEYS)
     return d.select(*USER_KEYS, "frequency", "monetary", "recency",
                     "frequency_rnk", "monetary_rnk", "recency_rnk",
                     "frequency_score", "monetary_score", "recency_score",
@@ -63,7 +63,7 @@ def total_ranks(values: DataFrame) -> DataFrame:
     d = rank_columns(values, [RankSpec("frequency", "frequency_rnk", True),
                               RankSpec("monetary1", "monetary1_rnk", True),
                               RankSpec("monetary2", "monetary2_rnk", True),
-                              RankSpec("recency", "recency_rnk", False)], "user_id", ())
+                              RankSpec("recency", "recency_rnk", False)], USER_KEYS, ())
     for c in ("frequency_rnk", "monetary1_rnk", "monetary2_rnk", "recency_rnk"):
         d = d.withColumn(c, F.col(c).cast("bigint"))
     return d
@@ -95,13 +95,13 @@ def total_score(calls: DataFrame, country_region: DataFrame, run_date: str) -> D
 def region_levels(score: DataFrame) -> DataFrame:
     """Rank percentage (6 digits) and level 1-3 inside region-country,
     and level 1-5 inside region.  NULL region -> NULL percentage -> last level."""
-    d = rank_columns(score, [RankSpec("rfm_score", "rfm_rnk", True)], "user_id",
+    d = rank_columns(score, [RankSpec("rfm_score", "rfm_rnk", True)], USER_KEYS,
                      ["user_region_name", *USER_COUNTRY], count_col="rfm_rnk_max")
     d = d.withColumn("rfm_rnk", F.col("rfm_rnk").cast("bigint"))
     d = d.withColumn("rfm_rnk_percentage", rank_pct("rfm_rnk", "rfm_rnk_max", 6))
     d = d.withColumn("level", level3("rfm_rnk_percentage")).drop("rfm_rnk_max")
     d = cut_lineage(d)
-    r = rank_columns(d, [RankSpec("rfm_score", "region_rfm_rnk", True)], "user_id",
+    r = rank_columns(d, [RankSpec("rfm_score", "region_rfm_rnk", True)], USER_KEYS,
                      ["user_region_name"], count_col="__rmax")
     r = r.withColumn("region_rfm_rnk", F.col("region_rfm_rnk").cast("bigint"))
     r = r.withColumn("region_rfm_rnk_percentage", rank_pct("region_rfm_rnk", "__rmax", 6))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,9 +26,6 @@ BASE_CONF = {
 # Local runs only: remove checkpoint files once their frames are unreachable.
 LOCAL_ONLY_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
-# Conf key (ours) for the number of rows one rank bucket may hold before a
-# group is split into range buckets; see operators/ranking.py.
-RANK_BUCKET_ROWS_KEY = "rfmlens.rank.bucketRows"
 # Conf key (ours) for the largest row count a side may have to be broadcast.
 BROADCAST_ROWS_KEY = "rfmlens.broadcast.maxRows"
 
@@ -87,6 +85,17 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def write_once(df):
+    """Write ``df`` as Parquet below the shared checkpoint folder and return a
+    frame that reads it: columnar (consumers read the columns they need),
+    pinned (row ids and ranges stay what they were), and re-read, not
+    recomputed, when an executor is lost."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/once-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     v = spark.conf.get(key, None)
     return int(v) if v not in (None, "") else default

@@ -38,3 +38,19 @@ def test_streaming_match_equals_batch(spark):
     assert s.count() == b.count() > 0
     assert _same(s, b)
     assert s.filter(F.col("create_time") <= F.col("end_time")).count() == s.count()
+
+
+def test_streaming_match_in_six_batches_out_of_order(spark, tmp_path):
+    from rfmlens.sources.fixtures import FIXTURE_GAP_S, request_record_from, video_record_from
+    from rfmlens.streaming.request_match import match_stream, run_available
+    sf = "/root/testdata/sf0.01"
+    want = E.queries()["request_match_join"](spark, sf)
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    part = F.pmod(F.xxhash64(F.col("event_id")), F.lit(6))
+    events.repartition(6, part).write.option("maxRecordsPerFile", 0).parquet(str(tmp_path / "events"))
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .parquet(str(tmp_path / "events")))
+    m = match_stream(request_record_from(stream), video_record_from(stream), FIXTURE_GAP_S)
+    got = run_available(spark, m, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert got.count() == want.count() == 221
+    assert _same(got.select(*want.columns), want)

@@ -1,10 +1,20 @@
-"""Bucketed exact ranks equal the plain window, with heavy ties and groups."""
+"""Range-partitioned exact ranks equal the plain window, with heavy ties and groups."""
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rfmlens.operators.ranking import RankSpec, rank_columns, top_k
 
 
+@pytest.fixture(autouse=True)
+def many_ranges(spark):
+    """Keep the ranges small inputs would be merged into one of."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, "true")
+
+
 def _plain(df, metric, tie, parts, desc):
     o = F.col(metric).desc() if desc else F.col(metric).asc()
     return F.row_number().over(Window.partitionBy(*parts).orderBy(o, F.col(tie)))
@@ -22,7 +32,7 @@ def test_bucketed_global_rank_matches_window(t01):
     u = _users(t01).cache()
     specs = [RankSpec("freq", "r_f", True), RankSpec("len", "r_l", True),
              RankSpec("rec", "r_r", False)]
-    got = rank_columns(u, specs, "user_id", (), count_col="n", bucket_rows=50)
+    got = rank_columns(u, specs, "user_id", (), count_col="n")
     exp = (u.withColumn("e_f", _plain(u, "freq", "user_id", [], True))
            .withColumn("e_l", _plain(u, "len", "user_id", [], True))
            .withColumn("e_r", _plain(u, "rec", "user_id", [], False)))
@@ -39,7 +49,7 @@ def test_bucketed_global_rank_matches_window(t01):
 def test_bucketed_group_rank_matches_window(t01):
     u = _users(t01).cache()
     got = rank_columns(u, [RankSpec("freq", "r", True)], "user_id", ["user_region_name"],
-                       count_col="n", bucket_rows=40)
+                       count_col="n")
     exp = u.withColumn("e", _plain(u, "freq", "user_id", ["user_region_name"], True))
     j = got.join(exp.select("user_id", "e"), "user_id")
     assert j.filter(F.col("r") != F.col("e")).count() == 0
@@ -52,7 +62,7 @@ def test_heavy_tie_split(spark):
     # 300 rows share one metric value: the tie is split by id ranges.
     rows = [(i, 1 if i < 300 else i) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, m long")
-    got = rank_columns(df, [RankSpec("m", "r", True)], "id", (), bucket_rows=20)
+    got = rank_columns(df, [RankSpec("m", "r", True)], "id", ())
     exp = {r["id"]: r["e"] for r in df.withColumn(
         "e", _plain(df, "m", "id", [], True)).collect()}
     for r in got.collect():
@@ -70,9 +80,57 @@ def test_bucketed_rank_with_null_group(spark):
     # a large NULL group and a large named group, both split into buckets
     rows = [(None if i % 2 else "A", i, i % 7) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, id long, m long")
-    got = rank_columns(df, [RankSpec("m", "r", True)], "id", ["g"], count_col="n", bucket_rows=50)
+    got = rank_columns(df, [RankSpec("m", "r", True)], "id", ["g"], count_col="n")
     exp = {r["id"]: r["e"] for r in df.withColumn("e", _plain(df, "m", "id", ["g"], True)).collect()}
     out = got.collect()
     assert all(r["r"] == exp[r["id"]] for r in out)
     assert all((r["n"] is None) == (r["g"] is None) for r in out)
     assert {r["n"] for r in out if r["g"] == "A"} == {300}
+
+
+def _ranks(df, **kw):
+    specs = [RankSpec("f", "rf", True), RankSpec("m", "rm", True), RankSpec("d", "rd", True),
+             RankSpec("r", "rr", False)]
+    return rank_columns(df, specs, ["id", "country"], **kw)
+
+
+def _entities(spark, ids):
+    # several profile rows per id, heavy ties, NULL metrics and tie columns
+    rows = [(i, c, k % 3, None if k % 11 == 0 else float(k % 5), k % 4, f"g{k % 2}" if k % 7 else None)
+            for k, (i, c) in enumerate((i, c) for i in ids for c in ("x", None))]
+    return spark.createDataFrame(rows, f"id {'string' if isinstance(ids[0], str) else 'long'}, country string, "
+                                 "f long, d double, r int, g string").withColumn(
+        "m", F.col("f").cast("decimal(20,4)") / 7)
+
+
+@pytest.mark.parametrize("ids", [[f"u{i % 97:03d}x{i}" for i in range(200)], list(range(200))])
+@pytest.mark.parametrize("parts", [[], ["g"]])
+def test_terms_of_any_type_with_composite_ties(spark, ids, parts):
+    df = _entities(spark, ids)
+    got = _ranks(df, partition_by=parts, count_col="n")
+    exp = df
+    for c, out, desc in (("f", "rf", True), ("m", "rm", True), ("d", "rd", True), ("r", "rr", False)):
+        o = F.col(c).desc() if desc else F.col(c).asc()
+        exp = exp.withColumn(out, F.row_number().over(Window.partitionBy(*parts).orderBy(o, "id", "country")))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*parts))
+    exp = exp.withColumn("n", F.when(F.col("g").isNotNull(), n) if parts else n)
+    cols = ["id", "country", "g", "rf", "rm", "rd", "rr", "n"]
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, got.select(*cols).collect())) == sorted(map(key, exp.select(*cols).collect()))
+
+
+def test_ranks_do_not_change_after_a_repartition(spark):
+    df = _entities(spark, list(range(300)))
+    one = {(r.id, r.country): (r.rf, r.rm, r.rd, r.rr) for r in _ranks(df).collect()}
+    two = {(r.id, r.country): (r.rf, r.rm, r.rd, r.rr) for r in _ranks(df.repartition(7, F.rand(3))).collect()}
+    assert one == two and len(one) == 600
+
+
+def test_bounded_rank_refuses_large_groups(spark, monkeypatch):
+    from rfmlens.operators import ranking
+    df = spark.range(50).withColumn("m", F.col("id") % 5)
+    got = rank_columns(df, [RankSpec("m", "r", True)], "id", bounded=True)
+    assert got.agg(F.max("r")).first()[0] == 50
+    monkeypatch.setattr(ranking, "BOUNDED_ROWS", 49)
+    with pytest.raises(Exception, match="bounded rank"):
+        rank_columns(df, [RankSpec("m", "r", True)], "id", bounded=True).collect()
