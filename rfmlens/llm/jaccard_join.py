@@ -13,20 +13,22 @@ Exact handling of the two usual weak spots:
 * *Empty segments* would put unrelated documents together.  The weights sum
   to ``H + 1 + z``; a document whose empty segments weigh at most ``z`` need
   not index them, because any link it has also matches a non-empty segment.
-* *Groups of similar but unlinked texts* share many keys.  Each key row
-  carries a sketch: one byte for each of the four sub-segments of the block of
-  segments around the key.  The differences allowed to a pair of these sizes
-  are shared out among the blocks by weight (rounded up); some block with a
-  shared key keeps its share, and so differs in no more sub-segments.  All
-  other pairs are dismissed inside the task, without being emitted.
+* *Groups of similar but unlinked texts* share many keys.  Every document that
+  shares a key keeps a sketch: one byte for each sub-segment of its segments.
+  Two sets differ in at least as many elements as their sketches do in bytes,
+  which dismisses most pairs before whole sets are read.  Inside a group only
+  the block of segments around the key is compared: the differences allowed to
+  a pair of these sizes are shared out among the blocks by weight (rounded
+  up); some block with a shared key keeps its share.  Pairs that do not are
+  dismissed inside the task, without being emitted.
 
 Steps: (1) keys with more than one distinct set (map-side combined, so copies
-and hot keys collapse); (2) key rows, sketches and sets of their documents
-(a bitmap of fixed size thins the rest, an exact join follows); (3) in every
-group the members are compared with one leader, survivors verified on whole
-sets, links united to components; (4) pairs of a group that are in different
-components are compared by sketch, survivors verified, components united.
-Equal sets are one class throughout.  Large groups are cut into chunk pairs.
+and hot keys collapse); (2) key rows, sketches and sets of their documents (a
+bitmap of fixed size thins the rest); (3) the members of a group are paired
+with its first and its last member, survivors verified on whole sets, links
+united to components; (4) pairs of a group that are in different components
+are compared by block, survivors verified, components united.  Equal sets are
+one class throughout.  Large groups are cut into chunk pairs.
 
 Defined results: a null or empty text (or one of spaces) has the empty set
 and is linked with nothing; fewer words than a shingle make one shingle of
@@ -51,9 +53,9 @@ from ._common import written
 from ._components import components
 from ._text import NOT_SPACE, U, chunks, counts_by, mix, span_hashes, word_spans
 
-FINE = 4                   # sub-segments of a segment
-BLOCK = 16                 # segments of a sketch of a large set
-SINGLE = 32                # up to so many segments, one sketch holds them all
+SINGLE = 32                # a set of so many segments is one block of finer sub-segments
+BLOCK = 16                 # segments of a block of a larger set
+FINEST, FINE = 16, 4       # sub-segments of a segment: of one block, of many
 CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
@@ -167,13 +169,13 @@ def classes(sets: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None = None) -> Iterator[tuple]:
-    """Index rows by family: (document, key, own, deleted, weights, sketch).
+    """Index rows by family: (document, key).
 
     A document indexes the family of its own band, and that of the band below
     if sets of that band are large enough to link with it.  With a bitmap only
-    the rows whose key it holds, and with them the weights of block and family
-    and the spare weight (packed), and a function from a slice of the rows to
-    their sketches.
+    the rows whose key it holds: (document, key, own, deleted, weights of block
+    and family and spare weight (packed), start and length of the block's
+    bytes (packed), bytes of all sketches, their offsets by document).
     """
     band = np.searchsorted(p.low, np.maximum(1, size), side="right") - 1
     d_all = np.repeat(np.arange(len(size)), size)
@@ -189,11 +191,13 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
         base = np.r_[0, np.cumsum(m)]
         pick = use[d_all]
         d, h = d_all[pick], sets[pick]
-        fine = (mix(h + U(99)) % (m[d] * FINE).astype(np.uint64)).astype(np.int64)
-        at = base[d] * FINE + fine
-        part = _sums(at, h, base[-1] * FINE)
-        full = part.reshape(-1, FINE).sum(1, dtype=np.uint64)
-        count = np.bincount(at // FINE, minlength=base[-1])
+        fineness = np.where(m <= SINGLE, FINEST, FINE)
+        wide = np.r_[0, np.cumsum(m * fineness)]
+        fine = (mix(h + U(99)) % (m * fineness)[d].astype(np.uint64)).astype(np.int64)
+        part = _sums(wide[d] + fine, h, wide[-1])
+        sl = base[d] + fine // fineness[d]
+        full = _sums(sl, h, base[-1])
+        count = np.bincount(sl, minlength=base[-1])
         doc = np.repeat(np.arange(len(size)), m)
         seg = np.arange(base[-1]) - base[doc]
         salt = mix(seg.astype(np.uint64) * U(1000003) + b[doc].astype(np.uint64) * U(7919) + U(17))
@@ -202,13 +206,12 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
         shy = np.bincount(doc, empty, len(size)) <= p.spare[b]       # need not index empty segments
         slot = np.flatnonzero(~(shy[doc] & (count == 0)))
         key, gone = mix(full[slot] * U(3) + salt[slot]), np.zeros(len(slot), bool)
-        sl = at // FINE
         drop = np.flatnonzero(is_loose[sl] & ~(shy[d] & (count[sl] == 1)))
         if len(drop):
             key = np.r_[key, mix((full[sl[drop]] - h[drop]) * U(3) + salt[sl[drop]])]
             slot, gone = np.r_[slot, sl[drop]], np.r_[gone, np.ones(len(drop), bool)]
         if bitmap is None:
-            yield doc[slot], key, own, gone, None, None
+            yield doc[slot], key
             continue
         keep = _has(bitmap, key)
         if not keep.any():
@@ -219,16 +222,9 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
         loose = p.loose[b[of]]
         weight = after - first + np.clip(loose - first, 0, after - first)
         weights = weight | (m[of] + loose) << 8 | p.spare[b[of]] << 36
+        span = first * fineness[of] | (after - first) * fineness[of] << 32
         byte = (mix(part) & U(255)).astype(np.uint8)
-        lo, width = (base[of] + first) * FINE, (after - first) * FINE
-
-        def sketches(rows: slice) -> pa.Array:
-            n = width[rows]
-            start = np.r_[0, np.cumsum(n)]
-            take = np.arange(start[-1]) + np.repeat(lo[rows] - start[:-1], n)
-            return _binary(start, byte[take])
-
-        yield of, key, own, gone, weights, sketches
+        yield of, key, own, gone, weights, span, byte, wide
 
 
 def _block(seg: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,107 +282,130 @@ def index_rows(docs: DataFrame, k: int, p: Plan) -> DataFrame:
                 sets, size = shingle_sets(buf, offs, k)
                 cls = classes(sets, size).view(np.int64)
                 sets, size, cls = _only(_firsts(cls), sets, size, cls)
-                for doc, key, *_ in keys(sets, size, p):
+                for doc, key in keys(sets, size, p):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(cls[doc])], names=["key", "cls"])
 
     return docs.select("text").mapInArrow(run, "key long, cls long")
 
 
-DOC, ROW, SET = 0, 1, 2
+DOC, ROW, SKETCH, SET = 0, 1, 2, 3
 
 
 def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFrame:
     """Of every document a DOC row; of the first document of a class in a chunk,
-    if it shares a key, the ROW rows (meta: own, deleted, weights; data: sketch)
-    and a SET row.  A class may so have the same rows from several chunks."""
+    if it shares a key, ROW rows (meta: own, deleted, weights; span: block of
+    the sketch), a SKETCH row of each family (meta: own) and a SET row.  A class
+    may so have the same rows from several chunks."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(kind, ids, cls, n, key, meta, data):
-            m = len(n)
+        def out(kind, cls, n, ids=None, key=None, meta=None, span=None, data=None):
+            m, none = len(n), pa.nulls(len(n), pa.int64())
+            long = lambda x: none if x is None else pa.array(x.astype(np.int64))
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(m, kind, np.int32)), pa.array(ids), pa.array(cls), pa.array(n.astype(np.int32)),
-                 pa.array(key), pa.array(meta.astype(np.int64)), data],
-                names=["kind", "doc_id", "node", "n", "key", "meta", "data"])
+                [pa.array(np.full(m, kind, np.int32)), long(ids), pa.array(cls), pa.array(n.astype(np.int32)),
+                 none if key is None else pa.array(key.view(np.int64)), long(meta), long(span),
+                 pa.nulls(m, pa.binary()) if data is None else data],
+                names=["kind", "doc_id", "node", "n", "key", "meta", "span", "data"])
 
         for b in batches:
             for r, buf, offs in chunks(b, "text", CHUNK):
                 ids = r.column(0).to_numpy(zero_copy_only=False)
                 sets, size = shingle_sets(buf, offs, k)
                 cls = classes(sets, size).view(np.int64)
-                first = _firsts(cls)
-                yield out(DOC, ids, cls, size, np.zeros(len(size), np.int64), np.zeros(len(size)),
-                          pa.nulls(len(size), pa.binary()))
-                ids = ids[first]
-                sets, size, cls = _only(first, sets, size, cls)
+                yield out(DOC, cls, size, ids)
+                sets, size, cls = _only(_firsts(cls), sets, size, cls)
                 hit = np.zeros(len(size), bool)
-                for doc, key, own, gone, weights, sketches in keys(sets, size, p, shared.value):
-                    hit[doc] = True
-                    for lo in range(0, len(doc), 16_384):
-                        part = slice(lo, lo + 16_384)
-                        d = doc[part]
-                        yield out(ROW, ids[d], cls[d], size[d], key[part].view(np.int64),
-                                  int(own) | gone[part] << 1 | weights[part] << 2, sketches(part))
+                for doc, key, own, gone, weights, span, byte, wide in keys(sets, size, p, shared.value):
+                    yield out(ROW, cls[doc], size[doc], key=key, span=span,
+                              meta=int(own) | gone.astype(np.int64) << 1 | weights << 2)
+                    mine = np.zeros(len(size), bool)
+                    mine[doc] = True
+                    hit |= mine
+                    width = np.diff(wide)
+                    yield out(SKETCH, cls[mine], size[mine], meta=np.full(mine.sum(), int(own)),
+                              data=_binary(np.r_[0, np.cumsum(width[mine])], byte[np.repeat(mine, width)]))
                 if hit.any():
                     data, n, c = _only(hit, sets, size, cls)
-                    yield out(SET, ids[hit], c, n, np.zeros(len(n), np.int64), np.zeros(len(n)),
-                              _binary(np.r_[0, np.cumsum(n)] * 8, data))
+                    yield out(SET, c, n, data=_binary(np.r_[0, np.cumsum(n)] * 8, data))
 
     return (docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(
-        run, "kind int, doc_id long, node long, n int, key long, meta long, data binary"))
+        run, "kind int, doc_id long, node long, n int, key long, meta long, span long, data binary"))
 
 
-def compared(rows: DataFrame, p: Plan, star: bool) -> DataFrame:
-    """Distinct pairs (a, b) of a group that pass their sketches.
+def sketched(pairs: DataFrame, sketches: DataFrame, p: Plan) -> DataFrame:
+    """Of (a, na, b, nb, own), with a in its own family, those whose sketches
+    differ in no more bytes than linked sets of these sizes may in elements."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            most = p.differ(b.column("na").to_numpy().astype(np.int64), b.column("nb").to_numpy())
+            keep = [(np.frombuffer(x.as_py(), np.uint8) != np.frombuffer(y.as_py(), np.uint8)).sum() <= h
+                    for x, y, h in zip(b.column("x"), b.column("y"), most)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ``rows``: key, lo, hi, chunk, node, n, meta, data, comp.  ``star``: only
-    against the first whole own member of a group.
+    one = sketches.where("own = 1").select(F.col("node").alias("a"), F.col("data").alias("x"))
+    two = sketches.select(F.col("node").alias("b"), "own", F.col("data").alias("y"))
+    return (pairs.join(one, "a").join(two, ["b", "own"]).select("a", "b", "na", "nb", "x", "y")
+            .mapInArrow(run, "a long, b long")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def compared(rows: DataFrame, p: Plan) -> DataFrame:
+    """Distinct pairs of a group, of different components, whose blocks pass:
+    (a, na, b, nb, own) as ``sketched`` takes them.
+
+    ``rows``: key, lo, hi, chunk, node, n, meta, data, comp.
     """
     names = ("key", "lo", "hi", "chunk", "node", "n", "meta", "comp")
 
-    def passing(c: dict[str, np.ndarray], i, j: np.ndarray) -> np.ndarray:
-        """Which rows j may link with the rows (or the row) i of their group."""
+    def passing(c: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs of rows of a group may be links."""
         big, small = np.maximum(c["n"][j], c["n"][i]), np.minimum(c["n"][j], c["n"][i])
         own, gone = c["meta"] & 1, c["meta"] >> 1 & 1
-        ok = ((c["comp"][j] != c["comp"][i]) & (gone[j] & gone[i] == 0) & (own[j] | own[i] == 1)
-              & (small * p.den >= big * p.num)
-              & ((c["lo"][j] == c["hi"][j]) | (c["chunk"][j] != c["chunk"][i])))
-        at = np.flatnonzero(ok)
-        if not len(at):
-            return ok
-        j, i = j[at], i[at] if isinstance(i, np.ndarray) else i
-        block, whole, spare = c["meta"][j] >> 2 & 255, c["meta"][j] >> 10 & (1 << 28) - 1, c["meta"][j] >> 38
-        share = -(-block * (p.differ(c["n"][j].astype(np.int64), c["n"][i]) + 1 + spare) // whole) - 1
-        ok[at] = (c["data"][j] != c["data"][i]).sum(1) <= share
-        return ok
-
-    def stars(c: dict[str, np.ndarray], cut: np.ndarray) -> list:
+        ok = np.flatnonzero((c["comp"][j] != c["comp"][i]) & (gone[j] & gone[i] == 0) & (own[j] | own[i] == 1)
+                            & (small * p.den >= big * p.num)
+                            & ((c["lo"][j] == c["hi"][j]) | (c["chunk"][j] != c["chunk"][i])))
+        keep = []
+        for part in np.array_split(ok, len(ok) // 16_384 + 1):
+            x, y = i[part], j[part]
+            meta = c["meta"][y]
+            block, whole, spare = meta >> 2 & 255, meta >> 10 & (1 << 28) - 1, meta >> 38
+            share = -(-block * (p.differ(c["n"][x].astype(np.int64), c["n"][y]) + 1 + spare) // whole) - 1
+            keep.append(part[(c["data"][x] != c["data"][y]).sum(1) <= share])
+        return np.concatenate(keep)
+
+    def crossings(c: dict[str, np.ndarray], cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The passing pairs of the groups that hold several components."""
+        mixed = np.minimum.reduceat(c["comp"], cut[:-1]) != np.maximum.reduceat(c["comp"], cut[:-1])
         size = np.diff(cut)
-        whole = np.where((c["meta"] & 3) == 1, np.arange(len(c["key"])), len(c["key"]))
-        lead = np.repeat(np.minimum.reduceat(whole, cut[:-1]), size)
-        j = np.flatnonzero(lead < len(c["key"]))
-        j = j[passing(c, lead[j], j)]
-        return [(lead[j], j)]
-
-    def crossings(c: dict[str, np.ndarray], cut: np.ndarray) -> list:
-        out = []
-        mixed = (np.minimum.reduceat(c["comp"], cut[:-1]) != np.maximum.reduceat(c["comp"], cut[:-1]))
-        for g in np.flatnonzero(mixed).tolist():
-            for i in range(cut[g], cut[g + 1] - 1):
-                j = np.arange(i + 1, cut[g + 1])
-                j = j[passing(c, i, j)]
-                if len(j):
-                    out.append((np.full(len(j), i), j))
-        return out
+        row = np.flatnonzero(np.repeat(mixed, size))
+        after = np.repeat(cut[1:], size)[row] - row - 1          # later rows of the group
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        total = np.r_[0, np.cumsum(after)]
+        lo = 0
+        while lo < len(row):                                     # about 256k pairs at a time
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + (1 << 18), side="right")) - 1)
+            n = after[lo:hi]
+            i = np.repeat(row[lo:hi], n)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+            ok = passing(c, i, j)
+            left.append(i[ok])
+            right.append(j[ok])
+            lo = hi
+        return np.concatenate(left), np.concatenate(right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(c: dict[str, np.ndarray], cut: np.ndarray) -> pa.RecordBatch:
-            got = (stars if star else crossings)(c, cut) if len(cut) > 1 else []
-            i, j = (np.concatenate(x) for x in zip(*got)) if got else np.zeros((2, 0), np.int64)
-            ab = np.sort(np.stack([c["node"][i], c["node"][j]], 1), axis=1)
-            ab = np.unique(ab, axis=0) if len(ab) else ab
-            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
+            i, j = crossings(c, cut) if len(cut) > 1 else np.zeros((2, 0), np.int64)
+            own = c["meta"] & 1
+            # a is in its own family; of two such, the smaller node
+            swap = (own[i] == 0) | ((own[j] == 1) & (c["node"][j] < c["node"][i]))
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            got = np.stack([c["node"][i], c["n"][i], c["node"][j], c["n"][j], own[j]], 1)
+            got = np.unique(got, axis=0) if len(got) else got
+            return pa.RecordBatch.from_arrays([pa.array(got[:, x].astype(np.int64)) for x in range(5)],
+                                              names=["a", "na", "b", "nb", "own"])
 
         rest: dict[str, np.ndarray] | None = None       # the last group of a batch may go on
         for b in batches:
@@ -395,8 +414,8 @@ def compared(rows: DataFrame, p: Plan, star: bool) -> DataFrame:
             c = {x: b.column(x).to_numpy() for x in names}
             data = b.column("data").cast(pa.large_binary())
             o = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
-            c["data"] = np.zeros((b.num_rows, SINGLE * FINE), np.uint8)
-            inside = np.arange(SINGLE * FINE) < np.diff(o)[:, None]
+            c["data"] = np.zeros((b.num_rows, SINGLE * FINEST), np.uint8)
+            inside = np.arange(SINGLE * FINEST) < np.diff(o)[:, None]
             c["data"][inside] = np.frombuffer(data.buffers()[2], np.uint8)[o[0]:o[-1]]
             if rest is not None:
                 c = {x: np.concatenate([rest[x], v]) for x, v in c.items()}
@@ -408,10 +427,9 @@ def compared(rows: DataFrame, p: Plan, star: bool) -> DataFrame:
             yield pairs(rest, np.array([0, len(rest["key"])]))
 
     order = ("key", "lo", "hi")
-    rows = rows.where("lo = hi") if star else rows
     return (rows.select("key", "lo", "hi", "chunk", "node", "n", "meta", "comp", "data")
             .repartition(*order).sortWithinPartitions(*order, "node")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "a long, na long, b long, nb long, own long").distinct())
 
 
 def verified(pairs: DataFrame, rows: DataFrame, p: Plan) -> DataFrame:
@@ -454,23 +472,32 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     rows = written(member_rows(docs, words, p, _bitmap(shared, "key")))
     is_doc, is_row = F.col("kind") == DOC, F.col("kind") == ROW
     cls = written(rows.where(is_doc).groupBy("node", "n").agg(F.min("doc_id").alias("least")))
-    slim = rows.where(is_row).select("key", "node")
-    hot = written(slim.groupBy("key").count().where(F.col("count") > GROUP).select(
-        "key", F.ceil(F.col("count") / GROUP).cast("int").alias("of")))
-    members = (rows.where(is_row).join(hot, "key", "left").withColumn("of", F.coalesce("of", F.lit(1)))
-               .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
+    slim = written(rows.where(is_row).select("key", "node", "n", "meta", "span").dropDuplicates())
+    sketches = written(rows.where(F.col("kind") == SKETCH).select("node", F.col("meta").alias("own"), "data")
+                       .dropDuplicates(["node", "own"]))
+    # every member of a group with its first and its last whole member of the family's own band
+    whole = F.struct("node", "n")
+    ends = slim.where("(meta & 3) = 1").groupBy("key").agg(F.min(whole).alias("x"), F.max(whole).alias("y"))
+    star = (slim.join(ends, "key")
+            .select(F.explode(F.array("x", "y")).alias("e"), "node", "n", F.col("meta").bitwiseAND(1).alias("own"))
+            .select(F.col("e.node").alias("a"), F.col("e.n").alias("na"), F.col("node").alias("b"),
+                    F.col("n").alias("nb"), "own").where("a != b")
+            .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).distinct())
+    star = verified(written(sketched(star, sketches, p)), rows, p)
+    first = components(star)
+    known = written(slim.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    mixed = written(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                             F.count("*").alias("size")).where("x != y")
+                    .select("key", F.ceil(F.col("size") / GROUP).cast("int").alias("of")))
+    place = F.col("span").bitwiseAND((1 << 32) - 1).cast("int") + 1
+    members = (known.join(mixed, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+               .withColumn("own", F.col("meta").bitwiseAND(1)).join(sketches, ["node", "own"])
                .select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
-                       "chunk", "node", "n", "meta", "data"))
-    star = written(compared(members.withColumn("comp", F.col("node")), p, True))
-    star = verified(star, rows, p)
-    first = components(star)
-    mixed = written(slim.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-                    .groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                    .where("x != y").select("key"))
-    known = (members.join(mixed, "key", "left_semi").join(first, "node", "left")
-             .withColumn("comp", F.coalesce("comp", "node")))
-    cross = verified(written(compared(known, p, False)), rows, p)
+                       "chunk", "node", "n", "meta", "comp",
+                       F.substring("data", place, F.shiftright("span", 32).cast("int")).alias("data")))
+    cross = written(compared(members, p))
+    cross = verified(written(sketched(cross, sketches, p)), rows, p)
     comp = first if cross.isEmpty() else components(star.union(cross))
     named = cls.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
