@@ -1,4 +1,4 @@
-"""Join operators: checked broadcast, lookups, default-fill, semi filters,
+"""Join operators: lookups, default-fill, semi filters,
 group-total attach and the time-bounded request-to-call match."""
 
 from __future__ import annotations
@@ -8,62 +8,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_ROWS_KEY, conf_int
-
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows (``limit`` stops early).  The answer
-    is kept by plan (semantic hash), so a dimension used by several
-    operators of a run is counted once.
-    """
-    if max_rows is None:
-        max_rows = conf_int(df.sparkSession, BROADCAST_ROWS_KEY, DEFAULT_BROADCAST_ROWS)
-    key = (df.semanticHash(), max_rows)
-    small = _CHECKED.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _CHECKED[key] = small
-    return small
-
-
-_CHECKED: dict[tuple[int, int], bool] = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
-                       bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only after checking its size.
-
-    ``bound_by`` names a frame whose row count bounds ``df``'s (``df`` is a
-    projection / distinct / filter of it); the check then runs on that
-    source, once.  A large side is returned as is: Spark plans a shuffle
-    join, and AQE may still convert it at run time from real sizes.
-    """
-    return F.broadcast(df) if is_small(bound_by if bound_by is not None else df,
-                                       max_rows) else df
-
-
 def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of the given columns (GROUP BY without aggregates)."""
     return (df.select(*cols) if cols else df).distinct()
 
 
 def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
-           take: Mapping[str, str], max_rows: int | None = None) -> DataFrame:
+           take: Mapping[str, str]) -> DataFrame:
     """Left lookup of ``take`` (dim column -> output name) by one key.
 
     The dimension is de-duplicated on the key and the taken columns first
-    (as the reference's ``group by``), then broadcast behind a size check.
+    (as the reference's ``group by``); Spark picks the join from real sizes.
     A name with two rows in the dimension fans out, as in the reference.
     """
     cols = [right_on] + [c for c in take if c != right_on]
     d = dedup(dim, cols)
     d = d.select(F.col(right_on).alias("__lk"),
                  *[F.col(src).alias(dst) for src, dst in take.items()])
-    d = broadcast_if_small(d, max_rows, bound_by=dim)
     out = df.join(d, df[left_on] == d["__lk"], "left").drop("__lk")
     return out
 
@@ -99,19 +60,14 @@ def attach_group(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
     return df
 
 
-def attach_scalar(df: DataFrame, agg_row: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row (broadcast nested loop)."""
-    return df.crossJoin(F.broadcast(agg_row))
-
-
 def pair_grid(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every left key row with every right key row.
 
     Both sides are distinct lists of dimension values (user country or
-    region x vip; streamer country), bounded by the country dimension, so
-    the right side is broadcast after a size check.
+    region x vip; streamer country), by contract bounded by the country
+    dimension, so the right side is broadcast.
     """
-    return left.crossJoin(broadcast_if_small(right))
+    return left.crossJoin(F.broadcast(right))
 
 
 def interval_match(req: DataFrame, calls: DataFrame, keys: Sequence[tuple[str, str]],

@@ -794,7 +794,7 @@ SELECT CAST(streamer_id AS VARCHAR) AS streamer_id, CAST(streamer_country_id AS
        CAST(trunc(monetary1) AS BIGINT) AS monetary1, recency, frequency_rnk, monetary_rnk, monetary1_rnk,
        recency_rnk, frequency_score, monetary_score, monetary1_score, recency_score,
        rfm_combination_score, rfm_score FROM v_s_score""")
-query("backfill_match", f"""
+_MATCH_ROWS = """
 SELECT CAST(c.user_id AS VARCHAR) AS user_id, CAST(c.user_country_id AS VARCHAR) AS user_country_id,
        c.user_country_name, c.vip_level AS is_user_vip, CAST(c.streamer_id AS VARCHAR) AS streamer_id,
        '' AS streamer_country_id, s.country_name_ab AS streamer_country_name,
@@ -804,5 +804,8 @@ SELECT CAST(c.user_id AS VARCHAR) AS user_id, CAST(c.user_country_id AS VARCHAR)
        CAST(c.gift_gold_coin_amount AS DOUBLE) AS gift_gold_coin_amount,
        CAST(c.day AS VARCHAR) AS day
 FROM v_calls c JOIN (SELECT DISTINCT user_id, country_name_ab FROM v_streamer_country) s
-  ON c.streamer_id = s.user_id
+  ON c.streamer_id = s.user_id"""
+query("backfill_match", _MATCH_ROWS + f"""
 WHERE c.day BETWEEN DATE '{WINDOW_END}' - INTERVAL 26 DAY AND DATE '{WINDOW_END}' - INTERVAL 1 DAY""")
+query("write_empty_day", _MATCH_ROWS + f"""
+WHERE c.day BETWEEN DATE '{WINDOW_END}' - INTERVAL 3 DAY AND DATE '{WINDOW_END}' - INTERVAL 2 DAY""")

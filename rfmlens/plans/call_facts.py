@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import call_start
 from ..operators.aggregates import coin_total, gift_total
-from ..operators.joins import broadcast_if_small, dedup, interval_match, left_fill, lookup
+from ..operators.joins import dedup, interval_match, left_fill, lookup
 
 GAP_S = 60  # reference: a call counts for a click when it starts < 60 s later
 
@@ -181,9 +181,6 @@ def call_match(calls: DataFrame, streamer_country: DataFrame, country_region: Da
                     "gift_gold_coin_amount")
 
 
-__all__ = ["broadcast_if_small"]
-
-
 def day_list(end: str, first_back: int, last_back: int) -> list[str]:
     """Days end-first_back .. end-last_back as ISO strings (driver-side,
     a handful of dates: the backfill range)."""

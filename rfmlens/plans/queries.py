@@ -721,11 +721,24 @@ def q_backfill_match(t: Tables):
     spark = t.spark
     path = K.table_path(spark, "call_match_backfill_" + _tag(t))
     d = CF.backfill_rows(t.calls, t.streamer_country, WINDOW_END, 26, 1)
-    K.write_days(d, path, "day", K.table_schema("call_match"))
-    days = [r for r in CF.day_list(WINDOW_END, 26, 1)]
+    days = CF.day_list(WINDOW_END, 26, 1)
+    K.write_days(d, path, "day", K.table_schema("call_match"), days)
     return K.read_days(spark, path, days, "day", K.table_schema("call_match"))
 
 
+@register("write_empty_day")
+def q_write_empty_day(t: Tables):
+    """Three days of matches are written, then the last one is
+    rewritten without rows; its rows are gone, the other days stay."""
+    path = K.table_path(t.spark, "call_match_empty_day_" + _tag(t))
+    schema = K.table_schema("call_match")
+    days = CF.day_list(WINDOW_END, 3, 1)
+    d = CF.backfill_rows(t.calls, t.streamer_country, WINDOW_END, 3, 1)
+    K.write_days(d, path, "day", schema, days)
+    K.write_day(d.limit(0).drop("day"), path, days[-1], "day", schema)
+    return K.read_days(t.spark, path, days, "day", schema)
+
+
 def _tag(t: Tables) -> str:
     import hashlib
     return hashlib.md5(t.sf_dir.encode()).hexdigest()[:10]

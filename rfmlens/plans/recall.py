@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag_from_if_vip, if_vip_from_flag, round_half_up, safe_div
-from ..operators.joins import broadcast_if_small, dedup, left_fill, lookup, semi_filter
+from ..operators.joins import dedup, left_fill, lookup, semi_filter
 from ..operators.ranking import RankSpec, rank_columns, top_k
 from ..operators.scores import BLEND_WEIGHTS, blend, minmax_scale, rate, share
 
@@ -238,5 +238,5 @@ def recall_top(dist: DataFrame, allow: DataFrame, g: RecallGrain,
     return share(top, keys, "preference", "percentage", 3)
 
 
-__all__ = ["broadcast_if_small", "blended_grid", "grid_shares", "recall_top", "activity",
+__all__ = ["blended_grid", "grid_shares", "recall_top", "activity",
            "behaviour", "integrate", "allow_filter", "allow_pairs_row", "allow_pairs_sum"]

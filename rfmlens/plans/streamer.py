@@ -3,7 +3,6 @@ mix and active counts (reference stage ``10``)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -26,8 +26,8 @@ BASE_CONF = {
 # Local runs only: remove checkpoint files once their frames are unreachable.
 LOCAL_ONLY_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
-# Conf key (ours) for the largest row count a side may have to be broadcast.
-BROADCAST_ROWS_KEY = "rfmlens.broadcast.maxRows"
+# Conf key (ours) for the folder of the day-partitioned tables.
+TABLE_ROOT_KEY = "rfmlens.table.root"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -58,14 +58,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when the cluster names none (tests, local runs)
-    is a fresh scratch folder created and registered.
+    checkpoint dir).  A local session that names none gets a fresh scratch
+    folder; on a cluster that is an error, as executors would not see it.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         d = tempfile.mkdtemp(prefix="rfmlens-ckpt-")
     if not (sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None):
         sc.setCheckpointDir(d)
@@ -73,16 +75,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialize ``df`` in the shared checkpoint folder and return a frame
-    that reads it back (reliable ``checkpoint``, never ``localCheckpoint``).
+    """Materialize ``df`` as a Parquet table in the shared folder.
 
-    Used at stage boundaries: downstream plans then start from a file scan,
-    so every re-optimization (AQE re-plans after each stage) works on a small
-    plan, and a lost executor costs a re-read instead of a recomputation of
-    the whole chain.
+    Used at stage boundaries: downstream plans start from a columnar file
+    scan (reading only their columns, with filters pushed down), so every
+    re-optimization works on a small plan, and a lost executor costs a
+    re-read instead of a recomputation of the whole chain.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return write_once(df)
+
+
+def table_root(spark: SparkSession) -> str:
+    """The folder of the written tables, the same for every application.
+
+    Named by ``rfmlens.table.root``; only a local session may leave it out
+    (tables then lie below its scratch folder).
+    """
+    root = spark.conf.get(TABLE_ROOT_KEY, None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{TABLE_ROOT_KEY} must name the folder of the written tables")
+    return f"{shared_dir(spark)}/tables"
 
 
 def write_once(df):
@@ -94,8 +108,3 @@ def write_once(df):
     path = f"{shared_dir(spark)}/once-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def conf_int(spark: SparkSession, key: str, default: int) -> int:
-    v = spark.conf.get(key, None)
-    return int(v) if v not in (None, "") else default

@@ -10,12 +10,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..operators.joins import broadcast_if_small
 from ..session import cut_lineage
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -66,7 +64,7 @@ class Tables:
     @cached_property
     def country_region(self) -> DataFrame:
         n = self.raw("nation")
-        r = broadcast_if_small(self.raw("region"))
+        r = self.raw("region")
         return (n.join(r, n.n_regionkey == r.r_regionkey)
                 .select(F.col("n_nationkey").alias("country_id"),
                         F.col("n_name").alias("country_name_en"),
@@ -77,8 +75,7 @@ class Tables:
     @cached_property
     def user_info(self) -> DataFrame:
         c = self.raw("customer")
-        n = broadcast_if_small(self.raw("nation").select("n_nationkey", "n_name"),
-                               bound_by=self.raw("nation"))
+        n = self.raw("nation").select("n_nationkey", "n_name")
         seg = F.col("c_mktsegment")
         vip = (F.when(seg.isin(*FREE_SEGMENTS), F.lit("free"))
                .when(seg == NULL_SEGMENT, F.lit(None).cast("string"))
@@ -112,15 +109,14 @@ class Tables:
             "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         cr = self.country_region
-        ur = broadcast_if_small(cr.select(F.col("country_id").alias("ur_country_id"),
-                                          F.col("region_name").alias("user_region_name")),
-                                bound_by=cr)
-        sr = broadcast_if_small(cr.select(
+        ur = cr.select(F.col("country_id").alias("ur_country_id"),
+                       F.col("region_name").alias("user_region_name"))
+        sr = cr.select(
             F.col("country_ab").alias("sr_country_ab"),
             F.col("country_id").alias("streamer_country_id"),
             F.col("country_name_en").alias("streamer_country_name"),
             F.col("country_ab").alias("streamer_country_name_ab"),
-            F.col("region_name").alias("streamer_region_name")), bound_by=cr)
+            F.col("region_name").alias("streamer_region_name"))
         u = self.user_info
         s = self.streamer_country.select(F.col("user_id").alias("s_user_id"),
                                          F.col("country_name_ab").alias("s_ab"))
@@ -158,34 +154,36 @@ class Tables:
         return cut_lineage(self._country_preference_pre())
 
     def _country_preference_pre(self) -> DataFrame:
-        c = self.calls
         rf, ls, ch = F.col("l_returnflag"), F.col("l_linestatus"), F.col("channel_id")
 
         def n_if(cond):
             return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
+        counts = {"both_play_times": F.lit(True), "both_call_times": rf != "A", "both_request_times": ch <= 3,
+                  "both_success_times": rf == "N", "hotvideo_play_times": ls == "O",
+                  "hotvideo_call_times": (ls == "O") & (rf != "A"),
+                  "hotvideo_request_times": (ls == "O") & (ch <= 3),
+                  "hotvideo_success_times": (ls == "O") & (rf == "N"),
+                  "friend_call_times": rf == "A", "friend_video_times": rf == "R"}
+        keys = ["country_name_en", "region_name", "if_vip", "streamer_country", "streamer_region"]
         if_vip = F.when(F.col("vip_level") == "free", "free").otherwise("vip")
-        return (c.groupBy(F.col("user_country_name").alias("country_name_en"),
-                          F.col("user_region_name").alias("region_name"),
-                          if_vip.alias("if_vip"),
-                          F.col("streamer_country_name_ab").alias("streamer_country"),
-                          F.col("streamer_region_name").alias("streamer_region"))
-                .agg(F.count_distinct("user_id").alias("user_cnt"),
-                     F.count(F.lit(1)).alias("both_play_times"),
-                     n_if(rf != "A").alias("both_call_times"),
-                     n_if(ch <= 3).alias("both_request_times"),
-                     n_if(rf == "N").alias("both_success_times"),
-                     n_if(ls == "O").alias("hotvideo_play_times"),
-                     n_if((ls == "O") & (rf != "A")).alias("hotvideo_call_times"),
-                     n_if((ls == "O") & (ch <= 3)).alias("hotvideo_request_times"),
-                     n_if((ls == "O") & (rf == "N")).alias("hotvideo_success_times"),
-                     F.count_distinct(F.when(rf == "A", F.col("user_id"))).alias("friend_call_users"),
-                     n_if(rf == "A").alias("friend_call_times"),
-                     F.count_distinct(F.when(rf == "R", F.col("user_id"))).alias("friend_video_users"),
-                     n_if(rf == "R").alias("friend_video_times"),
-                     F.sum("call_total_length").alias("total_video_duration"),
-                     (F.sum("call_total_length").cast("double") / F.count(F.lit(1))).alias("avg_video_duration"),
-                     F.sum("call_gold_coin_amount").alias("friend_total_gold")))
+        # per user first: the distinct users of a group are then plain sums
+        # (distinct counts beside sums would expand every call row)
+        per_user = (self.calls.groupBy(
+            F.col("user_country_name").alias("country_name_en"), F.col("user_region_name").alias("region_name"),
+            if_vip.alias("if_vip"), F.col("streamer_country_name_ab").alias("streamer_country"),
+            F.col("streamer_region_name").alias("streamer_region"), "user_id")
+            .agg(*[n_if(c).alias(n) for n, c in counts.items()],
+                 F.sum("call_total_length").alias("length"), F.sum("call_gold_coin_amount").alias("gold")))
+        known = F.col("user_id").isNotNull()
+        total = {n: F.sum(n).cast("bigint").alias(n) for n in counts}
+        return (per_user.groupBy(*keys).agg(
+            n_if(known).alias("user_cnt"), *[total[n] for n in list(counts)[:8]],
+            n_if(known & (F.col("friend_call_times") > 0)).alias("friend_call_users"), total["friend_call_times"],
+            n_if(known & (F.col("friend_video_times") > 0)).alias("friend_video_users"), total["friend_video_times"],
+            F.sum("length").alias("total_video_duration"),
+            (F.sum("length").cast("double") / F.sum("both_play_times")).alias("avg_video_duration"),
+            F.sum("gold").alias("friend_total_gold")))
 
     # ---- click / call-record / coin / gift sources ------------------------
     @cached_property

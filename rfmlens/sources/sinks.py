@@ -1,11 +1,13 @@
 """Day-partitioned tables: declared schemas, schema-on-write casts, idempotent
 day writes and one-job backfills (A5-A9).
 
-Tables live under the shared folder the cluster names
-(``spark.checkpoint.dir``; see ``session.shared_dir``) unless a path is
-given.  Writes use dynamic partition overwrite, so rewriting a day replaces
-exactly that day and leaves the others untouched; Spark's commit protocol
-makes a retried task (lost executor) safe.
+Tables live under the table root (``rfmlens.table.root``; see
+``session.table_root``), the same for every application, unless a path is
+given.  A day write replaces the folder of that day, also with no rows;
+a range write replaces the days it names and leaves the others untouched.
+Rows are rebalanced by day before they are written, so a day has as many
+files as its size needs, not one per task.  Spark's commit protocol makes a
+retried task (lost executor) safe.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir
+from ..session import table_root, write_once
 
 S, L, D = T.StringType(), T.LongType(), T.DoubleType()
 
@@ -69,27 +71,39 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tables/{name}"
+    return f"{table_root(spark)}/{name}"
 
 
-def write_days(df: DataFrame, path: str, day_col: str = "dt",
-               schema: T.StructType | None = None) -> None:
-    """Write the rows partitioned by ``day_col``, replacing only
-    the days present in ``df`` (dynamic partition overwrite, idempotent)."""
-    if schema is not None:
-        full = T.StructType([f for f in schema.fields if f.name != day_col]
-                            + [T.StructField(day_col, S, True)])
-        out = conform(df, full)
-    else:
-        out = df.withColumn(day_col, F.col(day_col).cast("string"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _declared(df: DataFrame, day_col: str, schema: T.StructType | None) -> DataFrame:
+    if schema is None:
+        return df.withColumn(day_col, F.col(day_col).cast("string"))
+    return conform(df, T.StructType([f for f in schema.fields if f.name != day_col]
+                                    + [T.StructField(day_col, S, True)]))
+
+
+def write_days(df: DataFrame, path: str, day_col: str = "dt", schema: T.StructType | None = None,
+               days: Sequence[str] = ()) -> None:
+    """Write the rows partitioned by ``day_col``, replacing the days
+    present in ``df`` (dynamic partition overwrite, idempotent) and those of
+    ``days`` that have no rows in it (they become empty)."""
+    out = _declared(df, day_col, schema)
+    if days:
+        out = write_once(out)
+    (out.hint("rebalance", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day_col).parquet(path))
+    if days:          # a short list the caller holds
+        there = {r[0] for r in out.where(F.col(day_col).isin(list(days))).select(day_col).distinct().collect()}
+        for day in days:
+            if day not in there:
+                write_day(out.limit(0).drop(day_col), path, day, day_col)
 
 
 def write_day(df: DataFrame, path: str, day: str, day_col: str = "dt",
               schema: T.StructType | None = None) -> None:
-    """Write ``df`` as the partition ``day_col = day``."""
-    write_days(df.withColumn(day_col, F.lit(day)), path, day_col, schema)
+    """Write ``df`` as the partition ``day_col = day``; what the day held goes."""
+    out = _declared(df.withColumn(day_col, F.lit(day)), day_col, schema).drop(day_col)
+    (out.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .parquet(f"{path}/{day_col}={day}"))
 
 
 def read_days(spark: SparkSession, path: str, days: Sequence[str] | None = None,
@@ -107,8 +121,3 @@ def read_days(spark: SparkSession, path: str, days: Sequence[str] | None = None,
     if days is not None:
         df = df.filter(F.col(day_col).isin(list(days)))
     return df
-
-
-def publish(detail: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The narrow serving table from the same plan as the detail table."""
-    return detail.select(*cols)

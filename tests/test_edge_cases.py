@@ -157,3 +157,37 @@ def test_interval_match_across_bucket_edges(spark):
     exp = sorted((a[2], b[2]) for a in clicks for b in calls
                  if 0 <= (b[2] - a[2]).total_seconds() < 60)
     assert got == exp and len(exp) > 0
+
+
+def test_rewriting_a_day_without_rows_empties_it(spark, tmp_path):
+    from rfmlens.sources import sinks as K
+    path = str(tmp_path / "t")
+    two = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    K.write_day(two, path, "2001-01-01")
+    K.write_day(two, path, "2001-01-02")
+    K.write_day(two.limit(0), path, "2001-01-01")
+    got = K.read_days(spark, path)
+    assert {r.dt for r in got.collect()} == {"2001-01-02"} and got.count() == 2
+    more = two.withColumn("dt", F.lit("2001-01-03"))
+    K.write_days(more, path, days=["2001-01-02", "2001-01-03"])
+    assert {r.dt for r in K.read_days(spark, path).collect()} == {"2001-01-03"}
+
+
+def test_day_files_do_not_grow_with_tasks(spark, tmp_path):
+    import glob
+    from rfmlens.sources import sinks as K
+    path = str(tmp_path / "t")
+    rows = spark.range(3000).repartition(24).withColumn("dt", F.concat(F.lit("d"), (F.col("id") % 5).cast("string")))
+    K.write_days(rows, path)
+    assert len(glob.glob(f"{path}/dt=*/part-*.parquet")) <= 10
+    assert K.read_days(spark, path).count() == 3000
+
+
+def test_table_root_is_the_same_for_every_application(spark):
+    from rfmlens.session import TABLE_ROOT_KEY, table_root
+    spark.conf.set(TABLE_ROOT_KEY, "/data/tables/")
+    try:
+        assert table_root(spark) == "/data/tables"
+    finally:
+        spark.conf.unset(TABLE_ROOT_KEY)
+    assert table_root(spark).endswith("/tables")
