@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 SHARD_ROWS = 200_000
 LEAST_SHARDS = 16
-LEAF = 64
+LEAF = 256
 FACTOR = 1.0
 QUERY_BATCH = 256
 
@@ -45,6 +45,23 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(out)
 
 
+def distances_within(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """``distances`` where row i's may reach ``most[i]``, infinite elsewhere.
+
+    A matrix product estimates all; only pairs whose estimate, less its
+    rounding error, is small enough are computed.
+    """
+    aa, bb = (a * a).sum(1), (b * b).sum(1)
+    slack = 1e-12 * (aa[:, None] + bb[None, :])
+    i, j = np.nonzero(aa[:, None] + bb[None, :] - 2 * (a @ b.T) - slack <= (most * most)[:, None])
+    total = np.zeros(len(i))
+    for k in range(a.shape[1]):
+        total += (a[i, k] - b[j, k]) ** 2
+    out = np.full((len(a), len(b)), np.inf)
+    out[i, j] = np.sqrt(total)
+    return out
+
+
 @dataclass
 class Tree:
     """Leaves are runs of ``order``; inner nodes come before their children."""
@@ -118,9 +135,11 @@ class Tree:
             for one in np.unique(leaf).tolist():
                 rows = live[leaf == one]
                 part = self.order[leaves[one][0]:leaves[one][1]]
-                d = distances(q[rows], self.points[part])
+                d = distances_within(q[rows], self.points[part], dist[rows, -1])
                 ids = np.broadcast_to(self.ids[part], d.shape)
-                d = np.where(ids == own[rows, None], np.inf, d)
+                d[ids == own[rows, None]] = np.inf
+                new = np.isfinite(d).any(1)
+                rows, d, ids = rows[new], d[new], ids[new]
                 d, ids = np.concatenate([dist[rows], d], 1), np.concatenate([best[rows], ids], 1)
                 o = np.lexsort((ids, d), axis=1)[:, :k]
                 dist[rows], best[rows] = np.take_along_axis(d, o, 1), np.take_along_axis(ids, o, 1)
