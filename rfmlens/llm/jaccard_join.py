@@ -23,10 +23,10 @@ Exact handling of the two usual weak spots:
   dismissed inside the task, without being emitted.
 
 Steps: (1) keys with more than one distinct set (map-side combined, so copies
-and hot keys collapse); (2) key rows, sketches and sets of their documents (a
-bitmap of fixed size thins the rest); (3) the members of a group are paired
-with its first and its last member, survivors verified on whole sets, links
-united to components; (4) pairs of a group that are in different components
+and hot keys collapse); (2) key rows and sketches of their documents (a
+bitmap of fixed size thins the rest); (3) members are paired with the first
+or last member of their groups, survivors verified on whole sets, links
+united to components (this only spares work); (4) pairs of a group that are in different components
 are compared by block, survivors verified, components united.  Equal sets are
 one class throughout.  Large groups are cut into chunk pairs.
 
@@ -49,6 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import top_k
 from ._common import written
 from ._components import components
 from ._text import NOT_SPACE, U, chunks, counts_by, mix, span_hashes, word_spans
@@ -60,7 +61,8 @@ CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
 COMMON = 1e-3              # share of shingles that unrelated documents have in common
-PAIR_COST = 0.05           # a sketch comparison, in index rows
+PAIR_COST = 0.02           # a sketch comparison, in index rows
+BAND_SHARE = 0.1           # documents of one band, as a share of all
 WIDE = 2                   # a band spans this many threshold ratios
 
 
@@ -80,27 +82,28 @@ class Plan:
 
 
 def allocate(size: int, most: int, rows: int) -> tuple[int, int, int]:
-    """(segments, loose segments, spare weight) of least cost for a band."""
+    """(segments, loose segments, spare weight) of least cost for a band.
+
+    Cost: index rows of a document, plus its expected chance collisions with
+    ``rows`` others: segments of few and common elements, and empty segments
+    where their expected weight (and three deviations) exceeds the spare.
+    """
     best = (math.inf, 0, 0, 0)
     for part in (0, 0.25, 0.5, 0.75, 1):              # share of the weight in loose segments
-        spare = 0
-        for _ in range(20):
-            weight = most + 1 + spare
-            loose = int(round(part * weight / 2))
-            whole = max(0, weight - 2 * loose)
-            m = whole + loose
+        for extra in (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128):
+            loose = round(part * (most + 1 + extra) / 2)
+            whole = max(0, most + 1 + extra - 2 * loose)
+            m, spare = whole + loose, whole + 2 * loose - most - 1
             mean = size / m
-            empty = whole * math.exp(-mean) + 2 * loose * math.exp(-mean) * (1 + mean)
-            need = math.ceil(empty + 3 * math.sqrt(2 * empty) + 0.01)
-            if need <= spare:
-                break
-            spare = max(need, spare + 1)
-        spare = whole + 2 * loose - most - 1
-        chance = (whole * (math.exp(-mean * (1 - COMMON)) - math.exp(-mean))
-                  + loose * 2 * mean * COMMON * math.exp(-mean * (1 - COMMON)))
-        cost = whole + loose * (1 + mean) + PAIR_COST * rows * chance
-        if cost < best[0]:
-            best = (cost, m, loose, spare)
+            none = math.exp(-mean)
+            empty = whole * none + 2 * loose * none * (1 + mean)
+            chance = (whole * (math.exp(-mean * (1 - COMMON)) - none)
+                      + loose * 2 * mean * COMMON * math.exp(-mean * (1 - COMMON)))
+            if empty + 3 * math.sqrt(2 * empty) > spare:
+                chance += whole * none**2 + loose * none**2 * (1 + 2 * mean)
+            cost = whole + loose * (1 + mean) + PAIR_COST * rows * chance
+            if cost < best[0]:
+                best = (cost, m, loose, spare)
     return best[1:]
 
 
@@ -117,7 +120,7 @@ def make_plan(num: int, den: int, rows: int, largest: int = 1 << 31) -> Plan:
         most = int(p.differ(np.int64(top), np.int64(top * den // num)))
         if most:
             # the typical member of a band is smaller than its top
-            p.segs[b], p.loose[b], p.spare[b] = allocate((low[b] + top) // 2, most, rows)
+            p.segs[b], p.loose[b], p.spare[b] = allocate((low[b] + top) // 2, most, int(rows * BAND_SHARE))
     return p
 
 
@@ -289,14 +292,14 @@ def index_rows(docs: DataFrame, k: int, p: Plan) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, cls long")
 
 
-DOC, ROW, SKETCH, SET = 0, 1, 2, 3
+DOC, ROW, SKETCH = 0, 1, 2
 
 
 def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFrame:
     """Of every document a DOC row; of the first document of a class in a chunk,
     if it shares a key, ROW rows (meta: own, deleted, weights; span: block of
-    the sketch), a SKETCH row of each family (meta: own) and a SET row.  A class
-    may so have the same rows from several chunks."""
+    the sketch) and a SKETCH row of each family (meta: own).  A class may so
+    have the same rows from several chunks."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,19 +319,14 @@ def member_rows(docs: DataFrame, k: int, p: Plan, bitmap: np.ndarray) -> DataFra
                 cls = classes(sets, size).view(np.int64)
                 yield out(DOC, cls, size, ids)
                 sets, size, cls = _only(_firsts(cls), sets, size, cls)
-                hit = np.zeros(len(size), bool)
                 for doc, key, own, gone, weights, span, byte, wide in keys(sets, size, p, shared.value):
                     yield out(ROW, cls[doc], size[doc], key=key, span=span,
                               meta=int(own) | gone.astype(np.int64) << 1 | weights << 2)
                     mine = np.zeros(len(size), bool)
                     mine[doc] = True
-                    hit |= mine
                     width = np.diff(wide)
                     yield out(SKETCH, cls[mine], size[mine], meta=np.full(mine.sum(), int(own)),
                               data=_binary(np.r_[0, np.cumsum(width[mine])], byte[np.repeat(mine, width)]))
-                if hit.any():
-                    data, n, c = _only(hit, sets, size, cls)
-                    yield out(SET, c, n, data=_binary(np.r_[0, np.cumsum(n)] * 8, data))
 
     return (docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(
         run, "kind int, doc_id long, node long, n int, key long, meta long, span long, data binary"))
@@ -432,15 +430,28 @@ def compared(rows: DataFrame, p: Plan) -> DataFrame:
             .mapInArrow(run, "a long, na long, b long, nb long, own long").distinct())
 
 
-def verified(pairs: DataFrame, rows: DataFrame, p: Plan) -> DataFrame:
-    """The pairs (a written table) whose whole sets reach the threshold, written."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = pairs.sparkSession.sparkContext.broadcast(_bitmap(nodes, "node"))
+def whole_sets(docs: DataFrame, k: int, nodes: DataFrame) -> DataFrame:
+    """node and its whole set (data), of the nodes that a bitmap of ``nodes`` holds."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(nodes, "node"))
 
-    def only_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(_has(wanted.value, b.column(0).to_numpy())))
+            for _, buf, offs in chunks(b, "text", CHUNK):
+                sets, size = shingle_sets(buf, offs, k)
+                cls = classes(sets, size)
+                data, n, c = _only(_firsts(cls) & _has(wanted.value, cls) & (size > 0), sets, size, cls)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.view(np.int64)), _binary(np.r_[0, np.cumsum(n)] * 8, data)], names=["node", "data"])
+
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "node long, data binary")
+
 
+def verified(pairs: DataFrame, docs: DataFrame, k: int, p: Plan) -> DataFrame:
+    """The pairs (a written table) whose whole sets reach the threshold, written.
+
+    Sets are cut anew for the documents in question: fewer bytes than keeping
+    the sets of all documents that share a key.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -450,8 +461,8 @@ def verified(pairs: DataFrame, rows: DataFrame, p: Plan) -> DataFrame:
                 keep.append(both * p.den >= (len(u) + len(v) - both) * p.num)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = (rows.where(F.col("kind") == SET).select("node", "data")
-            .mapInArrow(only_wanted, "node long, data binary").dropDuplicates(["node"]))
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = written(whole_sets(docs, k, nodes).dropDuplicates(["node"]))
     one = sets.select(F.col("node").alias("a"), F.col("data").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("data").alias("y"))
     return written(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
@@ -475,15 +486,18 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     slim = written(rows.where(is_row).select("key", "node", "n", "meta", "span").dropDuplicates())
     sketches = written(rows.where(F.col("kind") == SKETCH).select("node", F.col("meta").alias("own"), "data")
                        .dropDuplicates(["node", "own"]))
-    # every member of a group with its first and its last whole member of the family's own band
+    # members with the first and the last whole member (of the family's own band)
+    # of their groups: the two of these each shares most keys with
     whole = F.struct("node", "n")
     ends = slim.where("(meta & 3) = 1").groupBy("key").agg(F.min(whole).alias("x"), F.max(whole).alias("y"))
     star = (slim.join(ends, "key")
             .select(F.explode(F.array("x", "y")).alias("e"), "node", "n", F.col("meta").bitwiseAND(1).alias("own"))
             .select(F.col("e.node").alias("a"), F.col("e.n").alias("na"), F.col("node").alias("b"),
                     F.col("n").alias("nb"), "own").where("a != b")
-            .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).distinct())
-    star = verified(written(sketched(star, sketches, p)), rows, p)
+            .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
+            .groupBy("a", "na", "b", "nb", "own").count())
+    star = top_k(star, ["b"], [F.desc("count"), F.col("a"), F.col("own")], 2)
+    star = verified(written(sketched(star, sketches, p)), docs, words, p)
     first = components(star)
     known = written(slim.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     mixed = written(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
@@ -497,7 +511,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
                        "chunk", "node", "n", "meta", "comp",
                        F.substring("data", place, F.shiftright("span", 32).cast("int")).alias("data")))
     cross = written(compared(members, p))
-    cross = verified(written(sketched(cross, sketches, p)), rows, p)
+    cross = verified(written(sketched(cross, sketches, p)), docs, words, p)
     comp = first if cross.isEmpty() else components(star.union(cross))
     named = cls.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
