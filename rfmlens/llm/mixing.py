@@ -96,9 +96,8 @@ def budgets(leaves: DataFrame, target: Target) -> DataFrame:
     """LEVELS, tokens and ``got`` (budget) of every leaf; ``leaves``: LEVELS, tokens."""
     d, la, s = LEVELS
     caps = leaves.select(*LEVELS, "tokens", (F.col("tokens") * target.epochs).alias("cap"))
-    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).select(
-        F.expr(f"t * {target.share[0]} div {target.share[1]}").alias("budget"))
-    domains = (caps.groupBy(d).agg(F.sum("cap").alias("cap")).crossJoin(F.broadcast(total))    # one row
+    total = (leaves.agg(F.sum("tokens")).first()[0] or 0) * target.share[0] // target.share[1]
+    domains = (caps.groupBy(d).agg(F.sum("cap").alias("cap")).withColumn("budget", F.lit(total).cast("long"))
                .withColumn("weight", _weight(d, target.domain, target.default)))
     domains = split(domains, [], d).select(d, F.col("got").alias("budget"))
     langs = (caps.groupBy(d, la).agg(F.sum("cap").alias("cap")).join(domains, d)
