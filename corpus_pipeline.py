@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rfmlens.llm import decontaminate as _decontaminate
 from rfmlens.llm import jaccard_join, language, mixing, pii
-from rfmlens.llm._common import table, written
+from rfmlens.llm._common import small_side, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard_join.join(docs, words=5, num=80, den=100)
-    gone = groups.where("component_id < doc_id").select("doc_id").distinct()
+    gone = small_side(groups.where("component_id < doc_id").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -35,6 +35,18 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of two 64-bit columns that may be broadcast (about 40 MB in memory).
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """``ids`` (at most two 64-bit columns) written and counted: broadcast up
+    to ``BROADCAST_ROWS`` rows, so that the texts it is joined with stay where
+    they are; beyond that Spark joins by shuffle."""
+    ids = written(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def fold(doc_id: str | Column, k: int) -> Column:
     """crc32(doc_id as text) mod k."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

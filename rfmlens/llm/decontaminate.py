@@ -32,7 +32,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import small_side, written
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -169,7 +169,7 @@ def clean_documents(docs: DataFrame, bench: DataFrame, window: int = WINDOW, doc
                     text: str = "text") -> DataFrame:
     """The rows of ``docs`` without any phrase of ``bench`` (rows with a null id stay)."""
     occ, _ = occurrences(docs, bench, window, doc_id, text)
-    bad = occ.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
+    bad = small_side(occ.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct())
     return docs.join(bad, (docs[doc_id] == bad["__id"]) & (F.xxhash64(docs[text]) == bad["__h"]), "left_anti")
 
 
