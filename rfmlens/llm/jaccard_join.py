@@ -54,9 +54,9 @@ from ._common import written
 from ._components import components
 from ._text import NOT_SPACE, U, chunks, counts_by, mix, span_hashes, word_spans
 
-SINGLE = 32                # a set of so many segments is one block of finer sub-segments
-BLOCK = 16                 # segments of a block of a larger set
-FINEST, FINE = 16, 4       # sub-segments of a segment: of one block, of many
+SINGLE = 40                # a set of so many segments is one block of finer sub-segments
+BLOCK = 32                 # segments of a block of a larger set
+FINEST, FINE = 12, 4       # sub-segments of a segment: of one block, of many
 CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
