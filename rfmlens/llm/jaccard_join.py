@@ -59,6 +59,7 @@ BLOCK = 32                 # segments of a block of a larger set
 FINEST, FINE = 12, 4       # sub-segments of a segment: of one block, of many
 CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
+HELD_PAIRS = 1 << 18       # pairs a task holds back to drop repeated ones
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
 COMMON = 1e-3              # share of shingles that unrelated documents have in common
 PAIR_COST = 0.02           # a sketch comparison, in index rows
@@ -394,16 +395,27 @@ def compared(rows: DataFrame, p: Plan) -> DataFrame:
         return np.concatenate(left), np.concatenate(right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(c: dict[str, np.ndarray], cut: np.ndarray) -> pa.RecordBatch:
+        held = [np.zeros((0, 5), np.int64)]          # a pair meets under many keys: one row for all of a task
+
+        def emit() -> pa.RecordBatch:
+            got = np.unique(np.concatenate(held), axis=0)
+            held[:] = [np.zeros((0, 5), np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(got[:, x]) for x in range(5)],
+                                              names=["a", "na", "b", "nb", "own"])
+
+        def pairs(c: dict[str, np.ndarray], cut: np.ndarray) -> bool:
+            """Keeps the passing pairs; true when enough of them wait."""
             i, j = crossings(c, cut) if len(cut) > 1 else np.zeros((2, 0), np.int64)
             own = c["meta"] & 1
             # a is in its own family; of two such, the smaller node
             swap = (own[i] == 0) | ((own[j] == 1) & (c["node"][j] < c["node"][i]))
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             got = np.stack([c["node"][i], c["n"][i], c["node"][j], c["n"][j], own[j]], 1)
-            got = np.unique(got, axis=0) if len(got) else got
-            return pa.RecordBatch.from_arrays([pa.array(got[:, x].astype(np.int64)) for x in range(5)],
-                                              names=["a", "na", "b", "nb", "own"])
+            held.append(np.unique(got.astype(np.int64), axis=0))
+            if sum(map(len, held)) < HELD_PAIRS:
+                return False
+            held[:] = [np.unique(np.concatenate(held), axis=0)]
+            return len(held[0]) >= HELD_PAIRS // 2
 
         rest: dict[str, np.ndarray] | None = None       # the last group of a batch may go on
         for b in batches:
@@ -420,9 +432,11 @@ def compared(rows: DataFrame, p: Plan) -> DataFrame:
             new = np.logical_or.reduce([c[x][1:] != c[x][:-1] for x in ("key", "lo", "hi")])
             cut = np.r_[0, np.flatnonzero(new) + 1]
             rest = {x: v[cut[-1]:] for x, v in c.items()}
-            yield pairs({x: v[:cut[-1]] for x, v in c.items()}, cut)
+            if pairs({x: v[:cut[-1]] for x, v in c.items()}, cut):
+                yield emit()
         if rest is not None:
-            yield pairs(rest, np.array([0, len(rest["key"])]))
+            pairs(rest, np.array([0, len(rest["key"])]))
+        yield emit()
 
     order = ("key", "lo", "hi")
     return (rows.select("key", "lo", "hi", "chunk", "node", "n", "meta", "comp", "data")
