@@ -1,11 +1,12 @@
 """Operator 5: toxicity by the nearest labelled examples.
 
-Texts become TF-IDF vectors over a vocabulary of words and word beginnings
-that separate the labels best (chi-square and purity on the sample; document
-frequencies over all documents).  The labelled examples are kept in a block-max inverted
-index: postings of a term are tiles of ``BLOCK`` weights, and the largest
-weight of every (term, block) bounds a block's cosine, so blocks are visited
-best bound first until no bound reaches the k-th best cosine.  The neighbours
+Texts become TF-IDF vectors over every word and word beginning of the labelled
+examples (document frequencies over all documents); words that separate the
+labels best (chi-square and purity on the sample) weigh ``BOOST`` times as
+much.  The examples are kept in a block-max inverted index: rare terms as
+postings, added up first, frequent ones as tiles of ``BLOCK`` examples.  What
+the postings gave and the largest tile weights bound a block's cosine, and only
+blocks whose bound reaches the k-th best cosine are computed.  The neighbours
 found are exact.  Votes weighted by distance are calibrated (isotonic, with
 class weights) on labelled documents that are no examples; the neighbours are
 returned as evidence.
@@ -13,10 +14,10 @@ returned as evidence.
 About ``SAMPLE`` documents of each label are used, by key hash over the whole
 table: two thirds become examples, one third calibrates.
 
-Defined results: a null text, an empty text and a text without any vocabulary
-term have no neighbour and get the calibrated score of such texts; null labels
+Defined results: a null text, an empty text and a text without any term of an
+example have no neighbour and get the calibrated score of such texts; null labels
 and labels without a document do not count; without usable labels every score
-is 0.  Equal cosines are ordered by the example's key.  Repeated rows give
+is 0.  Words that no example holds do not count.  Equal cosines are ordered by the example's key.  Repeated rows give
 repeated rows; an empty table gives an empty result; extra columns are
 ignored.
 """
@@ -28,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +37,14 @@ from ._common import hash_sample, written
 from ._text import LETTER_BYTE, U, chunks, counts_by, mix, span_hashes, word_spans
 
 SAMPLE = 3_000
-VOCABULARY = 2_048
+VOCABULARY = 2_048          # terms that weigh more
+BOOST = 6.0
 LEAST_DF = 5
 LEAST_CHI2 = 10.83          # 0.1 % level
 NEIGHBOURS = 10
 BLOCK = 64
+FREQUENT = 16               # a term of more than 1/16 of the examples is kept in tiles
+ROWS, ADDED = 128, 2_000_000         # documents and posting weights handled at once
 LEAST_PURITY = 0.85         # a term's documents that share a label, classes weighed alike
 BEGINNINGS = (3, 4, 5, 6, 7, 8)      # bytes
 NEAR = 0.05                 # added to a distance before it is inverted
@@ -75,7 +80,10 @@ def vectors(buf: np.ndarray, offs: np.ndarray, vocab: np.ndarray, seen: np.ndarr
     at = np.searchsorted(vocab, h)
     at[at == len(vocab)] = 0
     hit = vocab[at] == h if len(vocab) else np.zeros(0, bool)
-    return _distinct(doc[hit], at[hit])
+    key = np.sort(doc[hit] * len(vocab) + at[hit])
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    size = max(1, len(vocab))
+    return key[first] // size, key[first] % size, np.diff(np.r_[first, len(key)])
 
 
 def families(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -91,7 +99,7 @@ def families(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def hash_filter(vocab: np.ndarray) -> np.ndarray:
-    seen = np.zeros(1 << 18, bool)
+    seen = np.zeros(1 << max(18, len(vocab).bit_length() + 4), bool)
     seen[(vocab & U(len(seen) - 1)).astype(np.int64)] = True
     return seen
 
@@ -109,23 +117,27 @@ class Index:
     """Block-max inverted index of the examples."""
     key: np.ndarray            # example keys, ascending
     label: np.ndarray
-    tile_of: np.ndarray        # (terms, blocks): row of ``tiles``; 0 is the empty tile
-    tiles: np.ndarray          # (tiles, BLOCK) weights
-    bound: np.ndarray          # (terms, blocks): largest weight
+    tile_of: np.ndarray        # row of a frequent term in the tiles, else -1
+    tiles: np.ndarray          # (blocks, frequent terms, BLOCK) weights
+    bound: np.ndarray          # (frequent terms, blocks): largest weight
+    first: np.ndarray          # rare terms: start of each term's postings
+    posting: np.ndarray        # example
+    weight: np.ndarray
 
     @staticmethod
     def build(key, label, ptr, term, weight, n_terms: int) -> Index:
         n = len(key)
         blocks = max(1, -(-n // BLOCK))
         row = np.repeat(np.arange(n), np.diff(ptr))
-        cell = term * blocks + row // BLOCK
-        used, at = np.unique(cell, return_inverse=True)
-        tiles = np.zeros((len(used) + 1, BLOCK))
-        tiles[at + 1, row % BLOCK] = weight
-        tile_of = np.zeros(n_terms * blocks, np.int32)
-        tile_of[used] = np.arange(1, len(used) + 1)
-        tile_of = tile_of.reshape(n_terms, blocks)
-        return Index(key, label, tile_of, tiles, tiles.max(1)[tile_of])
+        frequent = np.bincount(term, minlength=n_terms) * FREQUENT > n
+        tile_of = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        f = frequent[term]
+        tiles = np.zeros((blocks, int(frequent.sum()), BLOCK))
+        tiles[row[f] // BLOCK, tile_of[term[f]], row[f] % BLOCK] = weight[f]
+        t, r, w = term[~f], row[~f], weight[~f]
+        o = np.argsort(t, kind="stable")
+        first = np.r_[0, np.cumsum(np.bincount(t, minlength=n_terms))]
+        return Index(key, label, tile_of, tiles, tiles.max(2).T.copy(), first, r[o].astype(np.int32), w[o])
 
     def nearest(self, ptr: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int
                 ) -> tuple[np.ndarray, np.ndarray]:
@@ -133,40 +145,53 @@ class Index:
         n = len(ptr) - 1
         best = np.full((n, k), -1, np.int64)
         sim = np.zeros((n, k))
+        if not len(self.key):
+            return best, sim
+        added = np.r_[0, np.cumsum(self.first[term + 1] - self.first[term])][ptr]
         lo = 0
-        while lo < n:                        # bounded memory: about 16k postings at a time
-            hi = min(n, max(lo + 1, int(np.searchsorted(ptr, ptr[lo] + 16_384, side="right")) - 1))
+        while lo < n:                        # bounded memory
+            hi = int(np.searchsorted(added, added[lo] + ADDED, side="right")) - 1
+            hi = min(n, max(lo + 1, min(hi, lo + ROWS)))
             a, b = ptr[lo], ptr[hi]
-            best[lo:hi], sim[lo:hi] = self._nearest(ptr[lo:hi + 1] - a, term[a:b], weight[a:b], k)
+            self._nearest(ptr[lo:hi + 1] - a, term[a:b], weight[a:b], best[lo:hi], sim[lo:hi])
             lo = hi
         return best, sim
 
-    def _nearest(self, ptr, term, weight, k):
-        n = len(ptr) - 1
-        best, sim = np.full((n, k), -1, np.int64), np.zeros((n, k))
-        rows = np.flatnonzero(np.diff(ptr))
-        if not len(rows) or not len(self.key):
-            return best, sim
-        size = np.diff(ptr)
-        ub = np.add.reduceat(self.bound[term] * weight[:, None], ptr[rows], axis=0)
-        order = np.argsort(-ub, axis=1, kind="stable")
-        live = np.arange(len(rows))
-        for r in range(ub.shape[1]):
-            top = ub[live, order[live, r]]
-            live = live[(top > 0) & (top >= sim[rows[live], -1] - 1e-9)]
-            if not len(live):
-                break
-            q, block = rows[live], order[live, r]
-            take = np.repeat(ptr[q] - np.r_[0, np.cumsum(size[q])[:-1]], size[q]) + np.arange(size[q].sum())
-            tile = self.tiles[self.tile_of[term[take], np.repeat(block, size[q])]]
-            got = np.add.reduceat(tile * weight[take][:, None], np.r_[0, np.cumsum(size[q])[:-1]], axis=0)
-            ids = block[:, None] * BLOCK + np.arange(BLOCK)
-            ids = np.where((got > 1e-12) & (ids < len(self.key)), ids, -1)
-            all_sim = np.concatenate([sim[q], np.where(ids >= 0, got, 0)], 1)
-            all_ids = np.concatenate([best[q], ids], 1)
-            o = np.lexsort((all_ids, -all_sim), axis=1)[:, :k]
-            sim[q], best[q] = np.take_along_axis(all_sim, o, 1), np.take_along_axis(all_ids, o, 1)
-        return best, sim
+    def _nearest(self, ptr, term, weight, best, sim) -> None:
+        n, k = best.shape
+        blocks, n_tiles, _ = self.tiles.shape
+        wide = blocks * BLOCK
+        row = np.repeat(np.arange(n), np.diff(ptr))
+        size = self.first[term + 1] - self.first[term]
+        take = np.repeat(self.first[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        cos = np.bincount(np.repeat(row * wide, size) + self.posting[take],
+                          np.repeat(weight, size) * self.weight[take], n * wide).reshape(n, blocks, BLOCK)
+        f = self.tile_of[term] >= 0
+        dense = np.zeros((n, n_tiles))
+        dense[row[f], self.tile_of[term[f]]] = weight[f]
+        limit = dense @ self.bound + cos.max(2)
+        done = np.zeros((n, blocks), bool)
+
+        def visit(want: np.ndarray) -> None:
+            for b in np.flatnonzero(want.any(0)):
+                q = np.flatnonzero(want[:, b])
+                cos[q, b] += dense[q] @ self.tiles[b]
+                done[q, b] = True
+
+        lead = np.zeros((n, blocks), bool)
+        lead[np.arange(n), limit.argmax(1)] = True
+        visit(lead)
+        kth = np.sort(np.where(done[:, :, None], cos, 0).max(1), axis=1)[:, -min(k, BLOCK)]
+        if k > BLOCK:
+            kth[:] = 0
+        visit(~done & (limit > 0) & (limit >= kth[:, None] - 1e-9))
+        # rounded: the order of equal cosines must not hang on how they were added up
+        cos = np.where(done[:, :, None], np.round(cos, 12), 0).reshape(n, wide)
+        least = np.partition(cos, wide - min(k, wide), axis=1)[:, wide - min(k, wide)]
+        for i in range(n):
+            at = np.flatnonzero((cos[i] >= least[i]) & (cos[i] > 1e-12))
+            at = at[np.argsort(-cos[i, at], kind="stable")][:k]
+            best[i, :len(at)], sim[i, :len(at)] = at, cos[i, at]
 
 
 def votes(label: np.ndarray, best: np.ndarray, sim: np.ndarray) -> np.ndarray:
@@ -242,8 +267,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
              .mapInArrow(emit_families, f"doc_id {id_type}, label int, family long")
              .groupBy("label", "family").agg(F.min("doc_id").alias("doc_id")))
     fitting = fitting.join(F.broadcast(first.select("doc_id", "label")), ["doc_id", "label"])
-    size = {r[0]: r[1] for r in fitting.groupBy("label").count().collect()}
-    n1, n0 = size.get(1, 0), size.get(0, 0)
+    of = {r[0]: r[1] for r in fitting.groupBy("label").count().collect()}
+    n1, n0 = of.get(1, 0), of.get(0, 0)
     a, n = F.col("a"), F.col("n")
     chi2 = (F.pow(a * F.lit(float(n0)) - (n - a) * F.lit(float(n1)), 2) * F.lit(float(n0 + n1))
             / (F.lit(max(1.0, float(n0) * n1)) * n * F.greatest(F.lit(1.0), F.lit(float(n0 + n1)) - n)))
@@ -255,11 +280,33 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
                                          F.count("*").cast("double").alias("n"))
                     .where((n >= LEAST_DF) & (chi2 >= LEAST_CHI2) & (purity >= LEAST_PURITY))
                     .orderBy(chi2.desc(), "term").limit(vocabulary).select("term").collect())
-    vocab = np.sort(np.array([r.term for r in chosen_terms], np.int64).view(np.uint64))
-    seen = hash_filter(vocab)
+    chosen_terms = np.array([r.term for r in chosen_terms], np.int64).view(np.uint64)
+
+    def emit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r, buf, offs in chunks(b, "text"):
+                doc, h, count = _distinct(*terms(buf, offs))
+                cut = pa.array(np.r_[0, np.cumsum(counts_by(doc, r.num_rows))].astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*(r.column(i) for i in range(4)),
+                     pa.ListArray.from_arrays(cut, pa.array(h.view(np.int64))),
+                     pa.ListArray.from_arrays(cut, pa.array(count.astype(np.int32)))],
+                    names=["doc_id", "label", "calibrates", "h", "term", "count"])
+
+    found = (rows.select("doc_id", "label", "calibrates", F.xxhash64("text").alias("h"), "text").mapInArrow(
+        emit_vectors, f"doc_id {id_type}, label int, calibrates boolean, h long, term array<long>, count array<int>")
+        .toArrow().sort_by([(c, "ascending") for c in ("doc_id", "label", "h")]))
+    size = pc.list_value_length(found["term"]).to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(size)), size)
+    hashes = pc.list_flatten(found["term"]).to_numpy().view(np.uint64)
+    counts = pc.list_flatten(found["count"]).to_numpy().astype(float)
+    held = found["calibrates"].to_numpy().astype(bool)
+    y = found["label"].to_numpy().astype(float)
+    keys = found["doc_id"].to_numpy()
+    vocab = np.unique(hashes[~held[row]])
 
     def count_df(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(len(vocab), np.int64), 0
+        df, n, seen = np.zeros(len(vocab), np.int64), 0, hash_filter(vocab)
         for b in batches:
             for r, buf, offs in chunks(b, "text"):
                 df += counts_by(vectors(buf, offs, vocab, seen)[1], len(vocab))
@@ -268,42 +315,28 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), pa.array(np.r_[df[at], n])],
                                          names=["term", "df"])
 
-    got = {r.term: r.df for r in docs.select("text").mapInArrow(count_df, "term long, df long")
-           .groupBy("term").agg(F.sum("df").alias("df")).collect()}
-    df = np.array([got.get(i, 0) for i in range(len(vocab))], float)
-    idf = np.log((1 + got.get(-1, 0)) / (1 + df)) + 1
-
-    def emit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r, buf, offs in chunks(b, "text"):
-                doc, term, count = vectors(buf, offs, vocab, seen)
-                cut = np.cumsum(counts_by(doc, r.num_rows))[:-1]
-                kind = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [r.column(0), r.column(1), r.column(2), pa.array(np.split(term, cut), kind),
-                     pa.array(np.split(count, cut), kind)],
-                    names=["doc_id", "label", "calibrates", "term", "count"])
-
-    found = (rows.select("doc_id", "label", "calibrates", "text").mapInArrow(
-        emit_vectors, f"doc_id {id_type}, label int, calibrates boolean, term array<long>, count array<long>")
-        .collect())
-    found.sort(key=lambda r: (r.doc_id, r.label, r.term, r.count))
-
-    def pack(part: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        doc = np.repeat(np.arange(len(part)), [len(r.term) for r in part])
-        term = np.array([t for r in part for t in r.term], np.int64)
-        count = np.array([c for r in part for c in r["count"]], float)
-        w, ptr = weights(doc, term, count, idf, len(part))
-        return ptr, term, w
-
-    examples = [r for r in found if not r.calibrates and r.term]
-    index = Index.build(np.array([r.doc_id for r in examples]), np.array([r.label for r in examples], float),
-                        *pack(examples), len(vocab))
-    held = [r for r in found if r.calibrates]
+    got = (docs.select("text").mapInArrow(count_df, "term long, df long")
+           .groupBy("term").agg(F.sum("df").alias("df")).toArrow())
+    at, n_docs = got["term"].to_numpy(), got["df"].to_numpy()
+    df = np.zeros(len(vocab))
+    df[at[at >= 0]] = n_docs[at >= 0]
+    idf = np.log((1 + n_docs[at < 0].sum()) / (1 + df)) + 1
+    idf[np.searchsorted(vocab, chosen_terms)] *= BOOST
+
+    def pack(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        mine = part[row]
+        doc, h, count = (np.cumsum(part) - 1)[row[mine]], hashes[mine], counts[mine]
+        term = np.minimum(np.searchsorted(vocab, h), max(0, len(vocab) - 1))
+        hit = vocab[term] == h if len(vocab) else np.zeros(len(h), bool)
+        w, ptr = weights(doc[hit], term[hit], count[hit], idf, int(part.sum()))
+        return ptr, term[hit], w
+
+    examples = ~held & (size > 0)
+    index = Index.build(keys[examples], y[examples], *pack(examples), len(vocab))
     best, sim = index.nearest(*pack(held), NEIGHBOURS)
-    y = np.array([r.label for r in held], float)
-    taken = {v: max(1, sum(r.label == v for r in held)) for v in (0, 1)}
-    w = np.array([total[r.label] / taken.get(r.label, 1) for r in held], float)
+    y = y[held]
+    taken = {v: max(1, int((y == v).sum())) for v in (0, 1)}
+    w = np.array([total[int(v)] / taken.get(int(v), 1) for v in y], float)
     return Model(vocab, idf, index, *calibrate(votes(index.label, best, sim), y, w))
 
 

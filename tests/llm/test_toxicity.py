@@ -76,3 +76,22 @@ def test_edges(spark):
     assert tx.score(docs.limit(0), m).collect() == []
     none = tx.fit(docs, labels.where(F.lit(False)))
     assert {r.score for r in tx.score(docs, none).collect()} == {0.0}
+
+
+def test_copy_of_an_example_is_found(spark):
+    """An example whose words are all its own has no chosen term, yet its copy has cosine 1."""
+    rng = np.random.default_rng(6)
+
+    def own():
+        return " ".join("".join(rng.choice(list("bcdfgklmnprt"), 9)) for _ in range(40))
+
+    rows = [(i, own()) for i in range(90)]
+    docs = spark.createDataFrame(rows + [(1000 + i, t) for i, t in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, toxic int")
+    m = tx.fit(docs, labels)
+    got = {r.doc_id: r.evidence for r in tx.score(docs, m).collect()}
+    examples = set(m.index.key.tolist())
+    assert len(examples) > 40
+    for i in examples:
+        assert got[1000 + i][0].doc_id == i and got[1000 + i][0].cosine == pytest.approx(1)
+        assert got[1000 + i][0].label == i % 2
