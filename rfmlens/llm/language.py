@@ -1,6 +1,6 @@
 """Operator 9: language identification of mixed-language text.
 
-1. *Script ranges* narrow the candidates of each word: a language competes
+1. Words are runs of letters; every other character ends one.  *Script ranges* narrow the candidates of each word: a language competes
    for a word only if its training words use that script (if none does, all
    compete).
 2. *Per-word scores* are sums of log probabilities of hashed byte 4-grams
@@ -74,6 +74,17 @@ def _scripts(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return _SCRIPT[np.searchsorted(_FIRST, cp, side="right") - 1]
 
 
+def letters_only(buf: np.ndarray) -> np.ndarray:
+    """The text with a space for every byte of a multi-byte character that is no
+    letter, so that such marks, dashes and spaces end words."""
+    lead = np.flatnonzero(buf >= 0xC0)
+    lead = lead[_scripts(buf, lead) == 0]
+    out = buf.copy()
+    for i, least in enumerate((0xC0, 0xC0, 0xE0, 0xF0)):
+        out[lead[buf[lead] >= least] + i] = 32
+    return out
+
+
 def _grams(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A bucket for every letter byte: the 4-gram from the byte before it."""
     m = _LOWER[buf]
@@ -110,6 +121,7 @@ def fit(docs: DataFrame, train: Column | None = None, doc_id: str = "doc_id", te
         total: dict[str, np.ndarray] = {}
         for b in batches:
             for part, buf, offs in chunks(b, "text"):
+                buf = letters_only(buf)
                 starts, ends, doc = word_spans(buf, offs, LETTER_BYTE)
                 if not len(starts):
                     continue
@@ -144,6 +156,7 @@ def fit(docs: DataFrame, train: Column | None = None, doc_id: str = "doc_id", te
 def word_scores(buf: np.ndarray, offs: np.ndarray, model: Model
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, doc, letters, scores) of the words of a chunk."""
+    buf = letters_only(buf)
     starts, ends, doc = word_spans(buf, offs, LETTER_BYTE)
     if not len(starts):
         return starts, ends, doc, np.zeros(0), np.zeros((0, len(model.langs)), np.float32)
@@ -152,8 +165,7 @@ def word_scores(buf: np.ndarray, offs: np.ndarray, model: Model
     first = np.cumsum(size) - size
     score = np.add.reduceat(model.logp[_grams(buf, starts, ends)], first, axis=0)
     score[~model.allowed[script]] = NEVER
-    score[script == 0] = 0
-    return starts, ends, doc, np.where(script == 0, 0, size), score
+    return starts, ends, doc, size, score
 
 
 def viterbi(score: np.ndarray, first: np.ndarray, count: np.ndarray, switch: float) -> np.ndarray:

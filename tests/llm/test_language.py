@@ -80,3 +80,19 @@ def test_script_narrows(spark):
     m = language.fit(df)
     got = language.identify(spark.createDataFrame([(7, "жук zzz")], "doc_id long, text string"), m)
     assert [s.lang for s in got.first().spans] == ["ru", "en"]
+
+
+def test_words_beside_marks_count(spark):
+    """Inverted marks, quotes, dashes, no-break and ideographic spaces are no part of a word."""
+    df = spark.createDataFrame([(1, "hola que tal amigo", "es"), (2, "hello there my friend", "en"),
+                                (3, "今日天气很好我们去公园散步", "zh")], "doc_id long, text string, lang string")
+    m = language.fit(df)
+    texts = [("es", "¡Hola!"), ("es", "¿Que?"), ("es", "«hola» “amigo”"), ("en", "—hello—friend"),
+             ("en", "\u00a0friend\u00a0there"), ("zh", "\u3000今日天气很好"), ("zh", "「我们去公园」。今日天气"), ("zh", "《公园》")]
+    got = language.identify(spark.createDataFrame(list(enumerate(t for _, t in texts)), "doc_id long, text string"), m)
+    got = {r.doc_id: r for r in got.collect()}
+    assert [got[i].lang_pred for i in range(len(texts))] == [x for x, _ in texts]
+    assert all(r.score > 0 for r in got.values())
+    b = "¡Hola—que tal»".encode()
+    s, e, _, letters, _ = language.word_scores(np.frombuffer(b, np.uint8), np.array([0, len(b)]), m)
+    assert [b[x:y].decode() for x, y in zip(s, e)] == ["Hola", "que", "tal"] and letters.tolist() == [4, 3, 3]
