@@ -297,13 +297,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
         emit_vectors, f"doc_id {id_type}, label int, calibrates boolean, h long, term array<long>, count array<int>")
         .toArrow().sort_by([(c, "ascending") for c in ("doc_id", "label", "h")]))
     size = pc.list_value_length(found["term"]).to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(size)), size)
+    row = np.repeat(np.arange(len(size), dtype=np.int32), size)
     hashes = pc.list_flatten(found["term"]).to_numpy().view(np.uint64)
-    counts = pc.list_flatten(found["count"]).to_numpy().astype(float)
+    counts = pc.list_flatten(found["count"]).to_numpy().astype(np.int32)
     held = found["calibrates"].to_numpy().astype(bool)
     y = found["label"].to_numpy().astype(float)
     keys = found["doc_id"].to_numpy()
     vocab = np.unique(hashes[~held[row]])
+    index_of = np.minimum(np.searchsorted(vocab, hashes), max(0, len(vocab) - 1)).astype(np.int32)
+    known = vocab[index_of] == hashes if len(vocab) else np.zeros(len(hashes), bool)
+    row, index_of, counts = row[known], index_of[known], counts[known]
+    del found, hashes, known
 
     def count_df(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, seen = np.zeros(len(vocab), np.int64), 0, hash_filter(vocab)
@@ -325,11 +329,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
 
     def pack(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         mine = part[row]
-        doc, h, count = (np.cumsum(part) - 1)[row[mine]], hashes[mine], counts[mine]
-        term = np.minimum(np.searchsorted(vocab, h), max(0, len(vocab) - 1))
-        hit = vocab[term] == h if len(vocab) else np.zeros(len(h), bool)
-        w, ptr = weights(doc[hit], term[hit], count[hit], idf, int(part.sum()))
-        return ptr, term[hit], w
+        doc, term = (np.cumsum(part) - 1)[row[mine]], index_of[mine]
+        w, ptr = weights(doc, term, counts[mine], idf, int(part.sum()))
+        return ptr, term, w
 
     examples = ~held & (size > 0)
     index = Index.build(keys[examples], y[examples], *pack(examples), len(vocab))
