@@ -20,7 +20,9 @@ Defined results: null or empty texts have no words, no hits, and the digest
 of the empty string; items with a null id or without words count as absent;
 repeated items count once; a document row is told apart by (doc_id, hash of
 text), so repeated rows give repeated rows; empty tables on either side give
-no hits; extra columns are ignored.
+no hits; extra columns are ignored.  ``clean_documents`` removes rows with a
+null id that hold a phrase; ``contamination`` joins ids by equality, as its SQL
+does, and reports no hits for such rows.
 """
 
 from __future__ import annotations
@@ -167,10 +169,10 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, doc_i
 
 def clean_documents(docs: DataFrame, bench: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without any phrase of ``bench`` (rows with a null id stay)."""
+    """The rows of ``docs`` without any phrase of ``bench``, null ids told apart by their text."""
     occ, _ = occurrences(docs, bench, window, doc_id, text)
     bad = small_side(occ.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct())
-    return docs.join(bad, (docs[doc_id] == bad["__id"]) & (F.xxhash64(docs[text]) == bad["__h"]), "left_anti")
+    return docs.join(bad, docs[doc_id].eqNullSafe(bad["__id"]) & (F.xxhash64(docs[text]) == bad["__h"]), "left_anti")
 
 
 def rare_postings(docs: DataFrame, bench: DataFrame, terms: int = 3, doc_id: str = "doc_id",

@@ -104,3 +104,12 @@ def test_proximity(spark):
     d, b = frames(spark, docs + [(i, "common common alpha") for i in range(5, 9)], bench)
     got = {(r.doc_id, r.item_id, r.first, r.last) for r in dc.proximity_matches(d, b, terms=3, slop=6).collect()}
     assert got == {(3, 2, 2, 2), (1, 1, 0, 6)}
+
+
+def test_contaminated_rows_without_an_id_go(spark):
+    ten = "a1 b2 c3 d4 e5 f6 g7 h8 i9 j10"
+    docs = [(None, "x " + ten), (None, "clean words"), (None, None), (1, ten), (2, "other")]
+    d, b = frames(spark, docs, [(10, ten)])
+    kept = dc.clean_documents(d, b).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [(None, "clean words"), (None, None), (2, "other")], key=str)
