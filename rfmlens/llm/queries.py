@@ -75,10 +75,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                          table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import verified
+    return verified(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate, license_scan, mixing, neighbours
-    return {"op2_license_scan": license_scan.oracle_sql(), "op4_mixing": mixing.oracle_sql(), "op6_neighbours": neighbours.ORACLE_SQL, "op7_decontaminate": decontaminate.ORACLE_SQL}
+    from . import decontaminate, license_scan, merkle, mixing, neighbours
+    return {"op2_license_scan": license_scan.oracle_sql(), "op4_mixing": mixing.oracle_sql(),
+            "op6_neighbours": neighbours.ORACLE_SQL, "op7_decontaminate": decontaminate.ORACLE_SQL,
+            "op11_merkle_manifest": merkle.oracle_sql()}
