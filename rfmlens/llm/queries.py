@@ -88,12 +88,18 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 with_ids=False)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical import build_index, search
+    return search(build_index(table(spark, sf_dir, "documents", "doc_id", "text")),
+                  table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontaminate, license_scan, merkle, mixing, neighbours
+    from . import decontaminate, lexical, license_scan, merkle, mixing, neighbours
     return {"op2_license_scan": license_scan.oracle_sql(), "op4_mixing": mixing.oracle_sql(),
             "op6_neighbours": neighbours.ORACLE_SQL, "op7_decontaminate": decontaminate.ORACLE_SQL,
-            "op11_merkle_manifest": merkle.oracle_sql()}
+            "op11_merkle_manifest": merkle.oracle_sql(), "op13_lexical_search": lexical.ORACLE_SQL}
