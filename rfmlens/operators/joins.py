@@ -8,6 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_once
+
+
 def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of the given columns (GROUP BY without aggregates)."""
     return (df.select(*cols) if cols else df).distinct()
@@ -70,6 +73,45 @@ def pair_grid(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.crossJoin(F.broadcast(right))
 
 
+# A key is heavy with more than this share of all rows (so there are at most
+# 1 / HEAVY_SHARE of them) and more than HEAVY_ROWS rows.
+HEAVY_SHARE = 0.001
+HEAVY_ROWS = 1_000_000
+
+
+def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE, rows: int = HEAVY_ROWS) -> DataFrame:
+    """``__heavy`` (a key of ``df`` too large for one task) and ``__salts``, into
+    how many parts it is cut; written, at most 1 / share rows, whatever the data."""
+    most = max(rows, int(df.count() * share))
+    n = F.count(F.lit(1))
+    return write_once(df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__heavy"))
+                      .agg(n.alias("__n")).where(F.col("__n") > most)
+                      .select("__heavy", F.ceil(F.col("__n") / most).cast("int").alias("__salts")))
+
+
+def salted_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
+                heavy: DataFrame) -> DataFrame:
+    """Inner join whose heavy left keys are spread over several tasks.
+
+    The rows of a heavy key are dealt by a hash of the whole row (a retried task
+    deals them alike) and the right rows of that key - and of no other - are
+    repeated for each part.  Right keys may fan out: every left row meets each
+    right row of its key exactly once.  ``heavy`` is bounded (see ``heavy_keys``),
+    hence the broadcast.
+    """
+    salts = F.broadcast(heavy)
+    lf = (left.join(salts, left[left_on] == F.col("__heavy"), "left")
+          .withColumn("__part", F.when(F.col("__salts").isNotNull(), F.pmod(
+              F.xxhash64(*[left[c] for c in left.columns]), F.col("__salts")).cast("int")).otherwise(0))
+          .drop("__heavy", "__salts"))
+    parts = F.when(F.col("__salts").isNotNull(), F.sequence(F.lit(0), F.col("__salts") - 1)).otherwise(F.array(F.lit(0)))
+    rt = (right.join(salts, right[right_on] == F.col("__heavy"), "left")
+          .withColumn("__right_part", F.explode(parts)).drop("__heavy", "__salts")
+          .withColumnRenamed(right_on, "__right_key"))
+    out = lf.join(rt, (lf[left_on] == rt["__right_key"]) & (F.col("__part") == F.col("__right_part")))
+    return out.drop("__right_key", "__part", "__right_part")
+
+
 def interval_match(req: DataFrame, calls: DataFrame, keys: Sequence[tuple[str, str]],
                    req_ts: str, call_ts: str, gap_s: int) -> DataFrame:
     """Request-to-call match: same keys, ``0 <= call - request < gap_s``.

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..session import write_once
 
-# Rows a frame declared ``bounded`` may have in one group.
+# Rows of one group that one task may sort (frames declared ``bounded``).
 BOUNDED_ROWS = 1_000_000
 
 
@@ -58,12 +58,13 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] |
     descending).
 
     ``bounded=True`` is for frames bounded by dimension sizes (country
-    pairs: at most |countries|^2 x 2 rows): plain windows, whose plan fails
-    with a message if a group has more than ``BOUNDED_ROWS`` rows.
+    pairs: at most |countries|^2 x 2 rows): plain windows, the same numbers in
+    one sort per group.  The groups are counted first; should one have more
+    than ``BOUNDED_ROWS`` rows, the ranges are used after all.
     """
     tie = [tie] if isinstance(tie, str) else list(tie)
     parts = list(partition_by)
-    if bounded:
+    if bounded and _largest_group(df, parts) <= BOUNDED_ROWS:
         return _plain(df, specs, tie, parts, count_col)
     base = write_once(df.withColumn("__id", F.monotonically_increasing_id()))
     out = base
@@ -75,17 +76,23 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], tie: Sequence[str] |
     return out.select(*df.columns, *([count_col] if count_col else []), *[s.out for s in specs])
 
 
+def _largest_group(df: DataFrame, parts: list[str]) -> int:
+    if not parts:
+        return df.count()
+    return df.groupBy(*parts).count().agg(F.max("count")).first()[0] or 0
+
+
 def _plain(df: DataFrame, specs: Sequence[RankSpec], tie: list[str], parts: list[str],
            count_col: str | None) -> DataFrame:
-    n = F.count(F.lit(1)).over(Window.partitionBy(*parts))
-    too_large = F.raise_error(F.lit(f"a bounded rank met a group of more than {BOUNDED_ROWS} rows"))
-    out = df.withColumn("__n", n)
+    out = df
     for s in specs:
         m = F.col(s.metric).desc() if s.descending else F.col(s.metric).asc()
         w = Window.partitionBy(*parts).orderBy(m, *[F.col(t).asc() for t in tie])
-        out = out.withColumn(s.out, F.when(F.col("__n") <= BOUNDED_ROWS, F.row_number().over(w))
-                             .otherwise(too_large.cast("int")))
-    size = [] if count_col is None else [_guarded(parts, F.col("__n")).alias(count_col)]
+        out = out.withColumn(s.out, F.row_number().over(w))
+    size = []
+    if count_col is not None:
+        n = F.count(F.lit(1)).over(Window.partitionBy(*parts))
+        size = [_guarded(parts, n).alias(count_col)]
     return out.select(*df.columns, *size, *[s.out for s in specs])
 
 

@@ -171,5 +171,5 @@ def query(name: str, final: str) -> None:
 
 
 def all_sql() -> dict[str, str]:
-    from . import oracle_stages  # noqa: F401  (registers the stage views)
+    from . import oracle_stages, oracle_windows  # noqa: F401  (register the stage views)
     return {k: sql(v) for k, v in QUERIES.items()}

@@ -213,14 +213,14 @@ query("coin_total", "SELECT user_id, CAST(remote_user_id AS BIGINT) AS remote_us
 query("gift_total", "SELECT user_id, streamer_id, CAST(gift_gold AS DOUBLE) AS gift_gold FROM v_gift_total")
 query("coin_gift_attach", "SELECT * EXCLUDE (gold_num, gift_gold), CAST(gold_num AS DOUBLE) AS gold_num, "
                           "CAST(gift_gold AS DOUBLE) AS gift_gold FROM v_coin_attach")
-query("snapshot_users", "SELECT user_id, CAST(country_id AS BIGINT) AS country_id, country_name_en, "
-                        "vip_level FROM v_profile_snapshot")
-query("enrich_calls", """
+ENRICH = """
 SELECT a.*, CAST(b.country_id AS BIGINT) AS user_country_id, b.country_name_en AS user_country_name,
        COALESCE(b.vip_level, 'free') AS is_user_vip, CAST(s.country_id AS BIGINT) AS streamer_country_id,
        s.country_name_en AS streamer_country_name
 FROM v_channel_union a JOIN v_profile_snapshot b ON a.user_id = b.user_id
-JOIN v_profile_snapshot s ON a.target_user_id = s.user_id""")
+JOIN v_profile_snapshot s ON a.target_user_id = s.user_id"""
+query("enrich_calls", ENRICH)
+query("enrich_calls_salted", ENRICH)
 query("job_call_detail", """SELECT * EXCLUDE (user_country_id, streamer_country_id),
   CAST(user_country_id AS BIGINT) AS user_country_id, CAST(streamer_country_id AS BIGINT) AS streamer_country_id
 FROM v_call_detail""")
@@ -235,7 +235,7 @@ FROM (SELECT * FROM v_calls WHERE day > DATE '{WINDOW_END}' - INTERVAL 30 DAY
 JOIN (SELECT DISTINCT user_id, country_name_ab FROM v_streamer_country) s ON c.streamer_id = s.user_id
 LEFT JOIN (SELECT DISTINCT country_ab, country_id FROM v_country_region) cr
   ON s.country_name_ab = cr.country_ab""")
-query("job_call_match", """
+query("call_match_window", """
 SELECT day, user_id, CAST(user_country_id AS BIGINT) AS user_country_id, user_country_name, is_user_vip,
        streamer_id, CAST(streamer_country_id AS BIGINT) AS streamer_country_id, streamer_country_name,
        CAST(channel_id AS BIGINT) AS channel_id, call_begin_time,
@@ -277,33 +277,6 @@ LEFT JOIN (SELECT streamer_country_id, streamer_country_name,
 query("level_distribution", "SELECT * FROM v_level_distribution")
 query("job_level_distribution", "SELECT * FROM v_level_distribution")
 
-query("active_users_vip", """
-SELECT user_country_id, user_country_name, is_user_vip, AVG(n) AS user_active_amount
-FROM (SELECT day, user_country_id, user_country_name,
-             CASE WHEN vip_level = 'free' THEN '0' ELSE '1' END AS is_user_vip,
-             COUNT(DISTINCT user_id) AS n
-      FROM v_calls GROUP BY ALL) t
-GROUP BY user_country_id, user_country_name, is_user_vip""")
-query("active_users", """
-SELECT user_country_id, user_country_name, AVG(n) AS user_active_amount
-FROM (SELECT day, user_country_id, user_country_name, COUNT(DISTINCT user_id) AS n
-      FROM v_calls GROUP BY day, user_country_id, user_country_name) t
-GROUP BY user_country_id, user_country_name""")
-view("v_active_streamers", """
-SELECT a.streamer_country_id, c.country_name_en AS streamer_country_name,
-       a.streamer_country_name_ab, c.region_name AS streamer_region_name, a.streamer_active_amount
-FROM (SELECT streamer_country_id, streamer_country_name_ab, AVG(n) AS streamer_active_amount
-      FROM (SELECT day, streamer_country_id, streamer_country_name_ab, COUNT(DISTINCT streamer_id) AS n
-            FROM v_calls GROUP BY day, streamer_country_id, streamer_country_name_ab) t
-      GROUP BY streamer_country_id, streamer_country_name_ab) a
-LEFT JOIN (SELECT DISTINCT country_ab, country_name_en, region_name FROM v_country_region) c
-  ON a.streamer_country_name_ab = c.country_ab""")
-query("active_streamers", "SELECT * FROM v_active_streamers")
-query("job_active_counts", "SELECT * FROM v_active_streamers")
-query("active_streamers_region", f"""
-SELECT streamer_region_name AS region_name, {rnd('SUM(streamer_active_amount)', 6)} AS streamer_amount
-FROM v_active_streamers GROUP BY streamer_region_name""")
-
 query("vip_recode", """
 SELECT user_id, vip_level, is_user_vip, if_vip, CASE WHEN if_vip = 'vip' THEN '1' ELSE '0' END AS flag_back
 FROM (SELECT user_id, vip_level, is_user_vip,
@@ -373,8 +346,6 @@ UQ = ("user_id, user_country_id, user_country_name, is_user_vip, frequency, "
       "frequency_score, monetary_score, recency_score, rfm_score")
 query("quintile_score_user", f"""SELECT {UQ}, frequency_rnk_max, monetary_rnk_max, recency_rnk_max
 FROM v_uq_score""")
-query("job_user_quintile_level", f"""SELECT {UQ}, rfm_rnk, rfm_rnk_percentage,
-       {lvl3('rfm_rnk_percentage')} AS level FROM v_uq_level""")
 
 view("v_ut_values", """
 SELECT user_id, user_country_id, user_country_name, is_user_vip,
@@ -551,11 +522,13 @@ _pref_views("rp", "v_rp_band", ["user_region_name", "is_user_vip"], ["is_user_vi
 
 query("minmax_group", """SELECT user_country_name, MAX(rfm_combination_score) AS rfm_combination_score_max,
        MIN(rfm_combination_score) AS rfm_combination_score_min FROM v_cp_comb GROUP BY user_country_name""")
-query("recall_by_level", f"""
+BY_LEVEL = f"""
 SELECT d.user_country_id, d.user_country_name, d.is_user_vip, d.streamer_country_id, d.streamer_country_name,
        l.level, {rnd('d.percentage * l.percentage', 2)} AS percentage
 FROM v_cp_dist d LEFT JOIN v_level_distribution l
-  ON d.streamer_country_id = l.streamer_country_id AND d.streamer_country_name = l.streamer_country_name""")
+  ON d.streamer_country_id = l.streamer_country_id AND d.streamer_country_name = l.streamer_country_name"""
+query("recall_by_level", BY_LEVEL)
+query("job_country_preference_level", BY_LEVEL)
 
 # ==========================================================================
 # Recall stage (country and region grains)

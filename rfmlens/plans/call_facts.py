@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import call_start
 from ..operators.aggregates import coin_total, gift_total
-from ..operators.joins import dedup, interval_match, left_fill, lookup
+from ..operators.history import snapshot_distinct
+from ..operators.joins import (HEAVY_ROWS, dedup, heavy_keys, interval_match, left_fill, lookup,
+                               salted_join)
+from ..session import write_once
+from ..sources import sinks as K
 
 GAP_S = 60  # reference: a call counts for a click when it starts < 60 s later
 
@@ -109,24 +113,32 @@ def attach_coins(channels: DataFrame, minute_gold: DataFrame, goddess_gold: Data
     return left_fill(d, g, ["user_id", "target_user_id"], {"gift_gold": zero})
 
 
-def snapshot_profiles(profiles: DataFrame) -> DataFrame:
-    """A3: every profile row up to the day, sentinel id -1 removed, distinct."""
-    return (profiles.filter(F.col("user_id") != -1)
-            .select("user_id", "country_id", "country_name_en", "vip_level").distinct())
+PROFILE_COLS = ["country_id", "country_name_en", "vip_level"]
 
 
-def enrich(calls: DataFrame, profiles: DataFrame) -> DataFrame:
+def snapshot_profiles(profiles: DataFrame, day: str | None = None) -> DataFrame:
+    """A3: every profile row (dated up to ``day``, where the profiles have
+    versions), sentinel id -1 removed, distinct."""
+    if day is not None:
+        return snapshot_distinct(profiles, day, PROFILE_COLS)
+    return profiles.filter(F.col("user_id") != -1).select("user_id", *PROFILE_COLS).distinct()
+
+
+def enrich(calls: DataFrame, profiles: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Inner joins to the profile snapshot for the user (country, vip)
     and for the streamer (country).  Calls without a profile drop out; a
     user with two profile rows fans out (Q10).  The profile table grows with
-    the user base, so it is not broadcast (AQE may, from runtime sizes)."""
+    the user base, so it is not broadcast (AQE may, from runtime sizes); a
+    popular streamer or user is salted over several tasks."""
     u = profiles.select("user_id", F.col("country_id").alias("user_country_id"),
                         F.col("country_name_en").alias("user_country_name"),
                         F.coalesce(F.col("vip_level"), F.lit("free")).alias("is_user_vip"))
-    s = profiles.select(F.col("user_id").alias("target_user_id"),
+    s = profiles.select(F.col("user_id").alias("__sid"),
                         F.col("country_id").alias("streamer_country_id"),
                         F.col("country_name_en").alias("streamer_country_name"))
-    return calls.join(u, "user_id").join(s, "target_user_id")
+    calls = write_once(calls)          # counted for heavy keys, then joined
+    d = salted_join(calls, u, "user_id", "user_id", heavy_keys(calls, "user_id", rows=heavy_rows))
+    return salted_join(d, s, "target_user_id", "__sid", heavy_keys(calls, "target_user_id", rows=heavy_rows))
 
 
 DETAIL_COLS = ["user_id", "user_country_id", "user_country_name", "is_user_vip",
@@ -181,6 +193,41 @@ def call_match(calls: DataFrame, streamer_country: DataFrame, country_region: Da
                     "gift_gold_coin_amount")
 
 
+def detail_days(detail: DataFrame, path: str, days=()) -> None:
+    """Call detail written by call day (declared schema); ``days`` names days
+    to be replaced even where they have no call."""
+    rows = detail.withColumn("day", F.to_date("call_begin_time"))
+    if days:
+        rows = rows.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
+    K.write_days(rows, path, "day", K.table_schema("call_record_detail"), days)
+
+
+def read_detail(spark, path: str, days=None) -> DataFrame:
+    return K.read_days(spark, path, days, "day", K.table_schema("call_record_detail"))
+
+
+def match_from_detail(detail: DataFrame, streamer_country: DataFrame, country_region: DataFrame) -> DataFrame:
+    """D1 (job_call_match): call detail of the days read, with the streamer's
+    country abbreviation (inner: calls of unknown streamers drop out) and
+    country id (left lookup).  The name column holds the abbreviation (Q11)."""
+    sc = dedup(streamer_country, ["user_id", "country_name_ab"])
+    d = detail.drop("streamer_country_id", "streamer_country_name").join(
+        sc.select(F.col("user_id").cast("string").alias("__sid"), "country_name_ab"),
+        F.col("streamer_id") == F.col("__sid")).drop("__sid")
+    d = lookup(d, country_region, "country_name_ab", "country_ab", {"country_id": "streamer_country_id"})
+    return d.select("day", "user_id", "user_country_id", "user_country_name", "is_user_vip", "streamer_id",
+                    F.col("streamer_country_id").cast("string").alias("streamer_country_id"),
+                    F.col("country_name_ab").alias("streamer_country_name"), "channel_id", "channel_name",
+                    "call_begin_time", "call_end_time", "call_total_length", "call_gold_coin_amount",
+                    "gift_gold_coin_amount")
+
+
+def detail_of_days(spark, path: str, asked: DataFrame) -> DataFrame:
+    """Call detail of the days that a table of days names: the join prunes the
+    partitions at run time."""
+    return read_detail(spark, path).join(F.broadcast(asked.select("day").distinct()), "day", "left_semi")
+
+
 def day_list(end: str, first_back: int, last_back: int) -> list[str]:
     """Days end-first_back .. end-last_back as ISO strings (driver-side,
     a handful of dates: the backfill range)."""

@@ -96,12 +96,6 @@ def q_coin_gift_attach(t: Tables):
     return CF.attach_coins(ch, t.minute_gold, t.goddess_gold, t.gift_detail)
 
 
-@register("snapshot_users")
-def q_snapshot_users(t: Tables):
-    """A3: distinct profile snapshot without the sentinel id."""
-    return CF.snapshot_profiles(t.user_info)
-
-
 @register("enrich_calls")
 def q_enrich_calls(t: Tables):
     """Channel rows joined (inner) to both parties' profiles."""
@@ -116,12 +110,6 @@ def q_job_call_detail(t: Tables):
                           t.gift_detail, t.user_info, FIXTURE_GAP_S)
 
 
-@register("job_call_match")
-def q_job_call_match(t: Tables):
-    """30-day call facts with the streamer's country (abbreviation and id)."""
-    return CF.call_match(t.calls, t.streamer_country, t.country_region, WINDOW_END, 30)
-
-
 # ---- streamer stage, operator by operator -----------------------------------
 def _s_base(t: Tables):
     return S.streamer_call_base(t.calls, t.country_region, RUN_DATE)
@@ -203,36 +191,6 @@ def q_job_level_distribution(t: Tables):
     return _level_distribution(t)
 
 
-@register("active_users_vip")
-def q_active_users_vip(t: Tables):
-    """Average daily distinct users per country and vip flag."""
-    return S.active_users(t.calls, True)
-
-
-@register("active_users")
-def q_active_users(t: Tables):
-    """Average daily distinct users per country."""
-    return S.active_users(t.calls, False)
-
-
-@register("active_streamers")
-def q_active_streamers(t: Tables):
-    """G6 + J3: average daily distinct streamers per country, with region."""
-    return S.active_streamers(t.calls, t.country_region)
-
-
-@register("active_streamers_region")
-def q_active_streamers_region(t: Tables):
-    """Sum of country averages per region."""
-    return S.active_streamers_region(S.active_streamers(t.calls, t.country_region))
-
-
-@register("job_active_counts")
-def q_job_active_counts(t: Tables):
-    """Active counts job: streamer country table (region table is its roll-up)."""
-    return S.active_streamers(t.calls, t.country_region)
-
-
 @register("vip_recode")
 def q_vip_recode(t: Tables):
     """Vip level -> flag -> vip class -> flag."""
@@ -293,12 +251,6 @@ def q_quintile_score_user(t: Tables):
     return U.quintile_scores(U.user_call_base(t.calls, RUN_DATE))
 
 
-@register("job_user_quintile_level")
-def q_job_user_quintile_level(t: Tables):
-    """Quintile score -> level per country."""
-    return U.quintile_level(t.calls, RUN_DATE)
-
-
 @register("user_level_country")
 def q_user_level_country(t: Tables):
     """Level 1-3 inside region-country."""

@@ -223,14 +223,22 @@ def grid_shares(grid: DataFrame, country_region: DataFrame, g: RecallGrain) -> D
 
 
 # ---- top 3 and renormalised shares (W6, F14) -----------------------------------------
+def recall_filtered(dist: DataFrame, allow: DataFrame, g: RecallGrain,
+                    by: str = "preference") -> DataFrame:
+    """The allow-listed grid pairs with their ``by`` preference."""
+    keys = (["user_country_id", "user_country_name", "is_user_vip"] if g is COUNTRY
+            else ["user_region_id", "user_region_name", "is_user_vip"])
+    return semi_filter(dedup(dist.select(*keys, "streamer_country_id", "streamer_country_name",
+                                         by)), allow, [g.user, "streamer_country_name"])
+
+
 def recall_top(dist: DataFrame, allow: DataFrame, g: RecallGrain,
                by: str = "preference") -> DataFrame:
     """W6 + F14: allow-listed grid pairs, the 3 best streamer countries per
     (group, vip) by ``by``, and each one's share of those three (3 digits)."""
     keys = (["user_country_id", "user_country_name", "is_user_vip"] if g is COUNTRY
             else ["user_region_id", "user_region_name", "is_user_vip"])
-    d = semi_filter(dedup(dist.select(*keys, "streamer_country_id", "streamer_country_name",
-                                      by)), allow, [g.user, "streamer_country_name"])
+    d = recall_filtered(dist, allow, g, by)
     top = top_k(d, [g.user, "is_user_vip"],
                 [F.col(by).desc(), F.col("streamer_country_name").asc(),
                  F.col("streamer_country_id").asc()], TOP_K).drop("rnk")
@@ -238,5 +246,5 @@ def recall_top(dist: DataFrame, allow: DataFrame, g: RecallGrain,
     return share(top, keys, "preference", "percentage", 3)
 
 
-__all__ = ["blended_grid", "grid_shares", "recall_top", "activity",
+__all__ = ["blended_grid", "grid_shares", "recall_filtered", "recall_top", "activity",
            "behaviour", "integrate", "allow_filter", "allow_pairs_row", "allow_pairs_sum"]

@@ -25,7 +25,7 @@ def register(name: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import queries as _q  # noqa: F401  (fills REGISTRY)
+    from . import queries as _q, window_queries as _w  # noqa: F401  (fill REGISTRY)
 
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,5 @@
 """Streamer side: call base, streamer RFM score, level per country, level
-mix and active counts (reference stage ``10``)."""
+mix and the region roll-up of active counts (reference stage ``10``)."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import level3, round_half_up
 from ..session import cut_lineage
-from ..operators.aggregates import avg_daily_active, call_base, count_distinct_by, rfm_values
+from ..operators.aggregates import call_base, rfm_values
+from ..operators.bitmaps import distinct_bitmaps, distinct_members, members
 from ..operators.joins import left_fill, lookup
 from ..operators.ranking import RankSpec, rank_columns, score_from_rank
 from ..operators.scores import (RFM_WEIGHTS, STREAMER_FLAT_DIVISOR, minmax_scale, rank_pct,
@@ -117,34 +118,16 @@ def serve_level(detail: DataFrame) -> DataFrame:
 
 
 def level_distribution(detail: DataFrame) -> DataFrame:
-    """Share of distinct streamers per level inside the country."""
-    per_level = count_distinct_by(detail, STREAMER_COUNTRY + ["level"], "streamer_id",
-                                  "streamer_amount")
-    total = count_distinct_by(detail, STREAMER_COUNTRY, "streamer_id", "streamer_amount_total")
+    """Share of distinct streamers per level inside the country.  One
+    set of bitmaps gives both counts: a country's total is the union of its levels."""
+    sets = distinct_bitmaps(detail, STREAMER_COUNTRY + ["level"], "streamer_id")
+    per_level = members(sets, STREAMER_COUNTRY + ["level"], "streamer_amount")
+    total = distinct_members(sets, STREAMER_COUNTRY, "streamer_amount_total")
     d = per_level.join(total, STREAMER_COUNTRY, "left")
     return d.select(*STREAMER_COUNTRY, "level", "streamer_amount", "streamer_amount_total",
                     rank_pct("streamer_amount", "streamer_amount_total", 2).alias("percentage"))
 
 
-def active_users(calls: DataFrame, with_vip: bool) -> DataFrame:
-    """Average daily distinct users per user country (and vip flag)."""
-    from ..functions.columns import vip_flag
-    keys = ["user_country_id", "user_country_name"] + (["is_user_vip"] if with_vip else [])
-    d = calls.select("day", "user_id", "user_country_id", "user_country_name",
-                     vip_flag("vip_level").alias("is_user_vip"))
-    return avg_daily_active(d, "day", keys, "user_id", "user_active_amount")
-
-
-def active_streamers(calls: DataFrame, country_region: DataFrame) -> DataFrame:
-    """S41 / G6 + J3: average daily distinct streamers per streamer country."""
-    d = avg_daily_active(calls, "day", ["streamer_country_id", "streamer_country_name_ab"],
-                         "streamer_id", "streamer_active_amount")
-    d = lookup(d, country_region, "streamer_country_name_ab", "country_ab",
-               {"country_name_en": "streamer_country_name", "region_name": "streamer_region_name"})
-    return d.select("streamer_country_id", "streamer_country_name", "streamer_country_name_ab",
-                    "streamer_region_name", "streamer_active_amount")
-
-
 def active_streamers_region(per_country: DataFrame) -> DataFrame:
     """Sum of the country averages per streamer region."""
     return (per_country.groupBy(F.col("streamer_region_name").alias("region_name"))

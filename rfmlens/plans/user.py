@@ -42,9 +42,18 @@ def quintile_scores(base: DataFrame) -> DataFrame:
 
 
 def quintile_level(calls: DataFrame, run_date: str) -> DataFrame:
-    """job_user_quintile_level (U01-U03): level 1-3 of the quintile score per country."""
-    s = quintile_scores(user_call_base(calls, run_date))
-    d = country_level(s, USER_COUNTRY, USER_KEYS)
+    """U01-U03 over all of ``calls``."""
+    return quintile_level_of(user_call_base(calls, run_date))
+
+
+def quintile_level_of(base: DataFrame) -> DataFrame:
+    """Level 1-3 of the quintile score per country."""
+    return quintile_level_from(quintile_scores(base))
+
+
+def quintile_level_from(scores: DataFrame) -> DataFrame:
+    """Level 1-3 of scored users inside their country."""
+    d = country_level(scores, USER_COUNTRY, USER_KEYS)
     return d.select(*USER_KEYS, "frequency", "monetary", "recency",
                     "frequency_rnk", "monetary_rnk", "recency_rnk",
                     "frequency_score", "monetary_score", "recency_score",

@@ -42,6 +42,16 @@ EVENT_BY_MOD4 = {0: "8-1-1-18", 1: "1-5-15-12", 2: "13-12-17-1", 3: "1-1-4-7"}
 LOCATION_BY_MOD5 = {0: 2, 1: 3, 2: 12, 3: 21, 4: 1}
 
 
+# Fixed encodings of the versioned profiles (order priority -> vip level) and
+# the cut-off day of the snapshot queries.
+FREE_PRIORITIES = ("4-NOT SPECIFIED", "5-LOW")
+NULL_PRIORITY = "3-MEDIUM"
+FIRST_VERSION = "1995-01-01"
+SNAPSHOT_DAY = "2000-06-30"
+# Last day of the event stream: end of the call-detail windows.
+CALL_DAY = "2024-01-30"
+
+
 def _case_mod(c, m: int, mapping: dict):
     e = None
     for k, v in mapping.items():
@@ -86,6 +96,27 @@ class Tables:
                         F.col("n_name").alias("country_name_en"),
                         vip.alias("vip_level")))
 
+    @cached_property
+    def user_info_history(self) -> DataFrame:
+        """Profile versions with their day: one at the start for every user, one
+        per order (its priority gives the vip level, every eleventh one a move to
+        the next country; every hundredth carries the sentinel id)."""
+        c = self.raw("customer").select("c_custkey", "c_nationkey")
+        n = self.raw("nation").select("n_nationkey", "n_name")
+        o = self.raw("orders")
+        seg = F.col("o_orderpriority")
+        vip = (F.when(seg.isin(*FREE_PRIORITIES), F.lit("free")).when(seg == NULL_PRIORITY, F.lit(None).cast("string"))
+               .otherwise(F.lower(F.substring(seg, 3, 20))))
+        first = self.user_info.withColumn("dt", F.to_date(F.lit(FIRST_VERSION)))
+        later = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                 .withColumn("k", (F.col("c_nationkey") + F.when(F.col("o_orderkey") % 11 == 0, 1).otherwise(0)) % 25)
+                 .join(n, F.col("k") == F.col("n_nationkey"))
+                 .select(F.when(F.col("o_orderkey") % 100 == 0, F.lit(-1)).otherwise(F.col("o_custkey"))
+                         .cast("bigint").alias("user_id"), F.col("n_nationkey").alias("country_id"),
+                         F.col("n_name").alias("country_name_en"), vip.alias("vip_level"),
+                         F.to_date("o_orderdate").alias("dt")))
+        return first.unionByName(later)
+
     @cached_property
     def streamer_country(self) -> DataFrame:
         return self.raw("supplier").select(

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,12 @@ SCHEMAS: dict[str, T.StructType] = {
         ("streamer_id", S), ("streamer_country_id", S), ("streamer_country_name", S),
         ("level", L), ("rfm_score", D)),
     "region_streamer_amount": _schema(("region_name", S), ("streamer_amount", L)),
+    "call_record_detail": _schema(
+        ("user_id", S), ("user_country_id", S), ("user_country_name", S), ("is_user_vip", S),
+        ("streamer_id", S), ("streamer_country_id", S), ("streamer_country_name", S),
+        ("channel_id", L), ("channel_name", S), ("call_begin_time", T.TimestampNTZType()),
+        ("call_end_time", T.TimestampNTZType()), ("call_total_length", D), ("call_gold_coin_amount", D),
+        ("gift_gold_coin_amount", D)),
     "call_match": _schema(
         ("user_id", S), ("user_country_id", S), ("user_country_name", S), ("is_user_vip", S),
         ("streamer_id", S), ("streamer_country_id", S), ("streamer_country_name", S),
@@ -52,22 +58,51 @@ def table_schema(name: str) -> T.StructType:
     return SCHEMAS[name]
 
 
+def _casts(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """The declared columns in order; strings that are no number become NULL."""
+    out = {}
+    for f in schema.fields:
+        c = F.col(f.name)
+        if isinstance(df.schema[f.name].dataType, T.StringType) and isinstance(f.dataType, T.NumericType):
+            out[f.name] = c.try_cast(f.dataType)
+        else:
+            out[f.name] = c.cast(f.dataType)
+    return out
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns in order, cast to the declared types.
 
     Fractional -> integral truncates (Spark's cast); strings -> numbers use
-    ``try_cast`` (a bad value becomes NULL instead of failing the write).
+    ``try_cast`` (a bad value becomes NULL instead of failing the write; see
+    ``rejected`` and ``reject_counts``).  Columns that are not declared go, a
+    declared column that is missing is an error.
     """
-    cols = []
-    for f in schema.fields:
-        src = df.schema[f.name].dataType
-        c = F.col(f.name)
-        if isinstance(src, T.StringType) and isinstance(f.dataType, T.NumericType):
-            c = c.try_cast(f.dataType)
-        else:
-            c = c.cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return df.select(*[c.alias(n) for n, c in _casts(df, schema).items()])
+
+
+def _lost(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """For each column whose cast can lose a value: did it, in this row?"""
+    return {n: F.col(n).isNotNull() & c.isNull() for n, c in _casts(df, schema).items()
+            if df.schema[n].dataType != schema[n].dataType}
+
+
+def reject_counts(df: DataFrame, schema: T.StructType) -> dict[str, int]:
+    """Per declared column, the values that its cast turned into NULL (one
+    aggregation; columns that already have their type cannot lose any)."""
+    lost = _lost(df, schema)
+    if not lost:
+        return {}
+    return df.agg(*[F.count_if(c).alias(n) for n, c in lost.items()]).first().asDict()
+
+
+def rejected(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The side table: rows with such a value, as they came, and ``bad_columns``."""
+    lost = _lost(df, schema)
+    if not lost:
+        return df.limit(0).withColumn("bad_columns", F.array().cast("array<string>"))
+    bad = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in lost.items()]))
+    return df.withColumn("bad_columns", bad).where(F.size("bad_columns") > 0)
 
 
 def table_path(spark: SparkSession, name: str) -> str:

@@ -1,12 +1,14 @@
 """The one-run-per-day orchestration and the streaming match."""
+import dataclasses
 import tempfile
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from rfmlens.plans.daily import run_day
+from rfmlens.plans.daily import FIXTURE_RUN, PUBLISHED, run_day
 from rfmlens.sources import sinks as K
-from rfmlens.sources.fixtures import RUN_DATE
+from rfmlens.sources.publish import read_published
+from rfmlens.sources.schemas import DAY_SCHEMAS
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,17 +20,26 @@ def _same(a, b):
 
 def test_daily_run_writes_every_table_idempotently(spark):
     root = tempfile.mkdtemp(prefix="rfmlens-daily-")
-    first = run_day(spark, SF, out_root=root)
-    assert len(first) == 31
-    lv = K.read_days(spark, f"{root}/streamer_level_detail", [RUN_DATE]).drop("dt")
+    # without the 3-day user window, as the preference keys
+    run = dataclasses.replace(FIXTURE_RUN, user_days=None)
+    first = run_day(spark, SF, run, out_root=root)
+    assert set(first) == set(DAY_SCHEMAS) and len(first) == 53
+    day = [run.day]
+    lv = read_published(spark, root, "streamer_level_detail", day).drop("dt")
     n = lv.count()
-    run_day(spark, SF, out_root=root, tables=["streamer_level_detail"])
-    # re-read: the rewrite replaced the day's files
-    lv = K.read_days(spark, f"{root}/streamer_level_detail", [RUN_DATE]).drop("dt")
+    run_day(spark, SF, run, out_root=root, tables=["streamer_level_detail", "country_recall_percentage"])
+    # re-read: the newest commit counts, the rewrite replaced the day's files
+    lv = read_published(spark, root, "streamer_level_detail", day).drop("dt")
     assert lv.count() == n
-    q = E.queries()["job_streamer_level"](spark, SF)
-    assert _same(lv, q)
-    top = K.read_days(spark, f"{root}/country_recall_percentage", [RUN_DATE]).drop("dt")
+    assert _same(lv, E.queries()["job_streamer_level"](spark, SF))
+    for wide, served in PUBLISHED.items():
+        w = read_published(spark, root, wide, day)
+        for name, cols in served.items():
+            assert _same(read_published(spark, root, name, day).drop("dt"), w.select(*cols).distinct())
+    for name in set(first) - set(PUBLISHED) - {n for s in PUBLISHED.values() for n in s}:
+        got = K.read_days(spark, f"{root}/{name}", day, schema=DAY_SCHEMAS[name]).drop("dt")
+        assert got.schema.simpleString() == DAY_SCHEMAS[name].simpleString()
+    top = K.read_days(spark, f"{root}/country_recall_percentage", day).drop("dt")
     assert _same(top, E.queries()["job_country_recall"](spark, SF))
 
 

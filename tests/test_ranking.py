@@ -126,11 +126,14 @@ def test_ranks_do_not_change_after_a_repartition(spark):
     assert one == two and len(one) == 600
 
 
-def test_bounded_rank_refuses_large_groups(spark, monkeypatch):
+def test_bounded_rank_beyond_the_bound_uses_the_ranges(spark, monkeypatch):
     from rfmlens.operators import ranking
-    df = spark.range(50).withColumn("m", F.col("id") % 5)
-    got = rank_columns(df, [RankSpec("m", "r", True)], "id", bounded=True)
-    assert got.agg(F.max("r")).first()[0] == 50
-    monkeypatch.setattr(ranking, "BOUNDED_ROWS", 49)
-    with pytest.raises(Exception, match="bounded rank"):
-        rank_columns(df, [RankSpec("m", "r", True)], "id", bounded=True).collect()
+    df = spark.range(500).selectExpr("id", "id % 5 AS m", "if(id % 7 = 0, null, id % 3) AS g")
+    for parts in ([], ["g"]):
+        want = rank_columns(df, [RankSpec("m", "r", True)], "id", parts, count_col="n", bounded=True)
+        want = {(r.id, r.r, r.n) for r in want.collect()}
+        with monkeypatch.context() as m:
+            m.setattr(ranking, "BOUNDED_ROWS", 49)
+            m.setattr(ranking, "_plain", None)
+            got = rank_columns(df, [RankSpec("m", "r", True)], "id", parts, count_col="n", bounded=True)
+            assert {(r.id, r.r, r.n) for r in got.collect()} == want
