@@ -20,9 +20,9 @@ Defined results: null or empty texts have no words, no hits, and the digest
 of the empty string; items with a null id or without words count as absent;
 repeated items count once; a document row is told apart by (doc_id, hash of
 text), so repeated rows give repeated rows; empty tables on either side give
-no hits; extra columns are ignored.  ``clean_documents`` removes rows with a
-null id that hold a phrase; ``contamination`` joins ids by equality, as its SQL
-does, and reports no hits for such rows.
+no hits; extra columns are ignored.  A null id is an id like any other: such
+rows are reported, and removed by ``clean_documents``, by what their own text
+holds.  Texts of any length are cut whole, in one row.
 """
 
 from __future__ import annotations
@@ -160,7 +160,12 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, doc_i
              .groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
     rows = keyed(docs, doc_id, text).select(
         "doc_id", "h", F.coalesce(F.size(words("text")), F.lit(0)).cast("long").alias("n_words"))
-    return (rows.join(hits, ["doc_id", "h"], "left").join(found, ["doc_id", "h"], "left")
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:          # a null id is an id too
+        r = right.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
+        return left.join(r, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left").drop(
+            "__id", "__h")
+    return (beside(beside(rows, hits), found)
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")), 256).alias("items_sha256"),
@@ -237,8 +242,9 @@ hit AS (
 its AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM occ) GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   n_hit IS NOT NULL AS contaminated
-FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+FROM dw LEFT JOIN hit ON dw.doc_id IS NOT DISTINCT FROM hit.doc_id
+LEFT JOIN its ON dw.doc_id IS NOT DISTINCT FROM its.doc_id
 """
