@@ -11,9 +11,10 @@ factors end earlier.  Shards grow in number, not in size; each query meets
 each shard once and the shards' k best are merged by a top-k window.
 
 Defined results: vectors that are null, empty, all zero or hold a null or
-non-finite component take no part, nor do null ids; of several vectors of one
-id the smallest (in array order) counts; only vectors of a query's dimension
-are its candidates; equal distances go to the smaller id; fewer candidates
+non-finite component take no part, nor do null ids; every row is a candidate,
+so an id with several rows may be found several times, but an id asks once
+(with its smallest vector, in array order) and never finds its own rows; only
+vectors of a query's dimension are its candidates; equal distances go to the smaller id; fewer candidates
 than k give fewer rows; empty tables give an empty result; extra columns are
 ignored.  Distances are Euclidean in double precision, summed in component
 order.
@@ -160,11 +161,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, factor: float = FA
     """
     v = (vectors.select(vectors[vec_id].cast("long").alias("vec_id"),
                         vectors[vector].cast("array<double>").alias("vector"))
-         .where(F.col("vec_id").isNotNull() & usable("vector"))
-         .groupBy("vec_id").agg(F.min("vector").alias("vector")))
+         .where(F.col("vec_id").isNotNull() & usable("vector")))
     shards = max(LEAST_SHARDS, -(-vectors.count() // shard_rows))
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    asked = v.where(queries).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    asked = (v.where(queries).groupBy("vec_id").agg(F.min("vector").alias("vector"))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     rows = (v.withColumn("shard", shard).withColumn("asks", F.lit(0))
             .unionByName(asked.withColumn("asks", F.lit(1)))
             .withColumn("dim", F.size("vector")))
@@ -224,14 +224,14 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, factor: float = FA
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-  GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+a AS (SELECT vec_id, min(e) AS e FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id),
 d AS (
   SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(
       range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])), lambda s, x: s + x)) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+  FROM a q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
 WHERE rank <= 10

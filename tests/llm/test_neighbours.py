@@ -10,17 +10,18 @@ from rfmlens.llm.queries import oracle_sql, queries
 
 
 def brute(rows, k=10, every=100):
-    v = {}
+    v, cand = {}, []
     for i, e in rows:
         if i is None or e is None or any(x is None or not math.isfinite(x) for x in e) or not any(e):
             continue
         e = [float(np.float32(x)) for x in e]
         v[i] = min(v.get(i, e), e)
+        cand.append((i, e))
     out = []
     for q in v:
         if q % every == 0:
-            d = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(v[q], v[c]))), c)
-                       for c in v if c != q and len(v[c]) == len(v[q]))[:k]
+            d = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(v[q], e))), c)
+                       for c, e in cand if c != q and len(e) == len(v[q]))[:k]
             out += [(q, r + 1, c, s) for r, (s, c) in enumerate(d)]
     return sorted(out)
 
@@ -75,3 +76,10 @@ def test_tree_and_its_factor(factor):
             assert (low[:, j] <= nb.distances(q, x[t.order[lo:hi]]).min(1) + 1e-9).all()
     else:
         assert recall >= (0.9 if factor == 1.5 else 0.3)
+
+
+def test_every_row_of_an_id_is_a_candidate(spark):
+    rows = [(100, [0.0, 1.0]), (1, [1.0, 0.125]), (1, [2.0, 0.0]), (1, [0.0, 1.0]), (100, [5.0, 5.0]), (2, [0.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = result(nb.nearest(df, F.col("vec_id") % 100 == 0))
+    assert got == brute(rows) and [r[2] for r in got] == [1, 1, 2, 1]
