@@ -1,8 +1,9 @@
 """Operator 9: language identification of mixed-language text.
 
-1. Words are runs of letters; every other character ends one.  *Script ranges* narrow the candidates of each word: a language competes
-   for a word only if its training words use that script (if none does, all
-   compete).
+1. Words are runs of letters (Unicode category L, with the marks that follow
+   them); every other character ends one.  *Script ranges* narrow the
+   candidates of each word: a language competes for a word only if its training
+   words use that script (if none does, all compete).
 2. *Per-word scores* are sums of log probabilities of hashed byte 4-grams
    (with word borders), learned for each language.
 3. *Viterbi* over the words with a switching penalty labels spans of the
@@ -24,6 +25,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,20 +44,35 @@ SMOOTH = 0.05
 NEVER = -1e6
 TOGETHER = 3               # chunks of text that advance together
 
-#: First code points of script ranges and their scripts
-#: (0: not a letter).
+#: First code points of script ranges and their scripts (8: any other).
 SCRIPT_RANGES = (
-    (0x0, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xC0, 1), (0xD7, 0), (0xD8, 1),
-    (0xF7, 0), (0xF8, 1), (0x2C2, 0), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6),
+    (0x0, 1), (0x2C2, 8), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6),
     (0x900, 7), (0xD80, 8), (0xE00, 9), (0xE80, 8), (0x10A0, 10), (0x1100, 11), (0x1200, 8),
-    (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x2C00, 8), (0x2E00, 0), (0x3041, 12), (0x3100, 13),
+    (0x1E00, 1), (0x1F00, 2), (0x2000, 8), (0x3005, 13), (0x3041, 12), (0x3100, 13),
     (0x3130, 11), (0x3190, 13), (0xA000, 8), (0xAC00, 11), (0xD7B0, 8), (0xF900, 13), (0xFB00, 1),
-    (0xFB07, 8), (0xFE00, 0), (0xFE70, 6), (0xFF00, 0), (0x10000, 8), (0x1F000, 0), (0x20000, 13),
-    (0xE0000, 0),
+    (0xFB07, 8), (0xFE70, 6), (0xFF00, 1), (0xFF66, 12), (0xFFA0, 11), (0x10000, 8), (0x20000, 13),
+    (0xE0000, 8),
 )
 N_SCRIPTS = 14
-_FIRST = np.array([a for a, _ in SCRIPT_RANGES])
-_SCRIPT = np.array([s for _, s in SCRIPT_RANGES])
+NO_LETTER, MARK = 0, -1
+
+
+def _ranges() -> tuple[np.ndarray, np.ndarray]:
+    """First code points of runs of one kind: the script of letters, by Unicode
+    general category (L), marks (M), and all else."""
+    first, script = zip(*SCRIPT_RANGES)
+    kinds = np.zeros(0x110000, np.int8)
+    for c in range(0x110000):
+        category = unicodedata.category(chr(c))[0]
+        if category in "LM":
+            kinds[c] = 1 if category == "L" else MARK
+    of = np.array(script)[np.searchsorted(first, np.arange(0x110000), side="right") - 1]
+    kinds = np.where(kinds == 1, of, kinds)
+    new = np.flatnonzero(np.r_[True, kinds[1:] != kinds[:-1]])
+    return new, kinds[new]
+
+
+_FIRST, _SCRIPT = _ranges()
 
 _LOWER = np.full(256, 32, np.uint32)
 _LOWER[97:123] = np.arange(97, 123)
@@ -76,9 +93,19 @@ def _scripts(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def letters_only(buf: np.ndarray) -> np.ndarray:
     """The text with a space for every byte of a multi-byte character that is no
-    letter, so that such marks, dashes and spaces end words."""
+    letter, so that such marks, dashes and spaces end words.  A combining mark
+    stays with the letter before it."""
     lead = np.flatnonzero(buf >= 0xC0)
-    lead = lead[_scripts(buf, lead) == 0]
+    script = _scripts(buf, lead)
+    drop = script == NO_LETTER
+    if (script == MARK).any():
+        char = np.flatnonzero((buf & 0xC0) != 0x80)                # first bytes of characters
+        kind = LETTER_BYTE[buf[char]].astype(np.int8)
+        kind[np.searchsorted(char, lead)] = np.sign(script)
+        last = np.maximum.accumulate(np.where(kind >= 0, np.arange(len(char)), -1))
+        alone = (kind == MARK) & ((last < 0) | (kind[last] != 1))
+        drop |= alone[np.searchsorted(char, lead)]
+    lead = lead[drop]
     out = buf.copy()
     for i, least in enumerate((0xC0, 0xC0, 0xE0, 0xF0)):
         out[lead[buf[lead] >= least] + i] = 32

@@ -96,3 +96,22 @@ def test_words_beside_marks_count(spark):
     b = "¡Hola—que tal»".encode()
     s, e, _, letters, _ = language.word_scores(np.frombuffer(b, np.uint8), np.array([0, len(b)]), m)
     assert [b[x:y].decode() for x, y in zip(s, e)] == ["Hola", "que", "tal"] and letters.tolist() == [4, 3, 3]
+
+
+LETTERS = ["Ｈｅｌｌｏ", "ｶﾀｶﾅ", "々", "µ", "ª", "日本語", "ไทย", "ქართული", "हिन्दी", "العربية", "עברית", "한국어", "ΑΒΓ",
+           "Здравствуй", "Հայ", "አማርኛ", "ⴰⵎⴰⵣⵉⵖ", "𝐀𝐁", "e\u0301te", "𐌰𐌱"]
+NO_LETTERS = ["", None, "123 456", "٠١٢٣", "०१२", "…—«»", "\u3000\u00a0", "12.5 % – №", "\u0301\u0302", "🙂🙂", "³²½"]
+
+
+def test_und_is_for_texts_without_a_letter_only(spark, model):
+    rows = [(i, t) for i, t in enumerate(LETTERS + NO_LETTERS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in language.identify(df, model).collect():
+        text = rows[r.doc_id][1]
+        assert (r.lang_pred == "und") == (text in NO_LETTERS), text
+        assert 0 <= r.score <= 1
+
+
+def test_a_combining_mark_stays_with_its_letter():
+    buf = np.frombuffer("e\u0301a \u0301 1\u0301x क्षि २".encode(), np.uint8)
+    assert language.letters_only(buf).tobytes().decode() == "e\u0301a    1  x क्षि    "
