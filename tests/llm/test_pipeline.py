@@ -98,3 +98,22 @@ def test_run_and_empty(spark, stages, tmp_path):
     spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "odd" / "benchmark.parquet"))
     ids = {r.doc_id for r in cp.run(spark, str(tmp_path / "odd")).collect()}
     assert 1 not in ids and len(ids) > 10
+
+
+def test_near_duplicates_go_by_row(spark):
+    """A repeated id, null-id copies and one id with two texts: one row of each component, no text lost."""
+    import itertools
+
+    t1, t2, t3 = ("".join(f"{w}{i} " for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    near = t1.replace("alpha59", "omega")
+    rows = [(None, t1)] * 3 + [(5, t1)] * 3 + [(7, t1), (7, t2), (9, t2 + "z"), (3, t3), (3, t3), (8, near), (None, t3)]
+    rows += [(1, ""), (1, ""), (2, None), (4, "!"), (4, "!"), (None, "lonely words of one text"), (6, "xyz")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = cp.drop_near_duplicates(spark, docs.repartition(4), SF)
+    kept = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    want = [(5, t1), (7, t2), (3, t3), (1, ""), (1, ""), (2, None), (4, "!"), (None, "lonely words of one text"),
+            (6, "xyz")]
+    assert kept == sorted(want, key=str) and out.columns == docs.columns
+    assert cp.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
+    assert len(list(itertools.groupby(kept))) == len(kept) - 1      # only the empty text is repeated
