@@ -6,8 +6,9 @@ the columns of ``documents``.  Every stage works on all its predecessor kept.
 
 1. ``language``: rows without an identified, dominant language go.
 2. ``near_duplicates``: five-word shingles, Jaccard similarity 0.8 or more; of
-   each group of linked documents the one with the smallest id stays (rows
-   without an id, and texts without a word, link with nothing and stay).
+   each group of linked rows the one with the smallest id stays, exactly one
+   row of it (a null id counts as the largest; texts without a word link with
+   nothing and all stay).
 3. ``decontaminate``: documents that hold a window of ten consecutive words of
    a benchmark item go.
 4. ``pii``: selected spans of personal data are replaced by their kind;
@@ -15,7 +16,10 @@ the columns of ``documents``.  Every stage works on all its predecessor kept.
 5. ``mix``: documents repeated and cut to the target weights of the
    domain-language-source tree, one row for each epoch.
 
-Empty tables pass through all stages as empty tables.
+Empty tables pass through all stages as empty tables.  Rows that share an id
+are rows of their own in every stage; texts of any length are read whole;
+columns beside those of ``documents`` are carried along by stages 1 to 4,
+whatever their names (those that begin with two underscores excepted).
 """
 
 from __future__ import annotations
@@ -33,9 +37,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_join.join(docs, words=5, num=80, den=100)
-    gone = small_side(groups.where("component_id < doc_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Rows, not ids, are linked and removed: a row is known by a hash of all its
+    columns.  Of each component the row with the smallest id stays (a null id
+    last; of rows with one id the smallest hash), once where it is repeated."""
+    row = F.xxhash64(*docs.columns)
+    groups = jaccard_join.join(docs.select(row.alias("doc_id"), "text"), words=5, num=80, den=100)
+    groups = groups.where("n_shingles > 0").groupBy(F.col("doc_id").alias("__row"), "component_id").count()
+    groups = written(groups.join(docs.select(row.alias("__row"), F.col("doc_id").alias("__id")).distinct(), "__row"))
+    first = groups.groupBy("component_id").agg(
+        F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__row")).alias("first"))
+    groups = groups.join(first.select("component_id", F.col("first.__row").alias("__first")), "component_id")
+    gone = small_side(groups.where("__row != __first").select("__row").distinct())
+    again = small_side(groups.where("__row = __first and count > 1").select("__row").distinct())
+    kept = docs.withColumn("__row", row).join(gone, "__row", "left_anti")
+    once = kept.join(again, "__row", "left_semi").dropDuplicates(["__row"])
+    return kept.join(again, "__row", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
