@@ -113,8 +113,8 @@ JOIN v_streamer_country s ON l.l_suppkey = s.user_id
 JOIN v_country_region sr ON s.country_name_ab = sr.country_ab""")
 
 view("v_country_preference_pre", """
-SELECT user_country_name AS country_name_en, user_region_name AS region_name,
-       CASE WHEN vip_level = 'free' THEN 'free' ELSE 'vip' END AS if_vip,
+SELECT user_country_name AS country_name_en, CONCAT('N', CAST(user_country_id AS VARCHAR)) AS country,
+       user_region_name AS region_name, CASE WHEN vip_level = 'free' THEN 'free' ELSE 'vip' END AS if_vip,
        streamer_country_name_ab AS streamer_country, streamer_region_name AS streamer_region,
        COUNT(DISTINCT user_id) AS user_cnt, COUNT(*) AS both_play_times,
        CAST(SUM(CASE WHEN l_returnflag <> 'A' THEN 1 ELSE 0 END) AS BIGINT) AS both_call_times,
@@ -131,7 +131,7 @@ SELECT user_country_name AS country_name_en, user_region_name AS region_name,
        SUM(call_total_length) AS total_video_duration,
        CAST(SUM(call_total_length) AS DOUBLE) / COUNT(*) AS avg_video_duration,
        SUM(call_gold_coin_amount) AS friend_total_gold
-FROM v_calls GROUP BY user_country_name, user_region_name,
+FROM v_calls GROUP BY user_country_name, user_country_id, user_region_name,
          CASE WHEN vip_level = 'free' THEN 'free' ELSE 'vip' END,
          streamer_country_name_ab, streamer_region_name""")
 

@@ -549,10 +549,12 @@ RATES = f"""{rnd(div('both_success_times', 'both_play_times'), 3)} AS success_ra
 AB_NAME = "(SELECT DISTINCT country_ab, country_name_en FROM v_country_region)"
 
 view("v_ca_act", f"""
-SELECT a.user_country_name, a.user_region_name, a.if_vip, c.country_name_en AS streamer_country_name,
+SELECT a.user_country_name, a.user_country_name_ab, a.user_region_name, a.if_vip,
+       c.country_name_en AS streamer_country_name,
        a.streamer_country_name_ab, a.streamer_region_name, {', '.join('a.' + c for c in COUNTERS)},
        a.avg_video_duration, a.success_rate_both, a.success_rate_hotvideo, a.raw_score
-FROM (SELECT country_name_en AS user_country_name, region_name AS user_region_name, if_vip,
+FROM (SELECT country_name_en AS user_country_name, country AS user_country_name_ab,
+             region_name AS user_region_name, if_vip,
              streamer_country AS streamer_country_name_ab, streamer_region AS streamer_region_name,
              {CNT}, avg_video_duration, {RATES}
       FROM v_country_preference_pre) a
@@ -575,7 +577,7 @@ LEFT JOIN {AB_NAME} c ON a.streamer_country_name_ab = c.country_ab""")
 
 ACT_OUT = (f"if_vip, streamer_country_name, streamer_country_name_ab, streamer_region_name, {CNT_OUT}, "
            "avg_video_duration, success_rate_both, success_rate_hotvideo, raw_score")
-query("activity_score_country", f"SELECT user_country_name, user_region_name, {ACT_OUT} FROM v_ca_act")
+query("activity_score_country", f"SELECT user_country_name, user_country_name_ab, user_region_name, {ACT_OUT} FROM v_ca_act")
 query("activity_score_region", f"SELECT user_region_name, {ACT_OUT} FROM v_ra_act")
 query("activity_region", f"""SELECT user_region_name, if_vip, streamer_country_name_ab, streamer_region_name,
        {CNT_OUT}, avg_video_duration FROM v_ra_roll""")
@@ -601,7 +603,7 @@ _behaviour_views("cb", "v_ca_act", "user_country_name")
 _behaviour_views("rb", "v_ra_act", "user_region_name")
 BEH = ("if_vip, streamer_country_name, streamer_country_name_ab, raw_score, hotvideo_rnk, "
        "hotvideo_combination_score, hotvideo_rank_score_norm")
-query("behaviour_score_country", f"""SELECT user_country_name, {BEH}, hotvideo_raw_score_norm,
+query("behaviour_score_country", f"""SELECT user_country_name, user_country_name_ab, {BEH}, hotvideo_raw_score_norm,
        hotvideo_raw_score_norm AS hotvideo_score FROM v_cb_behav""")
 query("behaviour_score_region", f"""SELECT user_region_name, {BEH},
        hotvideo_rank_score_norm AS hotvideo_score FROM v_rb_behav""")
@@ -613,7 +615,8 @@ def blends(rfm: str, beh: str) -> str:
 
 
 view("v_ci", f"""
-SELECT p.user_country_id, p.user_country_name, b.user_region_name, p.if_vip, p.streamer_country_id,
+SELECT p.user_country_id, p.user_country_name, b.user_country_name_ab, b.user_region_name, p.if_vip,
+       p.streamer_country_id,
        p.streamer_country_name, b.streamer_country_name_ab, b.streamer_region_name,
        {blends('p.preference', 'b.hotvideo_raw_score_norm')},
        p.preference AS rfm_score, b.hotvideo_raw_score_norm AS hotvideo_score,
@@ -640,7 +643,7 @@ LEFT JOIN v_rb_behav b ON p.user_region_name = b.user_region_name AND p.if_vip =
 INTEG_TAIL = ("if_vip, streamer_country_id, streamer_country_name, streamer_country_name_ab, "
               "streamer_region_name, final_score1, final_score2, final_score3, rfm_score, hotvideo_score, "
               "raw_hotvideo_score")
-query("blend_country", f"""SELECT user_country_id, user_country_name, user_region_name, {INTEG_TAIL},
+query("blend_country", f"""SELECT user_country_id, user_country_name, user_country_name_ab, user_region_name, {INTEG_TAIL},
        success_rate_hotvideo FROM v_ci""")
 query("blend_region", f"SELECT user_region_name, {INTEG_TAIL}, success_rate_hotvideo FROM v_ri")
 
@@ -666,7 +669,7 @@ FILL = ", ".join(
     f"COALESCE({c}, 0) AS {c}" if c != "total_video_duration"
     else f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in COUNTERS)
 query("allow_filter_country", f"""
-SELECT user_country_id, user_country_name, user_region_name, {INTEG_TAIL}, {FILL},
+SELECT user_country_id, user_country_name, user_country_name_ab, user_region_name, {INTEG_TAIL}, {FILL},
        COALESCE(avg_video_duration, 0.0::DOUBLE) AS avg_video_duration,
        COALESCE(success_rate_both, 0.0::DOUBLE) AS success_rate_both,
        COALESCE(success_rate_hotvideo, 0.0::DOUBLE) AS success_rate_hotvideo

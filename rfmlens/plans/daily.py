@@ -38,13 +38,14 @@ from . import recall as R
 from . import streamer as S
 from . import user as U
 from . import windowed as W
+from .call_facts import day_list
 
 
 @dataclass(frozen=True)
 class DayRun:
     """What one run is about; the defaults are the reference's values."""
     day: str                          # last day of every window, and the partition written
-    run_date: str                     # recency is counted to this day (Q14: one date)
+    run_date: str                     # recency is counted to this day (Q14: one date, two offsets)
     call_day: str | None = None       # last day of the call-detail window (default: ``day``)
     gap_s: int = CF.GAP_S             # request-to-call match
     row_gold: int = 50_000            # allow-list, coins of a source row
@@ -53,11 +54,16 @@ class DayRun:
     user_days: int | None = W.USER_DAYS       # user quintiles (None: as the call base)
     active_days: int = W.ACTIVE_DAYS
     match_days: int = W.MATCH_DAYS
+    streamer_offset: int = 0          # days after ``run_date`` to which a streamer's recency counts
+    user_offset: int = 1              # and a user's
+
+    def recency(self, offset: int) -> str:
+        return day_list(self.run_date, -offset, -offset)[0]
 
 
 #: The fixtures' run (FIXTURES.md): the whole fact table is the call base's window.
 FIXTURE_RUN = DayRun(WINDOW_END, RUN_DATE, CALL_DAY, FIXTURE_GAP_S, ROW_GOLD_THRESHOLD,
-                     REGION_GOLD_THRESHOLD, base_days=None)
+                     REGION_GOLD_THRESHOLD, base_days=None, user_offset=0)
 
 # Wide table -> serving tables and their columns.
 PREFERENCE_SERVED = ["streamer_country_id", "streamer_country_name", "rfm_rnk", "preference"]
@@ -105,8 +111,9 @@ def _active(t: Tables, run: DayRun, store: W.DayStore) -> dict[str, DataFrame]:
 
 
 def _quintiles(t: Tables, run: DayRun, store: W.DayStore) -> dict[str, DataFrame]:
-    base = (U.user_call_base(_facts(t, run), run.run_date) if run.user_days is None else
-            W.window_base(store, run.day, run.user_days, run.run_date, W.USER_BASE_KEYS))
+    date = run.recency(run.user_offset)
+    base = (U.user_call_base(_facts(t, run), date) if run.user_days is None else
+            W.window_base(store, run.day, run.user_days, date, W.USER_BASE_KEYS))
     base = cut_lineage(base)
     score = U.quintile_scores(base)
     return {"user_call_base": base, "user_quintile_score": score,
@@ -114,7 +121,7 @@ def _quintiles(t: Tables, run: DayRun, store: W.DayStore) -> dict[str, DataFrame
 
 
 def _totals(t: Tables, run: DayRun) -> dict[str, DataFrame]:
-    total = cut_lineage(U.total_score(_facts(t, run), t.country_region, run.run_date))
+    total = cut_lineage(U.total_score(_facts(t, run), t.country_region, run.recency(run.user_offset)))
     levels = cut_lineage(U.region_levels(total))
     return {"user_rfm_total_score": total, "levels": levels,
             "region_country_user_level_detail": levels.select(
@@ -175,7 +182,8 @@ def build_day(t: Tables, run: DayRun = FIXTURE_RUN, root: str | None = None) ->
 
     first = at_once(
         calls=calls,
-        base=lambda: cut_lineage(S.streamer_call_base(_facts(t, run), t.country_region, run.run_date)),
+        base=lambda: cut_lineage(S.streamer_call_base(
+            _facts(t, run), t.country_region, run.recency(run.streamer_offset))),
         store=lambda: store.refresh(t.calls, W.window_days(run.day, max(run.user_days or 1, run.active_days))),
         totals=lambda: _totals(t, run))
     base, totals = first["base"], first["totals"]

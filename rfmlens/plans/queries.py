@@ -531,7 +531,7 @@ _BEHAV_COLS = ["if_vip", "streamer_country_name", "streamer_country_name_ab", "r
 @register("behaviour_score_country")
 def q_behaviour_score_country(t: Tables):
     """Behaviour rank and raw-score based 1-5 score (country)."""
-    return _behaviour(t, "country").select("user_country_name", *_BEHAV_COLS,
+    return _behaviour(t, "country").select("user_country_name", "user_country_name_ab", *_BEHAV_COLS,
                                            "hotvideo_raw_score_norm")
 
 

@@ -61,6 +61,7 @@ def activity(pre: DataFrame, country_region: DataFrame, g: RecallGrain) -> DataF
     with the streamer country's name attached by abbreviation (J3)."""
     if g is COUNTRY:
         d = pre.select(F.col("country_name_en").alias("user_country_name"),
+                       F.col("country").alias("user_country_name_ab"),
                        F.col("region_name").alias("user_region_name"), "if_vip",
                        F.col("streamer_country").alias("streamer_country_name_ab"),
                        F.col("streamer_region").alias("streamer_region_name"),
@@ -76,7 +77,8 @@ def activity(pre: DataFrame, country_region: DataFrame, g: RecallGrain) -> DataF
              3), F.lit(0.0))))
     d = lookup(d, country_region, "streamer_country_name_ab", "country_ab",
                {"country_name_en": "streamer_country_name"})
-    head = ["user_country_name", "user_region_name"] if g is COUNTRY else ["user_region_name"]
+    head = (["user_country_name", "user_country_name_ab", "user_region_name"] if g is COUNTRY
+            else ["user_region_name"])
     return d.select(*head, "if_vip", *STREAMER, *COUNTERS, "avg_video_duration",
                     "success_rate_both", "success_rate_hotvideo", "raw_score")
 
@@ -110,7 +112,7 @@ def integrate(pref: DataFrame, behav: DataFrame, g: RecallGrain) -> DataFrame:
                  else ["user_region_name"])
     left = dedup(pref.select(*user_cols, "streamer_country_id", "streamer_country_name",
                              if_vip_from_flag("is_user_vip").alias("if_vip"), "preference"))
-    extra = ["user_region_name"] if g is COUNTRY else []
+    extra = ["user_country_name_ab", "user_region_name"] if g is COUNTRY else []
     right = behav.select(F.col(g.user).alias("__u"), F.col("if_vip").alias("__v"),
                          F.col("streamer_country_name").alias("__s"), *extra,
                          "streamer_country_name_ab", "streamer_region_name", "hotvideo_score",
@@ -126,8 +128,8 @@ def integrate(pref: DataFrame, behav: DataFrame, g: RecallGrain) -> DataFrame:
 
 
 def integration_cols(g: RecallGrain) -> list[str]:
-    user = (["user_country_id", "user_country_name", "user_region_name"] if g is COUNTRY
-            else ["user_region_name"])
+    user = (["user_country_id", "user_country_name", "user_country_name_ab", "user_region_name"]
+            if g is COUNTRY else ["user_region_name"])
     return [*user, "if_vip", "streamer_country_id", *STREAMER, "final_score1", "final_score2",
             "final_score3", "rfm_score", "hotvideo_score", "raw_hotvideo_score",
             "success_rate_hotvideo"]

@@ -179,7 +179,8 @@ class Tables:
 
     @cached_property
     def country_preference_pre(self) -> DataFrame:
-        """Activity counters per (user country, region, vip class, streamer country).
+        """Activity counters per (user country and its abbreviation, region, vip class,
+        streamer country).
 
         Read by two branches (activity scores, allow-lists): checkpointed."""
         return cut_lineage(self._country_preference_pre())
@@ -196,12 +197,14 @@ class Tables:
                   "hotvideo_request_times": (ls == "O") & (ch <= 3),
                   "hotvideo_success_times": (ls == "O") & (rf == "N"),
                   "friend_call_times": rf == "A", "friend_video_times": rf == "R"}
-        keys = ["country_name_en", "region_name", "if_vip", "streamer_country", "streamer_region"]
+        keys = ["country_name_en", "country", "region_name", "if_vip", "streamer_country", "streamer_region"]
         if_vip = F.when(F.col("vip_level") == "free", "free").otherwise("vip")
         # per user first: the distinct users of a group are then plain sums
         # (distinct counts beside sums would expand every call row)
         per_user = (self.calls.groupBy(
-            F.col("user_country_name").alias("country_name_en"), F.col("user_region_name").alias("region_name"),
+            F.col("user_country_name").alias("country_name_en"),
+            F.concat(F.lit("N"), F.col("user_country_id").cast("string")).alias("country"),
+            F.col("user_region_name").alias("region_name"),
             if_vip.alias("if_vip"), F.col("streamer_country_name_ab").alias("streamer_country"),
             F.col("streamer_region_name").alias("streamer_region"), "user_id")
             .agg(*[n_if(c).alias(n) for n, c in counts.items()],

@@ -29,7 +29,8 @@ _TYPES = {
         success_rate_both success_rate_hotvideo total_video_duration user_active_amount""",
     "string": """
         channel_name day if_vip is_user_vip region_name streamer_country_name
-        streamer_country_name_ab streamer_region_name user_country_name user_region_name""",
+        streamer_country_name_ab streamer_region_name user_country_name user_country_name_ab
+        user_region_name""",
     "timestamp_ntz": """
         call_begin_time call_end_time""",
 }
@@ -40,23 +41,23 @@ _TABLES = {
         streamer_country_id:string streamer_country_name channel_id channel_name call_begin_time
         call_end_time call_total_length call_gold_coin_amount gift_gold_coin_amount""",
     "country_activity_detail": """
-        user_country_name user_region_name if_vip streamer_country_name streamer_country_name_ab
-        streamer_region_name user_cnt both_play_times both_call_times both_request_times
-        both_success_times hotvideo_play_times hotvideo_call_times hotvideo_request_times
-        hotvideo_success_times friend_call_users friend_call_times friend_video_users
-        friend_video_times total_video_duration avg_video_duration success_rate_both
-        success_rate_hotvideo raw_score""",
+        user_country_name user_country_name_ab user_region_name if_vip streamer_country_name
+        streamer_country_name_ab streamer_region_name user_cnt both_play_times both_call_times
+        both_request_times both_success_times hotvideo_play_times hotvideo_call_times
+        hotvideo_request_times hotvideo_success_times friend_call_users friend_call_times
+        friend_video_users friend_video_times total_video_duration avg_video_duration
+        success_rate_both success_rate_hotvideo raw_score""",
     "country_band_calls": """
         user_id user_country_id user_country_name user_region_name is_user_vip streamer_id
         streamer_country_id streamer_country_name frequency call_total_length gold_coin_amount
         recency_call_interval""",
     "country_behaviour_score": """
-        user_country_name user_region_name if_vip streamer_country_name streamer_country_name_ab
-        streamer_region_name user_cnt both_play_times both_call_times both_request_times
-        both_success_times hotvideo_play_times hotvideo_call_times hotvideo_request_times
-        hotvideo_success_times friend_call_users friend_call_times friend_video_users
-        friend_video_times total_video_duration avg_video_duration success_rate_both
-        success_rate_hotvideo raw_score hotvideo_rnk hotvideo_combination_score
+        user_country_name user_country_name_ab user_region_name if_vip streamer_country_name
+        streamer_country_name_ab streamer_region_name user_cnt both_play_times both_call_times
+        both_request_times both_success_times hotvideo_play_times hotvideo_call_times
+        hotvideo_request_times hotvideo_success_times friend_call_users friend_call_times
+        friend_video_users friend_video_times total_video_duration avg_video_duration
+        success_rate_both success_rate_hotvideo raw_score hotvideo_rnk hotvideo_combination_score
         hotvideo_rank_score_norm hotvideo_raw_score_norm hotvideo_score""",
     "country_pair_score": """
         user_country_id user_country_name is_user_vip streamer_country_id streamer_country_name
@@ -102,21 +103,23 @@ _TABLES = {
         user_country_id user_country_name is_user_vip streamer_country_id streamer_country_name
         percentage""",
     "country_score_integration": """
-        user_country_id user_country_name user_region_name if_vip streamer_country_id
-        streamer_country_name streamer_country_name_ab streamer_region_name final_score1
-        final_score2 final_score3 rfm_score hotvideo_score raw_hotvideo_score success_rate_hotvideo""",
+        user_country_id user_country_name user_country_name_ab user_region_name if_vip
+        streamer_country_id streamer_country_name streamer_country_name_ab streamer_region_name
+        final_score1 final_score2 final_score3 rfm_score hotvideo_score raw_hotvideo_score
+        success_rate_hotvideo""",
     "country_score_integration_detail": """
-        user_country_id user_country_name streamer_country_id streamer_country_name if_vip rfm_score
-        user_region_name streamer_country_name_ab streamer_region_name hotvideo_score
-        raw_hotvideo_score success_rate_hotvideo success_rate_both user_cnt both_play_times
-        both_call_times both_request_times both_success_times hotvideo_play_times
-        hotvideo_call_times hotvideo_request_times hotvideo_success_times friend_call_users
-        friend_call_times friend_video_users friend_video_times total_video_duration
-        avg_video_duration final_score1 final_score2 final_score3""",
+        user_country_id user_country_name user_country_name_ab streamer_country_id
+        streamer_country_name if_vip rfm_score user_region_name streamer_country_name_ab
+        streamer_region_name hotvideo_score raw_hotvideo_score success_rate_hotvideo
+        success_rate_both user_cnt both_play_times both_call_times both_request_times
+        both_success_times hotvideo_play_times hotvideo_call_times hotvideo_request_times
+        hotvideo_success_times friend_call_users friend_call_times friend_video_users
+        friend_video_times total_video_duration avg_video_duration final_score1 final_score2
+        final_score3""",
     "country_score_integration_filtering": """
-        user_country_id user_country_name user_region_name if_vip streamer_country_id
-        streamer_country_name streamer_country_name_ab streamer_region_name final_score1
-        final_score2 final_score3 rfm_score hotvideo_score raw_hotvideo_score user_cnt
+        user_country_id user_country_name user_country_name_ab user_region_name if_vip
+        streamer_country_id streamer_country_name streamer_country_name_ab streamer_region_name
+        final_score1 final_score2 final_score3 rfm_score hotvideo_score raw_hotvideo_score user_cnt
         both_play_times both_call_times both_request_times both_success_times hotvideo_play_times
         hotvideo_call_times hotvideo_request_times hotvideo_success_times friend_call_users
         friend_call_times friend_video_users friend_video_times total_video_duration

@@ -62,7 +62,7 @@ def test_null_group_share_and_level(spark):
     assert (lv[0]["l3"], lv[0]["l5"]) == (3, 5) and (lv[1]["l3"], lv[1]["l5"]) == (1, 1)
 
 
-PRE_COLS = ("country_name_en string, region_name string, if_vip string, streamer_country string, "
+PRE_COLS = ("country_name_en string, country string, region_name string, if_vip string, streamer_country string, "
             "streamer_region string, " + ", ".join(f"{c} long" for c in R.COUNTERS[:-1])
             + ", total_video_duration decimal(22,2), avg_video_duration double, "
               "friend_total_gold decimal(22,2)")
@@ -72,7 +72,7 @@ def _pre_row(plays, success, friend_video):
     vals = dict.fromkeys(R.COUNTERS[:-1], 1)
     vals.update(both_play_times=plays, both_success_times=success, friend_video_times=friend_video,
                 hotvideo_play_times=plays, hotvideo_success_times=success)
-    return (("N_A", "R1", "vip", "N0", "R1") + tuple(vals[c] for c in R.COUNTERS[:-1])
+    return (("N_A", "NA", "R1", "vip", "N0", "R1") + tuple(vals[c] for c in R.COUNTERS[:-1])
             + (Decimal("100.00"), 10.0, Decimal("5.00")))
 
 

@@ -261,3 +261,9 @@ def test_range_run_writes_only_what_changed(spark, tmp_path):
     assert go(data[:-1]) == days[5:]                                # a row less
     assert go(data[:-1], v=2) == days                               # a dimension changed
     assert BF.recorded(spark, root, "other") == {}
+
+
+def test_recency_offsets_of_streamers_and_users():
+    run = D.DayRun(day="2024-02-28", run_date="2024-02-28")
+    assert (run.recency(run.streamer_offset), run.recency(run.user_offset)) == ("2024-02-28", "2024-02-29")
+    assert D.FIXTURE_RUN.recency(D.FIXTURE_RUN.user_offset) == RUN_DATE
