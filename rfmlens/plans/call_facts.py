@@ -137,6 +137,8 @@ def enrich(calls: DataFrame, profiles: DataFrame, heavy_rows: int = HEAVY_ROWS)
                         F.col("country_id").alias("streamer_country_id"),
                         F.col("country_name_en").alias("streamer_country_name"))
     calls = write_once(calls)          # counted for heavy keys, then joined
+    if calls.count() <= heavy_rows:    # then no key can be heavy
+        return calls.join(u, "user_id").join(s, F.col("target_user_id") == F.col("__sid")).drop("__sid")
     d = salted_join(calls, u, "user_id", "user_id", heavy_keys(calls, "user_id", rows=heavy_rows))
     return salted_join(d, s, "target_user_id", "__sid", heavy_keys(calls, "target_user_id", rows=heavy_rows))
 

@@ -24,26 +24,26 @@ def _fresh(t: Tables, name: str) -> str:
     return f"{table_root(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _store(t: Tables) -> W.DayStore:
-    """The day tables of the trailing 30 days."""
+def _store(t: Tables, days: int, bitmaps: bool = True) -> W.DayStore:
+    """The day tables of the trailing ``days`` days."""
     def build():
         store = W.DayStore(t.spark, _fresh(t, "days"))
-        store.refresh(t.calls, W.window_days(WINDOW_END, W.MATCH_DAYS))
+        store.refresh(t.calls, W.window_days(WINDOW_END, days), bitmaps)
         return store
-    return Q._memo(t, "day_store", build)
+    return Q._memo(t, f"day_store_{days}_{bitmaps}", build)
 
 
 # ---- A2: windows merged from day partials, G5 / G6 from bitmaps --------------
 @register("call_base_window")
 def q_call_base_window(t: Tables):
     """A2 / G1: the 30-day call base merged from day partials."""
-    return W.window_base(_store(t), WINDOW_END, W.MATCH_DAYS, RUN_DATE)
+    return W.window_base(_store(t, W.MATCH_DAYS), WINDOW_END, W.MATCH_DAYS, RUN_DATE)
 
 
 @register("job_user_quintile_level")
 def q_job_user_quintile_level(t: Tables):
     """U01-U03 over the last 3 days: quintile score -> level per country."""
-    return W.quintile_level(_store(t), WINDOW_END, RUN_DATE)
+    return W.quintile_level(_store(t, W.USER_DAYS, bitmaps=False), WINDOW_END, RUN_DATE)
 
 
 @register("quintile_level_all_days")
@@ -55,23 +55,23 @@ def q_quintile_level_all_days(t: Tables):
 @register("active_users_vip")
 def q_active_users_vip(t: Tables):
     """Average daily distinct users of the last 2 days per country and vip flag."""
-    return W.active_users(_store(t), WINDOW_END, True)
+    return W.active_users(_store(t, W.ACTIVE_DAYS), WINDOW_END, True)
 
 
 @register("active_users")
 def q_active_users(t: Tables):
     """Average daily distinct users of the last 2 days per country."""
-    return W.active_users(_store(t), WINDOW_END, False)
+    return W.active_users(_store(t, W.ACTIVE_DAYS), WINDOW_END, False)
 
 
 @register("active_users_windows")
 def q_active_users_windows(t: Tables):
     """Distinct users per country over 2, 7 and 30 days, from merged bitmaps."""
-    return W.distinct_users(_store(t), WINDOW_END, (2, 7, 30))
+    return W.distinct_users(_store(t, W.MATCH_DAYS), WINDOW_END, (2, 7, 30))
 
 
 def _active_streamers(t: Tables):
-    return W.active_streamers(_store(t), WINDOW_END, t.country_region)
+    return W.active_streamers(_store(t, W.ACTIVE_DAYS), WINDOW_END, t.country_region)
 
 
 @register("active_streamers")

@@ -46,11 +46,14 @@ class DayStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def refresh(self, calls: DataFrame, days: Sequence[str]) -> None:
-        """(Re)write the partitions of ``days`` from the call facts; one scan of them."""
+    def refresh(self, calls: DataFrame, days: Sequence[str], bitmaps: bool = True) -> None:
+        """(Re)write the partitions of ``days`` from the call facts; one scan of them.
+        Without ``bitmaps`` the call-base partials only."""
         days = list(days)
         rows = calls.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
         K.write_days(day_partials(rows), self.path("call_base_partials"), "day", days=days)
+        if not bitmaps:
+            return
         partials = self.partials(days)
         users = B.distinct_bitmaps(partials, ["day", *USER_COUNTRY, "is_user_vip"], "user_id")
         K.write_days(users, self.path("active_user_bitmaps"), "day", days=days)
