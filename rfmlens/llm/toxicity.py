@@ -7,7 +7,8 @@ much.  The examples are kept in a block-max inverted index: rare terms as
 postings, added up first, frequent ones as tiles of ``BLOCK`` examples.  What
 the postings gave and the largest tile weights bound a block's cosine, and only
 blocks whose bound reaches the k-th best cosine are computed.  The neighbours
-found are exact.  Votes weighted by distance are calibrated (isotonic, with
+found are exact.  Spark counts the document frequencies, weighs the examples
+and sorts the postings; the calibrating votes are a job as well.  Votes weighted by distance are calibrated (isotonic, with
 class weights) on labelled documents that are no examples; the neighbours are
 returned as evidence.
 
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,18 +127,25 @@ class Index:
 
     @staticmethod
     def build(key, label, ptr, term, weight, n_terms: int) -> Index:
-        n = len(key)
+        """From the examples' vectors."""
+        row = np.repeat(np.arange(len(key), dtype=np.int32), np.diff(ptr))
+        o = np.argsort(term, kind="stable")
+        first = np.r_[0, np.cumsum(np.bincount(term, minlength=n_terms))]
+        return Index.of_postings(key, label, first, row[o], weight[o])
+
+    @staticmethod
+    def of_postings(key, label, first, posting, weight) -> Index:
+        """From the terms' posting lists: those of frequent terms become tiles."""
+        n, size = len(key), np.diff(first)
         blocks = max(1, -(-n // BLOCK))
-        row = np.repeat(np.arange(n), np.diff(ptr))
-        frequent = np.bincount(term, minlength=n_terms) * FREQUENT > n
-        tile_of = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        f = frequent[term]
+        frequent = size * FREQUENT > n
+        tile_of = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
+        f = np.repeat(frequent, size)
+        row = posting[f].astype(np.int64)
         tiles = np.zeros((blocks, int(frequent.sum()), BLOCK))
-        tiles[row[f] // BLOCK, tile_of[term[f]], row[f] % BLOCK] = weight[f]
-        t, r, w = term[~f], row[~f], weight[~f]
-        o = np.argsort(t, kind="stable")
-        first = np.r_[0, np.cumsum(np.bincount(t, minlength=n_terms))]
-        return Index(key, label, tile_of, tiles, tiles.max(2).T.copy(), first, r[o].astype(np.int32), w[o])
+        tiles[row // BLOCK, np.repeat(tile_of[frequent], size[frequent]), row % BLOCK] = weight[f]
+        return Index(key, label, tile_of, tiles, tiles.max(2).T.copy(),
+                     np.r_[0, np.cumsum(np.where(frequent, 0, size))], posting[~f], weight[~f])
 
     def nearest(self, ptr: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int
                 ) -> tuple[np.ndarray, np.ndarray]:
@@ -203,19 +211,28 @@ def votes(label: np.ndarray, best: np.ndarray, sim: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    vocab: np.ndarray
-    idf: np.ndarray
-    index: Index
+    """Vocabulary, posting lists and calibration.  Its arrays reach the tasks by
+    one Python broadcast; their size is bounded by the sample."""
+    arrays: Broadcast          # vocabulary, idf, example keys, labels, starts, postings, weights
     knots: np.ndarray
     rates: np.ndarray
     k: int = NEIGHBOURS
 
-    def score(self, buf, offs, seen) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n = len(offs) - 1
-        doc, term, count = vectors(buf, offs, self.vocab, seen)
-        w, ptr = weights(doc, term, count, self.idf, n)
-        best, sim = self.index.nearest(ptr, term, w, self.k)
-        return np.interp(votes(self.index.label, best, sim), self.knots, self.rates), best, sim
+    @property
+    def index(self) -> Index:
+        return Index.of_postings(*self.arrays.value[2:])
+
+
+def neighbours(batches: Iterator[pa.RecordBatch], arrays: tuple, k: int
+               ) -> Iterator[tuple[pa.RecordBatch, Index, np.ndarray, np.ndarray]]:
+    """Chunks of the rows with the k nearest examples (or -1) and their cosines."""
+    vocab, idf, *postings = arrays
+    index, seen = Index.of_postings(*postings), hash_filter(vocab)
+    for b in batches:
+        for r, buf, offs in chunks(b, "text"):
+            doc, term, count = vectors(buf, offs, vocab, seen)
+            w, ptr = weights(doc, term, count, idf, r.num_rows)
+            yield r, index, *index.nearest(ptr, term, w, k)
 
 
 def calibrate(raw: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,7 +259,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     total = {r[0]: r[1] for r in labels.groupBy("label").count().collect()}
     chosen = hash_sample(labels, "doc_id", "label", sample)
     part = F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id").cast("string")), F.lit(3))
-    rows = written(docs.join(F.broadcast(chosen), "doc_id").withColumn("calibrates", part == 0))
+    spark = docs.sparkSession
+    context = spark.sparkContext
+    rows = written(docs.join(F.broadcast(chosen), "doc_id").withColumn("calibrates", part == 0)
+                   .withColumn("row", F.monotonically_increasing_id()))
 
     def emit_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -282,64 +302,76 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
                     .orderBy(chi2.desc(), "term").limit(vocabulary).select("term").collect())
     chosen_terms = np.array([r.term for r in chosen_terms], np.int64).view(np.uint64)
 
-    def emit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # examples, numbered in the order of their keys (at most the sample)
+    numbers = sorted(((r.doc_id, r.label, r.h, r.row) for r in rows.where("not calibrates").select(
+        "doc_id", "label", F.xxhash64("text").alias("h"), "row").collect()))
+    example = spark.createDataFrame([(r[3], i) for i, r in enumerate(numbers)], "row long, example int")
+    examples = written(rows.join(F.broadcast(example), "row").select("example", "text"))
+
+    def emit_vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r, buf, offs in chunks(b, "text"):
-                doc, h, count = _distinct(*terms(buf, offs))
-                cut = pa.array(np.r_[0, np.cumsum(counts_by(doc, r.num_rows))].astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [*(r.column(i) for i in range(4)),
-                     pa.ListArray.from_arrays(cut, pa.array(h.view(np.int64))),
-                     pa.ListArray.from_arrays(cut, pa.array(count.astype(np.int32)))],
-                    names=["doc_id", "label", "calibrates", "h", "term", "count"])
-
-    found = (rows.select("doc_id", "label", "calibrates", F.xxhash64("text").alias("h"), "text").mapInArrow(
-        emit_vectors, f"doc_id {id_type}, label int, calibrates boolean, h long, term array<long>, count array<int>")
-        .toArrow().sort_by([(c, "ascending") for c in ("doc_id", "label", "h")]))
-    size = pc.list_value_length(found["term"]).to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(size), dtype=np.int32), size)
-    hashes = pc.list_flatten(found["term"]).to_numpy().view(np.uint64)
-    counts = pc.list_flatten(found["count"]).to_numpy().astype(np.int32)
-    held = found["calibrates"].to_numpy().astype(bool)
-    y = found["label"].to_numpy().astype(float)
-    keys = found["doc_id"].to_numpy()
-    vocab = np.unique(hashes[~held[row]])
-    index_of = np.minimum(np.searchsorted(vocab, hashes), max(0, len(vocab) - 1)).astype(np.int32)
-    known = vocab[index_of] == hashes if len(vocab) else np.zeros(len(hashes), bool)
-    row, index_of, counts = row[known], index_of[known], counts[known]
-    del found, hashes, known
+            for _, buf, offs in chunks(b, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(terms(buf, offs)[1]).view(np.int64))],
+                                                 names=["term"])
+
+    vocab = np.sort(examples.select("text").mapInArrow(emit_vocabulary, "term long").distinct()
+                    .toArrow()["term"].to_numpy().view(np.uint64))
+    vocabulary_of = context.broadcast(vocab)
 
     def count_df(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary_of.value
         df, n, seen = np.zeros(len(vocab), np.int64), 0, hash_filter(vocab)
         for b in batches:
             for r, buf, offs in chunks(b, "text"):
                 df += counts_by(vectors(buf, offs, vocab, seen)[1], len(vocab))
                 n += r.num_rows
         at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), pa.array(np.r_[df[at], n])],
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1].astype(np.int32)), pa.array(np.r_[df[at], n])],
                                          names=["term", "df"])
 
-    got = (docs.select("text").mapInArrow(count_df, "term long, df long")
+    got = (docs.select("text").mapInArrow(count_df, "term int, df long")
            .groupBy("term").agg(F.sum("df").alias("df")).toArrow())
     at, n_docs = got["term"].to_numpy(), got["df"].to_numpy()
     df = np.zeros(len(vocab))
     df[at[at >= 0]] = n_docs[at >= 0]
     idf = np.log((1 + n_docs[at < 0].sum()) / (1 + df)) + 1
     idf[np.searchsorted(vocab, chosen_terms)] *= BOOST
+    del got, at, n_docs, df
+    weighing = context.broadcast((vocab, idf))
 
-    def pack(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        mine = part[row]
-        doc, term = (np.cumsum(part) - 1)[row[mine]], index_of[mine]
-        w, ptr = weights(doc, term, counts[mine], idf, int(part.sum()))
-        return ptr, term, w
-
-    examples = ~held & (size > 0)
-    index = Index.build(keys[examples], y[examples], *pack(examples), len(vocab))
-    best, sim = index.nearest(*pack(held), NEIGHBOURS)
-    y = y[held]
-    taken = {v: max(1, int((y == v).sum())) for v in (0, 1)}
-    w = np.array([total[int(v)] / taken.get(int(v), 1) for v in y], float)
-    return Model(vocab, idf, index, *calibrate(votes(index.label, best, sim), y, w))
+    def emit_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, idf = weighing.value
+        seen = hash_filter(vocab)
+        for b in batches:
+            for r, buf, offs in chunks(b, "text"):
+                doc, term, count = vectors(buf, offs, vocab, seen)
+                w, _ = weights(doc, term, count, idf, r.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(term.astype(np.int32)), r.column(0).take(pa.array(doc)), pa.array(w)],
+                    names=["term", "example", "weight"])
+
+    postings = (examples.mapInArrow(emit_postings, "term int, example int, weight double")
+                .orderBy("term", "example").toArrow())
+    size = np.bincount(postings["term"].to_numpy(), minlength=len(vocab))
+    arrays = context.broadcast((
+        vocab, idf, np.array([r[0] for r in numbers]), np.array([r[1] for r in numbers], np.int32),
+        np.r_[0, np.cumsum(size)], postings["example"].to_numpy(), postings["weight"].to_numpy()))
+    del postings
+    weighing.unpersist()
+    vocabulary_of.unpersist()
+
+    def emit_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, index, best, sim in neighbours(batches, arrays.value, NEIGHBOURS):
+            yield pa.RecordBatch.from_arrays([r.column(0), pa.array(votes(index.label, best, sim))],
+                                             names=["label", "vote"])
+
+    held = (rows.where("calibrates").select("label", "text").mapInArrow(emit_votes, "label int, vote double")
+            .groupBy("vote", "label").count().orderBy("vote", "label").collect())
+    y = np.array([r["label"] for r in held], float)
+    n = np.array([r["count"] for r in held], float)
+    taken = {v: max(1.0, n[y == v].sum()) for v in (0, 1)}
+    w = np.array([total[int(v)] / taken.get(int(v), 1) for v in y], float) * n
+    return Model(arrays, *calibrate(np.array([r["vote"] for r in held], float), y, w))
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text",
@@ -347,18 +379,24 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """doc_id, score, predicted (score >= cut) and evidence (neighbours, nearest first)."""
     id_type = docs.schema[doc_id].dataType.simpleString()
     docs = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
+    id_arrow = pa.string() if id_type == "string" else pa.int32() if id_type == "int" else pa.int64()
+
+    arrays, knots, rates, k = model.arrays, model.knots, model.rates, model.k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = hash_filter(model.vocab)
-        for b in batches:
-            for r, buf, offs in chunks(b, "text"):
-                s, best, sim = model.score(buf, offs, seen)
-                lists = [[{"doc_id": int(model.index.key[i]), "cosine": c, "label": int(model.index.label[i])}
-                          for i, c in zip(ids, sims) if i >= 0] for ids, sims in zip(best.tolist(), sim.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [r.column(0), pa.array(s), pa.array((s >= cut).astype(np.int32)), pa.array(lists, kind)],
-                    names=["doc_id", "score", "predicted", "evidence"])
+        for r, index, best, sim in neighbours(batches, arrays.value, k):
+            s = np.interp(votes(index.label, best, sim), knots, rates)
+            # a list column: the neighbours of a row are the first ones of its k
+            found = best >= 0
+            of = best[found]
+            ends = np.r_[0, np.cumsum(found.sum(1))].astype(np.int32)
+            one = pa.StructArray.from_arrays(
+                [pa.array(index.key[of], id_arrow), pa.array(sim[found]), pa.array(index.label[of].astype(np.int32))],
+                names=["doc_id", "cosine", "label"])
+            yield pa.RecordBatch.from_arrays(
+                [r.column(0), pa.array(s), pa.array((s >= cut).astype(np.int32)),
+                 pa.ListArray.from_arrays(pa.array(ends), one)],
+                names=["doc_id", "score", "predicted", "evidence"])
 
     return docs.mapInArrow(run, f"doc_id {id_type}, score double, predicted int, "
-                                "evidence array<struct<doc_id:long,cosine:double,label:int>>")
+                                f"evidence array<struct<doc_id:{id_type},cosine:double,label:int>>")
