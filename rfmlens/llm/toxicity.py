@@ -46,6 +46,7 @@ NEIGHBOURS = 10
 BLOCK = 64
 FREQUENT = 16               # a term of more than 1/16 of the examples is kept in tiles
 ROWS, ADDED = 128, 2_000_000         # documents and posting weights handled at once
+CACHED = 100_000            # posting weights added up at once
 LEAST_PURITY = 0.85         # a term's documents that share a label, classes weighed alike
 BEGINNINGS = (3, 4, 5, 6, 7, 8)      # bytes
 NEAR = 0.05                 # added to a distance before it is inverted
@@ -74,17 +75,32 @@ def _distinct(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def vectors(buf: np.ndarray, offs: np.ndarray, vocab: np.ndarray, seen: np.ndarray
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, vocabulary index, count) of a chunk; ``seen``: hash filter."""
-    doc, h = terms(buf, offs)
-    maybe = seen[(h & U(len(seen) - 1)).astype(np.int64)]
-    doc, h = doc[maybe], h[maybe]
-    at = np.searchsorted(vocab, h)
-    at[at == len(vocab)] = 0
-    hit = vocab[at] == h if len(vocab) else np.zeros(0, bool)
-    key = np.sort(doc[hit] * len(vocab) + at[hit])
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    size = max(1, len(vocab))
-    return key[first] // size, key[first] % size, np.diff(np.r_[first, len(key)])
+    """(document, vocabulary index, count) of a chunk; ``seen``: hash filter.
+
+    Terms are looked up once for each distinct word of the chunk.
+    """
+    s, e, doc = word_spans(buf, offs, LETTER_BYTE)
+    none = np.zeros(0, np.int64)
+    if not len(s) or not len(vocab):
+        return none, none, none
+    _, at, word = np.unique(span_hashes(buf, s, e), return_index=True, return_inverse=True)
+    size = e[at] - s[at]
+    start = np.cumsum(size) - size
+    buf = buf[np.repeat(s[at] - start, size) + np.arange(size.sum())]      # the distinct words alone
+    s, e = start, start + size
+    # ``of``: each distinct word's vocabulary indexes, -1 for none
+    of = np.full((len(at), 1 + len(BEGINNINGS)), -1, np.int32)
+    for column, k in enumerate((0, *BEGINNINGS)):
+        row = np.flatnonzero(e - s > k)
+        h = mix(span_hashes(buf, s[row], s[row] + k) + U(k)) if k else span_hashes(buf, s, e)
+        maybe = seen[(h & U(len(seen) - 1)).astype(np.int64)]
+        row, h = row[maybe], h[maybe]
+        i = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
+        of[row, column] = np.where(vocab[i] == h, i, -1)
+    term = of[word]
+    key = np.sort((doc[:, None] * len(vocab) + term)[term >= 0])
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else none
+    return key[first] // len(vocab), key[first] % len(vocab), np.diff(np.r_[first, len(key)])
 
 
 def families(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -170,10 +186,20 @@ class Index:
         blocks, n_tiles, _ = self.tiles.shape
         wide = blocks * BLOCK
         row = np.repeat(np.arange(n), np.diff(ptr))
+        cos = np.zeros((n, wide))
         size = self.first[term + 1] - self.first[term]
-        take = np.repeat(self.first[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        cos = np.bincount(np.repeat(row * wide, size) + self.posting[take],
-                          np.repeat(weight, size) * self.weight[take], n * wide).reshape(n, blocks, BLOCK)
+        added = np.r_[0, np.cumsum(size)][ptr]
+        lo = 0
+        while lo < n:                        # few enough postings to stay in the cache
+            hi = min(n, max(lo + 1, int(np.searchsorted(added, added[lo] + CACHED, side="right")) - 1))
+            part = slice(ptr[lo], ptr[hi])
+            many = size[part]
+            take = np.repeat(self.first[term[part]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            at = np.repeat((row[part] - lo) * wide, many) + self.posting[take]
+            cos[lo:hi] = np.bincount(at, np.repeat(weight[part], many) * self.weight[take],
+                                     (hi - lo) * wide).reshape(hi - lo, wide)
+            lo = hi
+        cos = cos.reshape(n, blocks, BLOCK)
         f = self.tile_of[term] >= 0
         dense = np.zeros((n, n_tiles))
         dense[row[f], self.tile_of[term[f]]] = weight[f]
