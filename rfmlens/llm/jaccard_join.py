@@ -26,8 +26,11 @@ Steps: (1) keys with more than one distinct set (map-side combined, so copies
 and hot keys collapse); (2) key rows and sketches of their documents (a
 bitmap of fixed size thins the rest); (3) members are paired with the first
 or last member of their groups, survivors verified on whole sets, links
-united to components (this only spares work); (4) pairs of a group that are in different components
-are compared by block, survivors verified, components united.  Equal sets are
+united to components (this only spares work); (4) members outside their
+group's larger components are paired with the closest member of another one
+and linked likewise, ``LINKING`` times (this only spares work); (5) all pairs of
+a group that are still in different components are compared by block,
+survivors verified, components united.  Equal sets are
 one class throughout.  Large groups are cut into chunk pairs.
 
 Defined results: a null or empty text (or one of spaces) has the empty set
@@ -59,6 +62,7 @@ BLOCK = 32                 # segments of a block of a larger set
 FINEST, FINE = 12, 4       # sub-segments of a segment: of one block, of many
 CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
+LINKING = 2                # rounds that link outsiders before all pairs are compared
 HELD_PAIRS = 1 << 18       # pairs a task holds back to drop repeated ones
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
 COMMON = 1e-3              # share of shingles that unrelated documents have in common
@@ -350,37 +354,49 @@ def sketched(pairs: DataFrame, sketches: DataFrame, p: Plan) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def compared(rows: DataFrame, p: Plan) -> DataFrame:
+def compared(rows: DataFrame, p: Plan, nearest: bool = False) -> DataFrame:
     """Distinct pairs of a group, of different components, whose blocks pass:
     (a, na, b, nb, own) as ``sketched`` takes them.
 
+    ``nearest``: only one pair of each outsider and task, that of the closest
+    blocks, with columns outsider and far.  The outsider of a pair is the one
+    whose component has fewer rows in the group.
+
     ``rows``: key, lo, hi, chunk, node, n, meta, data, comp.
     """
+    columns = [*(["outsider", "far"] if nearest else []), "a", "na", "b", "nb", "own"]
     names = ("key", "lo", "hi", "chunk", "node", "n", "meta", "comp")
 
-    def passing(c: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which pairs of rows of a group may be links."""
+    def distinct(got: np.ndarray) -> np.ndarray:
+        """Each row once; of an outsider's rows the first one."""
+        got = np.unique(got, axis=0)
+        return got[np.r_[True, got[1:, 0] != got[:-1, 0]]] if nearest and len(got) else got
+
+    def passing(c: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs of rows of a group may be links; how much of their share differs."""
         big, small = np.maximum(c["n"][j], c["n"][i]), np.minimum(c["n"][j], c["n"][i])
         own, gone = c["meta"] & 1, c["meta"] >> 1 & 1
         ok = np.flatnonzero((c["comp"][j] != c["comp"][i]) & (gone[j] & gone[i] == 0) & (own[j] | own[i] == 1)
                             & (small * p.den >= big * p.num)
                             & ((c["lo"][j] == c["hi"][j]) | (c["chunk"][j] != c["chunk"][i])))
-        keep = []
+        keep, far = [], []
         for part in np.array_split(ok, len(ok) // 16_384 + 1):
             x, y = i[part], j[part]
             meta = c["meta"][y]
             block, whole, spare = meta >> 2 & 255, meta >> 10 & (1 << 28) - 1, meta >> 38
             share = -(-block * (p.differ(c["n"][x].astype(np.int64), c["n"][y]) + 1 + spare) // whole) - 1
-            keep.append(part[(c["data"][x] != c["data"][y]).sum(1) <= share])
-        return np.concatenate(keep)
+            differ = (c["data"][x] != c["data"][y]).sum(1)
+            keep.append(part[differ <= share])
+            far.append((differ * 1_000 // (share + 1))[differ <= share])
+        return np.concatenate(keep), np.concatenate(far)
 
-    def crossings(c: dict[str, np.ndarray], cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The passing pairs of the groups that hold several components."""
+    def crossings(c: dict[str, np.ndarray], cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The passing pairs of the groups that hold several components; how far they are."""
         mixed = np.minimum.reduceat(c["comp"], cut[:-1]) != np.maximum.reduceat(c["comp"], cut[:-1])
         size = np.diff(cut)
         row = np.flatnonzero(np.repeat(mixed, size))
         after = np.repeat(cut[1:], size)[row] - row - 1          # later rows of the group
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        left, right, far = [[np.zeros(0, np.int64)] for _ in range(3)]
         total = np.r_[0, np.cumsum(after)]
         lo = 0
         while lo < len(row):                                     # about 256k pairs at a time
@@ -388,33 +404,50 @@ def compared(rows: DataFrame, p: Plan) -> DataFrame:
             n = after[lo:hi]
             i = np.repeat(row[lo:hi], n)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-            ok = passing(c, i, j)
+            ok, share = passing(c, i, j)
             left.append(i[ok])
             right.append(j[ok])
+            far.append(share)
             lo = hi
-        return np.concatenate(left), np.concatenate(right)
+        return np.concatenate(left), np.concatenate(right), np.concatenate(far)
+
+    def of_component(c: dict[str, np.ndarray], cut: np.ndarray) -> np.ndarray:
+        """Rows of each row's group that are in its component."""
+        group = np.repeat(np.arange(len(cut)), np.diff(np.r_[cut, len(c["comp"])]))
+        o = np.lexsort((c["comp"], group))
+        new = np.r_[True, (group[o][1:] != group[o][:-1]) | (c["comp"][o][1:] != c["comp"][o][:-1])]
+        out = np.zeros(len(o), np.int64)
+        out[o] = np.diff(np.r_[np.flatnonzero(new), len(o)])[np.cumsum(new) - 1]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros((0, 5), np.int64)]          # a pair meets under many keys: one row for all of a task
+        none = np.zeros((0, len(columns)), np.int64)
+        held = [none]                                # a pair meets under many keys: one row for all of a task
 
         def emit() -> pa.RecordBatch:
-            got = np.unique(np.concatenate(held), axis=0)
-            held[:] = [np.zeros((0, 5), np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(got[:, x]) for x in range(5)],
-                                              names=["a", "na", "b", "nb", "own"])
+            got = distinct(np.concatenate(held))
+            held[:] = [none]
+            return pa.RecordBatch.from_arrays([pa.array(got[:, x]) for x in range(len(columns))], names=columns)
 
         def pairs(c: dict[str, np.ndarray], cut: np.ndarray) -> bool:
             """Keeps the passing pairs; true when enough of them wait."""
-            i, j = crossings(c, cut) if len(cut) > 1 else np.zeros((2, 0), np.int64)
+            i, j, far = crossings(c, cut) if len(cut) > 1 else np.zeros((3, 0), np.int64)
             own = c["meta"] & 1
+            first = []
+            if nearest and len(i):
+                rows = of_component(c, cut[:-1])
+                fewer = (rows[i] < rows[j]) | ((rows[i] == rows[j]) & (c["comp"][i] > c["comp"][j]))
+                first = [np.where(fewer, c["node"][i], c["node"][j]), far]
+            elif nearest:
+                first = [far, far]
             # a is in its own family; of two such, the smaller node
             swap = (own[i] == 0) | ((own[j] == 1) & (c["node"][j] < c["node"][i]))
             i, j = np.where(swap, j, i), np.where(swap, i, j)
-            got = np.stack([c["node"][i], c["n"][i], c["node"][j], c["n"][j], own[j]], 1)
-            held.append(np.unique(got.astype(np.int64), axis=0))
+            got = np.stack([*first, c["node"][i], c["n"][i], c["node"][j], c["n"][j], own[j]], 1)
+            held.append(distinct(got.astype(np.int64)))
             if sum(map(len, held)) < HELD_PAIRS:
                 return False
-            held[:] = [np.unique(np.concatenate(held), axis=0)]
+            held[:] = [distinct(np.concatenate(held))]
             return len(held[0]) >= HELD_PAIRS // 2
 
         rest: dict[str, np.ndarray] | None = None       # the last group of a batch may go on
@@ -441,7 +474,7 @@ def compared(rows: DataFrame, p: Plan) -> DataFrame:
     order = ("key", "lo", "hi")
     return (rows.select("key", "lo", "hi", "chunk", "node", "n", "meta", "comp", "data")
             .repartition(*order).sortWithinPartitions(*order, "node")
-            .mapInArrow(run, "a long, na long, b long, nb long, own long").distinct())
+            .mapInArrow(run, ", ".join(f"{x} long" for x in columns)).distinct())
 
 
 def whole_sets(docs: DataFrame, k: int, nodes: DataFrame) -> DataFrame:
@@ -483,6 +516,22 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, p: Plan) -> DataFrame:
                    .mapInArrow(run, "a long, b long"))
 
 
+def members(slim: DataFrame, sketches: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows of the groups that hold several components, as ``compared`` takes
+    them: a large group in chunks, each pair of chunks a group of its own."""
+    known = written(slim.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    mixed = written(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                             F.count("*").alias("size")).where("x != y")
+                    .select("key", F.ceil(F.col("size") / GROUP).cast("int").alias("of")))
+    place = F.col("span").bitwiseAND((1 << 32) - 1).cast("int") + 1
+    return (known.join(mixed, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+            .withColumn("own", F.col("meta").bitwiseAND(1)).join(sketches, ["node", "own"])
+            .select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                    "chunk", "node", "n", "meta", "comp",
+                    F.substring("data", place, F.shiftright("span", 32).cast("int")).alias("data")))
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3,
          num: int = 90, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
@@ -512,21 +561,20 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
             .groupBy("a", "na", "b", "nb", "own").count())
     star = top_k(star, ["b"], [F.desc("count"), F.col("a"), F.col("own")], 2)
     star = verified(written(sketched(star, sketches, p)), docs, words, p)
-    first = components(star)
-    known = written(slim.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    mixed = written(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                             F.count("*").alias("size")).where("x != y")
-                    .select("key", F.ceil(F.col("size") / GROUP).cast("int").alias("of")))
-    place = F.col("span").bitwiseAND((1 << 32) - 1).cast("int") + 1
-    members = (known.join(mixed, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
-               .withColumn("own", F.col("meta").bitwiseAND(1)).join(sketches, ["node", "own"])
-               .select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
-                       "chunk", "node", "n", "meta", "comp",
-                       F.substring("data", place, F.shiftright("span", 32).cast("int")).alias("data")))
-    cross = written(compared(members, p))
+    links, comp = star, components(star)
+    for _ in range(LINKING):
+        # outsiders with the closest member of another component: links found
+        # here spare all other pairs between the two components
+        near = written(compared(members(slim, sketches, comp), p, nearest=True))
+        near = top_k(near, ["outsider"], ["far", "a", "b", "own"], 2).select("a", "na", "b", "nb", "own").distinct()
+        near = verified(written(sketched(near, sketches, p)), docs, words, p)
+        if near.isEmpty():
+            break
+        links = links.union(near)
+        comp = components(links)
+    cross = written(compared(members(slim, sketches, comp), p))
     cross = verified(written(sketched(cross, sketches, p)), docs, words, p)
-    comp = first if cross.isEmpty() else components(star.union(cross))
+    comp = comp if cross.isEmpty() else components(links.union(cross))
     named = cls.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = named.join(least, "comp").select("node", "n", "component_id")
