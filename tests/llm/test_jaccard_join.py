@@ -102,6 +102,34 @@ def test_large_group_is_cut_into_chunks(spark, monkeypatch):
     assert result(jj.join(df)) == brute(rows)
 
 
+def test_outsiders_are_linked_before_all_pairs_are_compared(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(160):           # two edits: linked with the text without edits alone
+        words = list(base)
+        for at in rng.choice(150, 1 + i % 2 if i else 0, replace=False):
+            words[at] = f"e{rng.integers(0, 9999)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compared, emitted = jj.compared, []
+
+    def counted(members, p, nearest=False):
+        out = jj.written(compared(members, p, nearest))
+        if nearest:
+            assert out.groupBy("outsider").count().count() <= len(rows)
+        else:
+            emitted.append(out.count())
+        return out
+
+    monkeypatch.setattr(jj, "compared", counted)
+    want = brute(rows)
+    assert result(jj.join(docs)) == want
+    monkeypatch.setattr(jj, "LINKING", 0)
+    assert result(jj.join(docs)) == want
+    assert emitted[0] < emitted[1]
+
+
 @pytest.mark.parametrize("num", [80, 90])
 def test_allocation_covers_the_threshold(num):
     for rows in (100, 10**6, 10**11):
