@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
-from .oracle import RUN_DATE, VIEWS, WINDOW_END, lvl3, query, rnd, view
+from .oracle import RUN_DATE, WINDOW_END, lvl3, query, rnd, view
 from .oracle_stages import UQ
 
 CALL_DAY = "2024-01-30"
@@ -16,7 +14,6 @@ def window(days: int, end: str = WINDOW_END, col: str = "day") -> str:
 
 
 # ---- A2 / G5 / G6 -----------------------------------------------------------
-view("v_calls_w3", f"SELECT * FROM v_calls WHERE {window(3)}")
 view("v_calls_w2", f"SELECT * FROM v_calls WHERE {window(2)}")
 view("v_calls_w30", f"SELECT * FROM v_calls WHERE {window(30)}")
 
@@ -29,14 +26,8 @@ SELECT user_id, user_country_id, user_country_name, CASE WHEN vip_level = 'free'
        MIN(date_diff('day', CAST(call_begin_time AS DATE), DATE '{RUN_DATE}')) AS recency_call_interval
 FROM v_calls_w30 GROUP BY ALL""")
 
-# the quintile chain over three days: the same views over the windowed facts
-CHAIN = ["v_user_base", "v_uq_values", "v_uq_ranks", "v_uq_scores", "v_uq_score", "v_uq_level"]
-for name in CHAIN:
-    body = VIEWS[name].replace("FROM v_calls", "FROM v_calls_w3")
-    body = re.sub(rf"FROM ({'|'.join(CHAIN)})\b", r"FROM \1_w3", body)
-    view(f"{name}_w3", body)
 query("job_user_quintile_level", f"""SELECT {UQ}, rfm_rnk, rfm_rnk_percentage,
-       {lvl3('rfm_rnk_percentage')} AS level FROM v_uq_level_w3""")
+       {lvl3('rfm_rnk_percentage')} AS level FROM v_uq_level""")
 query("quintile_level_all_days", f"""SELECT {UQ}, rfm_rnk, rfm_rnk_percentage,
        {lvl3('rfm_rnk_percentage')} AS level FROM v_uq_level""")
 
@@ -44,34 +35,38 @@ query("active_users_vip", """
 SELECT user_country_id, user_country_name, is_user_vip, AVG(n) AS user_active_amount
 FROM (SELECT day, user_country_id, user_country_name,
              CASE WHEN vip_level = 'free' THEN '0' ELSE '1' END AS is_user_vip, COUNT(DISTINCT user_id) AS n
-      FROM v_calls_w2 GROUP BY ALL) t
+      FROM v_calls GROUP BY ALL) t
 GROUP BY user_country_id, user_country_name, is_user_vip""")
 query("active_users", """
 SELECT user_country_id, user_country_name, AVG(n) AS user_active_amount
 FROM (SELECT day, user_country_id, user_country_name, COUNT(DISTINCT user_id) AS n
-      FROM v_calls_w2 GROUP BY day, user_country_id, user_country_name) t
+      FROM v_calls GROUP BY day, user_country_id, user_country_name) t
 GROUP BY user_country_id, user_country_name""")
 query("active_users_windows", "\nUNION ALL\n".join(f"""
 SELECT CAST({n} AS BIGINT) AS window_days, user_country_id, user_country_name, COUNT(DISTINCT user_id) AS user_amount
 FROM v_calls WHERE {window(n)} GROUP BY user_country_id, user_country_name""" for n in (2, 7, 30)))
 
-view("v_active_streamers_w2", """
+ACTIVE_STREAMERS = """
 SELECT a.streamer_country_id, c.country_name_en AS streamer_country_name,
        a.streamer_country_name_ab, c.region_name AS streamer_region_name, a.streamer_active_amount
 FROM (SELECT streamer_country_id, streamer_country_name_ab, AVG(n) AS streamer_active_amount
       FROM (SELECT day, streamer_country_id, streamer_country_name_ab, COUNT(DISTINCT streamer_id) AS n
-            FROM v_calls_w2 GROUP BY day, streamer_country_id, streamer_country_name_ab) t
+            FROM v_calls GROUP BY day, streamer_country_id, streamer_country_name_ab) t
       GROUP BY streamer_country_id, streamer_country_name_ab) a
 LEFT JOIN (SELECT DISTINCT country_ab, country_name_en, region_name FROM v_country_region) c
-  ON a.streamer_country_name_ab = c.country_ab""")
-query("active_streamers", "SELECT * FROM v_active_streamers_w2")
+  ON a.streamer_country_name_ab = c.country_ab"""
+view("v_active_streamers", ACTIVE_STREAMERS)
+query("active_streamers", "SELECT * FROM v_active_streamers")
+query("job_active_counts", "SELECT * FROM v_active_streamers")
+query("active_streamers_region", f"""
+SELECT streamer_region_name AS region_name, {rnd('SUM(streamer_active_amount)', 6)} AS streamer_amount
+FROM v_active_streamers GROUP BY streamer_region_name""")
+
+# the second output of the job: the last two days
+view("v_active_streamers_w2", ACTIVE_STREAMERS.replace("FROM v_calls ", "FROM v_calls_w2 "))
 view("v_active_regions_w2", f"""
 SELECT streamer_region_name AS region_name, {rnd('SUM(streamer_active_amount)', 6)} AS streamer_amount
 FROM v_active_streamers_w2 GROUP BY streamer_region_name""")
-query("active_streamers_region", "SELECT * FROM v_active_regions_w2")
-query("job_active_counts", """
-SELECT streamer_country_name AS country_name, streamer_country_name_ab AS country_name_ab,
-       CAST(trunc(streamer_active_amount) AS BIGINT) AS streamer_amount FROM v_active_streamers_w2""")
 query("job_active_counts_region", """
 SELECT region_name, CAST(trunc(streamer_amount) AS BIGINT) AS streamer_amount FROM v_active_regions_w2""")
 

@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import level3, round_half_up
+from ..functions.columns import level3, round_half_up, vip_flag
 from ..session import cut_lineage
-from ..operators.aggregates import call_base, rfm_values
+from ..operators.aggregates import avg_daily_active, call_base, rfm_values
 from ..operators.bitmaps import distinct_bitmaps, distinct_members, members
 from ..operators.joins import left_fill, lookup
 from ..operators.ranking import RankSpec, rank_columns, score_from_rank
@@ -128,6 +128,24 @@ def level_distribution(detail: DataFrame) -> DataFrame:
                     rank_pct("streamer_amount", "streamer_amount_total", 2).alias("percentage"))
 
 
+def active_users(calls: DataFrame, with_vip: bool) -> DataFrame:
+    """Average daily distinct users per user country (and vip flag), over all days."""
+    keys = ["user_country_id", "user_country_name"] + (["is_user_vip"] if with_vip else [])
+    d = calls.select("day", "user_id", "user_country_id", "user_country_name",
+                     vip_flag("vip_level").alias("is_user_vip"))
+    return avg_daily_active(d, "day", keys, "user_id", "user_active_amount")
+
+
+def active_streamers(calls: DataFrame, country_region: DataFrame) -> DataFrame:
+    """S41 / G6 + J3: average daily distinct streamers per streamer country, over all days."""
+    d = avg_daily_active(calls, "day", ["streamer_country_id", "streamer_country_name_ab"],
+                         "streamer_id", "streamer_active_amount")
+    d = lookup(d, country_region, "streamer_country_name_ab", "country_ab",
+               {"country_name_en": "streamer_country_name", "region_name": "streamer_region_name"})
+    return d.select("streamer_country_id", "streamer_country_name", "streamer_country_name_ab",
+                    "streamer_region_name", "streamer_active_amount")
+
+
 def active_streamers_region(per_country: DataFrame) -> DataFrame:
     """Sum of the country averages per streamer region."""
     return (per_country.groupBy(F.col("streamer_region_name").alias("region_name"))

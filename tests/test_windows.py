@@ -267,3 +267,14 @@ def test_recency_offsets_of_streamers_and_users():
     run = D.DayRun(day="2024-02-28", run_date="2024-02-28")
     assert (run.recency(run.streamer_offset), run.recency(run.user_offset)) == ("2024-02-28", "2024-02-29")
     assert D.FIXTURE_RUN.recency(D.FIXTURE_RUN.user_offset) == RUN_DATE
+
+
+@pytest.mark.parametrize("key", ["job_user_quintile_level", "active_users", "active_users_vip", "active_streamers",
+                                 "active_streamers_region", "job_active_counts"])
+def test_jobs_run_over_all_days(t001, key):
+    """Without the calls of the trailing windows the jobs still see the days before."""
+    from rfmlens.plans.registry import REGISTRY, queries
+    queries()
+    t = Tables(t001.spark, SF)
+    t.__dict__["calls"] = t001.calls.where(F.col("day") < "2001-01-01")
+    assert REGISTRY[key](t).count() > 0
