@@ -54,6 +54,26 @@ def apply_defaults(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+# Fact rows that one shuffle task may get.  A call base entry takes about 700
+# bytes in a task's hash table, so this is about 350 MB.
+TASK_ROWS = 500_000
+INITIAL_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+LEAST_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, rows: int) -> None:
+    """Let AQE choose among enough shuffle partitions for ``rows`` fact rows, so
+    that a task's part does not grow with the table.  Where the session's own
+    number is enough, it stays; small shuffles are still coalesced."""
+    tasks = -(-rows // TASK_ROWS)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_KEY, str(2 * tasks))
+        spark.conf.set(LEAST_KEY, str(tasks))
+    else:
+        spark.conf.unset(INITIAL_KEY)
+        spark.conf.unset(LEAST_KEY)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..session import cut_lineage
+from ..session import cut_lineage, size_shuffles
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -66,10 +66,19 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._rows = 0
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def facts(self, name: str) -> DataFrame:
+        """A fact table; the shuffles are sized for its rows (counted from the
+        file footers) and those of the facts read before."""
+        df = self.raw(name)
+        self._rows = max(self._rows, df.count())
+        size_shuffles(self.spark, self._rows)
+        return df
+
     # ---- dimensions -------------------------------------------------------
     @cached_property
     def country_region(self) -> DataFrame:
@@ -103,7 +112,7 @@ class Tables:
         the next country; every hundredth carries the sentinel id)."""
         c = self.raw("customer").select("c_custkey", "c_nationkey")
         n = self.raw("nation").select("n_nationkey", "n_name")
-        o = self.raw("orders")
+        o = self.facts("orders")
         seg = F.col("o_orderpriority")
         vip = (F.when(seg.isin(*FREE_PRIORITIES), F.lit("free")).when(seg == NULL_PRIORITY, F.lit(None).cast("string"))
                .otherwise(F.lower(F.substring(seg, 3, 20))))
@@ -135,7 +144,7 @@ class Tables:
     @cached_property
     def calls(self) -> DataFrame:
         """One row per call with both parties' country, region and vip."""
-        li = self.raw("lineitem").select(
+        li = self.facts("lineitem").select(
             "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity",
             "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -222,11 +231,11 @@ class Tables:
     # ---- click / call-record / coin / gift sources ------------------------
     @cached_property
     def request_record(self) -> DataFrame:
-        return request_record_from(self.raw("events"))
+        return request_record_from(self.facts("events"))
 
     @cached_property
     def video_record(self) -> DataFrame:
-        return video_record_from(self.raw("events"))
+        return video_record_from(self.facts("events"))
 
     def _gold(self) -> DataFrame:
         v = self.video_record

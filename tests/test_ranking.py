@@ -137,3 +137,24 @@ def test_bounded_rank_beyond_the_bound_uses_the_ranges(spark, monkeypatch):
             m.setattr(ranking, "_plain", None)
             got = rank_columns(df, [RankSpec("m", "r", True)], "id", parts, count_col="n", bounded=True)
             assert {(r.id, r.r, r.n) for r in got.collect()} == want
+
+
+def test_shuffle_partitions_follow_the_facts(spark, tmp_path, monkeypatch):
+    """Twice the rows get twice the tasks; a small table leaves the session's number."""
+    from rfmlens import session
+    from rfmlens.sources.fixtures import Tables
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    keys = [session.INITIAL_KEY, session.LEAST_KEY]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (2000, 4000, 100):
+            spark.range(n).write.parquet(f"{tmp_path}/{n}/lineitem.parquet")
+            facts = Tables(spark, f"{tmp_path}/{n}").facts("lineitem")
+            assert facts.count() == n
+            at = [spark.conf.get(k, None) for k in keys]
+            assert at == ([None, None] if n == 100 else [str(2 * n // 100), str(n // 100)])
+            assert facts.groupBy("id").count().count() == n
+        assert spark.conf.get("spark.sql.shuffle.partitions") == old
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
