@@ -42,7 +42,8 @@ SWITCH = 10.0
 BUCKETS = 1 << 16
 SMOOTH = 0.05
 NEVER = -1e6
-TOGETHER = 3               # chunks of text that advance together
+CHUNK = 1 << 20            # bytes of text scored at once: 4 bytes for each byte and language
+TOGETHER = 4               # chunks of text that advance together
 
 #: First code points of script ranges and their scripts (8: any other).
 SCRIPT_RANGES = (
@@ -147,7 +148,7 @@ def fit(docs: DataFrame, train: Column | None = None, doc_id: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for b in batches:
-            for part, buf, offs in chunks(b, "text"):
+            for part, buf, offs in chunks(b, "text", CHUNK):
                 buf = letters_only(buf)
                 starts, ends, doc = word_spans(buf, offs, LETTER_BYTE)
                 if not len(starts):
@@ -260,7 +261,7 @@ def identify_rows(batch: pa.RecordBatch, text: str, model: Model
         return ["und"] * n, [0.0] * n, [[] for _ in range(n)]
     parts, base = [], 0
     todo = batch.num_rows
-    for rows, buf, offs in chunks(batch, text):
+    for rows, buf, offs in chunks(batch, text, CHUNK):
         s, e, doc, letters, score = word_scores(buf, offs, model)
         parts.append((s - offs[doc], e - offs[doc], doc + base, letters, score))
         base += rows.num_rows

@@ -115,3 +115,16 @@ def test_und_is_for_texts_without_a_letter_only(spark, model):
 def test_a_combining_mark_stays_with_its_letter():
     buf = np.frombuffer("e\u0301a \u0301 1\u0301x क्षि २".encode(), np.uint8)
     assert language.letters_only(buf).tobytes().decode() == "e\u0301a    1  x क्षि    "
+
+
+def test_a_large_batch_is_scored_in_bounded_chunks(model, monkeypatch):
+    """What is scored at once stays within ``CHUNK`` bytes, with the same results as row by row."""
+    import pyarrow as pa
+    texts = [f"the quick brown fox und der schnelle Hund {i} " * 60 for i in range(1200)] + [None, ""]
+    seen, whole = [], language.word_scores
+    monkeypatch.setattr(language, "word_scores", lambda buf, offs, m: seen.append(len(buf)) or whole(buf, offs, m))
+    got = language.identify_rows(pa.RecordBatch.from_pydict({"text": texts}), "text", model)
+    assert sum(seen) > 3 << 20 and max(seen) <= 1 << 20
+    for i in (0, 700, 1199, 1200, 1201):
+        one = language.identify_rows(pa.RecordBatch.from_pydict({"text": pa.array([texts[i]], pa.string())}), "text", model)
+        assert [x[i] for x in got] == [x[0] for x in one]
