@@ -119,14 +119,16 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 4, bins: in
                   np.array(right, np.int32), np.array(value, np.float64), depth)
 
 
-def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Calibration steps by pool-adjacent-violators: (score knots, rates)."""
+def isotonic(score: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Calibration steps by pool-adjacent-violators: (score knots, rates).  With
+    ``n`` an entry stands for so many rows, ``y`` of them positive."""
     if not len(score):
         return np.zeros(1), np.zeros(1)
     o = np.argsort(score, kind="stable")
     blocks: list[list[float]] = []
-    for s, v in zip(score[o].tolist(), y[o].astype(float).tolist()):
-        blocks.append([s, v, 1.0])
+    n = np.ones(len(score)) if n is None else n
+    for s, v, w in zip(score[o].tolist(), y[o].astype(float).tolist(), n[o].astype(float).tolist()):
+        blocks.append([s, v, w])
         while len(blocks) > 1 and blocks[-2][1] / blocks[-2][2] >= blocks[-1][1] / blocks[-1][2]:
             b = blocks.pop()
             blocks[-1] = [b[0], blocks[-1][1] + b[1], blocks[-1][2] + b[2]]

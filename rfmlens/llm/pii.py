@@ -9,10 +9,12 @@
    features (cue words and character classes around it).  What labels a loose
    candidate in training is not among them (see ``features``), so the trees
    have to find the form of such spans, not repeat the rule.
-3. *Calibrated thresholds*: scores are calibrated on a held-back part of the
-   sample, and a kind's threshold is the smallest calibrated score at which
-   its precision there is at least ``PRECISION``; a kind with too few
-   candidates to tell takes the threshold of all kinds together.
+3. *Calibrated thresholds*: a third of all candidates of the table is held back
+   from the trees; scores are calibrated on them, and a kind's threshold is the
+   smallest calibrated score at which its precision there is at least
+   ``PRECISION``; a kind with too few candidates to tell takes the threshold of
+   all kinds together.  The held-back candidates are scored and counted by kind
+   and score step (``STEPS`` of them) in a Spark job; the counts reach the driver.
 
 The base formats' checked matches are always kept; the model adds spans that
 overlap no base span (and each other), best score first.
@@ -23,10 +25,10 @@ passes the format's check; a loose one if evidence other than that check holds
 proper last label, a number plan or a cue word right before a phone number).
 All others are negative, except that candidates that overlap a base span are
 not used.
-The sample holds the candidates of about ``TRAIN_DOCS`` documents, taken by
+The trees' sample holds the candidates of about ``TRAIN_DOCS`` documents, taken by
 key hash over the whole table, and of those at most ``TRAIN_ROWS``, an equal
-share for each kind, in the order of a hash, so what reaches the driver does
-not grow with the input.
+share for each kind, in the order of a hash, those held back left out; what
+reaches the driver does not grow with the input.
 
 Defined results: a null text is empty and has no span; repeated rows give
 repeated rows; an empty table gives an empty result and an untrained model;
@@ -55,6 +57,7 @@ from ._common import hash_share
 TRAIN_DOCS = 100_000
 TRAIN_ROWS = 20_000
 PRECISION = 0.98
+STEPS = 1 << 14            # of the score: what is calibrated and counted is its step
 KINDS = ("email", "ip", "card", "phone")
 #: Cue words looked for around a candidate.
 CUES = {"mail": ("mail", "contact", "write", "@"), "ip": ("ip", "host", "server", "addr"),
@@ -240,7 +243,11 @@ class Model:
 
     def score(self, rows: list[list[float]]) -> np.ndarray:
         raw = self.forest.predict(np.array(rows, np.float64))
-        return _trees.calibrated(raw, self.knots, self.rates)
+        return _trees.calibrated(steps(raw) / STEPS, self.knots, self.rates)
+
+
+def steps(raw: np.ndarray) -> np.ndarray:
+    return np.floor(raw * STEPS).astype(np.int32)
 
 
 class Taken:
@@ -267,8 +274,17 @@ class Taken:
         self.ends.insert(i, b)
 
 
+def weak_labels(text: str) -> Iterator[tuple[int, int, int, bool]]:
+    """(kind, start, end, label) of the candidates that have a weak label (see above)."""
+    cand = candidates(text)
+    base = Taken([(s, e) for _, s, e, ok in cand if ok])
+    for k, s, e, ok in cand:
+        if ok or not base.meets(s, e):
+            yield k, s, e, ok or evidence(text, k, s, e)
+
+
 def training_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row for each candidate with a weak label (see above), from all documents."""
+    """One row for each candidate with a weak label, from all documents."""
     docs = docs.select(docs[doc_id].cast("string").alias("doc_id"), docs[text].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,12 +292,9 @@ def training_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             cols: tuple[list, ...] = ([], [], [], [], [])
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 t = t.as_py() or ""
-                cand = candidates(t)
-                base = Taken([(s, e) for _, s, e, ok in cand if ok])
-                for k, s, e, ok in cand:
-                    if ok or not base.meets(s, e):
-                        for c, v in zip(cols, (i, k, s, ok or evidence(t, k, s, e), features(t, k, s, e))):
-                            c.append(v)
+                for k, s, e, label in weak_labels(t):
+                    for c, v in zip(cols, (i, k, s, label, features(t, k, s, e))):
+                        c.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()),
                  pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.bool_()),
@@ -291,41 +304,78 @@ def training_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.mapInArrow(run, "doc_id string, kind int, start int, label boolean, x array<double>")
 
 
-def threshold(score: np.ndarray, label: np.ndarray, precision: float, least_rows: int = 30) -> float | None:
+#: The part of the candidates that the trees do not see.
+HELD = "pmod(xxhash64(doc_id, start, kind), 3) = 0"
+
+
+def held_counts(docs: DataFrame, forest: _trees.Forest, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """kind, step of the score, n, positive: the held-back candidates of all documents."""
+    docs = docs.select(docs[doc_id].cast("string").alias("doc_id"), docs[text].alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, found, x = [], [], []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
+                t = t.as_py() or ""
+                for c in weak_labels(t):
+                    ids.append(i)
+                    found.append(c)
+                    x.append(features(t, *c[:3]))
+            if ids:
+                kind, start, _, label = zip(*found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.string()), pa.array(kind, pa.int32()), pa.array(start, pa.int32()),
+                     pa.array(label, pa.bool_()), pa.array(steps(forest.predict(np.array(x, np.float64))), pa.int32())],
+                    names=["doc_id", "kind", "start", "label", "step"])
+
+    rows = docs.mapInArrow(run, "doc_id string, kind int, start int, label boolean, step int")
+    return (rows.where(HELD).groupBy("kind", "step")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("label").alias("positive")))
+
+
+def threshold(score: np.ndarray, positive: np.ndarray, n: np.ndarray, precision: float,
+              least_rows: int = 30) -> float | None:
     """The smallest score from which on ``precision`` of the rows are positive
-    (2.0: none is); None with too few rows to tell."""
-    if len(score) < least_rows:
+    (2.0: none is); None with too few rows to tell.  An entry stands for ``n``
+    rows, ``positive`` of them."""
+    if n.sum() < least_rows:
         return None
     o = np.argsort(-score, kind="stable")
-    s, share = score[o], np.cumsum(label[o]) / np.arange(1, len(o) + 1)
+    s, rows = score[o], np.cumsum(n[o])
+    share = np.cumsum(positive[o]) / rows
     last = np.r_[s[1:] != s[:-1], True]
-    good = np.flatnonzero((share >= precision) & last & (np.arange(len(o)) >= least_rows - 1))
+    good = np.flatnonzero((share >= precision) & last & (rows >= least_rows))
     return float(s[good[-1]]) if len(good) else 2.0
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         train_docs: int = TRAIN_DOCS, train_rows: int = TRAIN_ROWS,
         precision: float = PRECISION) -> Model:
-    """Trees on two thirds of the sample, calibration and thresholds on the rest."""
+    """Trees on a sample of two thirds of the candidates, calibration and
+    thresholds on all of the rest."""
     # each kind has its share of the rows, so that none starves another
     order = Window.partitionBy("kind").orderBy(F.xxhash64("doc_id", "start", "kind"), "doc_id", "start")
-    docs = hash_share(docs, doc_id, train_docs)
-    sample = (training_rows(docs, doc_id, text).withColumn("h", F.xxhash64("doc_id", "start", "kind"))
+    some = hash_share(docs, doc_id, train_docs)
+    sample = (training_rows(some, doc_id, text).withColumn("h", F.xxhash64("doc_id", "start", "kind"))
               .withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= train_rows // len(KINDS)).collect())
     sample.sort(key=lambda r: (r.h, r.doc_id or "", r.kind, r.start))
     x = np.array([r.x for r in sample] or np.zeros((0, 1)), np.float64)
     y = np.array([r.label for r in sample], float)
-    kind = np.array([r.kind for r in sample], int)
     held = np.array([r.h % 3 == 0 for r in sample], bool)
-    if held.all() or not held.any():
-        none = _trees.fit(np.zeros((0, 1)), np.zeros(0))
-        return Model(none, np.zeros(1), np.zeros(1), (2.0,) * len(KINDS))
+    none = Model(_trees.fit(np.zeros((0, 1)), np.zeros(0)), np.zeros(1), np.zeros(1), (2.0,) * len(KINDS))
+    if held.all():
+        return none
     forest = _trees.fit(x[~held], y[~held])
-    raw = forest.predict(x[held])
-    knots, rates = _trees.isotonic(raw, y[held])
+    counts = sorted(held_counts(docs, forest, doc_id, text).collect())
+    if not counts:
+        return none
+    kind, step, n, positive = np.array(counts, np.int64).T
+    raw = step / STEPS
+    steps_of = np.unique(step, return_inverse=True)[1]             # all kinds are calibrated together
+    knots, rates = _trees.isotonic(np.unique(raw), np.bincount(steps_of, positive), np.bincount(steps_of, n))
     score = _trees.calibrated(raw, knots, rates)
-    least = [threshold(score[kind[held] == k], y[held][kind[held] == k], precision) for k in range(len(KINDS))]
-    pooled = threshold(score, y[held], precision)           # for kinds too rare to judge alone
+    least = [threshold(score[kind == k], positive[kind == k], n[kind == k], precision) for k in range(len(KINDS))]
+    pooled = threshold(score, positive, n, precision)              # for kinds too rare to judge alone
     least = [(2.0 if pooled is None else pooled) if t is None else t for t in least]
     return Model(forest, knots, rates, tuple(least))
 

@@ -159,3 +159,25 @@ def test_many_candidates_in_one_text(model):
     text = "".join(f"joe{i}@mail{i}.org 555-{i % 900 + 100}-{i % 10000:04d}\n" for i in range(15_000))
     spans = pii.spans_of(text, model)
     assert sum(s[3] for s in spans) == 15_000 and time.perf_counter() - t0 < 60
+
+
+def test_thresholds_come_from_all_candidates(spark):
+    """However small the trees' sample, every held-back candidate of the table is calibrated on and counted."""
+    rng = np.random.default_rng(4)
+    rows = [(i, f"order {rng.integers(10**6, 10**9)}, call {rng.integers(200, 999)}-{rng.integers(200, 999)}-"
+                f"{rng.integers(1000, 9999)}, joe{i} [at] host [dot] com, ip 10.{i % 300}.0.1") for i in range(400)]
+    rows += [(None, "call 212-555-0199"), (7, rows[7][1]), (7, rows[7][1]), (8, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    held = pii.training_rows(docs, "doc_id", "text").where(pii.HELD).collect()
+    m = pii.fit(docs, train_docs=60, train_rows=80)
+    counts = pii.held_counts(docs, m.forest).collect()
+    assert sum(r.n for r in counts) == len(held) > 300 and sum(r.positive for r in counts) == sum(r.label for r in held)
+    x, y = [r.x for r in held], np.array([r.label for r in held], float)
+    kind, score = np.array([r.kind for r in held]), m.score(x)
+    one = np.ones(len(held))
+    for k in range(len(pii.KINDS)):
+        of = kind == k
+        want = pii.threshold(score[of], y[of], one[of], pii.PRECISION)
+        pooled = pii.threshold(score, y, one, pii.PRECISION)
+        assert m.least[k] == (pooled if want is None else want)
+    assert len({k for k in kind if (kind == k).sum() >= 30}) >= 3
