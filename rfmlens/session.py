@@ -62,12 +62,14 @@ LEAST_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
 
 
 def size_shuffles(spark: SparkSession, rows: int) -> None:
-    """Let AQE choose among enough shuffle partitions for ``rows`` fact rows, so
-    that a task's part does not grow with the table.  Where the session's own
-    number is enough, it stays; small shuffles are still coalesced."""
+    """Let AQE choose among enough shuffle partitions for ``rows`` fact rows and
+    not merge them into fewer tasks than the rows need, however many partitions
+    the session has, so that a task's part does not grow with the table.  Small
+    shuffles are still coalesced."""
     tasks = -(-rows // TASK_ROWS)
-    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set(INITIAL_KEY, str(2 * tasks))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if tasks > min(partitions, spark.sparkContext.defaultParallelism):
+        spark.conf.set(INITIAL_KEY, str(max(partitions, 2 * tasks)))
         spark.conf.set(LEAST_KEY, str(tasks))
     else:
         spark.conf.unset(INITIAL_KEY)

@@ -158,3 +158,21 @@ def test_shuffle_partitions_follow_the_facts(spark, tmp_path, monkeypatch):
     finally:
         for k in keys:
             spark.conf.unset(k)
+
+
+def test_many_session_partitions_are_not_merged_into_too_few_tasks(spark, tmp_path, monkeypatch):
+    """The facts' tasks stay apart where the session's own number would be enough."""
+    from rfmlens import session
+    from rfmlens.sources.fixtures import Tables
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        spark.range(8000).write.parquet(f"{tmp_path}/t/lineitem.parquet")
+        facts = Tables(spark, f"{tmp_path}/t").facts("lineitem")
+        assert spark.conf.get(session.INITIAL_KEY) == "200" and spark.conf.get(session.LEAST_KEY) == "80"
+        assert facts.groupBy("id").count().count() == 8000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k in (session.INITIAL_KEY, session.LEAST_KEY):
+            spark.conf.unset(k)
