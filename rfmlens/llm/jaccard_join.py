@@ -20,7 +20,8 @@ Exact handling of the two usual weak spots:
   the block of segments around the key is compared: the differences allowed to
   a pair of these sizes are shared out among the blocks by weight (rounded
   up); some block with a shared key keeps its share.  Pairs that do not are
-  dismissed inside the task, without being emitted.
+  dismissed inside the task, without being emitted.  A set of up to ``SINGLE``
+  segments is one block: its pairs are held against the whole sketch there.
 
 Steps: (1) keys with more than one distinct set (map-side combined, so copies
 and hot keys collapse); (2) key rows and sketches of their documents (a
@@ -57,9 +58,11 @@ from ._common import written
 from ._components import components
 from ._text import NOT_SPACE, U, chunks, counts_by, mix, span_hashes, word_spans
 
-SINGLE = 40                # a set of so many segments is one block of finer sub-segments
+SINGLE = 80                # a set of so many segments is one block, its whole sketch
 BLOCK = 32                 # segments of a block of a larger set
-FINEST, FINE = 12, 4       # sub-segments of a segment: of one block, of many
+SHORT = 40                 # a set of so many segments has finer sub-segments
+FINEST, FINE = 12, 4       # sub-segments of a segment: of a short set, of a longer one
+WIDTH = 480                # bytes of a block, at most (SHORT * FINEST)
 CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
 LINKING = 2                # rounds that link outsiders before all pairs are compared
@@ -199,7 +202,7 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
         base = np.r_[0, np.cumsum(m)]
         pick = use[d_all]
         d, h = d_all[pick], sets[pick]
-        fineness = np.where(m <= SINGLE, FINEST, FINE)
+        fineness = np.where(m <= SHORT, FINEST, FINE)
         wide = np.r_[0, np.cumsum(m * fineness)]
         fine = (mix(h + U(99)) % (m * fineness)[d].astype(np.uint64)).astype(np.int64)
         part = _sums(wide[d] + fine, h, wide[-1])
@@ -236,7 +239,8 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
 
 
 def _block(seg: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First segment and end of the block of a segment: blocks of about equal size."""
+    """First segment and end of the block of a segment: all up to SINGLE, else blocks
+    of about equal size."""
     blocks = np.where(m <= SINGLE, 1, -(-m // BLOCK))
     at = (seg * blocks + blocks - 1) // m              # floor(i * m / blocks) <= seg
     at = np.where(at * m // blocks > seg, at - 1, at)
@@ -384,7 +388,8 @@ def compared(rows: DataFrame, p: Plan, nearest: bool = False) -> DataFrame:
             x, y = i[part], j[part]
             meta = c["meta"][y]
             block, whole, spare = meta >> 2 & 255, meta >> 10 & (1 << 28) - 1, meta >> 38
-            share = -(-block * (p.differ(c["n"][x].astype(np.int64), c["n"][y]) + 1 + spare) // whole) - 1
+            most = p.differ(c["n"][x].astype(np.int64), c["n"][y])
+            share = np.minimum(most, -(-block * (most + 1 + spare) // whole) - 1)
             differ = (c["data"][x] != c["data"][y]).sum(1)
             keep.append(part[differ <= share])
             far.append((differ * 1_000 // (share + 1))[differ <= share])
@@ -457,8 +462,8 @@ def compared(rows: DataFrame, p: Plan, nearest: bool = False) -> DataFrame:
             c = {x: b.column(x).to_numpy() for x in names}
             data = b.column("data").cast(pa.large_binary())
             o = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
-            c["data"] = np.zeros((b.num_rows, SINGLE * FINEST), np.uint8)
-            inside = np.arange(SINGLE * FINEST) < np.diff(o)[:, None]
+            c["data"] = np.zeros((b.num_rows, WIDTH), np.uint8)
+            inside = np.arange(WIDTH) < np.diff(o)[:, None]
             c["data"][inside] = np.frombuffer(data.buffers()[2], np.uint8)[o[0]:o[-1]]
             if rest is not None:
                 c = {x: np.concatenate([rest[x], v]) for x, v in c.items()}

@@ -198,3 +198,36 @@ def test_blocks_cover_all_segments():
         first, after = jj._block(np.arange(m), np.full(m, m))
         assert first[0] == 0 and after[-1] == m and ((first <= np.arange(m)) & (np.arange(m) < after)).all()
         assert (after - first).max() <= jj.SINGLE and ((first[1:] == first[:-1]) | (first[1:] == after[:-1])).all()
+
+
+def test_similar_texts_without_a_link_are_dismissed_in_the_task(spark, monkeypatch):
+    """Texts of one template, most of them below the threshold: what is emitted
+    does not grow with the square of their number."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(170)]
+    rows = []
+    for d in range(120):
+        text = list(base)
+        for i in rng.choice(170, 3, replace=False):
+            text[i] = f"x{d}_{i}"
+        rows.append((d, " ".join(text)))
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(166)} for _, t in rows]
+    up = list(range(120))
+    for i in range(120):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                x, y = up[i], up[j]
+                up = [min(x, y) if u in (x, y) else u for u in up]
+    emitted, real = [], jj.compared
+
+    def counted(*args, **kwargs):
+        out = real(*args, **kwargs)
+        emitted.append(out.count())
+        return out
+
+    monkeypatch.setattr(jj, "compared", counted)
+    monkeypatch.setattr(jj, "LINKING", 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jj.join(docs, words=5, num=80).collect()}
+    assert got == dict(enumerate(up))
+    assert emitted[0] <= 180
