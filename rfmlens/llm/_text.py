@@ -86,11 +86,19 @@ def word_spans(buf: np.ndarray, offs: np.ndarray, in_word: np.ndarray
     return starts, ends, np.searchsorted(offs, starts, side="right") - 1
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span's bytes, A-Z as a-z."""
-    pw, ip = _powers(len(buf) + 1)
+def prefix_sums(buf: np.ndarray) -> np.ndarray:
+    """What ``span_hashes`` adds up; worth keeping for several calls on one buffer."""
+    pw, _ = _powers(len(buf) + 1)
     s = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(BYTE_CODE[buf] * pw[:len(buf)], out=s[1:])
+    return s
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None
+                ) -> np.ndarray:
+    """64-bit hash of each span's bytes, A-Z as a-z."""
+    _, ip = _powers(len(buf) + 1)
+    s = prefix_sums(buf) if sums is None else sums
     h = (s[ends] - s[starts]) * ip[starts]
     return mix(h + U(0x1234567) * (ends - starts).astype(np.uint64))
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import hash_sample, written
-from ._text import LETTER_BYTE, U, chunks, counts_by, mix, span_hashes, word_spans
+from ._text import LETTER_BYTE, U, chunks, counts_by, mix, prefix_sums, span_hashes, word_spans
 
 SAMPLE = 3_000
 VOCABULARY = 2_048          # terms that weigh more
@@ -73,9 +73,9 @@ def _distinct(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return d[first], v[first], np.diff(np.r_[first, len(d)])
 
 
-def vectors(buf: np.ndarray, offs: np.ndarray, vocab: np.ndarray, seen: np.ndarray
+def vectors(buf: np.ndarray, offs: np.ndarray, vocab: np.ndarray, start_of: np.ndarray
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, vocabulary index, count) of a chunk; ``seen``: hash filter.
+    """(document, vocabulary index, count) of a chunk; ``start_of``: buckets of ``vocab``.
 
     Terms are looked up once for each distinct word of the chunk.
     """
@@ -83,20 +83,23 @@ def vectors(buf: np.ndarray, offs: np.ndarray, vocab: np.ndarray, seen: np.ndarr
     none = np.zeros(0, np.int64)
     if not len(s) or not len(vocab):
         return none, none, none
-    _, at, word = np.unique(span_hashes(buf, s, e), return_index=True, return_inverse=True)
+    h = span_hashes(buf, s, e)
+    o = np.argsort(h)
+    new = np.r_[True, h[o[1:]] != h[o[:-1]]]
+    at, word = o[new], np.empty(len(o), np.int64)
+    word[o] = np.cumsum(new) - 1
     size = e[at] - s[at]
     start = np.cumsum(size) - size
     buf = buf[np.repeat(s[at] - start, size) + np.arange(size.sum())]      # the distinct words alone
     s, e = start, start + size
+    sums = prefix_sums(buf)
     # ``of``: each distinct word's vocabulary indexes, -1 for none
     of = np.full((len(at), 1 + len(BEGINNINGS)), -1, np.int32)
     for column, k in enumerate((0, *BEGINNINGS)):
         row = np.flatnonzero(e - s > k)
-        h = mix(span_hashes(buf, s[row], s[row] + k) + U(k)) if k else span_hashes(buf, s, e)
-        maybe = seen[(h & U(len(seen) - 1)).astype(np.int64)]
-        row, h = row[maybe], h[maybe]
-        i = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-        of[row, column] = np.where(vocab[i] == h, i, -1)
+        h = span_hashes(buf, s[row], s[row] + k if k else e, sums)
+        row, i = _look_up(mix(h + U(k)) if k else h, row, vocab, start_of)
+        of[row, column] = i
     term = of[word]
     key = np.sort((doc[:, None] * len(vocab) + term)[term >= 0])
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else none
@@ -115,10 +118,28 @@ def families(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def hash_filter(vocab: np.ndarray) -> np.ndarray:
-    seen = np.zeros(1 << max(18, len(vocab).bit_length() + 4), bool)
-    seen[(vocab & U(len(seen) - 1)).astype(np.int64)] = True
-    return seen
+def buckets(vocab: np.ndarray) -> np.ndarray:
+    """Where the hashes of each value of the leading bits start in the sorted ``vocab``."""
+    bits = len(vocab).bit_length() + 2
+    many = np.bincount((vocab >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.r_[0, np.cumsum(many)].astype(np.int32)
+
+
+def _look_up(h: np.ndarray, row: np.ndarray, vocab: np.ndarray, start_of: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """Of the hashes in ``vocab``: their ``row`` and their index."""
+    top = (h >> U(65 - len(start_of).bit_length())).astype(np.int64)
+    at, end = start_of[top], start_of[top + 1]
+    rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    while True:
+        more = at < end
+        h, row, at, end = h[more], row[more], at[more], end[more]
+        if not len(h):
+            return np.concatenate(rows), np.concatenate(found)
+        same = vocab[at] == h
+        rows.append(row[same])
+        found.append(at[same])
+        h, row, at, end = h[~same], row[~same], at[~same] + 1, end[~same]
 
 
 def weights(doc: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarray, n: int
@@ -253,10 +274,10 @@ def neighbours(batches: Iterator[pa.RecordBatch], arrays: tuple, k: int
                ) -> Iterator[tuple[pa.RecordBatch, Index, np.ndarray, np.ndarray]]:
     """Chunks of the rows with the k nearest examples (or -1) and their cosines."""
     vocab, idf, *postings = arrays
-    index, seen = Index.of_postings(*postings), hash_filter(vocab)
+    index, start_of = Index.of_postings(*postings), buckets(vocab)
     for b in batches:
         for r, buf, offs in chunks(b, "text"):
-            doc, term, count = vectors(buf, offs, vocab, seen)
+            doc, term, count = vectors(buf, offs, vocab, start_of)
             w, ptr = weights(doc, term, count, idf, r.num_rows)
             yield r, index, *index.nearest(ptr, term, w, k)
 
@@ -346,10 +367,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
 
     def count_df(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary_of.value
-        df, n, seen = np.zeros(len(vocab), np.int64), 0, hash_filter(vocab)
+        df, n, start_of = np.zeros(len(vocab), np.int64), 0, buckets(vocab)
         for b in batches:
             for r, buf, offs in chunks(b, "text"):
-                df += counts_by(vectors(buf, offs, vocab, seen)[1], len(vocab))
+                df += counts_by(vectors(buf, offs, vocab, start_of)[1], len(vocab))
                 n += r.num_rows
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1].astype(np.int32)), pa.array(np.r_[df[at], n])],
@@ -367,10 +388,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
 
     def emit_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, idf = weighing.value
-        seen = hash_filter(vocab)
+        start_of = buckets(vocab)
         for b in batches:
             for r, buf, offs in chunks(b, "text"):
-                doc, term, count = vectors(buf, offs, vocab, seen)
+                doc, term, count = vectors(buf, offs, vocab, start_of)
                 w, _ = weights(doc, term, count, idf, r.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(term.astype(np.int32)), r.column(0).take(pa.array(doc)), pa.array(w)],

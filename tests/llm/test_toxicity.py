@@ -95,3 +95,26 @@ def test_copy_of_an_example_is_found(spark):
     for i in examples:
         assert got[1000 + i][0].doc_id == i and got[1000 + i][0].cosine == pytest.approx(1)
         assert got[1000 + i][0].label == i % 2
+
+
+def test_look_up_finds_every_term_of_the_vocabulary():
+    """Buckets of leading bits give the index of each hash, also of those that crowd in one bucket."""
+    rng = np.random.default_rng(7)
+    for size in (0, 1, 5, 3_000):
+        near = np.uint64(12345) + np.arange(size % 2_000, dtype=np.uint64)
+        vocab = np.unique(np.r_[rng.integers(0, 2**64, size, np.uint64), near, np.uint64(2**64 - 1)])
+        asked = np.r_[vocab[::-1], rng.integers(0, 2**64, 500, np.uint64)]
+        row, i = tx._look_up(asked, np.arange(len(asked)), vocab, tx.buckets(vocab))
+        got = np.full(len(asked), -1)
+        got[row] = i
+        at = np.minimum(np.searchsorted(vocab, asked), len(vocab) - 1)
+        assert got.tolist() == np.where(vocab[at] == asked, at, -1).tolist()
+
+
+def test_vectors_count_words_and_beginnings_once_for_each_place():
+    buf = np.frombuffer(b"gardens Gardens garden x gardens", np.uint8)
+    doc, h = tx.terms(buf, np.array([0, 24, len(buf)]))
+    vocab = np.unique(h)
+    doc, term, count = tx.vectors(buf, np.array([0, 24, len(buf)]), vocab, tx.buckets(vocab))
+    want = {(d, t): c for d, t, c in zip(*tx._distinct(*tx.terms(buf, np.array([0, 24, len(buf)]))))}
+    assert {(d, vocab[t]): c for d, t, c in zip(doc, term, count)} == want
