@@ -20,8 +20,8 @@ Exact handling of the two usual weak spots:
   the block of segments around the key is compared: the differences allowed to
   a pair of these sizes are shared out among the blocks by weight (rounded
   up); some block with a shared key keeps its share.  Pairs that do not are
-  dismissed inside the task, without being emitted.  A set of up to ``SINGLE``
-  segments is one block: its pairs are held against the whole sketch there.
+  dismissed inside the task, without being emitted.  A set of segments that weigh
+  up to ``SINGLE`` is one block: its pairs are held against the whole sketch there.
 
 Steps: (1) keys with more than one distinct set (map-side combined, so copies
 and hot keys collapse); (2) key rows and sketches of their documents (a
@@ -58,11 +58,11 @@ from ._common import written
 from ._components import components
 from ._text import NOT_SPACE, U, chunks, counts_by, mix, span_hashes, word_spans
 
-SINGLE = 80                # a set of so many segments is one block, its whole sketch
-BLOCK = 32                 # segments of a block of a larger set
+SINGLE = 240               # a set whose segments weigh so much is one block, its whole sketch
+BLOCK = 120                # about the segments of a block of a larger set; no block weighs over 255
 SHORT = 40                 # a set of so many segments has finer sub-segments
 FINEST, FINE = 12, 4       # sub-segments of a segment: of a short set, of a longer one
-WIDTH = 480                # bytes of a block, at most (SHORT * FINEST)
+WIDTH = 960                # bytes of a block, at most (SINGLE * FINE, SHORT * FINEST)
 CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
 LINKING = 2                # rounds that link outsiders before all pairs are compared
@@ -229,8 +229,8 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
             continue
         slot, key, gone = slot[keep], key[keep], gone[keep]
         of, at = doc[slot], seg[slot]
-        first, after = _block(at, m[of])
         loose = p.loose[b[of]]
+        first, after = _block(at, m[of], loose)
         weight = after - first + np.clip(loose - first, 0, after - first)
         weights = weight | (m[of] + loose) << 8 | p.spare[b[of]] << 36
         span = first * fineness[of] | (after - first) * fineness[of] << 32
@@ -238,10 +238,10 @@ def keys(sets: np.ndarray, size: np.ndarray, p: Plan, bitmap: np.ndarray | None
         yield of, key, own, gone, weights, span, byte, wide
 
 
-def _block(seg: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First segment and end of the block of a segment: all up to SINGLE, else blocks
-    of about equal size."""
-    blocks = np.where(m <= SINGLE, 1, -(-m // BLOCK))
+def _block(seg: np.ndarray, m: np.ndarray, loose: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """First segment and end of the block of a segment: all up to a weight of SINGLE,
+    else blocks of about equal size."""
+    blocks = np.where(m + loose <= SINGLE, 1, -(-(m + loose) // BLOCK))
     at = (seg * blocks + blocks - 1) // m              # floor(i * m / blocks) <= seg
     at = np.where(at * m // blocks > seg, at - 1, at)
     return at * m // blocks, (at + 1) * m // blocks

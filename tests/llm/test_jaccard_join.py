@@ -231,3 +231,47 @@ def test_similar_texts_without_a_link_are_dismissed_in_the_task(spark, monkeypat
     got = {r.doc_id: r.component_id for r in jj.join(docs, words=5, num=80).collect()}
     assert got == dict(enumerate(up))
     assert emitted[0] <= 180
+
+
+def test_similar_long_texts_without_a_link_are_dismissed_in_the_task(spark, monkeypatch):
+    """Sets of some 170 segments: a part of their sketch lets many pairs just
+    below the threshold through, under many keys."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(700)]
+    rows = []
+    for d in range(60):
+        text = list(base)
+        for i in rng.choice(700, 10, replace=False):
+            text[i] = f"x{d}_{i}"
+        rows.append((d, " ".join(text)))
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(696)} for _, t in rows]
+    up = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                x, y = up[i], up[j]
+                up = [min(x, y) if u in (x, y) else u for u in up]
+    assert len(set(up)) > 30
+    emitted, real = [], jj.compared
+
+    def counted(*args, **kwargs):
+        out = real(*args, **kwargs)
+        emitted.append(out.count())
+        return out
+
+    monkeypatch.setattr(jj, "compared", counted)
+    monkeypatch.setattr(jj, "LINKING", 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jj.join(docs, words=5, num=80).collect()}
+    assert got == dict(enumerate(up))
+    assert emitted[0] <= 400
+
+
+@pytest.mark.parametrize("part", [0, 0.1, 0.5, 1])
+def test_no_block_weighs_more_than_its_packed_weight(part):
+    for m in (1, 40, 100, 127, 128, 200, 240, 241, 500, 1755):
+        loose = int(part * m)
+        first, after = jj._block(np.arange(m), np.full(m, m), np.full(m, loose))
+        assert first[0] == 0 and after[-1] == m and ((first <= np.arange(m)) & (np.arange(m) < after)).all()
+        assert (after - first + np.clip(loose - first, 0, after - first)).max() <= 255
+        assert ((after - first) * jj.FINE).max() <= jj.WIDTH
