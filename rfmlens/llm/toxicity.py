@@ -3,14 +3,15 @@
 Texts become TF-IDF vectors over every word and word beginning of the labelled
 examples (document frequencies over all documents); words that separate the
 labels best (chi-square and purity on the sample) weigh ``BOOST`` times as
-much.  The examples are kept in a block-max inverted index: rare terms as
-postings, added up first, frequent ones as tiles of ``BLOCK`` examples.  What
-the postings gave and the largest tile weights bound a block's cosine, and only
-blocks whose bound reaches the k-th best cosine are computed.  The neighbours
-found are exact.  Spark counts the document frequencies, weighs the examples
-and sorts the postings; the calibrating votes are a job as well.  Votes weighted by distance are calibrated (isotonic, with
-class weights) on labelled documents that are no examples; the neighbours are
-returned as evidence.
+much.  The examples are kept in an inverted index: rare terms as postings,
+frequent ones as tiles (rows of single-precision weights).  Postings are added
+up in double precision, tiles multiplied in single precision; the examples whose
+cosine may so be among the k largest, given the largest rounding error, are
+computed again in double precision.  The neighbours found are exact.  Spark
+counts the document frequencies, weighs the examples and sorts the postings; the
+calibrating votes are a job as well.  Votes weighted by distance are calibrated
+(isotonic, with class weights) on labelled documents that are no examples; the
+neighbours are returned as evidence.
 
 About ``SAMPLE`` documents of each label are used, by key hash over the whole
 table: two thirds become examples, one third calibrates.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +45,10 @@ BOOST = 6.0
 LEAST_DF = 5
 LEAST_CHI2 = 10.83          # 0.1 % level
 NEIGHBOURS = 10
-BLOCK = 64
-FREQUENT = 16               # a term of more than 1/16 of the examples is kept in tiles
-ROWS, ADDED = 128, 2_000_000         # documents and posting weights handled at once
-CACHED = 100_000            # posting weights added up at once
+FREQUENT = 24               # a term of more than 1/24 of the examples is kept in tiles
+CHUNK = 1 << 20             # bytes of text at a time: a task's arrays are many times as large
+ROWS = 512                  # documents handled at once
+ADDED = 100_000             # weights added up at once (few enough to stay in the cache)
 LEAST_PURITY = 0.85         # a term's documents that share a label, classes weighed alike
 BEGINNINGS = (3, 4, 5, 6, 7, 8)      # bytes
 NEAR = 0.05                 # added to a distance before it is inverted
@@ -152,15 +154,15 @@ def weights(doc: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarra
 
 @dataclass
 class Index:
-    """Block-max inverted index of the examples."""
+    """Inverted index of the examples, whose vectors have unit length."""
     key: np.ndarray            # example keys, ascending
     label: np.ndarray
     tile_of: np.ndarray        # row of a frequent term in the tiles, else -1
-    tiles: np.ndarray          # (blocks, frequent terms, BLOCK) weights
-    bound: np.ndarray          # (frequent terms, blocks): largest weight
     first: np.ndarray          # rare terms: start of each term's postings
-    posting: np.ndarray        # example
-    weight: np.ndarray
+    postings: np.ndarray       # (example, weight), side by side: one look-up finds both
+    own: np.ndarray            # frequent terms: start of each example's weights
+    tile: np.ndarray           # row in the tiles
+    tile_weight: np.ndarray
 
     @staticmethod
     def build(key, label, ptr, term, weight, n_terms: int) -> Index:
@@ -174,15 +176,21 @@ class Index:
     def of_postings(key, label, first, posting, weight) -> Index:
         """From the terms' posting lists: those of frequent terms become tiles."""
         n, size = len(key), np.diff(first)
-        blocks = max(1, -(-n // BLOCK))
         frequent = size * FREQUENT > n
         tile_of = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
         f = np.repeat(frequent, size)
-        row = posting[f].astype(np.int64)
-        tiles = np.zeros((blocks, int(frequent.sum()), BLOCK))
-        tiles[row // BLOCK, np.repeat(tile_of[frequent], size[frequent]), row % BLOCK] = weight[f]
-        return Index(key, label, tile_of, tiles, tiles.max(2).T.copy(),
-                     np.r_[0, np.cumsum(np.where(frequent, 0, size))], posting[~f], weight[~f])
+        row = posting[f]
+        o = np.argsort(row, kind="stable")
+        return Index(key, label, tile_of, np.r_[0, np.cumsum(np.where(frequent, 0, size))], 
+                     np.stack([posting[~f], weight[~f]], 1), np.r_[0, np.cumsum(counts_by(row, n))], np.repeat(tile_of[frequent], size[frequent])[o],
+                     weight[f][o])
+
+    @cached_property
+    def tiles(self) -> np.ndarray:
+        """(frequent terms, examples): weights, made once in each worker."""
+        out = np.zeros((int(self.tile_of.max(initial=-1)) + 1, len(self.key)), np.float32)
+        out[self.tile, np.repeat(np.arange(len(self.key)), np.diff(self.own))] = self.tile_weight
+        return out
 
     def nearest(self, ptr: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int
                 ) -> tuple[np.ndarray, np.ndarray]:
@@ -192,61 +200,59 @@ class Index:
         sim = np.zeros((n, k))
         if not len(self.key):
             return best, sim
-        added = np.r_[0, np.cumsum(self.first[term + 1] - self.first[term])][ptr]
-        lo = 0
-        while lo < n:                        # bounded memory
-            hi = int(np.searchsorted(added, added[lo] + ADDED, side="right")) - 1
-            hi = min(n, max(lo + 1, min(hi, lo + ROWS)))
+        for lo in range(0, n, ROWS):         # bounded memory
+            hi = min(n, lo + ROWS)
             a, b = ptr[lo], ptr[hi]
             self._nearest(ptr[lo:hi + 1] - a, term[a:b], weight[a:b], best[lo:hi], sim[lo:hi])
-            lo = hi
         return best, sim
 
     def _nearest(self, ptr, term, weight, best, sim) -> None:
         n, k = best.shape
-        blocks, n_tiles, _ = self.tiles.shape
-        wide = blocks * BLOCK
+        n_tiles, wide = self.tiles.shape
         row = np.repeat(np.arange(n), np.diff(ptr))
         cos = np.zeros((n, wide))
         size = self.first[term + 1] - self.first[term]
         added = np.r_[0, np.cumsum(size)][ptr]
         lo = 0
-        while lo < n:                        # few enough postings to stay in the cache
-            hi = min(n, max(lo + 1, int(np.searchsorted(added, added[lo] + CACHED, side="right")) - 1))
+        while lo < n:
+            hi = min(n, max(lo + 1, int(np.searchsorted(added, added[lo] + ADDED, side="right")) - 1))
             part = slice(ptr[lo], ptr[hi])
             many = size[part]
             take = np.repeat(self.first[term[part]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            at = np.repeat((row[part] - lo) * wide, many) + self.posting[take]
-            cos[lo:hi] = np.bincount(at, np.repeat(weight[part], many) * self.weight[take],
+            got = self.postings.take(take, axis=0)
+            at = np.repeat((row[part] - lo) * wide, many) + got[:, 0].astype(np.int64)
+            cos[lo:hi] = np.bincount(at, np.repeat(weight[part], many) * got[:, 1],
                                      (hi - lo) * wide).reshape(hi - lo, wide)
             lo = hi
-        cos = cos.reshape(n, blocks, BLOCK)
         f = self.tile_of[term] >= 0
         dense = np.zeros((n, n_tiles))
         dense[row[f], self.tile_of[term[f]]] = weight[f]
-        limit = dense @ self.bound + cos.max(2)
-        done = np.zeros((n, blocks), bool)
-
-        def visit(want: np.ndarray) -> None:
-            for b in np.flatnonzero(want.any(0)):
-                q = np.flatnonzero(want[:, b])
-                cos[q, b] += dense[q] @ self.tiles[b]
-                done[q, b] = True
-
-        lead = np.zeros((n, blocks), bool)
-        lead[np.arange(n), limit.argmax(1)] = True
-        visit(lead)
-        kth = np.sort(np.where(done[:, :, None], cos, 0).max(1), axis=1)[:, -min(k, BLOCK)]
-        if k > BLOCK:
-            kth[:] = 0
-        visit(~done & (limit > 0) & (limit >= kth[:, None] - 1e-9))
+        near = dense.astype(np.float32) @ self.tiles
+        near += cos
+        # vectors have unit length: rounded factors, products and sums differ by less than this
+        error = (n_tiles + 8) * 2.0**-23
+        kth = np.partition(near, wide - min(k, wide), axis=1)[:, wide - min(k, wide)]
+        doc, example = np.nonzero((near >= kth[:, None] - 2 * error) & (near > 0))
+        cos = cos[doc, example]
+        size = self.own[example + 1] - self.own[example]
+        total = np.r_[0, np.cumsum(size)]
+        lo = 0
+        while lo < len(doc):
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + ADDED, side="right")) - 1)
+            many = size[lo:hi]
+            take = np.repeat(self.own[example[lo:hi]] - total[lo:hi], many) + np.arange(total[lo], total[hi])
+            at = np.repeat(doc[lo:hi] * n_tiles, many) + self.tile.take(take)
+            cos[lo:hi] += np.bincount(np.repeat(np.arange(hi - lo), many),
+                                      dense.ravel().take(at) * self.tile_weight.take(take), hi - lo)
+            lo = hi
         # rounded: the order of equal cosines must not hang on how they were added up
-        cos = np.where(done[:, :, None], np.round(cos, 12), 0).reshape(n, wide)
-        least = np.partition(cos, wide - min(k, wide), axis=1)[:, wide - min(k, wide)]
-        for i in range(n):
-            at = np.flatnonzero((cos[i] >= least[i]) & (cos[i] > 1e-12))
-            at = at[np.argsort(-cos[i, at], kind="stable")][:k]
-            best[i, :len(at)], sim[i, :len(at)] = at, cos[i, at]
+        cos = np.round(cos, 12)
+        o = np.lexsort((example, -cos, doc))
+        o = o[cos[o] > 1e-12]
+        many = counts_by(doc[o], n)
+        place = np.arange(len(o)) - np.repeat(np.cumsum(many) - many, many)
+        o, place = o[place < k], place[place < k]
+        best[doc[o], place], sim[doc[o], place] = example[o], cos[o]
 
 
 def votes(label: np.ndarray, best: np.ndarray, sim: np.ndarray) -> np.ndarray:
@@ -258,25 +264,25 @@ def votes(label: np.ndarray, best: np.ndarray, sim: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Vocabulary, posting lists and calibration.  Its arrays reach the tasks by
-    one Python broadcast; their size is bounded by the sample."""
-    arrays: Broadcast          # vocabulary, idf, example keys, labels, starts, postings, weights
+    """Vocabulary, index and calibration.  Its arrays reach the tasks by one
+    Python broadcast; their size is bounded by the sample."""
+    arrays: Broadcast          # vocabulary, idf, index
     knots: np.ndarray
     rates: np.ndarray
     k: int = NEIGHBOURS
 
     @property
     def index(self) -> Index:
-        return Index.of_postings(*self.arrays.value[2:])
+        return self.arrays.value[2]
 
 
 def neighbours(batches: Iterator[pa.RecordBatch], arrays: tuple, k: int
                ) -> Iterator[tuple[pa.RecordBatch, Index, np.ndarray, np.ndarray]]:
     """Chunks of the rows with the k nearest examples (or -1) and their cosines."""
-    vocab, idf, *postings = arrays
-    index, start_of = Index.of_postings(*postings), buckets(vocab)
+    vocab, idf, index = arrays
+    start_of = buckets(vocab)
     for b in batches:
-        for r, buf, offs in chunks(b, "text"):
+        for r, buf, offs in chunks(b, "text", CHUNK):
             doc, term, count = vectors(buf, offs, vocab, start_of)
             w, ptr = weights(doc, term, count, idf, r.num_rows)
             yield r, index, *index.nearest(ptr, term, w, k)
@@ -313,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
 
     def emit_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r, buf, offs in chunks(b, "text"):
+            for r, buf, offs in chunks(b, "text", CHUNK):
                 doc, h, _ = _distinct(*terms(buf, offs))
                 y = r.column(0).to_numpy(zero_copy_only=False)[doc] if len(doc) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays(
@@ -323,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
 
     def emit_families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r, buf, offs in chunks(b, "text"):
+            for r, buf, offs in chunks(b, "text", CHUNK):
                 yield pa.RecordBatch.from_arrays(
                     [r.column(0), r.column(1), pa.array(families(buf, offs).view(np.int64))],
                     names=["doc_id", "label", "family"])
@@ -357,7 +363,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
 
     def emit_vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, buf, offs in chunks(b, "text"):
+            for _, buf, offs in chunks(b, "text", CHUNK):
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(terms(buf, offs)[1]).view(np.int64))],
                                                  names=["term"])
 
@@ -369,7 +375,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
         vocab = vocabulary_of.value
         df, n, start_of = np.zeros(len(vocab), np.int64), 0, buckets(vocab)
         for b in batches:
-            for r, buf, offs in chunks(b, "text"):
+            for r, buf, offs in chunks(b, "text", CHUNK):
                 df += counts_by(vectors(buf, offs, vocab, start_of)[1], len(vocab))
                 n += r.num_rows
         at = np.flatnonzero(df)
@@ -390,7 +396,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
         vocab, idf = weighing.value
         start_of = buckets(vocab)
         for b in batches:
-            for r, buf, offs in chunks(b, "text"):
+            for r, buf, offs in chunks(b, "text", CHUNK):
                 doc, term, count = vectors(buf, offs, vocab, start_of)
                 w, _ = weights(doc, term, count, idf, r.num_rows)
                 yield pa.RecordBatch.from_arrays(
@@ -400,10 +406,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     postings = (examples.mapInArrow(emit_postings, "term int, example int, weight double")
                 .orderBy("term", "example").toArrow())
     size = np.bincount(postings["term"].to_numpy(), minlength=len(vocab))
-    arrays = context.broadcast((
-        vocab, idf, np.array([r[0] for r in numbers]), np.array([r[1] for r in numbers], np.int32),
-        np.r_[0, np.cumsum(size)], postings["example"].to_numpy(), postings["weight"].to_numpy()))
+    first, example, weight = np.r_[0, np.cumsum(size)], postings["example"].to_numpy(), postings["weight"].to_numpy()
     del postings
+    arrays = context.broadcast((vocab, idf, Index.of_postings(
+        np.array([r[0] for r in numbers]), np.array([r[1] for r in numbers], np.int32), first, example, weight)))
+    del example, weight
     weighing.unpersist()
     vocabulary_of.unpersist()
 

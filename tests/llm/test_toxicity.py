@@ -44,6 +44,41 @@ def test_index_equals_brute_force_cosine(seed):
             assert best[i].tolist() == want
 
 
+def test_neighbours_closer_than_single_precision_are_told_apart():
+    """Cosines over frequent terms alone that differ by 1e-9, in double precision; arrays of a task stay small."""
+    n, v = 600, 60
+    rng = np.random.default_rng(1)
+    e = 1 + rng.random((1, v)) + 1e-9 * rng.random((n, v))
+    e[::2] = e[::2] * (rng.random((n // 2, v)) < 0.5)
+    e /= np.linalg.norm(e, axis=1, keepdims=True)
+    r, c = np.nonzero(e)
+    index = tx.Index.build(np.arange(n), np.zeros(n), np.r_[0, np.cumsum(np.bincount(r, minlength=n))], c, e[r, c], v)
+    q = e[1::100]
+    best, sim = index.nearest(np.arange(len(q) + 1) * v, np.tile(np.arange(v), len(q)), q.ravel(), 10)
+    true = np.round((q[:, None] * e).sum(2), 12)
+    want = np.stack([np.lexsort((np.arange(n), -t))[:10] for t in true])
+    assert np.allclose(sim, np.take_along_axis(true, want, 1), rtol=0, atol=2e-12)
+    assert index.tiles.dtype == np.float32 and index.tiles.shape == (v, n)
+
+
+def test_a_task_s_memory_does_not_follow_the_batch():
+    """Large batches are cut into chunks of ``CHUNK`` bytes; the index is not made anew for each task."""
+    import pyarrow as pa
+    words = ["".join(x) for x in np.random.default_rng(2).choice(list("abcdefgh"), (400, 7))]
+    texts = [" ".join(words[i:i + 40]) for i in range(300)]
+    buf, offs = np.frombuffer("".join(texts).encode(), np.uint8), np.r_[0, np.cumsum([len(t) for t in texts])]
+    vocab = np.unique(tx.terms(buf, offs)[1])
+    doc, term, count = tx.vectors(buf, offs, vocab, tx.buckets(vocab))
+    w, ptr = tx.weights(doc, term, count, np.ones(len(vocab)), len(texts))
+    index = tx.Index.build(np.arange(len(texts)), np.zeros(len(texts)), ptr, term, w, len(vocab))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts * 50)], names=["text"])
+    got = list(tx.neighbours(iter([batch]), (vocab, np.ones(len(vocab)), index), 3))
+    assert sum(g[0].num_rows for g in got) == 15_000
+    assert max(g[0].get_total_buffer_size() and len("".join(g[0].column(0).to_pylist())) for g in got) <= 1 << 20
+    assert all(g[1] is index for g in got)
+    assert np.concatenate([g[2] for g in got])[:, 0].tolist() == list(range(300)) * 50
+
+
 def test_weighted_isotonic():
     knots, rates = tx.calibrate(np.array([0.1, 0.2, 0.3, 0.4]), np.array([0, 1, 0, 1.0]), np.array([1, 1, 3, 1.0]))
     assert np.all(np.diff(rates) >= 0) and rates[0] == 0 and rates[-1] == 1
