@@ -32,7 +32,8 @@ group's larger components are paired with the closest member of another one
 and linked likewise, ``LINKING`` times (this only spares work); (5) all pairs of
 a group that are still in different components are compared by block,
 survivors verified, components united.  Equal sets are
-one class throughout.  Large groups are cut into chunk pairs.
+one class throughout.  Large groups are cut into chunk pairs; groups are compared
+in ``PASSES`` jobs, so that only a part of the blocks is on disk at a time.
 
 Defined results: a null or empty text (or one of spaces) has the empty set
 and is linked with nothing; fewer words than a shingle make one shingle of
@@ -47,6 +48,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +67,8 @@ FINEST, FINE = 12, 4       # sub-segments of a segment: of a short set, of a lon
 WIDTH = 960                # bytes of a block, at most (SINGLE * FINE, SHORT * FINEST)
 CHUNK = 2 << 20            # bytes of text at a time
 GROUP = 512                # rows of a group's chunk
+PASSES = 2                 # jobs that compare the groups, each a part of them ...
+PASS_ROWS = 100_000        # ... unless they have no more rows than this
 LINKING = 2                # rounds that link outsiders before all pairs are compared
 HELD_PAIRS = 1 << 18       # pairs a task holds back to drop repeated ones
 FILTER_BITS = 1 << 26      # bitmap of shared keys; a full bitmap only costs time
@@ -521,15 +525,22 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, p: Plan) -> DataFrame:
                    .mapInArrow(run, "a long, b long"))
 
 
-def members(slim: DataFrame, sketches: DataFrame, comp: DataFrame) -> DataFrame:
-    """The rows of the groups that hold several components, as ``compared`` takes
-    them: a large group in chunks, each pair of chunks a group of its own."""
-    known = written(slim.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+def mixed_rows(slim: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows of the groups that hold several components, written: key, node, n,
+    meta, span, comp and the number of chunks of the group (of)."""
+    known = slim.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = written(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
                                              F.count("*").alias("size")).where("x != y")
                     .select("key", F.ceil(F.col("size") / GROUP).cast("int").alias("of")))
+    return written(slim.join(mixed, "key").join(comp, "node", "left")
+                   .withColumn("comp", F.coalesce("comp", "node")))
+
+
+def members(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows of ``mixed_rows`` as ``compared`` takes them: a large group in chunks,
+    each pair of chunks a group of its own."""
     place = F.col("span").bitwiseAND((1 << 32) - 1).cast("int") + 1
-    return (known.join(mixed, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
+    return (rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
             .withColumn("own", F.col("meta").bitwiseAND(1)).join(sketches, ["node", "own"])
             .select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
@@ -537,6 +548,20 @@ def members(slim: DataFrame, sketches: DataFrame, comp: DataFrame) -> DataFrame:
                     F.substring("data", place, F.shiftright("span", 32).cast("int")).alias("data")))
 
 
+def candidates(slim: DataFrame, sketches: DataFrame, comp: DataFrame, p: Plan, nearest: bool = False) -> DataFrame:
+    """What ``compared`` finds in all groups that hold several components.
+
+    The groups are dealt out by key into jobs, one after the other: the
+    members' blocks, the most that the join shuffles, lie on disk for one
+    job's groups at a time.
+    """
+    rows = mixed_rows(slim, comp)
+    passes = PASSES if rows.count() > PASS_ROWS else 1
+    turn = F.pmod(F.xxhash64("key"), F.lit(passes))
+    found = [written(compared(members(rows.where(turn == i), sketches), p, nearest)) for i in range(passes)]
+    return reduce(DataFrame.union, found).distinct()
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3,
          num: int = 90, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
@@ -570,14 +595,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     for _ in range(LINKING):
         # outsiders with the closest member of another component: links found
         # here spare all other pairs between the two components
-        near = written(compared(members(slim, sketches, comp), p, nearest=True))
+        near = candidates(slim, sketches, comp, p, nearest=True)
         near = top_k(near, ["outsider"], ["far", "a", "b", "own"], 2).select("a", "na", "b", "nb", "own").distinct()
         near = verified(written(sketched(near, sketches, p)), docs, words, p)
         if near.isEmpty():
             break
         links = links.union(near)
         comp = components(links)
-    cross = written(compared(members(slim, sketches, comp), p))
+    cross = candidates(slim, sketches, comp, p)
     cross = verified(written(sketched(cross, sketches, p)), docs, words, p)
     comp = comp if cross.isEmpty() else components(links.union(cross))
     named = cls.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -130,6 +130,43 @@ def test_outsiders_are_linked_before_all_pairs_are_compared(spark, monkeypatch):
     assert emitted[0] < emitted[1]
 
 
+def test_groups_are_compared_in_parts_and_one_component_is_not_written_again(spark, monkeypatch):
+    """The blocks of all groups do not lie on disk at once, nor their rows once more for each round."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for f in range(12):                # six families of one component, six that lie around the threshold
+        base = [f"f{f}w{i}" for i in range(150)]
+        for i in range(30):
+            words = list(base)
+            for at in rng.choice(150, 4 if f % 2 else 0, replace=False):
+                words[at] = f"e{rng.integers(0, 9999)}"
+            rows.append((len(rows), " ".join(words) + (" end" if i % 3 else "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compared, mixed, keys, known = jj.compared, jj.mixed_rows, [], []
+
+    def part(members, p, nearest=False):
+        if not nearest:
+            keys.append({r.key for r in members.select("key").distinct().collect()})
+        return compared(members, p, nearest)
+
+    def written(slim, comp):
+        out = mixed(slim, comp)
+        known.append((slim.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jj, "compared", part)
+    monkeypatch.setattr(jj, "mixed_rows", written)
+    monkeypatch.setattr(jj, "LINKING", 0)
+    want = brute(rows)
+    assert result(jj.join(docs)) == want
+    monkeypatch.setattr(jj, "PASS_ROWS", 0)
+    assert result(jj.join(docs)) == want
+    whole, *parts = keys
+    assert len(parts) == jj.PASSES and set.union(*parts) == whole
+    assert sum(map(len, parts)) == len(whole) and max(map(len, parts)) < 0.7 * len(whole)
+    assert 0 < known[0][1] < known[0][0]
+
+
 @pytest.mark.parametrize("num", [80, 90])
 def test_allocation_covers_the_threshold(num):
     for rows in (100, 10**6, 10**11):
